@@ -40,9 +40,7 @@ def _validated(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _labelled(spark: SparkSession, folder: str) -> DataFrame:
-    rated = reviews.drop_empty(_rated(spark, folder))
-    return (labels.label_reviews(rated)
-            .withColumn("review_body", text.strip_line_breaks(F.col("review_body"))))
+    return labels.label_reviews(reviews.drop_empty(_rated(spark, folder)))
 
 
 def _cleaned(spark: SparkSession, folder: str) -> DataFrame:
@@ -191,7 +189,8 @@ def random_split_sizes(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def balanced_sample(spark: SparkSession, folder: str) -> DataFrame:
-    return sampling.balanced_sample(_labelled(spark, folder)).select("review_id", "label", "review_body")
+    sample = training_data.one_line(sampling.balanced_sample(_labelled(spark, folder)))
+    return sample.select("review_id", "label", "review_body")
 
 
 @registered
@@ -388,7 +387,7 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def training_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """The balanced sample in shuffled order as one CSV file, read back with split files."""
     path = scratch_path(spark, "training-csv")
-    sample = sampling.balanced_sample(_labelled(spark, folder))
+    sample = training_data.one_line(sampling.balanced_sample(_labelled(spark, folder)))
     writers.export_csv(sampling.shuffle_rows(sample), path, ["review_body", "label"], 2 * sampling.CLASS_CAP)
     return readers.read_training_csv(spark, path)
 

@@ -75,28 +75,24 @@ def token_scorer(model: TokenModel) -> Callable[[], Callable]:
         raise ValueError(f"{model.n_bytes} bytes of weights; use score_weights")
     rows = model.weights.select("token", model.columns[0]).toPandas()
     shared = model.weights.sparkSession.sparkContext.broadcast(
-        (rows["token"].tolist(), rows[model.columns[0]].to_numpy()))
-    pattern, digits = tx.NON_LETTERS, SCORE_DIGITS
+        dict(zip(rows["token"].str.encode("ascii"), rows[model.columns[0]])))
+    digits = SCORE_DIGITS
 
     def load() -> Callable:
-        import numpy as np
-        import pandas as pd
-        import pyarrow.compute as pc
-
-        names, weights = shared.value
-        index = pd.Index(names, dtype=object)
-
-        def score(texts):
-            # The one letter whose lower case has two code points, as the JVM writes it.
-            lowered = pc.utf8_lower(pc.replace_substring(texts, "İ", "i̇"))
-            words = pc.split_pattern_regex(lowered, pattern)
-            flat = pc.list_flatten(words).dictionary_encode()
-            rows = pc.list_parent_indices(words).to_numpy()
-            known = index.get_indexer(pd.Index(flat.dictionary.to_pylist(), dtype=object))
-            token = known[flat.indices.to_numpy()]
-            pairs = np.unique(rows[token >= 0].astype(np.int64) * max(len(names), 1) + token[token >= 0])
-            row, token = np.divmod(pairs, max(len(names), 1))
-            return np.round(np.bincount(row, weights=weights[token], minlength=len(texts)), digits)
+        from math import fsum
+
+        weights = shared.value
+        # Letters in lower case, every other byte a space.
+        letters = bytes(b if 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
+
+        def words(text: str) -> set[bytes]:
+            # The two other letters whose lower case holds an a-z: the Kelvin sign and dotted I.
+            plain = text.replace("\u212a", "k").replace("\u0130", "i ")
+            return set(plain.encode().translate(letters).split())
+
+        def score(texts) -> list[float]:
+            return [round(fsum(weights[w] for w in words(t or "") & weights.keys()), digits)
+                    for t in texts.to_pylist()]
 
         return score
 

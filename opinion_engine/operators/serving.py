@@ -31,8 +31,10 @@ def length_histogram(df: DataFrame, text: str = "review_clean", bins: int = BINS
                .groupBy(tx.text_length(F.col(text)).alias("length"))
                .agg(F.count(F.lit(1)).alias("n")))
     half = F.when(F.min("length") == F.max("length"), 0.5).otherwise(0.0)
+    # The total is not used. It keeps the counts in the subquery, which then reuses their exchange.
     span = lengths.agg(F.struct((F.min("length") - half).alias("low"),
-                                (F.max("length") + half).alias("high"))).scalar()
+                                (F.max("length") + half).alias("high"),
+                                F.sum("n").alias("total"))).scalar()
     share = (F.col("length") - span["low"]) * float(bins) / (span["high"] - span["low"])
     filled = (lengths.select(F.least(F.floor(share).cast("int"), F.lit(bins - 1)).alias("bin"), "n")
               .groupBy("bin").agg(F.sum("n").alias("n")))

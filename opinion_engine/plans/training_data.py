@@ -44,6 +44,10 @@ def flag(df: DataFrame, average: DataFrame | None = None) -> DataFrame:
     return df.transform(quality.flag_anomalies, average).transform(quality.repair_ratings)
 
 
+def one_line(df: DataFrame, column: str = "review_body") -> DataFrame:
+    return df.withColumn(column, text.strip_line_breaks(F.col(column)))
+
+
 @dataclass(frozen=True)
 class TrainingSet:
     labelled: DataFrame
@@ -54,14 +58,15 @@ class TrainingSet:
 def build_training_set(
     df: DataFrame, cap: int = sampling.CLASS_CAP, exclude_anomalies: bool = False, seed: int = sampling.SEED
 ) -> TrainingSet:
-    """Label, draw a balanced sample, and hold out every other text.
+    """Label, draw a balanced sample, and hold out every other text; bodies lose their line breaks.
 
     The input is read three times (ids and ratings, the sample, the rest): pass a stored stage.
+    Rows are chosen by id, so only the chosen texts are rewritten for the sample.
     """
     kept = df.filter(~F.col("anomaly_flag")) if exclude_anomalies else df
-    labelled = (kept.transform(labels.label_reviews)
-                .withColumn("review_body", text.strip_line_breaks(F.col("review_body"))))
-    sample = sampling.balanced_sample(labelled, cap=cap, seed=seed)
+    raw = labels.label_reviews(kept)
+    labelled = one_line(raw)
+    sample = one_line(sampling.balanced_sample(raw, cap=cap, seed=seed))
     return TrainingSet(labelled, sample,
                        sampling.holdout_remaining(labelled, sample, sample_rows=2 * cap))
 

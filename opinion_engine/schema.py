@@ -41,7 +41,8 @@ CLASS_DISTRIBUTION = T.StructType([
     T.StructField("dropped_3_star_reviews", T.LongType()),
     T.StructField("dropped_unrated", T.LongType()),
     T.StructField("dropped_neutral", T.LongType()),
-    T.StructField("original_class_distribution", T.MapType(T.IntegerType(), T.LongType())),
+    # The keys are labels; a JSON key is a text.
+    T.StructField("original_class_distribution", T.MapType(T.StringType(), T.LongType())),
     T.StructField("sampled_class_counts", CLASS_COUNTS),
     T.StructField("remaining_after_sampling", T.LongType()),
 ])

@@ -12,6 +12,8 @@ from .. import schema
 
 # Quotes inside a field are doubled, in every CSV file that is read or written here.
 CSV_QUOTING = {"header": "true", "quote": '"', "escape": '"'}
+# An empty cell is null and a quoted empty cell is an empty text. By default both are null.
+CSV_READING = {**CSV_QUOTING, "nullValue": "\u0000"}
 
 TEXT_COLUMNS = ("review_body", "review")
 
@@ -23,7 +25,7 @@ def read_reviews_csv(spark: SparkSession, path: str, multi_line: bool = True) ->
     hold no line breaks inside fields, such as an exported training set, can be read
     with ``multi_line=False`` and are then split.
     """
-    return spark.read.options(**CSV_QUOTING, multiLine=multi_line).csv(path)
+    return spark.read.options(**CSV_READING, multiLine=multi_line).csv(path)
 
 
 def with_row_id(df: DataFrame, name: str = "review_id") -> DataFrame:
@@ -40,7 +42,7 @@ def read_stage(spark: SparkSession, path: str) -> DataFrame:
 
 def read_training_csv(spark: SparkSession, path: str) -> DataFrame:
     """A training set as written by ``export_csv``; its texts hold no line breaks."""
-    return spark.read.schema(schema.TRAINING).options(**CSV_QUOTING).csv(path)
+    return spark.read.schema(schema.TRAINING).options(**CSV_READING).csv(path)
 
 
 def read_scored_csv(

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import schema
 from ..operators import ranking, serving
 from ..plans.uploads import clean_upload
-from ..sources.readers import CSV_QUOTING
+from ..sources.readers import CSV_READING
 
 # Fixed value: uploads are named after their time, as in 20240131235959_reviews.csv.
 STAMP = r"^(\d{14})"
@@ -31,7 +31,7 @@ def upload_stream(
     name = F.col("_metadata.file_name")
     stamp = F.regexp_extract(name, STAMP, 1)
     return (spark.readStream.schema(columns)
-            .options(**CSV_QUOTING, multiLine="true", maxFilesPerTrigger=files_per_batch)
+            .options(**CSV_READING, multiLine="true", maxFilesPerTrigger=files_per_batch)
             .csv(folder)
             .withColumns({"file_name": name,
                           "uploaded_at": F.try_to_timestamp(stamp, F.lit(STAMP_FORMAT))}))

@@ -9,6 +9,7 @@ def local_session() -> SparkSession:
     builder = (SparkSession.builder.master("local[8]").appName("opinion-engine-tests")
                .config("spark.sql.shuffle.partitions", "8")
                .config("spark.driver.memory", "8g")
+               .config("spark.sql.maxMetadataStringLength", "1000")
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false"))
     spark = configure(builder).getOrCreate()

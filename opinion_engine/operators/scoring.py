@@ -91,7 +91,7 @@ def token_scorer(model: TokenModel) -> Callable[[], Callable]:
             return set(plain.encode().translate(letters).split())
 
         def score(texts) -> list[float]:
-            return [round(fsum(weights[w] for w in words(t or "") & weights.keys()), digits)
+            return [round(fsum(weights.get(w, 0.0) for w in words(t or "")), digits)
                     for t in texts.to_pylist()]
 
         return score

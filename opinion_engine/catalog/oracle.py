@@ -56,10 +56,19 @@ _VIEWS = {
     "served": """
         select c.*, case s.prediction when 1 then 'positive' else 'negative' end as prediction
         from cleaned c join scored s on s.doc_id = c.upload_id""",
+    "parted": """
+        select *, part < 80 as training_part, row_number() over (partition by part < 80, label
+            order by md5('42:' || cast(doc_id as varchar)), doc_id) as rn
+        from (select doc_id, text, quality as label,
+            cast('0x' || substr(md5('42:' || cast(doc_id as varchar)), 1, 8) as bigint) % 100 as part
+            from documents join labels using (doc_id))""",
+    "class_size": f"""
+        select least(count(*) filter (where label = 1), count(*) filter (where label = 0), {CAP}) as per_class
+        from parted where training_part""",
     "judged": """
-        select doc_id, text, quality as label,
-            cast('0x' || substr(md5('42:' || cast(doc_id as varchar)), 1, 8) as bigint) % 100 < 80 as training
-        from documents join labels using (doc_id)""",
+        select *, training_part and rn <= (select per_class from class_size) as training,
+            not training_part as held_out
+        from parted""",
 }
 
 
@@ -162,7 +171,7 @@ _CANDIDATES = _sql(
         select smoothing, """ + _outcomes("cast(logit > 0 as int)") + """
         from cand join judged using (doc_id) group by smoothing)""",
     _counts("judged", "training") + ", "
-    + ", ".join(_scored_tokens("(select * from judged where not training)", "doc_id", "text", f"z{i}", a)
+    + ", ".join(_scored_tokens("(select * from judged where held_out)", "doc_id", "text", f"z{i}", a)
                 for i, a in enumerate(GRID))
     + ", cand as (" + " union all ".join(
         f"select {a}::double as smoothing, doc_id, logit from z{i}" for i, a in enumerate(GRID)) + ")")
@@ -282,6 +291,12 @@ ORACLE: dict[str, str] = {
             round(1 - {_P}, 6) as negative_score, cast(logit > 0 as int) as prediction_label,
             {_NAME} as prediction
         from z join documents using (doc_id)""", _NB_ALL),
+    "upload_scores": _sql("judged cleaned", f"""
+        select upload_id, user_name, review_clean, short_review, round({_P}, 6) as positive_score,
+            round(1 - {_P}, 6) as negative_score, cast(logit > 0 as int) as prediction_label,
+            {_NAME} as prediction
+        from cleaned join z on z.doc_id = upload_id""",
+        _counts("judged") + ", " + _scored_tokens("cleaned", "upload_id", "review_clean")),
     "confusion_counts": _sql("scored", """
         select label, prediction, count(*) as n from scored group by label, prediction"""),
     "class_summary": _sql("scored", """
@@ -309,11 +324,11 @@ ORACLE: dict[str, str] = {
                 where logit <= 0 order by 1 - p desc, doc_id limit 5)) as top_predicted_negative
         from (select {_outcomes("cast(logit > 0 as int)")} from tested)""",
         _counts("judged", "training") + ", "
-        + _scored_tokens("(select * from judged where not training)", "doc_id", "text")
+        + _scored_tokens("(select * from judged where held_out)", "doc_id", "text")
         + f""", tested as (select *, {_P} as p from (
-            select *, row_number() over (partition by label
+            select * exclude (rn), row_number() over (partition by label
                 order by md5('42:' || cast(doc_id as varchar)), doc_id) as rn
-            from judged where not training) join z using (doc_id) where rn <= {SAMPLE_ROWS})"""),
+            from judged where held_out) join z using (doc_id) where rn <= {SAMPLE_ROWS})"""),
     "csv_roundtrip": _sql("uploads", "select * from uploads"),
     "training_csv_roundtrip": _sql("sample", "select review_body, label from sample"),
     "partitioned_roundtrip": _sql("cleaned", "select upload_id, user_name, review_clean from cleaned"),

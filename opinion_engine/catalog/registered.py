@@ -54,15 +54,16 @@ def _served(spark: SparkSession, folder: str) -> DataFrame:
     return _cleaned(spark, folder).join(predicted, "upload_id")
 
 
-def _split_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Labelled documents with their split, stored: training and testing read it several times."""
-    split = sampling.hash_split(adapters.labelled_documents(spark, folder), "doc_id")
-    return materialize(split, "labelled-documents")
-
+def _train_and_rest(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """A balanced sample of the training part, and the documents outside that part.
 
-def _train_and_rest(stage: DataFrame) -> tuple[DataFrame, DataFrame]:
+    Both are stored: training and testing read them several times.
+    """
+    split = sampling.hash_split(adapters.labelled_documents(spark, folder), "doc_id")
+    stage = materialize(split, "labelled-documents")
     training = F.col("split") == "train"
-    return stage.filter(training), stage.filter(~training)
+    sample = sampling.balanced_sample(stage.filter(training), "doc_id")
+    return materialize(sample, "training-sample"), stage.filter(~training)
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -315,6 +316,14 @@ def model_scoring_map(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(scored, "positive_score", "negative_score")
 
 
+@registered
+def upload_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Cleaned uploads with their predictions."""
+    trained = model.train_nb(adapters.labelled_documents(spark, folder))
+    scored = uploads.score_upload(_cleaned(spark, folder), trained)
+    return _rounded(scored.drop("review"), "positive_score", "negative_score")
+
+
 @registered
 def confusion_counts(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.confusion(adapters.scored(spark, folder))
@@ -339,22 +348,22 @@ def log_loss(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def candidate_models(spark: SparkSession, folder: str) -> DataFrame:
     """Metrics of every smoothing value on the documents that were not trained on."""
-    train, rest = _train_and_rest(_split_documents(spark, folder))
+    train, rest = _train_and_rest(spark, folder)
     _, metrics = modelling.train_and_evaluate(train, rest)
     return _rounded(metrics, "accuracy", "precision", "recall", "f1")
 
 
 @registered
 def best_model(spark: SparkSession, folder: str) -> DataFrame:
-    train, rest = _train_and_rest(_split_documents(spark, folder))
+    train, rest = _train_and_rest(spark, folder)
     _, metrics = modelling.train_and_evaluate(train, rest)
     return _rounded(evaluation.select_best(metrics), "accuracy", "precision", "recall", "f1")
 
 
 @registered
 def model_evaluation(spark: SparkSession, folder: str) -> DataFrame:
-    """A model trained on one part and judged on a balanced sample of the rest."""
-    train, rest = _train_and_rest(_split_documents(spark, folder))
+    """A model trained on a balanced sample of one part and judged on one of the rest."""
+    train, rest = _train_and_rest(spark, folder)
     trained = model.train_nb(train)
     scored = materialize(modelling.score_test_set(rest, trained, SAMPLE_ROWS), "tested")
     document = modelling.evaluation_document(scored, "naive-bayes")
@@ -368,7 +377,7 @@ def model_evaluation(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def lr_confusion(spark: SparkSession, folder: str) -> DataFrame:
-    train, rest = _train_and_rest(_split_documents(spark, folder))
+    train, rest = _train_and_rest(spark, folder)
     scored = scoring.score_lr(rest, model.train_lr(train))
     return evaluation.confusion(scored, "label", "prediction_label")
 

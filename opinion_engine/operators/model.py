@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -90,10 +90,22 @@ def train_nb(
 
 
 def stored_model(weights: DataFrame, columns: Sequence[str]) -> TokenModel:
-    kept = materialize(weights, "token-model")
-    size = kept.agg(F.count(F.lit(1)).alias("n"),
-                    F.coalesce(F.sum(F.octet_length("token")), F.lit(0)).alias("b")).first()
-    return TokenModel(kept, tuple(columns), size["n"], size["b"] + 8 * len(columns) * size["n"])
+    return _measured(materialize(weights, "token-model"), columns)
+
+
+def _measured(weights: DataFrame, columns: Sequence[str]) -> TokenModel:
+    size = weights.agg(F.count(F.lit(1)).alias("n"),
+                       F.coalesce(F.sum(F.octet_length("token")), F.lit(0)).alias("b")).first()
+    return TokenModel(weights, tuple(columns), size["n"], size["b"] + 8 * len(columns) * size["n"])
+
+
+def save_model(model: TokenModel, path: str) -> None:
+    model.weights.write.mode("overwrite").parquet(path)
+
+
+def load_model(spark: SparkSession, path: str) -> TokenModel:
+    weights = spark.read.parquet(path)
+    return _measured(weights, [c for c in weights.columns if c != "token"])
 
 
 def train_lr(docs: DataFrame, text: str = "text", label: str = "label", features: int = 1 << 18) -> PipelineModel:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import evaluation, model, sampling, scoring, serving
+from ..operators import evaluation, model, reviews, sampling, scoring, serving
 from ..operators.ranking import texts_in_order
+from ..sources import readers, writers
 
 
 def train_and_evaluate(
@@ -72,3 +73,40 @@ def evaluation_document(
                  *[F.col(c).alias(f"eval_{c}") for c in m.columns]).alias("metrics"),
         classes.agg(F.first(F.struct(*classes.columns))).scalar().alias("class_summary"),
         quoted.scalar().alias("sample_reviews"))
+
+
+def evaluate_model(
+    test: DataFrame,
+    trained: model.TokenModel,
+    model_name: str,
+    out: str,
+    n: int = sampling.EVALUATION_ROWS,
+    row_id: str = "review_id",
+    strict: bool = False,
+) -> None:
+    """Judge a stored model on a balanced sample; store the tested rows and the document."""
+    writers.write_stage(score_test_set(test, trained, n, row_id, strict=strict), f"{out}/tested")
+    tested = readers.read_stage(test.sparkSession, f"{out}/tested")
+    writers.export_csv(tested.withColumn("prediction", F.col("prediction_label")), f"{out}/tested_csv",
+                       ["text", "label", "prediction"], 2 * n)
+    document = evaluation_document(tested, model_name, row_id)
+    writers.write_metrics(writers.stamped(document), f"{out}/documents/model_evaluation")
+
+
+def run(
+    spark: SparkSession,
+    training_csv: str,
+    holdout: str,
+    out: str,
+    smoothing: Sequence[float] = model.SMOOTHING_GRID,
+    n: int = sampling.EVALUATION_ROWS,
+) -> None:
+    """Train on an exported sample, choose by F1 on the hold-out, store and judge the best model."""
+    train = readers.with_row_id(reviews.drop_incomplete(readers.read_training_csv(spark, training_csv)))
+    test = readers.read_stage(spark, holdout).select("review_id", "review_body", "label")
+    train, test = reviews.to_training_frame(train), reviews.to_training_frame(reviews.drop_incomplete(test))
+    candidates, metrics = train_and_evaluate(train, test, "review_id", smoothing=smoothing)
+    writers.write_stage(metrics, f"{out}/candidates")
+    best = evaluation.select_best(readers.read_stage(spark, f"{out}/candidates"))
+    model.save_model(chosen(candidates, best, smoothing), f"{out}/model")
+    evaluate_model(test, model.load_model(spark, f"{out}/model"), "naive-bayes", out, n)

@@ -40,8 +40,9 @@ def validate(df: DataFrame) -> DataFrame:
 
 
 def flag(df: DataFrame, average: DataFrame | None = None) -> DataFrame:
-    """Flag odd lengths and repair ratings."""
-    return df.transform(quality.flag_anomalies, average).transform(quality.repair_ratings)
+    """Flag odd lengths and repair ratings; measures the texts where the frame has no lengths yet."""
+    measured = df if "review_length" in df.columns else quality.with_length(df)
+    return measured.transform(quality.flag_anomalies, average).transform(quality.repair_ratings)
 
 
 def one_line(df: DataFrame, column: str = "review_body") -> DataFrame:

@@ -21,7 +21,7 @@ def duck(folder: str) -> duckdb.DuckDBPyConnection:
 
 def _plain(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 5) + 0.0
+        return "NaN" if math.isnan(value) else value + 0.0  # no minus zero
     return list(value) if isinstance(value, (list, tuple)) else value
 
 

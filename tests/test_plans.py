@@ -2,7 +2,7 @@
 
 from opinion_engine import schema
 from opinion_engine.operators import model
-from opinion_engine.plans import training_data, uploads
+from opinion_engine.plans import modelling, training_data, uploads
 from opinion_engine.sources import readers
 
 
@@ -58,3 +58,24 @@ def test_upload_job(spark, tmp_path):
                                  "short_reviews_flagged": 2, "retained_clean_reviews": 3}
     assert set(tables) == {"summary", "distribution", "histogram", "top_reviews"}
     assert {"stars", "review", "prediction"} <= set(readers.read_user_partition(spark, f"{out}/served", "someone").columns)
+
+
+def test_modelling_job(spark, tmp_path):
+    lines = ["product_category,star_rating,review_body,review_headline"]
+    for i in range(300):
+        word = "great lovely" if i % 2 else "poor broken"
+        lines.append(f"c,{5 if i % 2 else 1},A {word} item number {i},Head")
+    source = tmp_path / "raw.csv"
+    source.write_text("\n".join(lines) + "\n")
+    data, out = f"{tmp_path}/data", f"{tmp_path}/model"
+    training_data.run(spark, str(source), data, cap=60)
+    modelling.run(spark, f"{data}/sampled_csv", f"{data}/remaining", out, n=20)
+    document = readers.read_metrics_json(
+        spark, f"{out}/documents/model_evaluation", schema.EVALUATION_SUMMARY).first()
+    assert document["metrics"]["eval_f1"] == 1.0 and document["model_name"] == "naive-bayes"
+    assert document["class_summary"]["actual_positive"] == 20 and document["timestamp"]
+    assert readers.read_stage(spark, f"{out}/candidates").count() == len(model.SMOOTHING_GRID)
+    tested = readers.read_scored_csv(spark, f"{out}/tested_csv")
+    assert tested.columns == ["text", "label", "prediction"] and tested.count() == 40
+    loaded = model.load_model(spark, f"{out}/model")
+    assert loaded.columns == ("weight_0",) and loaded.n_tokens > 0

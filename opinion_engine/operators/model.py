@@ -19,14 +19,22 @@ SMOOTHING_GRID = (0.1, 0.5, 1.0, 2.0)
 MIN_DOCUMENTS = 5
 
 
+# Weights up to this measured size may be broadcast.
+BROADCAST_BYTES = 64 << 20
+
+
 @dataclass(frozen=True)
 class TokenModel:
-    """Stored token weights, one weight column per candidate, and their measured size."""
+    """Stored token weights, one weight column per candidate, and their measured size.
+
+    The weights of tokens in at least ``head_docs`` training documents fit in a broadcast;
+    1 says that all do.
+    """
 
     weights: DataFrame
     columns: tuple[str, ...]
     n_tokens: int
-    n_bytes: int
+    head_docs: int
 
 
 def tokenize(df: DataFrame, row_id: str, text: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -84,19 +92,31 @@ def train_nb(
     min_docs: int = MIN_DOCUMENTS,
 ) -> TokenModel:
     """Train, store the weights, and measure them."""
-    columns = tuple(f"weight_{i}" for i in range(len(smoothing)))
+    columns = [f"weight_{i}" for i in range(len(smoothing))]
     trained = nb_weights(docs, row_id, text, label, smoothing, min_docs)
-    return stored_model(trained.select("token", *columns), columns)
+    n_docs = F.col("positive_docs") + F.col("negative_docs")
+    return stored_model(trained.select("token", n_docs.alias("n_docs"), *columns))
 
 
-def stored_model(weights: DataFrame, columns: Sequence[str]) -> TokenModel:
-    return _measured(materialize(weights, "token-model"), columns)
+def stored_model(weights: DataFrame) -> TokenModel:
+    """A model from ``token``, ``n_docs``, ``weight_0``, ``weight_1``, ..."""
+    return _measured(materialize(weights, "token-model"))
 
 
-def _measured(weights: DataFrame, columns: Sequence[str]) -> TokenModel:
-    size = weights.agg(F.count(F.lit(1)).alias("n"),
-                       F.coalesce(F.sum(F.octet_length("token")), F.lit(0)).alias("b")).first()
-    return TokenModel(weights, tuple(columns), size["n"], size["b"] + 8 * len(columns) * size["n"])
+def _measured(weights: DataFrame) -> TokenModel:
+    columns = tuple(c for c in weights.columns if c.startswith("weight_"))
+    width = F.octet_length("token") + 8 * (1 + len(columns))
+    octave = F.floor(F.log2("n_docs")).alias("octave")
+    # At most 64 rows: sizes by the number of documents, from frequent to rare.
+    sizes = (weights.groupBy(octave).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"))
+             .orderBy(F.desc("octave")).collect())
+    head_docs, taken = 1, 0
+    for size in sizes:
+        taken += size["b"]
+        if taken > BROADCAST_BYTES:
+            head_docs = 2 ** (size["octave"] + 1)
+            break
+    return TokenModel(weights, columns, sum(size["n"] for size in sizes), head_docs)
 
 
 def save_model(model: TokenModel, path: str) -> None:
@@ -104,8 +124,7 @@ def save_model(model: TokenModel, path: str) -> None:
 
 
 def load_model(spark: SparkSession, path: str) -> TokenModel:
-    weights = spark.read.parquet(path)
-    return _measured(weights, [c for c in weights.columns if c != "token"])
+    return _measured(spark.read.parquet(path))
 
 
 def train_lr(docs: DataFrame, text: str = "text", label: str = "label", features: int = 1 << 18) -> PipelineModel:

@@ -14,14 +14,14 @@ from ..functions import scores
 from ..functions import text as tx
 from .model import TokenModel
 
-# Token weights beyond this measured size are neither broadcast nor loaded into a task.
-BROADCAST_BYTES = 64 << 20
+# Tokens that a Python task may hold in a dictionary.
+TASK_TOKENS = 500_000
 # Digits of a score that do not depend on the order in which weights are added.
 SCORE_DIGITS = 9
 
 
 def fits_in_task(model: TokenModel) -> bool:
-    return model.n_bytes <= BROADCAST_BYTES
+    return model.n_tokens <= TASK_TOKENS
 
 
 def score_weights(
@@ -29,14 +29,20 @@ def score_weights(
 ) -> DataFrame:
     """The summed token weights per row: ``logit_0``, ``logit_1``, ... per weight column.
 
-    A small model is broadcast. Beyond that the tokens are joined by shuffle, where AQE splits
-    frequent tokens. Texts never move: the sums travel with the id and the ``keep`` columns.
+    A small model is broadcast whole. Of a larger one the frequent tokens are, so that only
+    tokens rare in training are joined by shuffle (AQE splits one that is not rare here).
+    Texts never move: the sums travel with the id and the ``keep`` columns.
     """
-    weights = F.broadcast(model.weights) if fits_in_task(model) else model.weights
     tokens = df.select(row_id, *keep, F.explode_outer(tx.tokens(F.col(text))).alias("token"))
+    found, frequent = [row_id, *keep, *model.columns], F.col("n_docs") >= model.head_docs
+    head = F.broadcast(model.weights.filter(frequent).drop("n_docs"))
+    weighted = tokens.join(head, "token", "left").select(*found)
+    if model.head_docs > 1:
+        rare = tokens.join(head, "token", "left_anti").join(model.weights.filter(~frequent), "token")
+        weighted = weighted.unionByName(rare.select(*found))
     sums = [F.round(F.coalesce(F.sum(c), F.lit(0.0)), SCORE_DIGITS).alias(f"logit_{i}")
             for i, c in enumerate(model.columns)]
-    return tokens.join(weights, "token", "left").groupBy(row_id, *keep).agg(*sums)
+    return weighted.groupBy(row_id, *keep).agg(*sums)
 
 
 def with_scores(df: DataFrame, logit: str = "logit_0") -> DataFrame:
@@ -72,7 +78,7 @@ def score_with_model(df: DataFrame, load: Callable[[], Callable], text: str, out
 def token_scorer(model: TokenModel) -> Callable[[], Callable]:
     """Load a token model inside tasks; refused where it is too large for one."""
     if not fits_in_task(model):
-        raise ValueError(f"{model.n_bytes} bytes of weights; use score_weights")
+        raise ValueError(f"{model.n_tokens} tokens; use score_weights")
     rows = model.weights.select("token", model.columns[0]).toPandas()
     shared = model.weights.sparkSession.sparkContext.broadcast(
         dict(zip(rows["token"].str.encode("ascii"), rows[model.columns[0]])))

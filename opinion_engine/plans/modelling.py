@@ -29,8 +29,8 @@ def train_and_evaluate(
 def chosen(candidates: model.TokenModel, best: DataFrame, smoothing: Sequence[float]) -> model.TokenModel:
     """The stored model that the best candidate row names."""
     position = list(smoothing).index(best.first()["smoothing"])
-    weights = candidates.weights.select("token", F.col(candidates.columns[position]).alias("weight_0"))
-    return model.stored_model(weights, ["weight_0"])
+    weight = F.col(candidates.columns[position]).alias("weight_0")
+    return model.stored_model(candidates.weights.select("token", "n_docs", weight))
 
 
 def score_test_set(

@@ -51,10 +51,10 @@ def tricky(spark):
 
 
 def test_all_scoring_paths_agree(spark, docs, monkeypatch):
-    trained = model.train_nb(docs, min_docs=1)
-    extra = trained.weights.unionByName(spark.createDataFrame([("know", 3.0), ("od", 5.0), ("go", -2.0), ("know", 0.0)][:3],
-                                                              trained.weights.schema))
-    trained = model.stored_model(extra, trained.columns)
+    extra = spark.createDataFrame([("know", 1, 3.0), ("od", 2, 5.0), ("go", 9, -2.0)],
+                                  "token string, n_docs long, weight_0 double")
+    weights = model.train_nb(docs, min_docs=1).weights.unionByName(extra)
+    trained = model.stored_model(weights)
     rows = tricky(spark).repartition(3)
 
     def logits(df):
@@ -62,10 +62,16 @@ def test_all_scoring_paths_agree(spark, docs, monkeypatch):
 
     joined = logits(scoring.score_weights(rows, trained))
     in_task = logits(scoring.score_with_model(rows, scoring.token_scorer(trained), "text"))
-    assert in_task == joined and len(joined) == rows.count()
+    assert in_task == joined and len(joined) == rows.count() and trained.head_docs == 1
     small = sorted(map(tuple, scoring.score_rows(rows, trained, "text", "doc_id").collect()))
-    monkeypatch.setattr(scoring, "BROADCAST_BYTES", 0)
-    assert logits(scoring.score_weights(rows, trained)) == joined
+
+    # Only the tokens of two and more documents, then none, fit in a broadcast.
+    for limit, head_docs in ((150, 2), (0, 16)):
+        monkeypatch.setattr(model, "BROADCAST_BYTES", limit)
+        split = model.stored_model(weights)
+        assert split.head_docs == head_docs and split.n_tokens == trained.n_tokens
+        assert logits(scoring.score_weights(rows, split)) == joined
+    monkeypatch.setattr(scoring, "TASK_TOKENS", 3)
     large = scoring.score_rows(rows, trained, "text", "doc_id").select("doc_id", "text", "positive_score", "negative_score",
                                                                         "prediction_label", "prediction")
     assert sorted(map(tuple, large.collect())) == small

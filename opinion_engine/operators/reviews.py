@@ -56,14 +56,17 @@ def dedup_text(df: DataFrame, column: str = "review_body", row_id: str = "review
     """One row per text: the one with the lowest id.
 
     Each task first keeps one row per text of its own, so a text that makes up a third of
-    the table sends one row per task. Rows move by a 16-byte digest. What the frame carries
-    is what is shuffled: project before the call.
+    the table sends one row per task. Rows move by a 16-byte digest.
     """
     digest = text.text_digest(F.col(column))
     return dedup_key(df.withColumn("_digest", digest), "_digest", row_id).drop("_digest")
 
 
 def dedup_key(df: DataFrame, key: str, row_id: str) -> DataFrame:
-    """One row per key value: the one with the lowest id."""
-    carried = F.struct(*[c for c in df.columns if c != key])
-    return df.groupBy(key).agg(F.min_by(carried, F.col(row_id)).alias("_row")).select(key, "_row.*")
+    """One row per key value: the one with the lowest id, which must be unique.
+
+    Each column is an aggregate of its own, so columns that are not used later are pruned
+    and never shuffled.
+    """
+    columns = [F.min_by(c, row_id).alias(c) for c in df.columns if c != key]
+    return df.groupBy(key).agg(*columns)

@@ -40,3 +40,9 @@ def test_plans(spark, name):
     plan = contract.queries()[name](spark, FOLDER)._jdf.queryExecution().toString()
     for slow in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ExistingRDD"):
         assert slow not in plan
+
+
+def test_unused_columns_are_not_carried_through_dedup(spark):
+    plan = contract.queries()["text_dedup"](spark, FOLDER).select("star_rating")._jdf.queryExecution().toString()
+    physical = plan.split("== Physical Plan ==")[1]
+    assert "min_by(star_rating" in physical and "min_by(review_headline" not in physical

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import keys, text
 
-# Fixed values of the reference workload.
+# Fixed values that the results depend on.
 SEED = 42
 SPLITS = {"train": 80, "test": 10, "serve": 10}
 CLASS_CAP = 25_000

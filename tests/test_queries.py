@@ -46,3 +46,17 @@ def test_unused_columns_are_not_carried_through_dedup(spark):
     plan = contract.queries()["text_dedup"](spark, FOLDER).select("star_rating")._jdf.queryExecution().toString()
     physical = plan.split("== Physical Plan ==")[1]
     assert "min_by(star_rating" in physical and "min_by(review_headline" not in physical
+
+
+def test_histogram_reads_the_texts_once(spark):
+    df = contract.queries()["length_histogram"](spark, FOLDER)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan
+
+
+def test_sample_ranks_only_what_can_be_chosen(spark):
+    """The ranking comes after the hash join with the key-size counts."""
+    plan = contract.queries()["balanced_sample"](spark, FOLDER)._jdf.queryExecution().toString()
+    physical = plan.split("== Physical Plan ==")[1]
+    assert physical.index("row_number()") < physical.index("BroadcastHashJoin") < physical.index("FileScan")

@@ -32,6 +32,8 @@ REVIEWS = {
 
 UPLOADS = {"upload_id": "doc_id", "user_name": USER_NAME, "review": UPLOAD_TEXT}
 
+TURNS = {"conv_id": "conv_id", "turn": "turn", "user_name": "role", "review": "text"}
+
 _HASH = "md5(cast(doc_id as string))"
 _SPREAD = (f"(ascii(substr({_HASH}, 1, 1)) * 31 + ascii(substr({_HASH}, 2, 1)) * 7"
            f" + ascii(substr({_HASH}, 3, 1)))")
@@ -67,6 +69,11 @@ def uploads(spark: SparkSession, folder: str) -> DataFrame:
     return _view(UPLOADS, table(spark, folder, "documents"))
 
 
+def turns(spark: SparkSession, folder: str) -> DataFrame:
+    """Every turn of every conversation as an uploaded text, by role."""
+    return _view(TURNS, table(spark, folder, "conversations"))
+
+
 def scored(spark: SparkSession, folder: str) -> DataFrame:
     return _view(SCORED, table(spark, folder, "labels"))
 

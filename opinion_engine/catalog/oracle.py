@@ -53,6 +53,8 @@ _VIEWS = {
     "cleaned": r"""
         select * from flagged
         where length(review_clean) > 0 and not regexp_matches(review_clean, '^[0-9\s]+$')""",
+    "turns": adapters.select_sql(adapters.TURNS, "conversations"),
+    "turns_trimmed": "select * replace (trim(review, ' ') as review), lower(trim(review, ' ')) as review_clean from turns",
     "served": """
         select c.*, case s.prediction when 1 then 'positive' else 'negative' end as prediction
         from cleaned c join scored s on s.doc_id = c.upload_id""",
@@ -340,6 +342,11 @@ ORACLE: dict[str, str] = {
         group by 1"""),
     "metrics_json_roundtrip": _sql("cleaned", _CLEAN_COUNTS),
     "stream_upload_clean": _sql("cleaned", "select * from cleaned"),
+    "stream_turn_clean": _sql("turns_trimmed", r"""
+        select *, length(review_clean) < 30 or len(list_filter(
+            string_split_regex(review_clean, '\s+'), lambda x: x <> '')) < 5 as short_review
+        from turns_trimmed
+        where length(review_clean) > 0 and not regexp_matches(review_clean, '^[0-9\s]+$')"""),
     "stream_upload_summary": _sql("judged cleaned", _summary("predicted", "user_name"),
         _counts("judged") + ", " + _scored_tokens("cleaned", "upload_id", "review_clean")
         + f", predicted as (select c.*, {_NAME} as prediction from cleaned c join z on z.doc_id = c.upload_id)"),

@@ -423,24 +423,34 @@ def metrics_json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return readers.read_metrics_json(spark, path, CLEANING_SUMMARY)
 
 
-def _upload_files(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_path(spark, "incoming")
-    writers.export_csv(adapters.uploads(spark, folder), path)
-    return stream.upload_stream(spark, path)
+def _as_files(df: DataFrame) -> DataFrame:
+    """A stream over the rows, written as upload files."""
+    path = scratch_path(df.sparkSession, "incoming")
+    writers.export_csv(df, path)
+    return stream.upload_stream(df.sparkSession, path, df.schema)
 
 
 @registered
 def stream_upload_clean(spark: SparkSession, folder: str) -> DataFrame:
     out = scratch_path(spark, "cleaned")
-    stream.clean_uploads(_upload_files(spark, folder), out, f"{out}-checkpoint").awaitTermination()
+    stream.clean_uploads(_as_files(adapters.uploads(spark, folder)), out, f"{out}-checkpoint").awaitTermination()
     return (readers.read_partitioned(spark, out, ["user_name"])
             .select("upload_id", "user_name", "review", "review_clean", "short_review"))
 
 
+@registered
+def stream_turn_clean(spark: SparkSession, folder: str) -> DataFrame:
+    """Files with other columns than the usual upload."""
+    out = scratch_path(spark, "turns")
+    stream.clean_uploads(_as_files(adapters.turns(spark, folder)), out, f"{out}-checkpoint").awaitTermination()
+    return (readers.read_partitioned(spark, out, ["user_name"])
+            .select("conv_id", "turn", "user_name", "review", "review_clean", "short_review"))
+
+
 @registered
 def stream_upload_summary(spark: SparkSession, folder: str) -> DataFrame:
     out = scratch_path(spark, "served")
     trained = model.train_nb(adapters.labelled_documents(spark, folder))
-    stream.score_uploads(_upload_files(spark, folder), lambda batch: uploads.score_upload(batch, trained),
+    stream.score_uploads(_as_files(adapters.uploads(spark, folder)), lambda batch: uploads.score_upload(batch, trained),
                          out, f"{out}-checkpoint").awaitTermination()
     return _joined_lists(stream.read_summary(spark, out))

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, sentencepiece_bpe, url_rules
+from . import decontamination, language_id, sentencepiece_bpe, toxicity, url_rules
+from .common import is_held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,6 +42,24 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_tokens", _sha256("ids").alias("ids_sha256"), _sha256("decoded").alias("decoded_sha256"))
 
 
+@registered
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    held_out = is_held_out("doc_id", 4, 2)
+    model = language_id.fit(documents, ~held_out)
+    return language_id.predict(documents, model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@registered
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    held_out = is_held_out("doc_id", 4, 2)
+    model = toxicity.fit(documents, _table(spark, folder, "labels"), ~held_out)
+    return toxicity.score(documents, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @registered
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     matched = decontamination.match_items(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))

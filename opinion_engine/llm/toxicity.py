@@ -31,7 +31,7 @@ from .wordhash import slices
 
 SAMPLE_ROWS = 10_000  # per class
 LEXICON_ROWS = 5_000
-MIN_DOCUMENTS = 4
+MIN_DOCUMENTS = 5
 MIN_WEIGHT = 3.5  # log of how much likelier a term is in toxic documents
 STEM_LENGTHS = (4, 5, 6)
 STEM_WORDS = 3

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, sentencepiece_bpe, toxicity, url_rules
+from . import decontamination, language_id, sentencepiece_bpe, simhash, toxicity, url_rules
 from .common import is_held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,12 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_tokens", _sha256("ids").alias("ids_sha256"), _sha256("decoded").alias("decoded_sha256"))
 
 
+@registered
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, folder, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @registered
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")

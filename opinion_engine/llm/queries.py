@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, sentencepiece_bpe, simhash, toxicity, url_rules
+from . import decontamination, language_id, line_dedup, sentencepiece_bpe, simhash, toxicity, url_rules
 from .common import is_held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,28 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+@registered
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = line_dedup.dedup_lines(_table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE["op3_line_dedup"] = """
+with lines as (
+  select doc_id, unnest(range(1, len(l) + 1)) as n, unnest(l) as line, len(l) as n_lines
+  from (select doc_id, string_split(text, chr(10)) as l from documents where text is not null)),
+windows as (
+  select *, lead(line) over w as l2, lead(line, 2) over w as l3 from lines window w as (partition by doc_id order by n)),
+judged as (
+  select *, n + 2 <= n_lines and row_number() over (partition by line, l2, l3, n + 2 <= n_lines order by doc_id, n) > 1 as later
+  from windows),
+covered as (
+  select *, bool_or(later) over (partition by doc_id order by n rows between 2 preceding and current row) as gone from judged)
+select d.doc_id, coalesce(any_value(n_lines), 0) as n_lines, coalesce(count_if(gone), 0) as n_removed,
+  case when d.text is not null then sha256(coalesce(string_agg(line, chr(10) order by n) filter (not gone), '')) end as kept_sha256
+from documents d left join covered c on d.doc_id = c.doc_id group by d.doc_id, d.text"""
+
+
 @registered
 def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = sentencepiece_bpe.read_vocabulary(tokenizer_path())

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, line_dedup, sentencepiece_bpe, simhash, toxicity, url_rules
+from . import decontamination, language_id, line_dedup, sentencepiece_bpe, simhash, substring_dedup, toxicity, url_rules
 from .common import is_held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+@registered
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(_table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "n_removed", _sha256("kept").alias("kept_sha256"))
+
+
 @registered
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = line_dedup.dedup_lines(_table(spark, folder, "documents").select("doc_id", "text"))

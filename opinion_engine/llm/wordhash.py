@@ -125,14 +125,14 @@ def window_hashes(words: np.ndarray, at: np.ndarray, size: int, seed: int = 0) -
     return mix(total)
 
 
-def slices(batch: pa.RecordBatch, text: int, rows: int = 1024) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of at most ``rows`` rows with about ``BLOCK_BYTES`` bytes in the column ``text``."""
+def slices(batch: pa.RecordBatch, text: int, rows: int = 1024, size: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of at most ``rows`` rows with about ``size`` bytes in the column ``text``."""
     if not batch.num_rows:
         return
     _, offsets = text_bytes(batch.column(text))
     row = 0
     while row < batch.num_rows:
-        stop = int(np.searchsorted(offsets, offsets[row] + BLOCK_BYTES, side="right")) - 1
+        stop = int(np.searchsorted(offsets, offsets[row] + size, side="right")) - 1
         stop = min(max(stop, row + 1), row + rows, batch.num_rows)
         yield batch.slice(row, stop - row)
         row = stop

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, line_dedup, sentencepiece_bpe, simhash, substring_dedup, toxicity, url_rules
+from . import decontamination, language_id, line_dedup, ngram_lm, sentencepiece_bpe, simhash, substring_dedup, toxicity, url_rules
 from .common import is_held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,6 +103,16 @@ def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
         F.col("longest").cast("long").alias("longest"))
 
 
+@registered
+def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    held_out = is_held_out("doc_id", 10, 0)
+    model, counts = ngram_lm.fit(documents.filter(~held_out).select("text"))
+    return ngram_lm.score(documents, model, counts).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 #: Listed rules of the registered query.
 LISTED_RULES = (
     url_rules.ListedRule("allow", "org", "/"),

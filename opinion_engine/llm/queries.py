@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, line_dedup, ngram_lm, sentencepiece_bpe, simhash, substring_dedup, toxicity, url_rules
+from . import ann_search, decontamination, language_id, line_dedup, ngram_lm, sentencepiece_bpe, simhash, substring_dedup, toxicity, url_rules
 from .common import is_held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,11 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", _sha256("kept").alias("kept_sha256"))
 
 
+@registered
+def op2_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return ann_search.nearest_neighbours(_table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
+
+
 @registered
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = line_dedup.dedup_lines(_table(spark, folder, "documents").select("doc_id", "text"))

@@ -10,6 +10,12 @@
    a spanning forest of the pair of nodes, so a dense group sends on fewer edges than it has members.
 5. The edges are joined into components with the least id.
 
+``similar_groups`` asks for a similarity (Jaccard, of sets of shingles) instead. Its fingerprints have ``LONG_BITS``
+bits, whose differing share estimates the similarity. Several short pieces of the fingerprint, each a choice of
+its bits, have a trie of their own; the length of the pieces follows the size of the table, and their number is
+such that ``RECALL`` of the pairs at exactly the similarity asked for meet in one of the tries. A pair that meets
+links if the whole fingerprints differ in no more bits than the similarity allows.
+
 A task holds two parts of at most about ``PART`` fingerprints. A fingerprint is sent to at most
 1 + depth + depth * (depth - 1) / 2 node pairs for two bits, with depth growing as the logarithm of the table.
 
@@ -25,18 +31,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .common import type_of
 from .components import components
-from .wordhash import slices
+from .wordhash import mix, slices
 
 SHINGLE = 3
 MAX_BITS = 2
 SEED = 42
 PART = 4096
 FRONTIER = 1 << 20
+COMPARED = 1 << 17
+LONG_BITS = 512
+LONG_PART = 1 << 18
+RECALL = 0.95
 _LOWER = bytes(b + 0x20 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
@@ -100,25 +111,27 @@ def _unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
 
 
-def trie_links(left: np.ndarray, right: np.ndarray | None, max_bits: int, first_bit: int = 0) -> np.ndarray:
+def trie_links(left: np.ndarray, right: np.ndarray | None, max_bits: int, last_bit: int = 64,
+               whole: tuple[np.ndarray, int] | None = None) -> np.ndarray:
     """A spanning forest, as index pairs, of all links within ``max_bits`` between two sorted arrays.
 
     Indices of ``right`` follow those of ``left``; without ``right`` the array is joined with itself, whose
-    diagonal node pairs split into three. Traversal starts at ``first_bit`` with the bits above differing as they do.
+    diagonal node pairs split into three. Values agree from ``last_bit`` on. ``whole`` holds long fingerprints of
+    all values and the bits in which they may differ; then a pair must meet both conditions.
     """
     values = left if right is None else np.concatenate([left, right])
     parent = np.arange(len(values))
     n = len(left)
     start = [0, n, 0, n] if right is None else [0, n, n, len(values)]
-    todo = [(np.array([start], np.int64), first_bit)]
+    todo = [(np.array([start], np.int64), 0)]
     while todo:
         pairs, bit = todo.pop()
         while len(pairs):
             a0, a1, b0, b1 = pairs.T
             small = (a1 - a0) * (b1 - b0) <= 64
-            if bit == 64 or small.any():
-                _leaves(values, parent, pairs if bit == 64 else pairs[small], max_bits)
-            if bit == 64:
+            if bit == last_bit or small.any():
+                _leaves(values, parent, pairs if bit == last_bit else pairs[small], max_bits, whole)
+            if bit == last_bit:
                 break
             pairs = pairs[~small]
             if len(pairs) > FRONTIER:  # go deep with one half before the other, to bound the frontier
@@ -163,17 +176,31 @@ def _children(values: np.ndarray, pairs: np.ndarray, bit: int, max_bits: int) ->
     return out[differ <= max_bits]
 
 
-def _leaves(values: np.ndarray, parent: np.ndarray, pairs: np.ndarray, max_bits: int) -> None:
-    """Compare all members of small node pairs."""
-    sizes = (pairs[:, 1] - pairs[:, 0]) * (pairs[:, 3] - pairs[:, 2])
-    for k in np.split(np.arange(len(pairs)), np.flatnonzero(np.diff(np.cumsum(sizes) // FRONTIER)) + 1):
-        a0, _, b0, b1 = pairs[k].T
+def _leaves(values: np.ndarray, parent: np.ndarray, pairs: np.ndarray, max_bits: int,
+            whole: tuple[np.ndarray, int] | None) -> None:
+    """Compare the members of node pairs, a bounded number at a time."""
+    width = pairs[:, 3] - pairs[:, 2]
+    step = np.maximum(1, COMPARED // np.maximum(width, 1))
+    blocks = -(-(pairs[:, 1] - pairs[:, 0]) // step)  # of rows of the first node
+    pairs, step = np.repeat(pairs, blocks, 0), np.repeat(step, blocks)
+    number = np.arange(len(pairs)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    a0 = pairs[:, 0] + number * step
+    a1 = np.minimum(a0 + step, pairs[:, 1])
+    sizes = (a1 - a0) * (pairs[:, 3] - pairs[:, 2])
+    for k in np.split(np.arange(len(pairs)), np.flatnonzero(np.diff(np.cumsum(sizes) // COMPARED)) + 1):
+        b0, b1 = pairs[k, 2], pairs[k, 3]
         size = sizes[k]
         inner = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
         width = np.repeat(b1 - b0, size)
-        a, b = np.repeat(a0, size) + inner // width, np.repeat(b0, size) + inner % width
-        linked = np.bitwise_count(values[a] ^ values[b]) <= max_bits
-        _unite(parent, a[linked], b[linked])
+        a, b = np.repeat(a0[k], size) + inner // width, np.repeat(b0, size) + inner % width
+        near = np.bitwise_count(values[a] ^ values[b]) <= max_bits
+        a, b = a[near], b[near]
+        if whole is not None and len(a):
+            apart = _root(parent, a) != _root(parent, b)  # what is united already needs no comparison
+            a, b = a[apart], b[apart]
+            near = np.bitwise_count(whole[0][a] ^ whole[0][b]).sum(1, dtype=np.int64) <= whole[1]
+            a, b = a[near], b[near]
+        _unite(parent, a, b)
 
 
 def _masks(depth: int, max_bits: int) -> np.ndarray:
@@ -184,65 +211,156 @@ def _masks(depth: int, max_bits: int) -> np.ndarray:
     return np.array(sorted(found), np.uint64)
 
 
-def _link_pair(key: tuple, table: pa.Table, max_bits: int) -> pa.Table:
+def _link_pair(table: pa.Table, max_bits: int, bits: int, whole_bits: int | None) -> pa.Table:
     values = table.column("fp").to_numpy().view(np.uint64)
     ids = table.column("id").to_numpy()
-    side = table.column("side").to_numpy(zero_copy_only=False)
+    side = table.column("side").to_numpy()
     order = np.lexsort([values, side])
     values, ids, side = values[order], ids[order], side[order]
     n = int(np.searchsorted(side, 1))
-    right = values[n:] if n < len(values) else None
-    found = trie_links(values[:n], right, max_bits) if n else np.zeros((0, 2), np.int64)
+    whole = None
+    if whole_bits is not None:
+        long = np.frombuffer(b"".join(table.column("long").to_pylist()), np.uint64).reshape(len(values), -1)
+        whole = (long[order], whole_bits)
+    found = trie_links(values[:n], values[n:] if n < len(values) else None, max_bits, bits, whole) if n else (
+        np.zeros((0, 2), np.int64))
     return pa.table({"u": ids[found[:, 0]], "v": ids[found[:, 1]]})
 
 
-def links(distinct: DataFrame, max_bits: int = MAX_BITS, part: int = PART) -> DataFrame:
-    """Edges ``u``, ``v`` between the ids of distinct fingerprints (``fp``, ``id``) that link.
+def links(values: DataFrame, total: int, max_bits: int = MAX_BITS, part: int = PART, bits: int = 64,
+          whole_bits: int | None = None) -> DataFrame:
+    """Edges ``u``, ``v`` between ids that link, from rows ``trie``, ``fp``, ``id`` and ``long``.
 
-    They span the same components as all links do; of links that close a circle within a pair of nodes only
-    a spanning forest comes out.
+    ``total`` is the number of rows of one trie. The edges span the same components as all links do; of links
+    that close a circle within a pair of nodes only a spanning forest comes out.
     """
-    total = distinct.count()
-    depth = max(0, math.ceil(math.log2(max(total, 1) / part)))
-    masks = _masks(depth, max_bits)
-    node = F.shiftrightunsigned("fp", 64 - depth) if depth else F.lit(0).cast("long")
-    nodes = distinct.withColumn("node", node)
+    depth = min(bits, max(0, math.ceil(math.log2(max(total, 1) / part))))
+    shifts = [int(m) >> (64 - depth) if depth else 0 for m in _masks(depth, max_bits)]
+    prefix = F.shiftrightunsigned("fp", 64 - depth) if depth else F.lit(0).cast("long")
+    nodes = values.withColumn("node", prefix)
     # A node of the cut may hold more than its share: it is dealt out in parts.
-    parts = nodes.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / F.lit(part)).cast("int").alias("parts"))
-    dealt = nodes.join(parts, "node").withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
-    shifts = [int(m) >> (64 - depth) if depth else 0 for m in masks]
+    parts = nodes.groupBy("trie", "node").agg(F.ceil(F.count(F.lit(1)) / F.lit(part)).cast("int").alias("parts"))
+    dealt = nodes.join(parts, ["trie", "node"]).withColumn(
+        "part", F.pmod(F.xxhash64("fp", "id"), F.col("parts")).cast("int"))
     other = (dealt.withColumn("mask", F.explode(F.array(*[F.lit(m).cast("long") for m in shifts])))
              .withColumn("other", F.col("node").bitwiseXOR(F.col("mask"))))
     # Only pairs with a node that exists; the number of its parts says how many pairs of parts there are.
-    paired = other.join(parts.select(F.col("node").alias("other"), F.col("parts").alias("other_parts")), "other")
+    paired = other.join(parts.select("trie", F.col("node").alias("other"), F.col("parts").alias("other_parts")),
+                        ["trie", "other"])
     spread = paired.withColumn("other_part", F.explode(F.sequence(F.lit(0), F.col("other_parts") - 1)))
     mine, its = F.struct("node", "part"), F.struct(F.col("other").alias("node"), F.col("other_part").alias("part"))
     keyed = spread.select(
-        F.least(mine, its).alias("low"), F.greatest(mine, its).alias("high"),
-        (mine > its).cast("int").alias("side"), "fp", "id").select(
-        F.col("low.node").alias("n1"), F.col("low.part").alias("p1"),
-        F.col("high.node").alias("n2"), F.col("high.part").alias("p2"), "side", "fp", "id")
+        "trie", F.least(mine, its).alias("low"), F.greatest(mine, its).alias("high"),
+        (mine > its).cast("int").alias("side"), "fp", "id", "long").select(
+        "trie", F.col("low.node").alias("n1"), F.col("low.part").alias("p1"),
+        F.col("high.node").alias("n2"), F.col("high.part").alias("p2"), "side", "fp", "id", "long")
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        return _link_pair(key, table, max_bits)
+        return _link_pair(table, max_bits, bits, whole_bits)
 
-    return keyed.groupBy("n1", "p1", "n2", "p2").applyInArrow(run, "u long, v long")
+    return keyed.groupBy("trie", "n1", "p1", "n2", "p2").applyInArrow(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS,
-                    keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: ``doc_id``, ``fp`` and ``component_id``, the least id that links reach."""
-    prints = materialize(fingerprints(docs, size, tuple(dict.fromkeys(["doc_id", *keep]))), "fingerprints")
-    distinct = materialize(prints.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("id")),
-                           "distinct-fingerprints")
+def _grouped(prints: DataFrame, distinct: DataFrame, found: DataFrame) -> DataFrame:
+    """``prints`` with ``component_id``, from edges between the ids of distinct fingerprints."""
+    named = prints.filter("doc_id is not null")
     # An id with several fingerprints joins them.
-    shared = (prints.filter("doc_id is not null").join(distinct, "fp").filter(F.col("doc_id") != F.col("id"))
-              .select(F.col("doc_id").alias("u"), F.col("id").alias("v")))
-    repeated = prints.groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).filter("a != b")
-    shared = shared.join(repeated.select(F.col("doc_id").alias("u")), "u", "left_semi")
-    found = components(links(distinct, max_bits).unionByName(shared), "near-duplicate-edges")
-    group = distinct.join(found, distinct["id"] == found["u"], "left").select(
+    repeated = named.groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).filter("a != b")
+    shared = (named.join(repeated.select("doc_id"), "doc_id", "left_semi").join(distinct.select("fp", "id"), "fp")
+              .filter(F.col("doc_id") != F.col("id")).select(F.col("doc_id").alias("u"), F.col("id").alias("v")))
+    least = components(found.unionByName(shared), "near-duplicate-edges")
+    group = distinct.join(least, distinct["id"] == least["u"], "left").select(
         "fp", F.coalesce("v", "id").alias("component_id"))
-    rows = prints.join(group, "fp", "left")
-    return rows.select("doc_id", *[c for c in keep if c != "doc_id"], "fp",
-                       F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    return prints.join(group, "fp", "left").withColumn(
+        "component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
+
+
+def _distinct(prints: DataFrame) -> DataFrame:
+    return materialize(prints.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("id")),
+                       "distinct-fingerprints")
+
+
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """Per row: ``doc_id``, ``fp`` and ``component_id``, the least id that links of ``max_bits`` bits reach."""
+    prints = materialize(fingerprints(docs, size), "fingerprints")
+    distinct = _distinct(prints)
+    rows = distinct.select(F.lit(0).alias("trie"), "fp", "id", F.lit(None).cast("binary").alias("long"))
+    found = links(rows, distinct.count(), max_bits)
+    return _grouped(prints, distinct, found).select("doc_id", "fp", "component_id")
+
+
+# --- by similarity -------------------------------------------------------------------------
+
+
+def long_fingerprint(text: str | None, size: int, bits: int = LONG_BITS) -> bytes:
+    """Majority bits over the set of shingles, as little-endian 64-bit numbers."""
+    from xxhash import xxh64_intdigest
+
+    found = list(set(shingles((text or "").encode(), size)))
+    votes, step = np.zeros(bits, np.int64), 1 << 13
+    for k in range(0, len(found), step):
+        part = found[k:k + step]
+        hashes = np.fromiter((xxh64_intdigest(s, SEED) for s in part), np.uint64, len(part))
+        for w in range(bits // 64):
+            more = mix(hashes + np.uint64(w * 0x9E3779B97F4A7C15 % (1 << 64))) if w else hashes
+            votes[64 * w:64 * w + 64] += np.unpackbits(more.view(np.uint8).reshape(-1, 8), axis=1,
+                                                       bitorder="little").sum(0, dtype=np.int64)
+    return np.packbits(2 * votes > len(found), bitorder="little").tobytes()
+
+
+def allowed_share(similarity: float) -> float:
+    """The share of bits in which fingerprints of equally large sets of that similarity are expected to differ."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def piece_plan(total: int, similarity: float, max_bits: int = MAX_BITS) -> tuple[int, int]:
+    """Bits per piece and number of pieces for a table of ``total`` fingerprints."""
+    bits = min(64, max(16, math.ceil(math.log2(max(total, 2))) + 10))
+    p = allowed_share(similarity)
+    meet = sum(math.comb(bits, k) * p ** k * (1 - p) ** (bits - k) for k in range(max_bits + 1))
+    return bits, max(1, math.ceil(math.log(1 - RECALL) / math.log(1 - meet)))
+
+
+def _send_pieces(bits: int, pieces: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        random = np.random.default_rng(SEED)
+        chosen = [np.sort(random.choice(LONG_BITS, bits, replace=False)) for _ in range(pieces)]
+        for batch in batches:
+            raw = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            flags = np.unpackbits(raw, axis=1, bitorder="little")
+            for trie, places in enumerate(chosen):
+                wide = np.zeros((batch.num_rows, 64), np.uint8)
+                wide[:, :bits] = flags[:, places]
+                fp = np.packbits(wide, axis=1).view(">u8").astype(np.uint64)[:, 0]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(batch.num_rows, trie, np.int32)), pa.array(fp.view(np.int64)),
+                     batch.column(1), batch.column(0)], ["trie", "fp", "id", "long"])
+
+    return run
+
+
+def similar_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
+    """Per row: ``doc_id``, ``fp`` (a long fingerprint) and ``component_id``, the least id that links reach."""
+    kind = type_of(docs, "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                prints = [long_fingerprint(t, size) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(prints, pa.binary())], ["doc_id", "fp"])
+
+    prints = materialize(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp binary"), "fingerprints")
+    distinct = _distinct(prints)
+    total = distinct.count()
+    bits, pieces = piece_plan(total, similarity)
+    rows = distinct.select("fp", "id").mapInArrow(_send_pieces(bits, pieces), "trie int, fp long, id long, long binary")
+    found = links(rows, total, MAX_BITS, LONG_PART, bits, math.floor(LONG_BITS * allowed_share(similarity)))
+    return _grouped(prints, distinct, found).select("doc_id", "fp", "component_id")
+
+
+def one_per_group(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` with the least id of each group; of rows that share an id, one. Rows without an id stay."""
+    stay = similar_groups(docs, size, similarity).filter("component_id = doc_id").select("doc_id").distinct()
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    named = docs.join(stay, "doc_id", "left_semi").withColumn("_row", F.row_number().over(order))
+    return named.filter("_row = 1").select(docs.columns).unionByName(docs.filter("doc_id is null"))

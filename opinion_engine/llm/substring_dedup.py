@@ -74,8 +74,21 @@ def _unpack(table: pa.Table, known: bool) -> tuple[np.ndarray, np.ndarray, np.nd
     return tuple(np.concatenate(o) for o in out)
 
 
-def _by_document(hashes: np.ndarray, ids: np.ndarray, places: np.ndarray) -> pa.Table:
+def _dealt(ids: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of what is sent to a document."""
+    return (mix(ids.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _to_documents(hashes: np.ndarray, ids: np.ndarray, places: np.ndarray, buckets: int) -> pa.Table:
+    """Packed rows for the documents, one per bucket of documents."""
+    documents, owner = np.unique(ids, return_inverse=True)
+    rows = list(_pack(hashes, owner, places, documents, _dealt(documents, buckets)[owner], False))
+    return pa.Table.from_batches([_batch(rows)])
+
+
+def _by_document(key: tuple, table: pa.Table) -> pa.Table:
     """One row per document with its packed hashes and places."""
+    hashes, ids, places = _unpack(table, False)
     order = np.argsort(ids, kind="stable")
     hashes, ids, places = hashes[order], ids[order], places[order].astype("<u4")
     first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else np.zeros(0, np.int64)
@@ -132,7 +145,7 @@ def _send_anchors(buckets: int):
             one[1:] = ~(same[1:] & (owner[1:] == owner[:-1]))
             known = repeated & one
             none = np.zeros(len(hashes), np.uint32)
-            dealt = (mix(ids.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+            dealt = _dealt(ids, buckets)
             # A hash is sent to its bucket once; place 1 says that the sender knows it as repeated.
             sent = ~same
             rows = list(_pack(hashes[sent], owner[sent], repeated[sent].astype(np.uint32), ids,
@@ -143,7 +156,7 @@ def _send_anchors(buckets: int):
     return run
 
 
-def _return_anchors(key: tuple, table: pa.Table) -> pa.Table:
+def _return_anchors(table: pa.Table, buckets: int) -> pa.Table:
     """The documents' hashes that occur more than once."""
     hashes, ids, sure = _unpack(table, False)
     order = np.argsort(hashes, kind="stable")
@@ -154,11 +167,7 @@ def _return_anchors(key: tuple, table: pa.Table) -> pa.Table:
     ask = same & (sure == 0)  # the sender has told its own documents of the others
     more = _unpack(table, True)
     hashes, ids = np.concatenate([hashes[ask], more[0]]), np.concatenate([ids[ask], more[1]])
-    return _by_document(hashes, ids, np.zeros(len(ids), np.uint32))
-
-
-def _concat(parts: list[bytes] | None, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(parts or []), kind)
+    return _to_documents(hashes, ids, np.zeros(len(ids), np.uint32), buckets)
 
 
 def _windows(words: np.ndarray, row: np.ndarray, place: np.ndarray, size: np.ndarray,
@@ -189,7 +198,7 @@ def _send_windows(buckets: int):
         for batch in _packed_together(batches):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             words, row, place, size = _documents(batch.column(1))
-            marks = [_concat(m, np.uint64) for m in batch.column(2).to_pylist()]
+            marks = [np.frombuffer(m, np.uint64) for m in batch.column(2).to_pylist()]
             starts, hashes = _windows(words, row, place, size, marks)
             owner, begin = row[starts], place[starts]
             order = np.lexsort([begin, ids[owner], hashes])
@@ -200,7 +209,7 @@ def _send_windows(buckets: int):
             # later than the first one of this batch, by id and start
             first = np.flatnonzero(head)[np.cumsum(head) - 1] if len(head) else np.zeros(0, np.int64)
             later = (place_id != place_id[first]) | (begin != begin[first])
-            dealt = (mix(ids.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+            dealt = _dealt(ids, buckets)
             rows = list(_pack(hashes[head], owner[head], begin[head], ids,
                               (hashes[head] % np.uint64(buckets)).astype(np.int64), False))
             rows += _pack(hashes[later], owner[later], begin[later], ids, dealt[owner[later]], True)
@@ -209,7 +218,7 @@ def _send_windows(buckets: int):
     return run
 
 
-def _return_windows(key: tuple, table: pa.Table) -> pa.Table:
+def _return_windows(table: pa.Table, buckets: int) -> pa.Table:
     """The documents' windows that are not the first of their hash."""
     hashes, ids, places = _unpack(table, False)
     order = np.lexsort([places, ids, hashes])
@@ -219,7 +228,7 @@ def _return_windows(key: tuple, table: pa.Table) -> pa.Table:
     first = np.flatnonzero(head)[np.cumsum(head) - 1] if len(head) else np.zeros(0, np.int64)
     later = (ids != ids[first]) | (places != places[first])
     more = _unpack(table, True)
-    return _by_document(*[np.concatenate([a[later], b]) for a, b in zip((hashes, ids, places), more)])
+    return _to_documents(*[np.concatenate([a[later], b]) for a, b in zip((hashes, ids, places), more)], buckets)
 
 
 def _covered(n: int, starts: np.ndarray) -> np.ndarray:
@@ -247,9 +256,9 @@ def _cut(kept: list[int], text: int):
                         left = []
                     elif i in row_of:
                         mine = own.get(row_of[i], np.zeros(0, np.uint64))
-                        start = _concat(places[i], "<u4").astype(np.int64)
+                        start = np.frombuffer(places[i], "<u4").astype(np.int64)
                         fits = start < len(mine)
-                        start, want = start[fits], _concat(hashes[i], np.uint64)[fits]
+                        start, want = start[fits], np.frombuffer(hashes[i], np.uint64)[fits]
                         gone = _covered(n, start[mine[start] == want])
                         left = [w for w, g in zip(words, gone.tolist()) if not g]
                     else:
@@ -276,19 +285,24 @@ def _own_windows(texts: pa.Array) -> dict[int, np.ndarray]:
 
 
 def dedup_substrings(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns ``keep``, and ``n_words``, ``n_removed`` and ``kept`` (the words left, joined by single spaces)."""
+    """Columns ``keep``, and ``n_words``, ``n_removed`` and ``kept`` (the words left, joined by single spaces).
+
+    These names win over kept columns.
+    """
     carried = list(dict.fromkeys([*keep, "text"]))
     inner = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)).alias("key"),
-                        *[F.col(c).alias(f"in_{i}") for i, c in enumerate(carried)])
+                        *[F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(carried)])
     text = f"in_{carried.index('text')}"
     size = inner.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(16, -(-size // BUCKET_BYTES))
-    packed = "key long, hashes binary, places binary"
 
-    def returned(sent: DataFrame, run) -> DataFrame:
-        by_bucket = sent.groupBy("bucket").applyInArrow(run, packed)
-        return by_bucket.groupBy("key").agg(F.collect_list("hashes").alias("hashes"),
-                                            F.collect_list("places").alias("places"))
+    def returned(sent: DataFrame, answer) -> DataFrame:
+        """What buckets return to documents, gathered per document."""
+        def run(key: tuple, table: pa.Table) -> pa.Table:
+            return answer(table, buckets)
+
+        return sent.groupBy("bucket").applyInArrow(run, _PACKED).groupBy("bucket").applyInArrow(
+            _by_document, "key long, hashes binary, places binary")
 
     digest = [F.xxhash64(F.lit(s), text) for s in ("a", "b")]
     originals = inner.filter(F.col(text).isNotNull()).groupBy(digest[0].alias("d1"), digest[1].alias("d2")).agg(
@@ -311,8 +325,9 @@ def dedup_substrings(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> Da
     later = windows.select("key", F.col("hashes").alias("later"), "places")
     ready = marked.drop("hashes", "copied").join(later.hint("shuffle_hash"), "key", "left").select(
         *columns, "later", "places", "copy")
-    kept = [i for i, c in enumerate(carried) if c in keep]
+    results = ("n_words", "n_removed", "kept")
+    kept = [i for i, c in enumerate(carried) if c in keep and c not in results]
     schema = inner.select(*[f"in_{i}" for i in kept]).withColumns(
         {"n_words": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "kept": F.lit("")}).schema
     return ready.mapInArrow(_cut(kept, carried.index("text")), schema).select(
-        *[F.col(f"in_{i}").alias(carried[i]) for i in kept], "n_words", "n_removed", "kept")
+        *[F.col(f"in_{i}").alias(carried[i]) for i in kept], *results)

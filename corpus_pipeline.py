@@ -22,7 +22,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; texts without letters, or far from every language, go."""
     model = language_id.fit(docs, ~is_held_out("doc_id", 4, 2))
-    return language_id.predict(docs, model, tuple(docs.columns)).filter(~F.col("rejected")).select(docs.columns)
+    return language_id.recognised(docs, model)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -167,15 +167,9 @@ def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, bytes]]]:
         yield sorted((r["item_id"], r["text"].encode()) for r in rows)
 
 
-def match_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Per document the columns ``keep``, and ``n_words``, ``n_hit``, ``items``, ``longest`` and ``spans``.
-
-    ``items`` are the sorted ids of the items found, ``longest`` is the longest match in words, and ``spans``
-    holds the runs of hit words, by number within the document.
-    """
-    carried = list(dict.fromkeys([*keep, "text"]))
-    out = docs.select(*[F.col(c).alias(f"in_{i}") for i, c in enumerate(carried)]).withColumns({
+def _matched(docs: DataFrame, benchmark: DataFrame, window: int, carried: list[str]) -> DataFrame:
+    """The columns ``carried`` as ``in_0``.. and the results, so that no names can clash."""
+    out = docs.select(*[F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(carried)]).withColumns({
         "n_words": F.lit(0).cast("long"), "items": F.array().cast("array<string>"), "longest": F.lit(0),
         "spans": F.array().cast("array<struct<first:int,last:int>>")})
     schema = out.schema
@@ -183,9 +177,21 @@ def match_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         out = materialize(out, "items-matched") if block else out
         sent = docs.sparkSession.sparkContext.broadcast(items)
         out = out.mapInArrow(_matcher(sent, (uuid.uuid4().hex, window), carried.index("text")), schema)
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
-    return out.select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(carried) if c in keep],
-                      "n_words", n_hit.alias("n_hit"), "items", "longest", "spans")
+    return out.withColumn("n_hit", F.aggregate(
+        "spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1))
+
+
+def match_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+                keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Per document the columns ``keep``, and ``n_words``, ``n_hit``, ``items``, ``longest`` and ``spans``.
+
+    ``items`` are the sorted ids of the items found, ``longest`` is the longest match in words, and ``spans``
+    holds the runs of hit words, by number within the document. These names win over kept columns.
+    """
+    carried = list(dict.fromkeys([*keep, "text"]))
+    results = ["n_words", "n_hit", "items", "longest", "spans"]
+    return _matched(docs, benchmark, window, carried).select(
+        *[F.col(f"in_{i}").alias(c) for i, c in enumerate(carried) if c in keep and c not in results], *results)
 
 
 def _matcher(sent, key: tuple, text: int):
@@ -219,11 +225,12 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     Returns the columns of ``docs``. A document without a hit comes out as it was; of others, each hit span is
     cut from its first word's first character to its last word's last one.
     """
-    columns = docs.columns
-    matched = match_items(docs, benchmark, window, tuple(columns))
+    columns = [f"in_{i}" for i in range(len(docs.columns))]
+    matched = _matched(docs, benchmark, window, docs.columns)
     kept = matched.filter(F.col("n_hit") < F.greatest(F.lit(coverage) * F.col("n_words"), F.lit(1e-9)))
     inner = kept.select(*columns, "spans")
-    return inner.mapInArrow(_cutter(columns.index("text")), docs.schema)
+    cut = inner.mapInArrow(_cutter(docs.columns.index("text")), inner.drop("spans").schema)
+    return cut.select(*[F.col(c).alias(name) for c, name in zip(columns, docs.columns)])
 
 
 def _cutter(text: int):

@@ -175,10 +175,9 @@ def fit(docs: DataFrame, learn: F.Column, sample_rows: int = SAMPLE_ROWS) -> Mod
                  np.array([r["nearest"] for r in learned]), idf)
 
 
-def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns ``keep``, and ``lang_pred``, ``score`` (cosine, 0 to 1) and ``rejected``."""
-    carried = list(dict.fromkeys([*keep, "text"]))
-    inner = docs.select(*[F.col(c).alias(f"in_{i}") for i, c in enumerate(carried)])
+def _predicted(docs: DataFrame, model: Model, carried: list[str]) -> DataFrame:
+    """The columns ``carried`` as ``in_0``.. and the results, so that no names can clash."""
+    inner = docs.select(*[F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(carried)])
     schema = inner.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "rejected": F.lit(True)}).schema
     # A model has a few hundred kilobytes per language, whatever the number of documents.
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -192,5 +191,18 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
                     [*part.columns, pa.array(languages, pa.string()), pa.array(scores, pa.float64()),
                      pa.array(rejected, pa.bool_())], names=schema.names)
 
-    return inner.mapInArrow(run, schema).select(
-        *[F.col(f"in_{i}").alias(c) for i, c in enumerate(carried) if c in keep], "lang_pred", "score", "rejected")
+    return inner.mapInArrow(run, schema)
+
+
+def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Columns ``keep``, and ``lang_pred``, ``score`` (cosine, 0 to 1) and ``rejected``, which win over kept ones."""
+    carried = list(dict.fromkeys([*keep, "text"]))
+    results = ["lang_pred", "score", "rejected"]
+    return _predicted(docs, model, carried).select(
+        *[F.col(f"in_{i}").alias(c) for i, c in enumerate(carried) if c in keep and c not in results], *results)
+
+
+def recognised(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, unchanged."""
+    return _predicted(docs, model, docs.columns).filter(~F.col("rejected")).select(
+        *[F.col(f"in_{i}").alias(c) for i, c in enumerate(docs.columns)])

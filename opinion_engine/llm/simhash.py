@@ -20,8 +20,8 @@ A task holds two parts of at most about ``PART`` fingerprints. A fingerprint is
 1 + depth + depth * (depth - 1) / 2 node pairs for two bits, with depth growing as the logarithm of the table.
 
 Edge values: null and empty texts and texts without words have fingerprint zero and link to each other like any
-others. Rows without an id link nothing and have no component. Rows with equal ids are one node if they share
-an id; each row comes out with its own fingerprint. Other columns pass only if ``keep`` names them.
+others. Rows without an id link nothing and have no component. Rows that share an id are
+one node; each row comes out with its own fingerprint. Other columns are dropped.
 """
 
 from __future__ import annotations
@@ -72,23 +72,17 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     return int(np.packbits(2 * votes > len(found), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, size: int = SHINGLE, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns ``keep`` and ``fp``, the fingerprint as a signed 64-bit number."""
-    carried = list(dict.fromkeys([*keep, "text"]))
-    inner = docs.select(*[F.col(c).alias(f"in_{i}") for i, c in enumerate(carried)])
-    text = carried.index("text")
-    kept = [i for i, c in enumerate(carried) if c in keep]
-    out = inner.select(*[f"in_{i}" for i in kept]).withColumn("fp", F.lit(0).cast("long"))
+def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """``doc_id`` and ``fp``, the fingerprint as a signed 64-bit number."""
+    kind = type_of(docs, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
-                prints = np.array([fingerprint(t, size) for t in part.column(text).to_pylist()], np.uint64)
-                yield pa.RecordBatch.from_arrays(
-                    [*[part.column(i) for i in kept], pa.array(prints.view(np.int64))], names=names)
+            for part in slices(batch, 1):
+                prints = np.array([fingerprint(t, size) for t in part.column(1).to_pylist()], np.uint64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
 
-    names = out.columns
-    return inner.mapInArrow(run, out.schema).select(*[F.col(f"in_{i}").alias(carried[i]) for i in kept], "fp")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long")
 
 
 # --- the trie ------------------------------------------------------------------------------
@@ -361,6 +355,10 @@ def similar_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> D
 def one_per_group(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` with the least id of each group; of rows that share an id, one. Rows without an id stay."""
     stay = similar_groups(docs, size, similarity).filter("component_id = doc_id").select("doc_id").distinct()
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    named = docs.join(stay, "doc_id", "left_semi").withColumn("_row", F.row_number().over(order))
-    return named.filter("_row = 1").select(docs.columns).unionByName(docs.filter("doc_id is null"))
+    id_name, text = (f"in_{docs.columns.index(c)}" for c in ("doc_id", "text"))
+    inner = docs.select(*[F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(docs.columns)])
+    order = Window.partitionBy(id_name).orderBy(F.xxhash64(text))
+    named = inner.join(stay.withColumnRenamed("doc_id", id_name), id_name, "left_semi").withColumn(
+        "row", F.row_number().over(order)).filter("row = 1").drop("row")
+    kept = named.unionByName(inner.filter(F.col(id_name).isNull()))
+    return kept.select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(docs.columns)])

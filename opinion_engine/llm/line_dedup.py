@@ -23,13 +23,9 @@ SIZE = 3
 _LAST_ID = (1 << 63) - 1
 
 
-def _hashes(lines: Column, size: int, seed: str) -> Column:
-    """Window hashes in order; the array is empty if there are fewer lines than a window has."""
-    each = F.transform(lines, lambda line: F.xxhash64(F.lit(seed), line))
-    count = F.size(lines) - F.lit(size - 1)
-    return F.when(count > 0, F.transform(
-        F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1),
-        lambda i: F.xxhash64(*[F.get(each, i + k) for k in range(size)]))).otherwise(F.array().cast("array<bigint>"))
+def _line_hashes(lines: Column) -> Column:
+    """Two hashes of each line."""
+    return F.transform(lines, lambda line: F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit("b"), line).alias("b")))
 
 
 def _uncovered(lines: Column, starts: Column, size: int) -> Column:
@@ -42,36 +38,62 @@ def _uncovered(lines: Column, starts: Column, size: int) -> Column:
     return F.flatten(gaps)
 
 
+def _windows(keyed: DataFrame, size: int) -> DataFrame:
+    """``key``, ``pos`` and the two hashes ``a``, ``b`` of every window of the ``text``."""
+    hashes = keyed.select("key", _line_hashes(F.split("text", "\n", -1)).alias("h"))
+    shifted = F.arrays_zip(*[F.slice("h", k + 1, F.size("h")).alias(f"l{k}") for k in range(size)])
+    rows = hashes.filter(F.size("h") >= size).select("key", F.posexplode(shifted).alias("pos", "w"))
+    line = [F.col(f"w.l{k}") for k in range(size)]
+    return rows.filter(line[-1].isNotNull()).select(
+        "key", "pos", *[F.xxhash64(*[c.getField(n) for c in line]).alias(n) for n in ("a", "b")])
+
+
 def dedup_lines(docs: DataFrame, size: int = SIZE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` with covered lines removed from the text, and ``n_lines`` and ``n_removed``.
 
     A column of ``docs`` named like one of these two is replaced.
     """
     names = docs.columns
+    text_name = f"in_{names.index(text_column)}"
     inner = docs.select(*[F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(names)])
-    text = F.col(f"in_{names.index(text_column)}")
     key = F.coalesce(F.col(f"in_{names.index(id_column)}").cast("long"), F.lit(_LAST_ID))
-    lines = F.split(text, "\n", -1)
+    text = F.col(text_name)
 
-    windows = (inner.filter(text.isNotNull()).select(
-        key.alias("key"), _hashes(lines, size, "a").alias("a"), _hashes(lines, size, "b").alias("b"))
-        .select("key", F.posexplode(F.arrays_zip("a", "b"))).select("key", "pos", "col.a", "col.b"))
-    first = (windows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "pos")).alias("first"))
+    windows = _windows(inner.select(key.alias("key"), text.alias("text")).filter(text.isNotNull()), size)
+    # (id, line) as one number, so that the aggregate needs no sort
+    place = F.col("key").cast("decimal(19,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)")
+    placed = windows.withColumn("place", place)
+    first = (placed.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"))
              .filter(F.col("n") > 1).drop("n"))
-    later = (windows.join(first, ["a", "b"]).filter(F.struct("key", "pos") > F.col("first"))
+    later = (placed.join(first, ["a", "b"]).filter(F.col("place") > F.col("first"))
              .groupBy("key").agg(F.array_sort(F.collect_list(F.struct("pos", "a"))).alias("later")))
 
     joined = inner.withColumn("key", key).join(later.hint("shuffle_hash"), "key", "left")
+    # The one-row generator holds the split text, which is then not split again for each element below.
+    held = joined.withColumn("held", F.explode(F.array(F.struct(
+        F.when(F.col("later").isNotNull(), F.split(text, "\n", -1)).alias("lines"), "later"))))
+    lines = F.col("held.lines")
+
+    def window_hash(pos: Column) -> Column:
+        return F.xxhash64(*[F.xxhash64(F.get(lines, pos + k)) for k in range(size)])
+
     # Of rows that share an id, each keeps only the starts that its own windows have.
-    own = _hashes(lines, size, "a")
-    starts = F.transform(F.filter("later", lambda w: F.get(F.col("own"), w["pos"]) == w["a"]), lambda w: w["pos"])
-    found = joined.withColumn("lines", lines).withColumn(
-        "own", F.when(F.col("later").isNotNull() & text.isNotNull(), own)).withColumn(
-        "starts", F.coalesce(starts, F.array().cast("array<int>")))
-    kept = found.withColumn("kept", F.when(F.size("starts") > 0, _uncovered(F.col("lines"), F.col("starts"), size))
-                            .otherwise(F.col("lines")))
-    out = [(F.when(text.isNull(), F.lit(None)).otherwise(F.array_join("kept", "\n")) if c == text_column
-            else F.col(f"in_{i}")).alias(c) for i, c in enumerate(names) if c not in ("n_lines", "n_removed")]
-    count = F.when(text.isNull(), F.lit(0)).otherwise(F.size("lines"))
-    left = F.when(text.isNull(), F.lit(0)).otherwise(F.size("kept"))
-    return kept.select(*out, count.cast("long").alias("n_lines"), (count - left).cast("long").alias("n_removed"))
+    mine = F.transform(F.filter(F.col("held.later"), lambda w: (
+        w["pos"] + size <= F.size(lines)) & (window_hash(w["pos"]) == w["a"])), lambda w: w["pos"])
+    started = held.withColumn("starts", F.explode(F.array(mine)))
+    kept = F.when(F.size("starts") > 0, F.array_join(_uncovered(lines, F.col("starts"), size), "\n"))
+    cut = started.withColumn("kept", F.explode(F.array(kept)))
+    breaks = lambda t: F.octet_length(t) - F.octet_length(F.replace(t, F.lit("\n"), F.lit("")))
+    count = F.when(text.isNull(), F.lit(0)).otherwise(breaks(text) + 1)
+    removed = F.when(F.col("kept").isNull(), F.lit(0)).otherwise(_n_covered(F.col("starts"), size))
+    out = [(F.coalesce("kept", text) if c == text_column else F.col(f"in_{i}")).alias(c)
+           for i, c in enumerate(names) if c not in ("n_lines", "n_removed")]
+    return cut.select(*out, count.cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"))
+
+
+def _n_covered(starts: Column, size: int) -> Column:
+    """How many lines the windows at ascending starts cover."""
+    n = F.size(starts)
+    steps = F.transform(F.arrays_zip(starts.alias("s"), F.slice(starts, 2, n).alias("t")),
+                        lambda w: F.least(F.coalesce(w["t"] - w["s"], F.lit(size)), F.lit(size)))
+    return F.aggregate(steps, F.lit(0), lambda total, step: total + step)

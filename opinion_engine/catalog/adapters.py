@@ -1,7 +1,8 @@
 """Review-shaped views of the given tables.
 
 The expressions are plain SQL that Spark and DuckDB read alike. ``review_id`` and
-``upload_id`` are the document's id; every row of the table is used.
+``upload_id`` are the document's id; every row of the table is used with its whole text. A few
+edge rows with negative ids are added to reviews and uploads.
 """
 
 from __future__ import annotations
@@ -12,25 +13,27 @@ RATING_TEXT = """case doc_id % 13 when 0 then null when 1 then 'abc' when 2 then
     when 4 then '7' when 5 then '3.7' when 6 then '3' when 7 then '1' when 8 then '2'
     when 9 then 'NaN' else cast(doc_id % 5 + 1 as string) end"""
 
-BODY = """case when doc_id % 17 = 0 then '' when doc_id % 19 = 0 then null when doc_id % 31 = 0 then '   '
-    else text end"""
-
-HEADLINE = "case when doc_id % 29 = 0 then null else split_part(text, chr(10), 1) end"
+HEADLINE = "split_part(text, chr(10), 1)"
 
 USER_NAME = "'user' || cast(doc_id % 7 as string)"
 
-UPLOAD_TEXT = """case doc_id % 23 when 0 then '12345 678' when 1 then '   ' when 2 then null
-    when 3 then substr(text, 1, 20) when 4 then '  ' || text || ' ' else text end"""
-
 REVIEWS = {
     "review_id": "doc_id",
     "product_category": "source",
     "star_rating": RATING_TEXT,
-    "review_body": BODY,
+    "review_body": "text",
     "review_headline": HEADLINE,
 }
 
-UPLOADS = {"upload_id": "doc_id", "user_name": USER_NAME, "review": UPLOAD_TEXT}
+UPLOADS = {"upload_id": "doc_id", "user_name": USER_NAME, "review": "text"}
+
+# Rows that the given texts lack: (id, category, rating, body, headline) and (id, user, text).
+REVIEW_EDGES = """(-1, 'edge', '5', '', 'empty'), (-2, 'edge', '1', null, 'missing'), (-3, 'edge', '4', '   ', 'blank'),
+    (-4, 'edge', '2', 'no headline', null), (-5, null, '5', 'A  Copy', 'one'), (-6, 'edge', '1', ' a copy ', 'two'),
+    (-7, 'edge', null, null, null), (-8, 'edge', '5', 'Größe und Überblick', 'other letters')"""
+UPLOAD_EDGES = """(-1, 'user0', '12345 678'), (-2, 'user1', '   '), (-3, 'user2', null), (-4, 'user3', '  Short and  GOOD '),
+    (-5, null, 'Nobody left this review, which is long enough'), (-6, null, 'bad'), (-7, 'user4', ''),
+    (-8, 'user5', 'Привет, schön gut für alle')"""
 
 TURNS = {"conv_id": "conv_id", "turn": "turn", "user_name": "role", "review": "text"}
 
@@ -61,12 +64,27 @@ def _view(columns: dict[str, str], df: DataFrame) -> DataFrame:
     return df.selectExpr(*[f"{sql} as {name}" for name, sql in columns.items()])
 
 
+def _edges(columns: dict[str, str], rows: str) -> str:
+    """SQL of literal rows under the view's names."""
+    names = list(columns)
+    typed = ", ".join([f"cast({names[0]} as bigint) as {names[0]}", *[f"cast({c} as string) as {c}" for c in names[1:]]])
+    return f"select {typed} from (values {rows}) as e({', '.join(names)})"
+
+
+def reviews_sql() -> str:
+    return f"{select_sql(REVIEWS, 'documents')} union all {_edges(REVIEWS, REVIEW_EDGES)}"
+
+
+def uploads_sql() -> str:
+    return f"{select_sql(UPLOADS, 'documents')} union all {_edges(UPLOADS, UPLOAD_EDGES)}"
+
+
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
-    return _view(REVIEWS, table(spark, folder, "documents"))
+    return _view(REVIEWS, table(spark, folder, "documents")).unionByName(spark.sql(_edges(REVIEWS, REVIEW_EDGES)))
 
 
 def uploads(spark: SparkSession, folder: str) -> DataFrame:
-    return _view(UPLOADS, table(spark, folder, "documents"))
+    return _view(UPLOADS, table(spark, folder, "documents")).unionByName(spark.sql(_edges(UPLOADS, UPLOAD_EDGES)))
 
 
 def turns(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,10 +8,11 @@ from .registered import SAMPLE_ROWS
 # Fixed values, written out here a second time so that a slip in the operators shows.
 CAP = 25_000
 GRID = (0.1, 0.5, 1.0, 2.0)
+NON_LETTERS = r"[^\p{L}]+"
 
 _VIEWS = {
-    "reviews": adapters.select_sql(adapters.REVIEWS, "documents"),
-    "uploads": adapters.select_sql(adapters.UPLOADS, "documents"),
+    "reviews": adapters.reviews_sql(),
+    "uploads": adapters.uploads_sql(),
     "scored": adapters.select_sql(adapters.SCORED, "labels"),
     "rated": """
         select * exclude (f) replace (case when f is null then null when f < 1 then 1 when f > 5 then 5
@@ -56,20 +57,20 @@ _VIEWS = {
     "turns": adapters.select_sql(adapters.TURNS, "conversations"),
     "turns_trimmed": "select * replace (trim(review, ' ') as review), lower(trim(review, ' ')) as review_clean from turns",
     "served": """
-        select c.*, case s.prediction when 1 then 'positive' else 'negative' end as prediction
-        from cleaned c join scored s on s.doc_id = c.upload_id""",
+        select c.*, case s.prediction when 1 then 'positive' when 0 then 'negative' else 'unknown' end as prediction
+        from cleaned c left join scored s on s.doc_id = c.upload_id""",
     "parted": """
         select *, part < 80 as training_part, row_number() over (partition by part < 80, label
             order by md5('42:' || cast(doc_id as varchar)), doc_id) as rn
         from (select doc_id, text, quality as label,
-            cast('0x' || substr(md5('42:' || cast(doc_id as varchar)), 1, 8) as bigint) % 100 as part
+            cast('0x' || substr(md5('42:' || sha256(text)), 1, 8) as bigint) % 100 as part
             from documents join labels using (doc_id))""",
     "class_size": f"""
         select least(count(*) filter (where label = 1), count(*) filter (where label = 0), {CAP}) as per_class
         from parted where training_part""",
     "judged": """
         select *, training_part and rn <= (select per_class from class_size) as training,
-            not training_part as held_out
+            part between 80 and 89 as chosen_on, part >= 90 as judged_on, not training_part as held_out
         from parted""",
 }
 
@@ -92,7 +93,7 @@ def _sql(views: str, body: str, extra: str = "") -> str:
 
 def _tokens(name: str, source: str, row_id: str, text: str, keep: str = "") -> str:
     return f"""{name} as (select * from (select distinct {row_id} as doc_id, {keep}
-        unnest(string_split_regex(lower({text}), '[^a-z]+')) as token from {source}) where token <> '')"""
+        unnest(string_split_regex(lower({text}), '{NON_LETTERS}')) as token from {source}) where token <> '')"""
 
 
 def _counts(source: str, where: str = "true") -> str:
@@ -114,7 +115,8 @@ def _scored_tokens(source: str, row_id: str, text: str, name: str = "z", a: floa
     """A view of summed weights per row, zero for rows without known tokens."""
     return f"""
         {_tokens(f"{name}_tokens", source, row_id, text)},
-        {name} as (select {row_id} as doc_id, round(coalesce(sum(w), 0), 9) as logit
+        {name} as (select {row_id} as doc_id, round(coalesce(sum(w), 0)
+                + (select ln((n1 + {a}::double) / (n0 + {a}::double)) from sizes), 9) as logit
             from {source} d left join (
                 select t.doc_id as id, {_weight(a)} as w from {name}_tokens t join counts using (token), sizes
             ) on id = {row_id}
@@ -173,7 +175,7 @@ _CANDIDATES = _sql(
         select smoothing, """ + _outcomes("cast(logit > 0 as int)") + """
         from cand join judged using (doc_id) group by smoothing)""",
     _counts("judged", "training") + ", "
-    + ", ".join(_scored_tokens("(select * from judged where held_out)", "doc_id", "text", f"z{i}", a)
+    + ", ".join(_scored_tokens("(select * from judged where chosen_on)", "doc_id", "text", f"z{i}", a)
                 for i, a in enumerate(GRID))
     + ", cand as (" + " union all ".join(
         f"select {a}::double as smoothing, doc_id, logit from z{i}" for i, a in enumerate(GRID)) + ")")
@@ -271,7 +273,7 @@ ORACLE: dict[str, str] = {
     "first_k_per_class": _sql("served", """
         select prediction, upload_id, review_clean, cast(rn as int) as rank from (
             select *, row_number() over (partition by prediction order by upload_id) as rn from served)
-        where rn <= 5"""),
+        where rn <= 5 and prediction <> 'unknown'"""),
     "top_confident": _sql("scored", """
         select prediction, cast(rn as int) as rank, doc_id, round(confidence, 6) as confidence from (
             select *, row_number() over (partition by prediction order by confidence desc, doc_id) as rn from (
@@ -326,11 +328,8 @@ ORACLE: dict[str, str] = {
                 where logit <= 0 order by 1 - p desc, doc_id limit 5)) as top_predicted_negative
         from (select {_outcomes("cast(logit > 0 as int)")} from tested)""",
         _counts("judged", "training") + ", "
-        + _scored_tokens("(select * from judged where held_out)", "doc_id", "text")
-        + f""", tested as (select *, {_P} as p from (
-            select * exclude (rn), row_number() over (partition by label
-                order by md5('42:' || cast(doc_id as varchar)), doc_id) as rn
-            from judged where held_out) join z using (doc_id) where rn <= {SAMPLE_ROWS})"""),
+        + _scored_tokens("(select * from judged where judged_on)", "doc_id", "text")
+        + f""", tested as (select *, {_P} as p from judged join z using (doc_id) where judged_on)"""),
     "csv_roundtrip": _sql("uploads", "select * from uploads"),
     "training_csv_roundtrip": _sql("sample", "select review_body, label from sample"),
     "partitioned_roundtrip": _sql("cleaned", "select upload_id, user_name, review_clean from cleaned"),

@@ -35,8 +35,14 @@ def _rated(spark: SparkSession, folder: str) -> DataFrame:
     return reviews.normalize_ratings(adapters.reviews(spark, folder))
 
 
-def _validated(spark: SparkSession, folder: str) -> DataFrame:
-    return training_data.validate(training_data.preprocess(_rated(spark, folder)))
+def _measured(spark: SparkSession, folder: str) -> DataFrame:
+    """Id, rating and body length of validated reviews; bodies are measured before copies are removed."""
+    body = text.normalize_text(F.col("review_body"))
+    narrow = reviews.drop_empty(_rated(spark, folder)).select(
+        "review_id", ratings.as_int(F.col("star_rating")).alias("star_rating"),
+        text.text_length(body).alias("review_length"), F.col("review_headline").isNotNull().alias("headed"),
+        text.text_digest(body).alias("digest"))
+    return reviews.dedup_key(narrow, "digest", "review_id").filter("headed").drop("digest", "headed")
 
 
 def _labelled(spark: SparkSession, folder: str) -> DataFrame:
@@ -48,22 +54,24 @@ def _cleaned(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _served(spark: SparkSession, folder: str) -> DataFrame:
-    """Cleaned uploads with a stored prediction."""
-    predicted = adapters.scored(spark, folder).select(
-        F.col("doc_id").alias("upload_id"), scores.name_label(F.col("prediction")).alias("prediction"))
-    return _cleaned(spark, folder).join(predicted, "upload_id")
+    """All cleaned uploads with their stored predictions, ``unknown`` where there is none.
+
+    Stored: counts and lists are taken from the same rows.
+    """
+    predicted = adapters.scored(spark, folder).select(F.col("doc_id").alias("upload_id"), "prediction")
+    joined = _cleaned(spark, folder).drop("review").join(predicted, "upload_id", "left")
+    return materialize(joined.withColumn("prediction", scores.name_label(F.col("prediction"))), "served")
 
 
-def _train_and_rest(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """A balanced sample of the training part, and the documents outside that part.
+def _parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A balanced sample of the training part, the part to choose on, and the part to judge on.
 
-    Both are stored: training and testing read them several times.
+    Split by text, so that no text is in two parts. Stored: they are read several times.
     """
-    split = sampling.hash_split(adapters.labelled_documents(spark, folder), "doc_id")
-    stage = materialize(split, "labelled-documents")
-    training = F.col("split") == "train"
-    sample = sampling.balanced_sample(stage.filter(training), "doc_id")
-    return materialize(sample, "training-sample"), stage.filter(~training)
+    documents = adapters.labelled_documents(spark, folder).withColumn("_text", F.sha2("text", 256))
+    stage = materialize(sampling.hash_split(documents, "_text").drop("_text"), "labelled-documents")
+    train, choose, judge = (stage.filter(F.col("split") == name) for name in sampling.SPLITS)
+    return materialize(sampling.balanced_sample(train, "doc_id"), "training-sample"), choose, judge
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -152,14 +160,14 @@ def drop_incomplete(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def length_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(quality.length_stats(_validated(spark, folder)), "avg_review_length")
+    return _rounded(quality.length_stats(_measured(spark, folder)), "avg_review_length")
 
 
 @registered
 def anomaly_flags(spark: SparkSession, folder: str) -> DataFrame:
     """The stored stage is read twice, for the average and for the flags; copies are removed once."""
-    stage = materialize(_validated(spark, folder).select("review_id", "star_rating", "review_length"), "validated")
-    return training_data.flag(stage)
+    stage = materialize(_measured(spark, folder), "validated")
+    return training_data.flag(stage).select("review_id", "star_rating", "review_length", "anomaly_flag")
 
 
 # --- labels and samples ----------------------------------------------------------------
@@ -205,16 +213,25 @@ def per_class_sample(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.shuffle_rows(picked.select("doc_id", "label"), "doc_id")
 
 
+def _training_set(spark: SparkSession, folder: str) -> tuple[DataFrame, training_data.TrainingSet]:
+    """The stored stage with its parts; the sample is stored too, as it is counted and excluded."""
+    stage = materialize(reviews.drop_empty(_rated(spark, folder)).select(
+        "review_id", "star_rating", "review_body"), "with-text")
+    parts = training_data.build_training_set(stage)
+    sample = materialize(parts.sample, "training-set")
+    return stage, training_data.TrainingSet(parts.labelled, sample,
+                                            sampling.holdout_remaining(parts.labelled, sample))
+
+
 @registered
 def holdout_remaining(spark: SparkSession, folder: str) -> DataFrame:
-    parts = training_data.build_training_set(reviews.drop_empty(_rated(spark, folder)))
+    _, parts = _training_set(spark, folder)
     return parts.remaining.select("review_id", "label")
 
 
 @registered
 def sampling_summary(spark: SparkSession, folder: str) -> DataFrame:
-    stage = reviews.drop_empty(_rated(spark, folder))
-    parts = training_data.build_training_set(stage)
+    stage, parts = _training_set(spark, folder)
     classes, taken = F.col("original_class_distribution"), F.col("sampled_class_counts")
     return training_data.sampling_document(stage, parts.labelled, parts.sample, parts.remaining).select(
         "dropped_3_star_reviews", "dropped_unrated", "dropped_neutral",
@@ -312,7 +329,7 @@ def model_scoring_map(spark: SparkSession, folder: str) -> DataFrame:
     """The stored model inside tasks: each document keeps its columns and gains its prediction."""
     trained = model.train_nb(adapters.labelled_documents(spark, folder))
     documents = adapters.table(spark, folder, "documents").select("doc_id", "lang", "source", "text")
-    scored = scoring.score_rows(documents, trained, "text", "doc_id").drop("text")
+    scored = scoring.score_rows(documents, trained, "text").drop("text")
     return _rounded(scored, "positive_score", "negative_score")
 
 
@@ -347,25 +364,25 @@ def log_loss(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def candidate_models(spark: SparkSession, folder: str) -> DataFrame:
-    """Metrics of every smoothing value on the documents that were not trained on."""
-    train, rest = _train_and_rest(spark, folder)
-    _, metrics = modelling.train_and_evaluate(train, rest)
+    """Metrics of every smoothing value on the part that is there to choose on."""
+    train, choose, _ = _parts(spark, folder)
+    _, metrics = modelling.train_and_evaluate(train, choose)
     return _rounded(metrics, "accuracy", "precision", "recall", "f1")
 
 
 @registered
 def best_model(spark: SparkSession, folder: str) -> DataFrame:
-    train, rest = _train_and_rest(spark, folder)
-    _, metrics = modelling.train_and_evaluate(train, rest)
+    train, choose, _ = _parts(spark, folder)
+    _, metrics = modelling.train_and_evaluate(train, choose)
     return _rounded(evaluation.select_best(metrics), "accuracy", "precision", "recall", "f1")
 
 
 @registered
 def model_evaluation(spark: SparkSession, folder: str) -> DataFrame:
-    """A model trained on a balanced sample of one part and judged on one of the rest."""
-    train, rest = _train_and_rest(spark, folder)
+    """A model trained on a balanced sample of one part and judged on all of another."""
+    train, _, judge = _parts(spark, folder)
     trained = model.train_nb(train)
-    scored = materialize(modelling.score_test_set(rest, trained, SAMPLE_ROWS), "tested")
+    scored = materialize(modelling.score_test_set(judge, trained), "tested")
     document = modelling.evaluation_document(scored, "naive-bayes")
     quoted = F.col("sample_reviews")
     flat = document.select(
@@ -377,8 +394,8 @@ def model_evaluation(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def lr_confusion(spark: SparkSession, folder: str) -> DataFrame:
-    train, rest = _train_and_rest(spark, folder)
-    scored = scoring.score_lr(rest, model.train_lr(train))
+    train, _, judge = _parts(spark, folder)
+    scored = scoring.score_lr(judge, model.train_lr(train))
     return evaluation.confusion(scored, "label", "prediction_label")
 
 
@@ -397,7 +414,7 @@ def training_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """The balanced sample in shuffled order as one CSV file, read back with split files."""
     path = scratch_path(spark, "training-csv")
     sample = training_data.one_line(sampling.balanced_sample(_labelled(spark, folder)))
-    writers.export_csv(sampling.shuffle_rows(sample), path, ["review_body", "label"], 2 * sampling.CLASS_CAP)
+    writers.export_csv(sampling.shuffle_rows(sample), path, ["review_body", "label"], single_file=True)
     return readers.read_training_csv(spark, path)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 WHITESPACE_RUN = r"\s+"
 LINE_BREAK_RUN = r"[\r\n]+"
 DIGITS_AND_SPACE_ONLY = r"^[0-9\s]+$"
-NON_LETTERS = "[^a-z]+"
+NON_LETTERS = r"[^\p{L}]+"
 SHORT_WORDS = 5
 SHORT_CHARS = 30
 
@@ -56,7 +56,7 @@ def is_short(text: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """The distinct words (runs of a-z after lower-casing) of a text."""
+    """The distinct words (runs of letters of any script, in lower case) of a text."""
     return F.array_remove(F.array_distinct(F.split(F.lower(text), NON_LETTERS)), "")
 
 

@@ -16,11 +16,15 @@ from ..session import materialize
 
 SMOOTHING = 1.0
 SMOOTHING_GRID = (0.1, 0.5, 1.0, 2.0)
+# A documented bound of the fit: rarer tokens carry no weight.
 MIN_DOCUMENTS = 5
+# Stands for the class prior among the tokens; no text has this token, every text is given it.
+PRIOR = ""
 
-
-# Weights up to this measured size may be broadcast.
+# Weights of this size, as the packed arrays or hash tables that tasks hold, may be sent to every task.
 BROADCAST_BYTES = 64 << 20
+# A hash table of rows is larger than their bytes.
+TABLE_FACTOR = 4
 
 
 @dataclass(frozen=True)
@@ -83,6 +87,15 @@ def nb_weights(
         for i, a in enumerate(smoothing)])
 
 
+def class_prior(docs: DataFrame, label: str = "label", smoothing: Sequence[float] = (SMOOTHING,)) -> DataFrame:
+    """One row like those of ``nb_weights``: the log odds of the classes, zero where they are balanced."""
+    counts = docs.agg(F.count_if(F.col(label) == 1).alias("positive_docs"),
+                      F.count_if(F.col(label) == 0).alias("negative_docs"))
+    return counts.select(F.lit(PRIOR).alias("token"), "positive_docs", "negative_docs", *[
+        F.ln((F.col("positive_docs") + F.lit(a)) / (F.col("negative_docs") + F.lit(a))).alias(f"weight_{i}")
+        for i, a in enumerate(smoothing)])
+
+
 def train_nb(
     docs: DataFrame,
     row_id: str = "doc_id",
@@ -91,9 +104,10 @@ def train_nb(
     smoothing: Sequence[float] = (SMOOTHING,),
     min_docs: int = MIN_DOCUMENTS,
 ) -> TokenModel:
-    """Train, store the weights, and measure them."""
+    """Train, store the weights and the class prior, and measure them."""
     columns = [f"weight_{i}" for i in range(len(smoothing))]
-    trained = nb_weights(docs, row_id, text, label, smoothing, min_docs)
+    trained = nb_weights(docs, row_id, text, label, smoothing, min_docs).unionByName(
+        class_prior(docs, label, smoothing))
     n_docs = F.col("positive_docs") + F.col("negative_docs")
     return stored_model(trained.select("token", n_docs.alias("n_docs"), *columns))
 
@@ -105,7 +119,7 @@ def stored_model(weights: DataFrame) -> TokenModel:
 
 def _measured(weights: DataFrame) -> TokenModel:
     columns = tuple(c for c in weights.columns if c.startswith("weight_"))
-    width = F.octet_length("token") + 8 * (1 + len(columns))
+    width = TABLE_FACTOR * (F.octet_length("token") + 8 * (1 + len(columns)))
     octave = F.floor(F.log2("n_docs")).alias("octave")
     # At most 64 rows: sizes by the number of documents, from frequent to rare.
     sizes = (weights.groupBy(octave).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"))
@@ -127,15 +141,20 @@ def load_model(spark: SparkSession, path: str) -> TokenModel:
     return _measured(spark.read.parquet(path))
 
 
-def train_lr(docs: DataFrame, text: str = "text", label: str = "label", features: int = 1 << 18) -> PipelineModel:
+def train_lr(
+    docs: DataFrame, text: str = "text", label: str = "label", features: int = 1 << 18, min_docs: int = MIN_DOCUMENTS
+) -> PipelineModel:
     """Hashed term frequencies, IDF and logistic regression.
 
+    ``features`` folds tokens into so many columns by hash, and tokens in fewer than ``min_docs`` documents have
+    no weight.
+
     The coefficient vector has a fixed size and gradients are summed in a tree.
     """
     return Pipeline(stages=[
         RegexTokenizer(inputCol=text, outputCol="_words", pattern=tx.NON_LETTERS),
         HashingTF(inputCol="_words", outputCol="_counts", numFeatures=features),
-        IDF(inputCol="_counts", outputCol="_features", minDocFreq=MIN_DOCUMENTS),
+        IDF(inputCol="_counts", outputCol="_features", minDocFreq=min_docs),
         LogisticRegression(featuresCol="_features", labelCol=label, probabilityCol="_probability",
                            predictionCol="_prediction", rawPredictionCol="_raw",
                            maxIter=20, regParam=0.01, aggregationDepth=3),

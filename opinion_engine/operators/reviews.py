@@ -53,20 +53,22 @@ def to_training_frame(df: DataFrame) -> DataFrame:
 
 
 def dedup_text(df: DataFrame, column: str = "review_body", row_id: str = "review_id") -> DataFrame:
-    """One row per text: the one with the lowest id.
+    """One row per text: the one with the lowest id. Ids must be unique and not null.
 
-    Each task first keeps one row per text of its own, so a text that makes up a third of
-    the table sends one row per task. Rows move by a 16-byte digest.
+    The lowest ids come from a hash aggregate over digests and ids, combined in each task, so a text that makes
+    up a third of the table sends one row per task. The survivors' rows are then picked by id: texts move once
+    and are never sorted, and columns that are not used later are not read.
     """
-    digest = text.text_digest(F.col(column))
-    return dedup_key(df.withColumn("_digest", digest), "_digest", row_id).drop("_digest")
+    kept = (df.select(text.text_digest(F.col(column)).alias("_digest"), row_id)
+            .groupBy("_digest").agg(F.min(row_id).alias(row_id)))
+    return df.join(kept.select(row_id).hint("shuffle_hash"), row_id, "left_semi").select(df.columns)
 
 
 def dedup_key(df: DataFrame, key: str, row_id: str) -> DataFrame:
     """One row per key value: the one with the lowest id, which must be unique.
 
-    Each column is an aggregate of its own, so columns that are not used later are pruned
-    and never shuffled.
+    Meant for narrow columns of fixed width, which a hash aggregate carries. Each is an aggregate of its own, so
+    columns that are not used later are pruned and never shuffled.
     """
     columns = [F.min_by(c, row_id).alias(c) for c in df.columns if c != key]
     return df.groupBy(key).agg(*columns)

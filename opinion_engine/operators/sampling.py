@@ -13,10 +13,6 @@ from ..functions import keys, text
 SEED = 42
 SPLITS = {"train": 80, "test": 10, "serve": 10}
 CLASS_CAP = 25_000
-EVALUATION_ROWS = 10_000
-
-# A sample with at most this many rows is sent to every executor as a set of 16-byte digests.
-BROADCAST_ROWS = 1_000_000
 
 
 def hash_split(
@@ -55,9 +51,9 @@ def _class_total(label: int) -> Column:
 def _smallest_keys(df: DataFrame, row_id: str, label: str, seed: int, wanted: Column) -> DataFrame:
     """The ``wanted`` rows of each class with the smallest keys, exactly.
 
-    The counts tell which key sizes are taken whole, which in part, and which not at all.
-    Rows of the last kind are dropped in the scan by a hash join with the counts (two
-    classes, so at most 1,922 rows). Only the chosen rows and about a sixteenth more move.
+    The counts tell which key sizes are taken whole, which one in part, and which not at all. Only the ids of
+    the one in part, about a sixteenth of the sample, are ranked. The chosen rows are then picked out in the scan
+    by a comparison with that limit, and do not move.
     """
     counts = _size_counts(df.filter(F.col(label).isin(0, 1)), row_id, label, seed)
     up_to = Window.partitionBy("_label").orderBy("_bucket")
@@ -65,14 +61,20 @@ def _smallest_keys(df: DataFrame, row_id: str, label: str, seed: int, wanted: Co
             .withColumn("_wanted", wanted)
             .withColumn("_before", F.sum("_n").over(up_to) - F.col("_n"))
             .filter(F.col("_before") < F.col("_wanted"))
-            .select("_label", "_bucket", (F.col("_wanted") - F.col("_before")).alias("_take")))
+            .select("_label", "_bucket", "_n", (F.col("_wanted") - F.col("_before")).alias("_take")))
     key = keys.order_key(F.col(row_id), seed)
-    candidates = (df.withColumns({"_key": key, "_bucket": keys.size_bucket(key)})
-                  .join(F.broadcast(cuts.withColumnRenamed("_label", label)), [label, "_bucket"]))
-    in_bucket = Window.partitionBy(label, "_bucket").orderBy("_key", row_id)
-    return (candidates.withColumn("_rank", F.row_number().over(in_bucket))
-            .filter(F.col("_rank") <= F.col("_take"))
-            .select(*df.columns))
+    # The key size that is taken in part, at most one per class: its ids are ranked, to find the last row taken.
+    split = F.broadcast(cuts.filter("_take < _n").drop("_n"))
+    last = (df.select(F.col(label).alias("_label"), key.alias("_key"), F.col(row_id).alias("_id"))
+            .withColumn("_bucket", keys.size_bucket(F.col("_key"))).join(split, ["_label", "_bucket"])
+            .withColumn("_rank", F.row_number().over(Window.partitionBy("_label").orderBy("_key", "_id")))
+            .filter(F.col("_rank") == F.col("_take")).select("_label", F.struct("_key", "_id").alias("_last")))
+    # Two rows: the largest key size taken whole, and the last row of the one taken in part.
+    whole = cuts.groupBy("_label").agg(F.max(F.when(F.expr("_take >= _n"), F.col("_bucket"))).alias("_whole"))
+    limits = whole.join(F.broadcast(last), "_label", "left").withColumnRenamed("_label", label)
+    taken = (keys.size_bucket(F.col("_key")) <= F.col("_whole")) | (
+        F.struct(F.col("_key").alias("_key"), F.col(row_id).alias("_id")) <= F.col("_last"))
+    return df.withColumn("_key", key).join(F.broadcast(limits), label).filter(taken).select(*df.columns)
 
 
 def balanced_size(df: DataFrame, label: str = "label", cap: int = CLASS_CAP) -> DataFrame:
@@ -92,7 +94,7 @@ def per_class_sample(
     df: DataFrame,
     row_id: str = "review_id",
     label: str = "label",
-    n: int = EVALUATION_ROWS,
+    n: int = CLASS_CAP,
     seed: int = SEED,
     strict: bool = False,
 ) -> DataFrame:
@@ -109,16 +111,11 @@ def shuffle_rows(df: DataFrame, row_id: str = "review_id", seed: int = SEED) ->
     return df.orderBy(keys.order_key(F.col(row_id), seed + 1), row_id)
 
 
-def holdout_remaining(
-    labelled: DataFrame, sample: DataFrame, column: str = "review_body", sample_rows: int | None = None
-) -> DataFrame:
+def holdout_remaining(labelled: DataFrame, sample: DataFrame, column: str = "review_body") -> DataFrame:
     """Labelled rows whose text is not in the sample, so that no text is in both.
 
-    ``sample_rows`` is a bound on the sample known from its cap. A small one is broadcast
-    as digests; else Spark picks the join, and AQE splits a text with many copies.
+    Only digests of the sample take part. Spark picks the join by their size, and AQE splits a text with many copies.
     """
     digest = text.text_digest(F.col(column))
     taken = sample.select(digest.alias("_digest"))
-    if sample_rows is not None and sample_rows <= BROADCAST_ROWS:
-        taken = F.broadcast(taken)
     return labelled.withColumn("_digest", digest).join(taken, "_digest", "left_anti").drop("_digest")

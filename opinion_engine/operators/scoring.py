@@ -6,40 +6,52 @@ from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scores
 from ..functions import text as tx
-from .model import TokenModel
+from ..session import materialize
+from . import model as token_models
+from .model import PRIOR, TokenModel
 
-# Tokens that a Python task may hold in a dictionary.
-TASK_TOKENS = 500_000
 # Digits of a score that do not depend on the order in which weights are added.
 SCORE_DIGITS = 9
 
 
+def _row_tokens(text: str) -> Column:
+    """A text's tokens and the one that stands for the class prior; a missing text has only that."""
+    return F.concat(F.coalesce(tx.tokens(F.col(text)), F.array().cast("array<string>")), F.array(F.lit(PRIOR)))
+
+
 def fits_in_task(model: TokenModel) -> bool:
-    return model.n_tokens <= TASK_TOKENS
+    """Whether all weights fit in the packed arrays of a task: a hash and a number per token."""
+    return 16 * model.n_tokens <= token_models.BROADCAST_BYTES
 
 
 def score_weights(
     df: DataFrame, model: TokenModel, row_id: str = "doc_id", text: str = "text", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """The summed token weights per row: ``logit_0``, ``logit_1``, ... per weight column.
+    """The summed token weights per ``row_id``: ``logit_0``, ``logit_1``, ... per weight column.
 
-    A small model is broadcast whole. Of a larger one the frequent tokens are, so that only
-    tokens rare in training are joined by shuffle (AQE splits one that is not rare here).
-    Texts never move: the sums travel with the id and the ``keep`` columns.
+    Rows are told apart by ``row_id``, which must be unique; ``score_rows`` takes any rows. A small model is
+    broadcast whole. Of a larger one the frequent tokens are, and the others are joined by shuffle after one
+    left join has set the frequent ones aside (AQE splits a token that is not rare here). Texts never move: the
+    sums travel with the id and the ``keep`` columns.
     """
-    tokens = df.select(row_id, *keep, F.explode_outer(tx.tokens(F.col(text))).alias("token"))
-    found, frequent = [row_id, *keep, *model.columns], F.col("n_docs") >= model.head_docs
+    tokens = df.select(row_id, *keep, F.explode(_row_tokens(text)).alias("token"))
+    frequent = F.col("n_docs") >= model.head_docs
     head = F.broadcast(model.weights.filter(frequent).drop("n_docs"))
-    weighted = tokens.join(head, "token", "left").select(*found)
+    weighted = tokens.join(head, "token", "left")
     if model.head_docs > 1:
-        rare = tokens.join(head, "token", "left_anti").join(model.weights.filter(~frequent), "token")
-        weighted = weighted.unionByName(rare.select(*found))
+        # Tokens with a weight need no second look-up; the key is null for them, and they are not sent.
+        known = F.col(model.columns[0]).isNotNull()
+        rare = model.weights.filter(~frequent).select(
+            F.col("token").alias("_token"), *[F.col(c).alias(f"_{c}") for c in model.columns])
+        open_ = weighted.filter(~known).join(rare, F.col("token") == F.col("_token"))
+        found = weighted.filter(known).select(row_id, *keep, *model.columns)
+        weighted = found.unionByName(open_.select(row_id, *keep, *[F.col(f"_{c}").alias(c) for c in model.columns]))
     sums = [F.round(F.coalesce(F.sum(c), F.lit(0.0)), SCORE_DIGITS).alias(f"logit_{i}")
             for i, c in enumerate(model.columns)]
     return weighted.groupBy(row_id, *keep).agg(*sums)
@@ -76,44 +88,62 @@ def score_with_model(df: DataFrame, load: Callable[[], Callable], text: str, out
 
 
 def token_scorer(model: TokenModel) -> Callable[[], Callable]:
-    """Load a token model inside tasks; refused where it is too large for one."""
+    """Load a token model inside tasks, as arrays of token hashes and weights.
+
+    The function that is returned takes an Arrow array of lists of token hashes. Refused where the model is too
+    large for a task.
+    """
     if not fits_in_task(model):
-        raise ValueError(f"{model.n_tokens} tokens; use score_weights")
-    rows = model.weights.select("token", model.columns[0]).toPandas()
+        raise ValueError(f"{model.n_tokens} tokens; use score_rows")
+    rows = model.weights.select(F.xxhash64("token").alias("hash"), F.col(model.columns[0]).alias("w")).toPandas()
+    rows = rows.sort_values("hash")
     shared = model.weights.sparkSession.sparkContext.broadcast(
-        dict(zip(rows["token"].str.encode("ascii"), rows[model.columns[0]])))
+        (rows["hash"].to_numpy("int64"), rows["w"].to_numpy("float64")))
     digits = SCORE_DIGITS
 
     def load() -> Callable:
-        from math import fsum
-
-        weights = shared.value
-        # Letters in lower case, every other byte a space.
-        letters = bytes(b if 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
+        import numpy as np
 
-        def words(text: str) -> set[bytes]:
-            # The two other letters whose lower case holds an a-z: the Kelvin sign and dotted I.
-            plain = text.replace("\u212a", "k").replace("\u0130", "i ")
-            return set(plain.encode().translate(letters).split())
+        hashes, weights = shared.value
 
-        def score(texts) -> list[float]:
-            return [round(fsum(weights.get(w, 0.0) for w in words(t or "")), digits)
-                    for t in texts.to_pylist()]
+        def score(lists) -> np.ndarray:
+            tokens = lists.flatten().to_numpy(zero_copy_only=False)
+            if not len(hashes) or not len(tokens):
+                return np.zeros(len(lists))
+            at = np.minimum(np.searchsorted(hashes, tokens), len(hashes) - 1)
+            found = np.where(hashes[at] == tokens, weights[at], 0.0)
+            # Every list holds the prior's token, so none is empty.
+            ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+            return np.round(np.add.reduceat(found, np.concatenate([[0], ends[:-1]])), digits)
 
         return score
 
     return load
 
 
-def score_rows(df: DataFrame, model: TokenModel, text: str, row_id: str) -> DataFrame:
-    """Scored rows with all their columns.
+def _scored_in_task(df: DataFrame, model: TokenModel, text: str) -> DataFrame:
+    """``logit_0`` added to each row; tokens are found and hashed in the JVM."""
+    hashed = df.withColumn("_hashes", F.transform(_row_tokens(text), lambda t: F.xxhash64(t)))
+    return score_with_model(hashed, token_scorer(model), "_hashes").drop("_hashes")
+
+
+def _scored_by_join(df: DataFrame, model: TokenModel, text: str) -> DataFrame:
+    """``logit_0`` added to each row; rows are stored and numbered, and tokens joined to their weights."""
+    stored = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "rows-to-score")
+    first = TokenModel(model.weights.select("token", "n_docs", F.col(model.columns[0]).alias("weight_0")),
+                       ("weight_0",), model.n_tokens, model.head_docs)
+    logits = score_weights(stored, first, "_row", text)
+    return stored.join(logits, "_row").select(*df.columns, "logit_0")
+
+
+def score_rows(df: DataFrame, model: TokenModel, text: str) -> DataFrame:
+    """Every row once with its columns in order, then scores, class and name.
 
-    A model that fits in a task is applied in place. A larger one is joined by token, and its
-    sums are joined back by id.
+    Ids play no part, so missing and repeated ones change nothing. Weights that fit in a task are applied where
+    the rows are read; others are joined by token to stored, numbered rows. Results are the same.
     """
-    if fits_in_task(model):
-        return with_scores(score_with_model(df, token_scorer(model), text)).drop("logit_0")
-    return df.join(with_scores(score_weights(df, model, row_id, text)).drop("logit_0"), row_id)
+    in_task = fits_in_task(model)
+    return with_scores((_scored_in_task if in_task else _scored_by_join)(df, model, text)).drop("logit_0")
 
 
 def score_lr(df: DataFrame, model: PipelineModel) -> DataFrame:

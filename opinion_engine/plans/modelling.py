@@ -36,18 +36,20 @@ def chosen(candidates: model.TokenModel, best: DataFrame, smoothing: Sequence[fl
 def score_test_set(
     test: DataFrame,
     trained: model.TokenModel,
-    n: int = sampling.EVALUATION_ROWS,
+    n: int | None = None,
     row_id: str = "doc_id",
     text: str = "text",
     label: str = "label",
     strict: bool = False,
 ) -> DataFrame:
-    """A balanced test sample with its predictions.
+    """All test rows with their predictions, or only a balanced sample of ``n`` per class if one is asked for.
 
-    The text is carried: the sample is small, and the document quotes from it.
+    The text is carried: the document quotes from it.
     """
-    picked = sampling.per_class_sample(test.select(row_id, text, label), row_id, label, n, strict=strict)
-    return scoring.score_rows(picked, trained, text, row_id)
+    rows = test.select(row_id, text, label)
+    if n is not None:
+        rows = sampling.per_class_sample(rows, row_id, label, n, strict=strict)
+    return scoring.score_rows(rows, trained, text)
 
 
 def evaluation_document(
@@ -80,15 +82,15 @@ def evaluate_model(
     trained: model.TokenModel,
     model_name: str,
     out: str,
-    n: int = sampling.EVALUATION_ROWS,
+    n: int | None = None,
     row_id: str = "review_id",
     strict: bool = False,
 ) -> None:
-    """Judge a stored model on a balanced sample; store the tested rows and the document."""
+    """Judge a stored model on all test rows (or ``n`` per class); store the tested rows and the document."""
     writers.write_stage(score_test_set(test, trained, n, row_id, strict=strict), f"{out}/tested")
     tested = readers.read_stage(test.sparkSession, f"{out}/tested")
     writers.export_csv(tested.withColumn("prediction", F.col("prediction_label")), f"{out}/tested_csv",
-                       ["text", "label", "prediction"], 2 * n)
+                       ["text", "label", "prediction"])
     document = evaluation_document(tested, model_name, row_id)
     writers.write_metrics(writers.stamped(document), f"{out}/documents/model_evaluation")
 
@@ -99,14 +101,19 @@ def run(
     holdout: str,
     out: str,
     smoothing: Sequence[float] = model.SMOOTHING_GRID,
-    n: int = sampling.EVALUATION_ROWS,
+    n: int | None = None,
 ) -> None:
-    """Train on an exported sample, choose by F1 on the hold-out, store and judge the best model."""
+    """Train on an exported sample, choose by F1 on one half of the hold-out, judge the stored model on the other.
+
+    The hold-out is halved by text, so that no text is in both halves.
+    """
     train = readers.with_row_id(reviews.drop_incomplete(readers.read_training_csv(spark, training_csv)))
-    test = readers.read_stage(spark, holdout).select("review_id", "review_body", "label")
-    train, test = reviews.to_training_frame(train), reviews.to_training_frame(reviews.drop_incomplete(test))
-    candidates, metrics = train_and_evaluate(train, test, "review_id", smoothing=smoothing)
+    rest = readers.read_stage(spark, holdout).select("review_id", "review_body", "label")
+    train, rest = reviews.to_training_frame(train), reviews.to_training_frame(reviews.drop_incomplete(rest))
+    halves = sampling.hash_split(rest.withColumn("_text", F.sha2("text", 256)), "_text", {"choose": 50, "judge": 50})
+    choose, judge = (halves.filter(F.col("split") == s).drop("_text", "split") for s in ("choose", "judge"))
+    candidates, metrics = train_and_evaluate(train, choose, "review_id", smoothing=smoothing)
     writers.write_stage(metrics, f"{out}/candidates")
     best = evaluation.select_best(readers.read_stage(spark, f"{out}/candidates"))
     model.save_model(chosen(candidates, best, smoothing), f"{out}/model")
-    evaluate_model(test, model.load_model(spark, f"{out}/model"), "naive-bayes", out, n)
+    evaluate_model(judge, model.load_model(spark, f"{out}/model"), "naive-bayes", out, n)

@@ -69,7 +69,7 @@ def build_training_set(
     labelled = one_line(raw)
     sample = one_line(sampling.balanced_sample(raw, cap=cap, seed=seed))
     return TrainingSet(labelled, sample,
-                       sampling.holdout_remaining(labelled, sample, sample_rows=2 * cap))
+                       sampling.holdout_remaining(labelled, sample))
 
 
 def sampling_document(
@@ -115,9 +115,9 @@ def run(spark: SparkSession, csv_path: str, out: str, cap: int = sampling.CLASS_
     parts = build_training_set(flagged, cap)
     writers.write_stage(parts.sample, f"{out}/train_final")
     sample = readers.read_stage(spark, f"{out}/train_final")
-    remaining = sampling.holdout_remaining(parts.labelled, sample, sample_rows=2 * cap)
+    remaining = sampling.holdout_remaining(parts.labelled, sample)
     writers.write_stage(remaining, f"{out}/remaining")
-    writers.export_csv(sampling.shuffle_rows(sample), f"{out}/sampled_csv", ["review_body", "label"], 2 * cap)
+    writers.export_csv(sampling.shuffle_rows(sample), f"{out}/sampled_csv", ["review_body", "label"])
     writers.write_metrics(
         sampling_document(flagged, parts.labelled, sample, readers.read_stage(spark, f"{out}/remaining")),
         f"{out}/documents/class_distribution")

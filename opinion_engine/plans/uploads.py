@@ -37,9 +37,9 @@ def clean_summary(df: DataFrame) -> DataFrame:
     return audit.withColumnRenamed("retained_rows", "retained_clean_reviews")
 
 
-def score_upload(df: DataFrame, model: TokenModel, row_id: str = "upload_id") -> DataFrame:
+def score_upload(df: DataFrame, model: TokenModel) -> DataFrame:
     """Predictions on the same rows, with all upload columns kept."""
-    return scoring.score_rows(df, model, "review_clean", row_id)
+    return scoring.score_rows(df, model, "review_clean")
 
 
 def run(spark: SparkSession, csv_path: str, user: str, model: TokenModel, out: str) -> dict[str, DataFrame]:

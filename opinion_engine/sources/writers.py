@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from .readers import CSV_QUOTING
 
-# More rows than this never go through one task into one file.
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def write_stage(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Overwrite a Parquet table.
@@ -34,16 +31,16 @@ def export_csv(
     df: DataFrame,
     path: str,
     columns: Sequence[str] | None = None,
-    at_most_rows: int | None = None,
+    single_file: bool = False,
 ) -> None:
     """Write CSV with a header and doubled quotes; every text survives a round trip.
 
-    ``at_most_rows`` is a bound that the caller knows, such as twice the sampling cap.
-    Only a small bound gives one file; else each task writes its own.
+    Each task writes its own file, in the order of the rows. ``single_file`` asks for one file instead,
+    written by one task; it keeps the order of a sorted frame and is meant for tables of known size.
     """
     out = df.select(*columns) if columns else df
-    if at_most_rows is not None and at_most_rows <= SINGLE_FILE_ROWS:
-        out = out.repartition(1)
+    if single_file:
+        out = out.coalesce(1)
     (out.write.mode("overwrite")
         .options(**CSV_QUOTING, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
         .csv(path))

@@ -67,8 +67,9 @@ def test_word_test_agrees_with_split(spark):
 
 
 def test_tokens(spark):
-    got = apply(spark, text.tokens, ["Good, good bad!", "123", "", None, "naïve"])
-    assert [sorted(t) if t is not None else None for t in got] == [["bad", "good"], [], [], None, ["na", "ve"]]
+    got = apply(spark, text.tokens, ["Good, good bad!", "123", "", None, "naïve", "schön gut für", "Привет мир"])
+    assert [sorted(t) if t is not None else None for t in got] == [
+        ["bad", "good"], [], [], None, ["naïve"], ["für", "gut", "schön"], ["мир", "привет"]]
 
 
 def test_digest(spark):

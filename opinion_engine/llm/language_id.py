@@ -33,7 +33,7 @@ SAMPLE_ROWS = 300
 CENTROIDS = 4
 ROUNDS = 10
 REJECT = 0.1
-_SLICE_ROWS = 256
+_SLICE_ROWS = 128
 _LETTERS = np.full(256, 0x20, np.uint8)
 _LETTERS[0x61:0x7B] = np.arange(0x61, 0x7B)
 _LETTERS[0x80:] = np.arange(0x80, 0x100)

@@ -24,7 +24,7 @@ from .wordhash import slices
 
 SPACE = "▁"
 NO_PAIR = np.iinfo(np.int32).max
-CACHED_SEGMENTS = 250_000  # per task; a full cache starts anew
+CACHED_SEGMENTS = 120_000  # per task; a full cache starts anew
 CACHED_CHARS = 64
 
 

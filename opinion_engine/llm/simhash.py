@@ -43,8 +43,8 @@ SHINGLE = 3
 MAX_BITS = 2
 SEED = 42
 PART = 4096
-FRONTIER = 1 << 20
-COMPARED = 1 << 17
+FRONTIER = 1 << 14
+COMPARED = 1 << 16
 LONG_BITS = 512
 LONG_PART = 1 << 18
 RECALL = 0.95
@@ -128,10 +128,9 @@ def trie_links(left: np.ndarray, right: np.ndarray | None, max_bits: int, last_b
             if bit == last_bit:
                 break
             pairs = pairs[~small]
-            if len(pairs) > FRONTIER:  # go deep with one half before the other, to bound the frontier
-                half = len(pairs) // 2
-                todo.append((pairs[half:], bit))
-                pairs = pairs[:half]
+            if len(pairs) > FRONTIER:  # go deep with one part before the others, to bound the frontier
+                todo += [(pairs[k:k + FRONTIER].copy(), bit) for k in range(FRONTIER, len(pairs), FRONTIER)]
+                pairs = pairs[:FRONTIER].copy()
             pairs = _children(values, pairs, bit, max_bits)
             bit += 1
     roots = _root(parent, np.arange(len(values)))

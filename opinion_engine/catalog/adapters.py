@@ -35,6 +35,11 @@ UPLOAD_EDGES = """(-1, 'user0', '12345 678'), (-2, 'user1', '   '), (-3, 'user2'
     (-5, null, 'Nobody left this review, which is long enough'), (-6, null, 'bad'), (-7, 'user4', ''),
     (-8, 'user5', 'Привет, schön gut für alle')"""
 
+# Names of upload files; every fifth has no time or an impossible one.
+FILE_NAME = """case doc_id % 5 when 0 then 'reviews.csv' when 1 then '20241331000000_x.csv' else
+    '20240' || cast(doc_id % 9 + 1 as string) || '1' || cast(doc_id % 10 as string) || '1' || cast(doc_id % 10 as string)
+    || '2' || cast(doc_id % 8 as string) || '3' || cast(doc_id % 7 as string) || '_reviews.csv' end"""
+
 TURNS = {"conv_id": "conv_id", "turn": "turn", "user_name": "role", "review": "text"}
 
 _HASH = "md5(cast(doc_id as string))"

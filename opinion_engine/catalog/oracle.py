@@ -340,7 +340,8 @@ ORACLE: dict[str, str] = {
             from with_text)
         group by 1"""),
     "metrics_json_roundtrip": _sql("cleaned", _CLEAN_COUNTS),
-    "stream_upload_clean": _sql("cleaned", "select * from cleaned"),
+    "stream_upload_clean": _sql("cleaned", """
+        select * replace (coalesce(user_name, 'guest') as user_name) from cleaned"""),
     "stream_turn_clean": _sql("turns_trimmed", r"""
         select *, length(review_clean) < 30 or len(list_filter(
             string_split_regex(review_clean, '\s+'), lambda x: x <> '')) < 5 as short_review
@@ -348,5 +349,31 @@ ORACLE: dict[str, str] = {
         where length(review_clean) > 0 and not regexp_matches(review_clean, '^[0-9\s]+$')"""),
     "stream_upload_summary": _sql("judged cleaned", _summary("predicted", "user_name"),
         _counts("judged") + ", " + _scored_tokens("cleaned", "upload_id", "review_clean")
-        + f", predicted as (select c.*, {_NAME} as prediction from cleaned c join z on z.doc_id = c.upload_id)"),
+        + f", predicted as (select c.* replace (coalesce(user_name, 'guest') as user_name), {_NAME} as prediction"
+        + " from cleaned c join z on z.doc_id = c.upload_id)"),
+    "random_split_sizes": _sql("reviews", """
+        select count(*) as n_rows, cast(0 as bigint) as n_in_two_parts, true as sizes_as_asked from reviews"""),
+    "lr_confusion": _sql("judged", """
+        select label, count(*) as n_rows, count(*) as n_consistent from judged where judged_on group by label"""),
+    "training_csv_order": _sql("sample", """
+        select row_number() over (order by md5('43:' || cast(review_id as varchar)), review_id) - 1 as position, review_body
+        from sample"""),
+    "user_partition_read": _sql("cleaned", """
+        select upload_id, user_name, review_clean from cleaned where user_name = 'user3'"""),
+    "upload_times": f"""
+        select doc_id, strftime(try_strptime(regexp_extract(name, '^[0-9]{{14}}'), '%Y%m%d%H%M%S'), '%Y-%m-%d %H:%M:%S')
+            as uploaded_at
+        from (select doc_id, {adapters.FILE_NAME} as name from documents)""",
+    "dashboard": _sql("served", """
+        select 'summary' as name, 'total_reviews' as entry, count(*) as value from served
+        union all select 'summary', 'short_reviews_flagged', count(*) filter (where short_review) from served
+        union all select 'distribution', prediction, count(*) from served group by prediction
+        union all select 'histogram', cast(r.bin as varchar), coalesce(n, 0) from range(30) r(bin) left join (
+            select least(cast(floor((length(review_clean) - lo) * 30.0::double / (hi - lo)) as int), 29) as bin,
+                count(*) as n from served, span group by 1) b on b.bin = r.bin
+        union all select 'top_reviews', prediction || '-' || cast(rn as varchar), upload_id from (
+            select *, row_number() over (partition by prediction order by upload_id) as rn from served)
+            where rn <= 5 and prediction <> 'unknown'""",
+        """span as (select cast(min(length(review_clean)) as double) as lo,
+            cast(max(length(review_clean)) as double) as hi from served)"""),
 }

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import ratings, scores, text
@@ -190,10 +191,17 @@ def hash_split(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def random_split_sizes(spark: SparkSession, folder: str) -> DataFrame:
-    parts = sampling.random_split(adapters.reviews(spark, folder).select("review_id"))
-    named = [p.select(F.lit(name).alias("split")) for name, p in zip(sampling.SPLITS, parts)]
-    return (named[0].unionByName(named[1]).unionByName(named[2])
-            .groupBy("split").agg(F.count(F.lit(1)).alias("n_rows")))
+    """What must hold for any random split: every row in one part, and parts of about the sizes asked for."""
+    ids = materialize(adapters.reviews(spark, folder).select("review_id"), "ids-to-split")
+    parts = sampling.random_split(ids)
+    named = [p.withColumn("split", F.lit(name)) for name, p in zip(sampling.SPLITS, parts)]
+    rows = named[0].unionByName(named[1]).unionByName(named[2])
+    found = rows.groupBy("review_id").agg(F.count(F.lit(1)).alias("n"), F.first("split").alias("split"))
+    n = F.count(F.lit(1))
+    near = [F.abs(F.count_if(F.col("split") == name) / n - share / 100) < 4 * F.sqrt(F.lit(share * (100 - share)) / n) / 100
+            for name, share in sampling.SPLITS.items()]
+    return found.agg(n.alias("n_rows"), F.count_if(F.col("n") > 1).alias("n_in_two_parts"),
+                     (near[0] & near[1] & near[2]).alias("sizes_as_asked"))
 
 
 @registered
@@ -394,9 +402,15 @@ def model_evaluation(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def lr_confusion(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per label that the regression has scored, and how many of them have a consistent score.
+
+    Which of them are right depends on an iterative fit; its accuracy is tested on separable words.
+    """
     train, _, judge = _parts(spark, folder)
     scored = scoring.score_lr(judge, model.train_lr(train))
-    return evaluation.confusion(scored, "label", "prediction_label")
+    positive, total = F.col("positive_score"), F.col("positive_score") + F.col("negative_score")
+    consistent = (F.abs(total - 1) < 1e-9) & (F.col("prediction_label") == (positive > 0.5).cast("int"))
+    return scored.groupBy("label").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(consistent).alias("n_consistent"))
 
 
 # --- round trips and streams -----------------------------------------------------------
@@ -418,6 +432,46 @@ def training_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return readers.read_training_csv(spark, path)
 
 
+@registered
+def training_csv_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Where each text of the shuffled export stands in its file, which has at most two capped classes of rows."""
+    path = scratch_path(spark, "training-csv")
+    sample = training_data.one_line(sampling.balanced_sample(_labelled(spark, folder)))
+    writers.export_csv(sampling.shuffle_rows(sample), path, ["review_body", "label"], single_file=True)
+    placed = readers.read_training_csv(spark, path).withColumn("place", F.monotonically_increasing_id())
+    return placed.select((F.row_number().over(Window.orderBy("place")) - 1).cast("long").alias("position"), "review_body")
+
+
+@registered
+def user_partition_read(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "processed")
+    writers.write_scored(_cleaned(spark, folder).select("upload_id", "user_name", "review_clean"), path)
+    return readers.read_user_partition(spark, path, "user3")
+
+
+@registered
+def upload_times(spark: SparkSession, folder: str) -> DataFrame:
+    named = adapters.table(spark, folder, "documents").selectExpr("doc_id", f"{adapters.FILE_NAME} as file_name")
+    return named.select("doc_id", F.date_format(text.upload_time(F.col("file_name")), "yyyy-MM-dd HH:mm:ss").alias("uploaded_at"))
+
+
+@registered
+def dashboard(spark: SparkSession, folder: str) -> DataFrame:
+    """All dashboard tables of the served uploads as rows of table, entry and value."""
+    tables = serving.dashboard_tables(_served(spark, folder))
+
+    def rows(name: str, entry: F.Column, value: F.Column) -> DataFrame:
+        return tables[name].select(F.lit(name).alias("name"), entry.cast("string").alias("entry"),
+                                   value.cast("long").alias("value"))
+
+    parts = [rows("summary", F.lit("total_reviews"), F.col("total_reviews")),
+             rows("summary", F.lit("short_reviews_flagged"), F.col("short_reviews_flagged")),
+             rows("distribution", F.col("prediction"), F.col("n_reviews")),
+             rows("histogram", F.col("bin"), F.col("n_reviews")),
+             rows("top_reviews", F.concat_ws("-", "prediction", "rank"), F.col("upload_id"))]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @registered
 def partitioned_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "processed")
@@ -441,10 +495,12 @@ def metrics_json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _as_files(df: DataFrame) -> DataFrame:
-    """A stream over the rows, written as upload files."""
+    """A stream over the rows, written as upload files of a user ``guest``, half of them in reversed column order."""
     path = scratch_path(df.sparkSession, "incoming")
-    writers.export_csv(df, path)
-    return stream.upload_stream(df.sparkSession, path, df.schema)
+    half = F.pmod(F.xxhash64(df.columns[0]), F.lit(2)) == 0
+    writers.export_csv(df.filter(half), f"{path}/one/guest")
+    writers.export_csv(df.filter(~half), f"{path}/two/guest", df.columns[::-1])
+    return stream.upload_stream(df.sparkSession, path)
 
 
 @registered
@@ -461,7 +517,8 @@ def stream_turn_clean(spark: SparkSession, folder: str) -> DataFrame:
     out = scratch_path(spark, "turns")
     stream.clean_uploads(_as_files(adapters.turns(spark, folder)), out, f"{out}-checkpoint").awaitTermination()
     return (readers.read_partitioned(spark, out, ["user_name"])
-            .select("conv_id", "turn", "user_name", "review", "review_clean", "short_review"))
+            .select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
+                    "user_name", "review", "review_clean", "short_review"))
 
 
 @registered

@@ -10,6 +10,9 @@ WHITESPACE_RUN = r"\s+"
 LINE_BREAK_RUN = r"[\r\n]+"
 DIGITS_AND_SPACE_ONLY = r"^[0-9\s]+$"
 NON_LETTERS = r"[^\p{L}]+"
+# Uploads are named after their time, as in 20240131235959_reviews.csv.
+STAMP = r"^(\d{14})"
+STAMP_FORMAT = "yyyyMMddHHmmss"
 SHORT_WORDS = 5
 SHORT_CHARS = 30
 
@@ -63,3 +66,8 @@ def tokens(text: Column) -> Column:
 def text_digest(text: Column) -> Column:
     """16 bytes that stand for a text as a grouping, join or shuffle key."""
     return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
+
+
+def upload_time(file_name: Column) -> Column:
+    """The time that an upload's file name begins with; null where it begins with none."""
+    return F.try_to_timestamp(F.regexp_extract(file_name, STAMP, 1), F.lit(STAMP_FORMAT))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -79,7 +81,9 @@ def summary_document(
     lists = [texts_in_order(text, F.col("prediction") == name).alias(c)
              for name, c in zip(NAMES, _TOP_COLUMNS)]
     if by:
-        joined = counts.join(tops.groupBy(*by).agg(*lists), list(by), "left")
+        listed = tops.groupBy(*by).agg(*lists).withColumnsRenamed({c: f"_{c}" for c in by})
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+        joined = counts.join(listed, reduce(and_, same), "left").drop(*[f"_{c}" for c in by])
     else:
         joined = counts.withColumn("_tops", tops.agg(F.struct(*lists)).scalar()).select("*", "_tops.*")
     average = F.round(F.try_divide(F.col("total_length"), F.col("measured_reviews")), 2)

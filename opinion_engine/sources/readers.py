@@ -18,14 +18,48 @@ CSV_READING = {**CSV_QUOTING, "nullValue": "\u0000"}
 TEXT_COLUMNS = ("review_body", "review")
 
 
+def _csv_files(spark: SparkSession, path: str) -> list[str]:
+    """The files behind a path; their content is not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return sorted(r["path"] for r in found.select("path").distinct().collect())
+
+
+def _header(spark: SparkSession, file: str, multi_line: bool) -> tuple[str, ...]:
+    return tuple(spark.read.options(**CSV_READING, multiLine=multi_line).csv(file).columns)
+
+
 def read_reviews_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Scan review files: names from the header, every column a string, nothing inferred.
+    """Scan review files: names from each file's header, every column a string, nothing inferred.
 
+    Files are read in groups of equal headers and joined by name, so their columns may come in any order; a
+    column that a file lacks is null. Of a folder, one line per file is looked at first.
     Quoted line breaks need ``multi_line``, which makes one task of each file. Files that
     hold no line breaks inside fields, such as an exported training set, can be read
     with ``multi_line=False`` and are then split.
     """
-    return spark.read.options(**CSV_READING, multiLine=multi_line).csv(path)
+    return read_csv_files(spark, _csv_files(spark, path), multi_line)
+
+
+def read_csv_files(
+    spark: SparkSession, files: Sequence[str], multi_line: bool = True, file_column: str | None = None
+) -> DataFrame:
+    """The rows of CSV files by the names in their headers, with each row's file if ``file_column`` names it."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        header = _header(spark, file, multi_line)
+        if header:
+            groups.setdefault(header, []).append(file)
+    if not groups:
+        raise ValueError(f"no CSV file with a header among {list(files)}")
+    reader = spark.read.options(**CSV_READING, multiLine=multi_line, enforceSchema=False)
+    parts = []
+    for header, names in groups.items():
+        part = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in header])).csv(names)
+        parts.append(part.withColumn(file_column, F.col("_metadata.file_path")) if file_column else part)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def with_row_id(df: DataFrame, name: str = "review_id") -> DataFrame:
@@ -41,8 +75,9 @@ def read_stage(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_training_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A training set as written by ``export_csv``; its texts hold no line breaks."""
-    return spark.read.schema(schema.TRAINING).options(**CSV_READING).csv(path)
+    """A training set as written by ``export_csv``, by the names in its header; its texts hold no line breaks."""
+    named = read_reviews_csv(spark, path, multi_line=False)
+    return named.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.TRAINING])
 
 
 def read_scored_csv(
@@ -52,7 +87,11 @@ def read_scored_csv(
     multi_line: bool = True,
 ) -> DataFrame:
     """Scored reviews with typed columns. Texts such as ``null`` or ``nan`` stay texts."""
-    df = read_reviews_csv(spark, path, multi_line)
+    return typed(read_reviews_csv(spark, path, multi_line), types)
+
+
+def typed(df: DataFrame, types: Mapping[str, str] | None = None) -> DataFrame:
+    """Text columns cast to the types that their names have by contract; what does not parse is null."""
     wanted = schema.SCORED_TYPES if types is None else types
     return df.withColumns({c: F.col(c).try_cast(wanted[c]) for c in df.columns if c in wanted})
 

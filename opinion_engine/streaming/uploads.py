@@ -1,56 +1,93 @@
 """Clean and score upload files as they arrive.
 
-The batch operators run unchanged on the stream. No watermark is needed: nothing depends
-on event time, and the per-user summary adds up small parts, one per batch.
+The stream carries the paths of new files. Each batch reads its files by their own headers and runs the batch
+operators on the rows. No watermark is needed: nothing depends on event time, and the per-user summary adds up
+small parts, one per batch, that are merged into a running total now and then.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from .. import schema
+from ..functions import text
 from ..operators import ranking, serving
 from ..plans.uploads import clean_upload
-from ..sources.readers import CSV_READING
+from ..sources import readers
 
-# Fixed value: uploads are named after their time, as in 20240131235959_reviews.csv.
-STAMP = r"^(\d{14})"
-STAMP_FORMAT = "yyyyMMddHHmmss"
 USER = "user_name"
+# After so many batches their parts are merged into a total.
+MERGED_BATCHES = 50
 
+_FILES = "path string, modificationTime timestamp, length long, content binary"
+_SCHEME = "^[a-zA-Z0-9]+:/*"
 
-def upload_stream(
-    spark: SparkSession, folder: str, columns: T.StructType = schema.UPLOADS, files_per_batch: int = 1000
-) -> DataFrame:
-    """New CSV files of a folder, with the file's name and the time written in it."""
-    name = F.col("_metadata.file_name")
-    stamp = F.regexp_extract(name, STAMP, 1)
-    return (spark.readStream.schema(columns)
-            .options(**CSV_READING, multiLine="true", maxFilesPerTrigger=files_per_batch)
-            .csv(folder)
-            .withColumns({"file_name": name,
-                          "uploaded_at": F.try_to_timestamp(stamp, F.lit(STAMP_FORMAT))}))
 
+def upload_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
+    """New CSV files below a folder, as paths; ``files_per_batch`` bounds what one batch lists."""
+    return (spark.readStream.format("binaryFile").schema(_FILES)
+            .option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.csv").load(folder)
+            .select("path", F.lit(folder).alias("root")))
 
-def with_upload_id(batch: DataFrame) -> DataFrame:
-    """An id for rows that bring none: by file name, then by place in the file."""
-    if "upload_id" in batch.columns:
-        return batch
-    place = F.monotonically_increasing_id()
-    return batch.withColumn("upload_id", F.format_string("%s#%019d", F.col("file_name"), place))
+
+def _decoded(path: F.Column) -> F.Column:
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def read_uploads(spark: SparkSession, files: list[str], root: str) -> DataFrame:
+    """The rows of upload files by header name, with the file's name and the time written in it.
+
+    Without a user column, or where it is null, the user is the folder that a file below ``root`` lies in.
+    ``upload_id`` is made from the path and the place in the file where the files bring none.
+    """
+    rows = readers.typed(readers.read_csv_files(spark, files, file_column="file_path"))
+    path = _decoded(F.regexp_replace("file_path", _SCHEME, "/"))
+    name, parent = F.substring_index(path, "/", -1), F.regexp_replace(path, "/[^/]*$", "")
+    top = F.regexp_replace(F.lit(root.rstrip("/")), _SCHEME, "/")
+    folder = F.when(parent != top, F.regexp_replace(F.substring_index(parent, "/", -1), f"^{USER}=", ""))
+    user = F.coalesce(F.col(USER), folder) if USER in rows.columns else folder
+    out = rows.withColumns({"file_name": name, USER: user, "uploaded_at": text.upload_time(name)})
+    if "upload_id" not in rows.columns:
+        place = F.monotonically_increasing_id()
+        out = out.withColumn("upload_id", F.format_string("%s#%019d", path, place))
+    return out.drop("file_path")
+
+
+def _query_id(spark: SparkSession) -> str:
+    """The running stream's id, which is kept in its checkpoint."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def _each_batch(uploads: DataFrame, checkpoint: str, run: Callable[[DataFrame, str], None]) -> StreamingQuery:
+    """Run a function on the rows of each batch and the batch's folder name.
+
+    The name holds the stream's id, so a stream that is started anew with another checkpoint leaves the folders
+    of the old one alone, and a batch that is run again replaces its own.
+    """
+
+    def one_batch(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        found = batch.collect()  # at most files_per_batch paths
+        if found:
+            rows = read_uploads(spark, [r["path"] for r in found], found[0]["root"])
+            run(rows, f"stream={_query_id(spark)}/batch={number}")
+
+    return (uploads.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
 
 
 def clean_uploads(uploads: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Append the cleaned rows to a table with one folder per user."""
-    return (clean_upload(uploads).writeStream
-            .format("parquet").partitionBy(USER)
-            .option("path", out).option("checkpointLocation", checkpoint)
-            .outputMode("append").trigger(availableNow=True).start())
+    """Add the cleaned rows to a table with folders per stream, batch and user."""
+
+    def clean(rows: DataFrame, folder: str) -> None:
+        clean_upload(rows).write.mode("overwrite").partitionBy(USER).parquet(f"{out}/{folder}")
+
+    return _each_batch(uploads, checkpoint, clean)
 
 
 def score_uploads(
@@ -58,29 +95,59 @@ def score_uploads(
 ) -> StreamingQuery:
     """Clean and score each batch, and store its share of the per-user summary.
 
-    A batch writes folders of its own, so a batch that is run again replaces itself. Its work
-    depends on its own rows, not on what came before.
+    A batch's work depends on its own rows; each ``MERGED_BATCHES`` the shares since the last total are merged
+    into the next one.
     """
 
-    def one_batch(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rows = f"{out}/scored/batch={number}"
-        score(with_upload_id(batch)).write.mode("overwrite").parquet(rows)
-        scored = spark.read.parquet(rows)
-        (serving.summary_counts(scored, [USER])
-            .write.mode("overwrite").parquet(f"{out}/counts/batch={number}"))
-        (serving.first_k(scored, by=[USER])
-            .write.mode("overwrite").parquet(f"{out}/tops/batch={number}"))
-
-    return (clean_upload(uploads).writeStream
-            .foreachBatch(one_batch)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    def one_batch(rows: DataFrame, folder: str) -> None:
+        spark = rows.sparkSession
+        score(clean_upload(rows)).write.mode("overwrite").parquet(f"{out}/scored/{folder}")
+        scored = spark.read.parquet(f"{out}/scored/{folder}")
+        serving.summary_counts(scored, [USER]).write.mode("overwrite").parquet(f"{out}/counts/{folder}")
+        serving.first_k(scored, by=[USER]).write.mode("overwrite").parquet(f"{out}/tops/{folder}")
+        stream, batch = (part.split("=")[1] for part in folder.split("/"))
+        if (int(batch) + 1) % MERGED_BATCHES == 0:
+            counts, tops = _summary_parts(spark, out, F.col("stream") == stream, int(batch))
+            counts.write.mode("overwrite").parquet(f"{out}/total-counts/{folder}")
+            tops.write.mode("overwrite").parquet(f"{out}/total-tops/{folder}")
+
+    return _each_batch(uploads, checkpoint, one_batch)
+
+
+def _stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """A table that need not be there yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return like.limit(0)
+
+
+def _summary_parts(
+    spark: SparkSession, out: str, streams: F.Column | None = None, upto: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Counts and first reviews per user: the last total of each stream, and the batches after it."""
+    merged = []
+    for kind in ("counts", "tops"):
+        parts = spark.read.parquet(f"{out}/{kind}")
+        totals = _stored(spark, f"{out}/total-{kind}", parts)
+        if streams is not None:
+            parts, totals = parts.filter(streams), totals.filter(streams)
+        if upto is not None:
+            parts, totals = parts.filter(F.col("batch") <= upto), totals.filter(F.col("batch") < upto)
+        # One row per stream; batches are folder names, so only those that count are read.
+        last = {r["stream"]: r["last"] for r in totals.groupBy("stream").agg(F.max("batch").alias("last")).collect()}
+        kept = F.lit(True)
+        newest = F.lit(False)
+        for stream, batch in last.items():
+            kept = kept & ~((F.col("stream") == stream) & (F.col("batch") <= batch))
+            newest = newest | ((F.col("stream") == stream) & (F.col("batch") == batch))
+        merged.append(parts.filter(kept).unionByName(totals.filter(newest)).drop("stream", "batch"))
+    counts = serving.merge_counts(merged[0], [USER])
+    tops = ranking.first_rows(merged[1].drop("rank"), serving.TOP, [F.col("upload_id")], [USER, "prediction"])
+    return counts, tops
 
 
 def read_summary(spark: SparkSession, out: str) -> DataFrame:
-    """The per-user summary over all batches so far, from the small parts alone."""
-    counts = serving.merge_counts(spark.read.parquet(f"{out}/counts"), [USER])
-    parts = spark.read.parquet(f"{out}/tops").drop("batch", "rank")
-    tops = ranking.first_rows(parts, serving.TOP, [F.col("upload_id")], [USER, "prediction"])
+    """The per-user summary over all batches so far, from totals and small parts alone."""
+    counts, tops = _summary_parts(spark, out)
     return serving.summary_document(counts, tops, [USER])

@@ -17,10 +17,14 @@ def docs(spark):
     return spark.createDataFrame(list(zip(range(6), TEXTS, LABELS)), "doc_id long, text string, label int")
 
 
+def words_of(text):
+    return set("".join(c if c.isalpha() else " " for c in (text or "").lower()).split())
+
+
 def brute_weights(a, min_docs):
-    sets = [set(w for w in "".join(c if c.isascii() and c.isalpha() else " " for c in t.lower()).split()) for t in TEXTS]
+    sets = [words_of(t) for t in TEXTS]
     n1, n0 = sum(LABELS), LABELS.count(0)
-    out = {}
+    out = {"": math.log((n1 + a) / (n0 + a))}
     for w in set().union(*sets):
         c1 = sum(1 for s, l in zip(sets, LABELS) if l and w in s)
         c0 = sum(1 for s, l in zip(sets, LABELS) if not l and w in s)
@@ -37,7 +41,18 @@ def test_weights_and_scores_by_hand(docs, min_docs):
     assert got == pytest.approx(want, abs=1e-12)
     assert trained.n_tokens == len(want)
     scored = {r["doc_id"]: r["logit_0"] for r in scoring.score_weights(docs, trained).collect()}
-    assert scored == pytest.approx({i: sum(want.get(w, 0) for w in s) for i, s in enumerate(sets)}, abs=1e-8)
+    assert scored == pytest.approx({i: sum(want.get(w, 0) for w in [*s, ""]) for i, s in enumerate(sets)}, abs=1e-8)
+
+
+def test_prior(spark, docs):
+    """Zero for balanced classes; else the log odds of the classes, which a text without words gets."""
+    assert model.class_prior(docs).first()["weight_0"] == 0
+    skewed = docs.filter("label = 1 or doc_id = 2")
+    prior = model.class_prior(skewed, smoothing=[0.5, 1.0]).first()
+    assert (prior["weight_0"], prior["weight_1"]) == pytest.approx((math.log(3.5 / 1.5), math.log(4 / 2)))
+    empty = spark.createDataFrame([(None, 1), ("", 1), ("?!", 2)], "text string, doc_id int")
+    scored = scoring.score_rows(empty, model.train_nb(skewed), "text").collect()
+    assert {round(r["positive_score"], 9) for r in scored} == {round(4 / 6, 9)}
 
 
 def test_token_counts(docs):
@@ -46,39 +61,54 @@ def test_token_counts(docs):
 
 
 def tricky(spark):
-    texts = TEXTS + [None, "", "GOOD-BAD", "Know good", "goİod bad", "naïve good", "z" * 100_000, "good " * 20_000]
-    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    """Null and repeated ids, missing texts, other scripts, long texts."""
+    texts = TEXTS + [None, "", "GOOD-BAD", "Know good", "goİod bad", "naïve good", "Привет, schön", "z" * 100_000,
+                     "good " * 20_000]
+    ids = [None, None, 3, 3, 3, *range(5, len(texts))]
+    return spark.createDataFrame(list(zip(ids, texts, range(len(texts)))), "doc_id long, text string, place int")
 
 
 def test_all_scoring_paths_agree(spark, docs, monkeypatch):
-    extra = spark.createDataFrame([("know", 1, 3.0), ("od", 2, 5.0), ("go", 9, -2.0)],
-                                  "token string, n_docs long, weight_0 double")
+    extra = spark.createDataFrame([("know", 1, 3.0), ("od", 2, 5.0), ("go", 9, -2.0), ("привет", 1, 1.5), ("schön", 3, 0.25),
+                                   ("naïve", 1, 0.125)], "token string, n_docs long, weight_0 double")
     weights = model.train_nb(docs, min_docs=1).weights.unionByName(extra)
     trained = model.stored_model(weights)
     rows = tricky(spark).repartition(3)
+    known = {r["token"]: r["weight_0"] for r in weights.collect()}
+    want = {r["place"]: sum(known.get(w, 0) for w in words_of(r["text"])) + known[""] for r in rows.collect()
+            if r["text"] is None or "İ" not in r["text"]}
 
     def logits(df):
-        return {r["doc_id"]: r["logit_0"] for r in df.collect()}
-
-    joined = logits(scoring.score_weights(rows, trained))
-    in_task = logits(scoring.score_with_model(rows, scoring.token_scorer(trained), "text"))
-    assert in_task == joined and len(joined) == rows.count() and trained.head_docs == 1
-    small = sorted(map(tuple, scoring.score_rows(rows, trained, "text", "doc_id").collect()))
-
-    # Only the tokens of two and more documents, then none, fit in a broadcast.
-    for limit, head_docs in ((150, 2), (0, 16)):
+        return {r["place"]: r["logit_0"] for r in df.collect()}
+
+    joined = logits(scoring.score_weights(rows, trained, "place"))
+    assert {p: joined[p] for p in want} == pytest.approx(want, abs=1e-8) and len(joined) == rows.count()
+    assert logits(scoring._scored_in_task(rows, trained, "text")) == joined and trained.head_docs == 1
+    assert logits(scoring._scored_by_join(rows, trained, "text")) == joined
+    small = scoring.score_rows(rows, trained, "text")
+    assert small.columns == [*rows.columns, "positive_score", "negative_score", "prediction_label", "prediction"]
+    in_task = sorted(map(tuple, small.collect()), key=lambda r: r[2])
+    assert [r[2] for r in in_task] == list(range(rows.count()))
+
+    # Only the frequent tokens, then none, fit in a broadcast; neither fits in a task.
+    for limit in (400, 0):
         monkeypatch.setattr(model, "BROADCAST_BYTES", limit)
         split = model.stored_model(weights)
-        assert split.head_docs == head_docs and split.n_tokens == trained.n_tokens
-        assert logits(scoring.score_weights(rows, split)) == joined
-    monkeypatch.setattr(scoring, "TASK_TOKENS", 3)
-    large = scoring.score_rows(rows, trained, "text", "doc_id").select("doc_id", "text", "positive_score", "negative_score",
-                                                                        "prediction_label", "prediction")
-    assert sorted(map(tuple, large.collect())) == small
+        assert split.head_docs > 1 and split.n_tokens == trained.n_tokens
+        assert logits(scoring.score_weights(rows, split, "place")) == joined
+        monkeypatch.setattr(model, "BROADCAST_BYTES", min(limit, 16))
+        large = scoring.score_rows(rows, split, "text")
+        assert large.columns == small.columns
+        assert sorted(map(tuple, large.collect()), key=lambda r: r[2]) == in_task
     with pytest.raises(ValueError):
         scoring.token_scorer(trained)
 
 
+def test_tokens_do_not_move_the_texts_in_task(spark, docs):
+    plan = scoring.score_rows(tricky(spark), model.train_nb(docs), "text")._jdf.queryExecution().toString()
+    assert "Exchange" not in plan.split("== Physical Plan ==")[1]
+
+
 def test_own_model_in_tasks(spark):
     df = spark.createDataFrame([("abc", 1), ("", 2), (None, 3)], "text string, other int")
 
@@ -133,6 +163,7 @@ def test_train_choose_evaluate(spark):
     best = evaluation.select_best(metrics)
     chosen = modelling.chosen(candidates, best, grid)
     assert chosen.columns == ("weight_0",) and chosen.n_tokens == candidates.n_tokens
+    assert modelling.score_test_set(df.filter("doc_id >= 300"), chosen).count() == 100
     scored = modelling.score_test_set(df.filter("doc_id >= 300"), chosen, n=20)
     document = modelling.evaluation_document(scored, "demo").first()
     assert document["metrics"]["eval_f1"] == 1.0 and document["metrics"]["eval_loss"] < 0.1

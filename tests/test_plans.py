@@ -69,13 +69,17 @@ def test_modelling_job(spark, tmp_path):
     source.write_text("\n".join(lines) + "\n")
     data, out = f"{tmp_path}/data", f"{tmp_path}/model"
     training_data.run(spark, str(source), data, cap=60)
-    modelling.run(spark, f"{data}/sampled_csv", f"{data}/remaining", out, n=20)
+    modelling.run(spark, f"{data}/sampled_csv", f"{data}/remaining", out)
     document = readers.read_metrics_json(
         spark, f"{out}/documents/model_evaluation", schema.EVALUATION_SUMMARY).first()
     assert document["metrics"]["eval_f1"] == 1.0 and document["model_name"] == "naive-bayes"
-    assert document["class_summary"]["actual_positive"] == 20 and document["timestamp"]
+    tested_rows = readers.read_stage(spark, f"{out}/tested")
+    classes = document["class_summary"]
+    assert classes["actual_positive"] + classes["actual_negative"] == tested_rows.count() and document["timestamp"]
+    remaining = readers.read_stage(spark, f"{data}/remaining")
+    assert 0 < tested_rows.count() < remaining.count()
     assert readers.read_stage(spark, f"{out}/candidates").count() == len(model.SMOOTHING_GRID)
     tested = readers.read_scored_csv(spark, f"{out}/tested_csv")
-    assert tested.columns == ["text", "label", "prediction"] and tested.count() == 40
+    assert tested.columns == ["text", "label", "prediction"] and tested.count() == tested_rows.count()
     loaded = model.load_model(spark, f"{out}/model")
     assert loaded.columns == ("weight_0",) and loaded.n_tokens > 0

@@ -32,13 +32,29 @@ def test_scored_columns_are_typed(spark, tmp_path):
         "upload_id": "bigint", "short_review": "boolean", "positive_score": "double", "review": "string"}
 
 
-def test_small_exports_are_one_file(spark, tmp_path):
+def test_one_file_is_asked_for(spark, tmp_path):
     df = spark.range(100).repartition(5)
-    writers.export_csv(df, f"{tmp_path}/one", at_most_rows=100)
+    writers.export_csv(df, f"{tmp_path}/one", single_file=True)
     writers.export_csv(df, f"{tmp_path}/many")
-    writers.export_csv(df, f"{tmp_path}/large", at_most_rows=writers.SINGLE_FILE_ROWS + 1)
-    parts = [len(glob.glob(f"{tmp_path}/{d}/part-*.csv")) for d in ("one", "many", "large")]
-    assert parts == [1, 5, 5]
+    parts = [len(glob.glob(f"{tmp_path}/{d}/part-*.csv")) for d in ("one", "many")]
+    assert parts == [1, 5]
+
+
+def test_one_file_keeps_the_order(spark, tmp_path):
+    df = spark.range(5000).repartition(7).orderBy("id")
+    writers.export_csv(df, f"{tmp_path}/one", single_file=True)
+    (file,) = glob.glob(f"{tmp_path}/one/part-*.csv")
+    assert open(file).read().split() == ["id", *map(str, range(5000))]
+
+
+def test_files_with_other_column_orders(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("review_body,label\ngood,1\n")
+    (tmp_path / "b.csv").write_text("label,extra,review_body\n0,x,\"bad, 1\"\n")
+    (tmp_path / "empty.csv").write_text("")
+    got = readers.read_training_csv(spark, str(tmp_path))
+    assert got.schema == schema.TRAINING and sorted(map(tuple, got.collect())) == [("bad, 1", 0), ("good", 1)]
+    named = readers.read_reviews_csv(spark, str(tmp_path)).select("label", "extra", "review_body")
+    assert sorted(map(tuple, named.collect())) == [("0", "x", "bad, 1"), ("1", None, "good")]
 
 
 def test_header_names_the_columns_whatever_their_order(spark, tmp_path):

@@ -1,7 +1,6 @@
 """File streams give what the batch operators give."""
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from opinion_engine.functions import scores, text
 from opinion_engine.operators import serving
@@ -9,8 +8,6 @@ from opinion_engine.plans import uploads
 from opinion_engine.sources import readers
 from opinion_engine.streaming import uploads as stream
 
-COLUMNS = T.StructType([T.StructField("user_name", T.StringType()), T.StructField("review", T.StringType())])
-
 
 def put(folder, stamp, rows):
     lines = ["user_name,review"] + [f'{u},"{t}"' for u, t in rows]
@@ -34,9 +31,9 @@ def test_cleaned_stream_equals_batch(spark, tmp_path):
     put(incoming, "20240131235959", batch("a", 0, 7))
     put(incoming, "undated", batch("b", 7, 3))
     out, check = f"{tmp_path}/out", f"{tmp_path}/check"
-    stream.clean_uploads(stream.upload_stream(spark, str(incoming), COLUMNS), out, check).awaitTermination()
+    stream.clean_uploads(stream.upload_stream(spark, str(incoming)), out, check).awaitTermination()
     put(incoming, "20240201000000", batch("a", 10, 4))
-    stream.clean_uploads(stream.upload_stream(spark, str(incoming), COLUMNS), out, check).awaitTermination()
+    stream.clean_uploads(stream.upload_stream(spark, str(incoming)), out, check).awaitTermination()
     got = readers.read_partitioned(spark, out, ["user_name"])
     want = uploads.clean_upload(readers.read_reviews_csv(spark, str(incoming)))
     columns = ["user_name", "review", "review_clean", "short_review"]
@@ -52,7 +49,7 @@ def test_summary_over_batches_equals_one_pass(spark, tmp_path):
     out, check = f"{tmp_path}/out", f"{tmp_path}/check"
     for day, (user, start, n) in enumerate([("a", 0, 9), ("b", 9, 5), ("a", 14, 8)]):
         put(incoming, f"2024010{day + 1}000000", batch(user, start, n))
-    files = stream.upload_stream(spark, str(incoming), COLUMNS, files_per_batch=1)
+    files = stream.upload_stream(spark, str(incoming), files_per_batch=1)
     stream.score_uploads(files, score, out, check).awaitTermination()
     rows = spark.read.parquet(f"{out}/scored")
     assert rows.select("batch").distinct().count() == 3
@@ -61,5 +58,41 @@ def test_summary_over_batches_equals_one_pass(spark, tmp_path):
     assert got == want and [r["total_reviews"] for r in got] == [17, 5]
     assert got[0]["top_positive_reviews"][0].startswith("review 001 ")
     # Nothing new: nothing changes.
-    stream.score_uploads(stream.upload_stream(spark, str(incoming), COLUMNS), score, out, check).awaitTermination()
+    stream.score_uploads(stream.upload_stream(spark, str(incoming)), score, out, check).awaitTermination()
     assert stream.read_summary(spark, out).orderBy("user_name").collect() == want
+    # A stream with another checkpoint adds its own rows and leaves the first ones.
+    other = tmp_path / "other"
+    other.mkdir()
+    put(other, "20240105000000", batch("c", 0, 4))
+    stream.score_uploads(stream.upload_stream(spark, str(other)), score, out, f"{tmp_path}/check2").awaitTermination()
+    users = {r["user_name"]: r["total_reviews"] for r in stream.read_summary(spark, out).collect()}
+    assert users == {"a": 17, "b": 5, "c": 4}
+
+
+def test_totals_replace_the_parts_before_them(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stream, "MERGED_BATCHES", 2)
+    incoming = tmp_path / "in"
+    incoming.mkdir()
+    out, check = f"{tmp_path}/out", f"{tmp_path}/check"
+    for day in range(5):
+        put(incoming, f"2024010{day + 1}000000", batch("ab"[day % 2], 3 * day, 3))
+    stream.score_uploads(stream.upload_stream(spark, str(incoming), files_per_batch=1), score, out, check).awaitTermination()
+    rows = spark.read.parquet(f"{out}/scored")
+    assert sorted(r[0] for r in spark.read.parquet(f"{out}/total-counts").select("batch").distinct().collect()) == [1, 3]
+    assert rows.select("upload_id").distinct().count() == rows.count()
+    assert (stream.read_summary(spark, out).orderBy("user_name").collect()
+            == serving.summarize(rows, ["user_name"]).orderBy("user_name").collect())
+
+
+def test_files_by_header_and_users_by_folder(spark, tmp_path):
+    incoming = tmp_path / "in files"
+    (incoming / "bob+co").mkdir(parents=True)
+    (incoming / "20240131235959_a.csv").write_text("review,upload_id,user_name\n\"A text, long\",1,eve\nnone,2,\n")
+    (incoming / "bob+co" / "x.csv").write_text("stars,review\n5,Fine\n1,Poor\n")
+    (incoming / "notes.txt").write_text("not an upload")
+    out = f"{tmp_path}/out"
+    stream.clean_uploads(stream.upload_stream(spark, str(incoming)), out, f"{tmp_path}/check").awaitTermination()
+    got = readers.read_partitioned(spark, out, ["user_name"]).select("user_name", "review", "file_name", "upload_id").collect()
+    assert sorted((str(r[0]), r[1], r[2]) for r in got) == [
+        ("None", "none", "20240131235959_a.csv"), ("bob+co", "Fine", "x.csv"), ("bob+co", "Poor", "x.csv"),
+        ("eve", "A text, long", "20240131235959_a.csv")]

@@ -44,15 +44,23 @@ _LAST_ID = (1 << 63) - 1
 _PACKED = "bucket long, hashes binary, owners binary, places binary, ids binary, known boolean"
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Small numbers byte by byte, all low bytes first, so that the empty high bytes compress to nothing."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4")[:, 0]
+
+
 def _pack(hashes: np.ndarray, owners: np.ndarray, places: np.ndarray, ids: np.ndarray, bucket: np.ndarray,
           known: bool) -> Iterator[tuple]:
     """Rows of the packed form, one per bucket; ``owners`` index ``ids``."""
-    order = np.argsort(bucket, kind="stable")
+    order = np.lexsort([places, owners, bucket])
     cuts = np.flatnonzero(np.diff(bucket[order])) + 1
     for at in np.split(order, cuts) if len(order) else ():
         used, owner = np.unique(owners[at], return_inverse=True)
-        yield (int(bucket[at[0]]), hashes[at].tobytes(), owner.astype("<u4").tobytes(),
-               places[at].astype("<u4").tobytes(), ids[used].tobytes(), known)
+        yield (int(bucket[at[0]]), hashes[at].tobytes(), _planes(owner), _planes(places[at]), ids[used].tobytes(), known)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -69,8 +77,8 @@ def _unpack(table: pa.Table, known: bool) -> tuple[np.ndarray, np.ndarray, np.nd
     for hashes, owners, places, ids, is_known in zip(*columns):
         if is_known == known:
             out[0].append(np.frombuffer(hashes, np.uint64))
-            out[1].append(np.frombuffer(ids, np.int64)[np.frombuffer(owners, "<u4")])
-            out[2].append(np.frombuffer(places, "<u4"))
+            out[1].append(np.frombuffer(ids, np.int64)[_numbers(owners)])
+            out[2].append(_numbers(places))
     return tuple(np.concatenate(o) for o in out)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -28,7 +30,7 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting; it gets a temporary folder.
+    Only a local session may go without that setting; it gets a temporary folder, which goes when Python ends.
     """
     root = spark.conf.get(_CHECKPOINT_DIR, None)
     if not root:
@@ -38,6 +40,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             if not context.master.startswith("local"):
                 raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that all executors share")
             root = tempfile.mkdtemp(prefix="opinion-engine-")
+            atexit.register(shutil.rmtree, root, ignore_errors=True)
             context.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

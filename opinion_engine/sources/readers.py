@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,9 @@ CSV_QUOTING = {"header": "true", "quote": '"', "escape": '"'}
 # An empty cell is null and a quoted empty cell is an empty text. By default both are null.
 CSV_READING = {**CSV_QUOTING, "nullValue": "\u0000"}
 
+# First lines of files are read this many at a time.
+HEADERS_AT_ONCE = 16
+
 TEXT_COLUMNS = ("review_body", "review")
 
 
@@ -45,10 +49,11 @@ def read_csv_files(
 ) -> DataFrame:
     """The rows of CSV files by the names in their headers, with each row's file if ``file_column`` names it."""
     groups: dict[tuple[str, ...], list[str]] = {}
-    for file in files:
-        header = _header(spark, file, multi_line)
-        if header:
-            groups.setdefault(header, []).append(file)
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        headers = pool.map(lambda file: _header(spark, file, multi_line), files)
+        for file, header in zip(files, headers):
+            if header:
+                groups.setdefault(header, []).append(file)
     if not groups:
         raise ValueError(f"no CSV file with a header among {list(files)}")
     reader = spark.read.options(**CSV_READING, multiLine=multi_line, enforceSchema=False)

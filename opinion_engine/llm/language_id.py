@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import keys
 from .wordhash import slices
 
 UNKNOWN = "und"
@@ -155,18 +156,31 @@ def _clusters(idf: np.ndarray, lang_column: str):
     return run
 
 
+def _sampled_ids(ids: DataFrame, n: int) -> DataFrame:
+    """The ``n`` ids of each language with the smallest hashes, with ``_order``.
+
+    Counts per size of the hash, at most 961 per language, tell which few ids can be among them. Only those, about
+    a sixteenth more than ``n``, are ranked, however many tasks read the table.
+    """
+    sized = ids.withColumn("_order", keys.order_key(F.col("doc_id"))).withColumn(
+        "_size", keys.size_bucket(F.col("_order")))
+    before = Window.partitionBy("lang").orderBy("_size").rowsBetween(Window.unboundedPreceding, -1)
+    counts = sized.groupBy("lang", "_size").agg(F.count(F.lit(1)).alias("_n"))
+    wanted = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).filter(F.col("_before") < n)
+    order = Window.partitionBy("lang").orderBy("_order", "doc_id")
+    return (sized.join(wanted.select("lang", "_size"), ["lang", "_size"], "left_semi")
+            .withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= n)
+            .select("lang", "doc_id", "_order").distinct())
+
+
 def fit(docs: DataFrame, learn: F.Column, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learn from ``text`` and ``lang`` of the rows where ``learn`` holds and ``lang`` is not null."""
     rows = docs.select("doc_id", F.col("text"), F.col("lang").cast("string").alias("lang")).filter(
         learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     found, documents = _document_frequencies(rows.select("text"))
     idf = np.log((1 + documents) / (1 + found)) + 1
-    order = Window.partitionBy("lang").orderBy("_order", "doc_id")
-    chosen = (rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("_order"))
-              .withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= sample_rows)
-              .select("lang", "doc_id", "_order").distinct())
     # The sample has at most sample_rows short rows per language.
-    sample = rows.join(F.broadcast(chosen), ["lang", "doc_id"])
+    sample = rows.join(F.broadcast(_sampled_ids(rows.select("lang", "doc_id"), sample_rows)), ["lang", "doc_id"])
     learned = sample.groupBy("lang").applyInArrow(
         _clusters(idf, "lang"), "lang string, centroid binary, nearest double").collect()
     learned.sort(key=lambda r: (r["lang"], r["centroid"]))

@@ -23,9 +23,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import sampling
 from .common import type_of
 from .wordhash import slices
 
@@ -140,8 +141,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learn: F.Column, rows: i
     """``text`` and ``toxic`` of at most ``rows`` learning documents per class, chosen by a hash of the id."""
     one = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter(
         F.col("toxic").isin(0, 1) & learn).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = one.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= rows).drop("_rank")
+    chosen = sampling.per_class_sample(one, "doc_id", "toxic", rows)
     # At most two short rows per unit of ``rows``.
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
 

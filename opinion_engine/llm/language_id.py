@@ -33,6 +33,7 @@ FEATURES = 1 << FEATURE_BITS
 SAMPLE_ROWS = 300
 CENTROIDS = 4
 ROUNDS = 10
+SMALLEST_SHARE = 0.05
 REJECT = 0.1
 _SLICE_ROWS = 128
 _LETTERS = np.full(256, 0x20, np.uint8)
@@ -134,7 +135,8 @@ def cluster(vectors: np.ndarray, k: int = CENTROIDS, rounds: int = ROUNDS) -> tu
         centroids = sums / np.linalg.norm(sums, axis=1, keepdims=True)
     cosine = vectors @ centroids.T
     own = cosine.argmax(1)
-    used = [c for c in range(len(centroids)) if (own == c).any()]
+    # A cluster of a few rows is no kind of text but an error in the labels.
+    used = [c for c in range(len(centroids)) if (own == c).sum() >= max(1, SMALLEST_SHARE * len(vectors))]
     return centroids[used], np.array([cosine[own == c, c].min() for c in used])
 
 

@@ -306,6 +306,15 @@ def allowed_share(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
+def allowed_bits(similarity: float, bits: int = LONG_BITS) -> int:
+    """Differing bits up to which a pair links: the expected number and one standard deviation more.
+
+    So five of six pairs at exactly the similarity asked for link, and more of those above.
+    """
+    p = allowed_share(similarity)
+    return math.floor(bits * p + math.sqrt(bits * p * (1 - p)))
+
+
 def piece_plan(total: int, similarity: float, max_bits: int = MAX_BITS) -> tuple[int, int]:
     """Bits per piece and number of pieces for a table of ``total`` fingerprints."""
     bits = min(64, max(16, math.ceil(math.log2(max(total, 2))) + 10))
@@ -347,7 +356,7 @@ def similar_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> D
     total = distinct.count()
     bits, pieces = piece_plan(total, similarity)
     rows = distinct.select("fp", "id").mapInArrow(_send_pieces(bits, pieces), "trie int, fp long, id long, long binary")
-    found = links(rows, total, MAX_BITS, LONG_PART, bits, math.floor(LONG_BITS * allowed_share(similarity)))
+    found = links(rows, total, MAX_BITS, LONG_PART, bits, allowed_bits(similarity))
     return _grouped(prints, distinct, found).select("doc_id", "fp", "component_id")
 
 

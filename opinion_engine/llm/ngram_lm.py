@@ -1,19 +1,21 @@
 """LM scoring with a weighted backoff automaton.
 
 Learning. Word counts over all learning texts give p(w) = (c - d) / N with an absolute discount d; the mass it
-frees belongs to words not seen. Words with at least ``HEAD`` of all tokens are heads (at most 1 / HEAD of them).
-Pairs of heads are counted as well, and those with at least ``ARC`` of all tokens become arcs (at most 1 / ARC):
-p(w | h) = (c(h, w) - d2) / c(h). A head with arcs is a state; its failure arc leads to the root and weighs what
-is left of its probability over what the root gives to words without an arc.
-
-Scoring. Each text is traversed once from left to right; the automaton carries its state, and a word without an
-arc takes the failure arc first. States, arcs and head counts have the bounds above and go to every task. Counts
-of all other words stay distributed: a text's rare words are sent to their counts as (hash, row, times), and
-what they add to the sums comes back per row. No text is shuffled.
-
-Words are 64-bit hashes. What is gathered from the corpus, the counts of all words and of all head pairs, grows
-with it. Counts are combined per block of text before they are sent, so a word that makes up a third of all
-tokens sends one row per block.
+frees belongs to words not seen. All pairs of neighbouring words are counted as well, and each that occurs
+``LEAST`` times or more, whatever the size of the table, is an arc: p(w | h) = (c(h, w) - d) / c(h). A word with
+arcs is a state; its failure arc leads to the root and weighs what is left of its probability over what the root
+gives to words without an arc. ``fit`` can be asked for a pruned model, by shares of all tokens.
+
+Scoring. The state after a word is that word, so the steps of a text are looked up together: every step weighs
+its failure arc and its word at the root, and a step with an arc weighs the arc instead. Words with at least
+``HEAD`` of all tokens (heads, at most 1 / HEAD) and arcs with at least ``ARC`` (at most 1 / ARC) go to every task.
+That is a cache: the weights of all other words and arcs are tables. A text's other words and pairs are sent to
+them as (hash, row, times), and what they add to the sums comes back per row. No text is shuffled.
+
+Words and pairs are 64-bit hashes; a pair of heads is exact. What is gathered from the corpus, the counts of all
+words and pairs, grows with it. Counts are combined per block of text before they are sent, so a word that makes
+up a third of all tokens sends one row per block. Weights of heads reach the pairs by broadcast, so no head, which
+may have very many pairs, is a key of a shuffled join.
 
 Edge values: a null or empty text has the end token only. Rows without an id are scored but not learned from.
 Rows that share an id are scored each for itself. If nothing is learned, scores are those of an empty model:
@@ -32,13 +34,14 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .common import type_of
-from .wordhash import Block, blocks, word_hashes
+from .wordhash import Block, blocks, mix, word_hashes
 
 HEAD = 1e-6
 ARC = 2e-6
+LEAST = 2
 ADD = 0.1
 END = np.uint64(0xE0D0E0D0E0D0E0D1)  # the end token; no word hashes to it but by accident
-ROOT = 0
+_REST = np.uint64(1 << 63)  # set in the number of a word that is no head
 
 
 def _tokens(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -90,7 +93,7 @@ class Numbering:
 
 @dataclass
 class Model:
-    """Everything that tasks need; bounded by HEAD and ARC."""
+    """What goes to every task; bounded by the shares of ``fit``."""
 
     tokens: int  # N
     words: int  # V
@@ -98,96 +101,160 @@ class Model:
     unknown: float  # log10 of the probability of a word not seen
     heads: np.ndarray
     head_counts: np.ndarray
-    arcs: dict[int, tuple[float, int]]  # state << 32 | head -> (log10 weight, next state)
-    fail: dict[int, float]  # log10 weight of a state's failure arc
+    fail: np.ndarray  # log10 weight of each head's failure arc, 0 without arcs
+    arcs: dict[str, np.ndarray]  # sorted "key", and "gain", log10 of an arc over the failure arc and the root; or empty
+
+
+@dataclass
+class Stored:
+    """Tables of all words (``word``, ``n``, ``fail``) and all arcs (``key``, ``gain``)."""
+
+    words: DataFrame
+    arcs: DataFrame
+
+
+def _numbers(tokens: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Heads by their number, other words by their hash, mixed once more for ``END``, with the top bit set."""
+    return np.where(heads > 0, heads.astype(np.uint64), mix(tokens) | _REST)
+
+
+def _keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return (before << np.uint64(32) | before >> np.uint64(32)) ^ word
+
 
-    def rare(self, count: float) -> float:
-        return float(np.log10((count - self.discount) / self.tokens))
+def _before(words: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The word before each; a text begins after an end token."""
+    out = np.concatenate([end, words[:-1]])
+    out[first[:-1]] = end
+    return out
 
 
 def _pair_counts(texts: DataFrame, heads: np.ndarray) -> DataFrame:
-    """``h``, ``w`` and ``n`` of neighbouring heads; a text begins after an end token."""
+    """``h``, ``w`` (numbers of words) and ``n`` of neighbouring words."""
     sent = texts.sparkSession.sparkContext.broadcast(heads)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = Numbering(sent.value)
-        end = int(number(np.array([END]))[0])
+        end = _numbers(np.array([END]), number(np.array([END])))
         for batch in batches:
             for block in blocks(batch.column(0), lower=True):
                 tokens, first = _tokens(block)
-                ids = number(tokens).astype(np.int64)
-                before = np.concatenate([[end], ids[:-1]])
-                before[first[:-1]] = end
-                both = (ids > 0) & (before > 0)
-                found, counts = np.unique(before[both] << 32 | ids[both], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts)], ["pair", "n"])
+                words = _numbers(tokens, number(tokens))
+                before = _before(words, first, end)
+                _, at, counts = np.unique(_keys(before, words), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(before[at].view(np.int64)), pa.array(words[at].view(np.int64)), pa.array(counts)],
+                    ["h", "w", "n"])
+
+    return texts.mapInArrow(count, "h long, w long, n long").groupBy("h", "w").agg(F.sum("n").alias("n"))
+
+
+def _numbered(counts: DataFrame, heads: np.ndarray) -> DataFrame:
+    """``counts`` with ``id``, the number of each word."""
+    sent = counts.sparkSession.sparkContext.broadcast(heads)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = Numbering(sent.value)
+        for batch in batches:
+            words = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            ids = _numbers(words, number(words)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids)], ["word", "n", "id"])
+
+    return counts.select("word", "n").mapInArrow(run, "word long, n long, id long")
+
+
+def _looked_up(pairs: DataFrame, column: str, words: DataFrame) -> DataFrame:
+    """Stored ``pairs`` with the columns of ``words`` for the word ``column``: heads by broadcast, others by shuffle."""
+    heads, rest = (words.withColumnRenamed("id", column).filter(F.col(column) > 0),
+                   words.withColumnRenamed("id", column).filter(F.col(column) < 0))
+    return (pairs.filter(F.col(column) > 0).join(F.broadcast(heads), column)
+            .unionByName(pairs.filter(F.col(column) < 0).join(rest, column)))
 
-    return texts.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
+def fit(texts: DataFrame, head: float = 0.0, arc: float = 0.0, cached_head: float = HEAD,
+        cached_arc: float = ARC) -> tuple[Model, Stored]:
+    """Learn from a one-column frame of texts; returns what tasks get and the tables of everything.
 
-def fit(texts: DataFrame, head: float = HEAD, arc: float = ARC) -> tuple[Model, DataFrame]:
-    """Learn from a one-column frame of texts; returns the model and the stored counts of all words."""
+    ``head`` and ``arc`` prune the model: arcs join words with at least ``head`` of all tokens, and have at least
+    ``arc`` themselves. Nothing is pruned by default. What is cached changes no score.
+    """
     counts = materialize(count_words(texts), "word-counts")
     total = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"), F.count_if(F.col("n") == 1).alias("n1"),
                        F.count_if(F.col("n") == 2).alias("n2")).first()
     n, v = total["n"] or 0, total["v"]
     if not n:
         none = np.zeros(0, np.uint64)
-        return Model(0, 0, 0.0, 0.0, none, none.astype(np.int64), {}, {}), counts
+        nothing = counts.select("word", "n", F.lit(0.0).alias("fail"))
+        return (Model(0, 0, 0.0, 0.0, none, none.astype(np.int64), np.zeros(0), {}),
+                Stored(nothing, counts.select(F.col("word").alias("key"), F.lit(0.0).alias("gain"))))
     discount = min(0.95, max(0.05, total["n1"] / max(1, total["n1"] + 2 * total["n2"])))
-    # At most 1 / head rows.
-    rows = counts.filter(F.col("n") >= head * n).toPandas()
-    heads = rows["word"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(heads)
-    heads, head_counts = heads[order], rows["n"].to_numpy(np.int64)[order]
-    pairs = _pair_counts(texts, heads).filter(F.col("n") >= max(2.0, arc * n)).toPandas()  # at most 1 / arc rows
-    pair, times = pairs["pair"].to_numpy(np.int64), pairs["n"].to_numpy(np.int64)
-    before, word = pair >> 32, pair & 0xFFFFFFFF
-    given = np.append(0, head_counts)
-    weight = (times - discount) / given[before]
-    root = (given - discount) / n
-    kept = np.bincount(before, weight, minlength=len(given))
-    lower = np.bincount(before, root[word], minlength=len(given))
-    states = np.unique(before)
-    fail = np.log10((1 - kept[states]) / (1 - lower[states]))
-    state = set(states.tolist())
-    arcs = {int(p): (float(x), int(w) if w in state else ROOT)
-            for p, x, w in zip(pair.tolist(), np.log10(weight).tolist(), word.tolist())}
-    return Model(n, v, discount, float(np.log10(discount * v / n)), heads, head_counts, arcs,
-                 dict(zip(states.tolist(), fail.tolist()))), counts
+    # At most 1 / cached_head rows.
+    rows = counts.filter(F.col("n") >= cached_head * n).select("word").toPandas()
+    heads = np.sort(rows["word"].to_numpy(np.int64).view(np.uint64))
+    pairs = materialize(_pair_counts(texts, heads).filter(F.col("n") >= max(float(LEAST), arc * n)), "pair-counts")
+    words = _numbered(counts, heads)
+    root = lambda c: (F.col(c) - discount) / F.lit(float(n))
+    after = materialize(_looked_up(pairs, "w", words.filter(F.col("n") >= head * n).select(
+        "id", root("n").alias("root"))), "pair-roots")
+    sums = after.groupBy(F.col("h").alias("id")).agg(
+        F.sum(F.col("n") - discount).alias("kept"), F.sum("root").alias("lower"))
+    weight = F.log10((1 - F.col("kept") / F.col("n")) / (1 - F.col("lower")))
+    words = materialize(words.join(sums, "id", "left").select(
+        "id", "word", "n", F.when(F.col("n") >= head * n, weight).alias("fail")), "word-weights")
+    enough = words.filter(F.col("n") >= head * n)
+    arcs = materialize(_looked_up(after, "h", enough.select("id", F.col("n").alias("c"), "fail")).select(
+        F.shiftleft("h", 32).bitwiseOR(F.shiftrightunsigned("h", 32)).bitwiseXOR(F.col("w")).alias("key"), "n",
+        (F.log10((F.col("n") - discount) / F.col("c")) - F.col("fail") - F.log10("root")).alias("gain"),
+        ((F.col("h") > 0) & (F.col("w") > 0)).alias("heads")), "pair-weights")
+    rows = words.filter("id > 0").select("id", "n", "fail").toPandas().sort_values("id")
+    # At most 1 / cached_arc rows.
+    cached = arcs.filter(F.col("heads") & (F.col("n") >= cached_arc * n)).select("key", "gain").toPandas().sort_values("key")
+    return (Model(n, v, discount, float(np.log10(discount * v / n)), heads, rows["n"].to_numpy(np.int64),
+                  rows["fail"].fillna(0.0).to_numpy(np.float64),
+                  {"key": cached["key"].to_numpy(np.int64).view(np.uint64), "gain": cached["gain"].to_numpy(np.float64)}),
+            Stored(words.select("word", "n", F.coalesce("fail", F.lit(0.0)).alias("fail")), arcs.select("key", "gain")))
 
 
 class Automaton:
-    """The traversal. ``root`` holds the weights of heads at the root, by number."""
-
-    def __init__(self, model: Model, number: Numbering) -> None:
-        self.arcs, self.fail = model.arcs, model.fail
-        counts = np.append(model.discount + 1, model.head_counts)  # number 0 is no head
-        self.root = np.log10((counts - model.discount) / max(model.tokens, 1)).tolist()
-        end = int(number(np.array([END]))[0])
-        self.start = end if end in self.fail else ROOT
-
-    def score(self, numbers: list[int]) -> float:
-        """Weights along one text's tokens, without what words that are no heads have at the root."""
-        arcs, fail, root = self.arcs, self.fail, self.root
-        state, total = self.start, 0.0
-        for word in numbers:
-            if state:
-                arc = arcs.get(state << 32 | word) if word else None
-                if arc is not None:
-                    total += arc[0]
-                    state = arc[1]
-                    continue
-                total += fail[state]
-            if word:
-                total += root[word]
-                state = word if word in fail else ROOT
-            else:
-                state = ROOT
-        return total
-
-
-def score(docs: DataFrame, model: Model, counts: DataFrame, id_column: str = "doc_id",
+    """The steps of texts over heads and cached arcs, and what is left to be looked up in the tables."""
+
+    def __init__(self, model: Model) -> None:
+        self.number = Numbering(model.heads)
+        # A word's weight at the root and, as the word before another, that of its failure arc; 0 for no head.
+        self.word = np.append(0.0, np.log10((model.head_counts - model.discount) / max(model.tokens, 1)) + model.fail)
+        self.key, self.gain = (model.arcs or {"key": np.zeros(0, np.uint64), "gain": np.zeros(0)}).values()
+        self.end = _numbers(np.array([END]), self.number(np.array([END])))
+
+    def weights(self, tokens: np.ndarray, first: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Weight of each step as far as it is known here, keys of the steps, and which arcs are not cached.
+
+        A text's words are also the words before: its end token stands for the one it begins after.
+        """
+        words = _numbers(tokens, heads)
+        keys = _keys(_before(words, first, self.end), words)
+        weight = self.word[heads]
+        if not len(self.key):
+            return weight, keys, np.ones(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.key, keys), len(self.key) - 1)
+        hit = self.key[at] == keys
+        return weight + np.where(hit, self.gain[at], 0.0), keys, ~hit
+
+
+def _per_text(hashes: np.ndarray, owner: np.ndarray, documents: int, name: str) -> pa.ListArray:
+    """Distinct ``hashes`` of each text with how often they occur."""
+    order = np.lexsort([hashes, owner])
+    hashes, rows = hashes[order], owner[order]
+    head = np.ones(len(hashes), bool)
+    head[1:] = (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1])
+    at = np.flatnonzero(head)
+    times = np.diff(np.append(at, len(hashes)))
+    return pa.ListArray.from_arrays(
+        pa.array(np.searchsorted(rows[at], np.arange(documents + 1)).astype(np.int32)),
+        pa.StructArray.from_arrays([pa.array(hashes[at].view(np.int64)), pa.array(times.astype(np.int32))],
+                                   [name, "times"]))
+
+
+def score(docs: DataFrame, model: Model, stored: Stored, id_column: str = "doc_id",
           text_column: str = "text") -> DataFrame:
     """Per row: id, ``n_tokens``, ``n_known``, ``base_score`` (add-0.1 unigrams) and ``score``."""
     spark = docs.sparkSession
@@ -196,52 +263,48 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_column: str = "do
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        number = Numbering(model.heads)
-        automaton = Automaton(model, number)
+        automaton = Automaton(model)
         base = np.append(0.0, np.log10((model.head_counts + ADD) / base_of)) if model.tokens else np.zeros(1)
         for batch in batches:
             for block in blocks(batch.column(1), lower=True):
                 ids = batch.column(0).slice(block.row, block.documents)
                 tokens, first = _tokens(block)
-                numbers = number(tokens)
+                heads = automaton.number(tokens)
                 owner = np.repeat(np.arange(block.documents), np.diff(first))
-                known = np.bincount(owner, numbers > 0, minlength=block.documents)
-                base_sum = np.bincount(owner, base[numbers], minlength=block.documents)
-                flat = numbers.tolist()
-                bounds = first.tolist()
-                sums = [automaton.score(flat[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
-                rare = np.flatnonzero(numbers == 0)
-                order = np.lexsort([tokens[rare], owner[rare]])
-                words, rows = tokens[rare][order], owner[rare][order]
-                head = np.ones(len(words), bool)
-                head[1:] = (words[1:] != words[:-1]) | (rows[1:] != rows[:-1])
-                at = np.flatnonzero(head)
-                times = np.diff(np.append(at, len(words)))
-                rare_of = pa.ListArray.from_arrays(
-                    pa.array(np.searchsorted(rows[at], np.arange(block.documents + 1)).astype(np.int32)),
-                    pa.StructArray.from_arrays([pa.array(words[at].view(np.int64)), pa.array(times.astype(np.int32))],
-                                               ["word", "times"]))
+                known = np.bincount(owner, heads > 0, minlength=block.documents)
+                base_sum = np.bincount(owner, base[heads], minlength=block.documents)
+                weight, keys, other = automaton.weights(tokens, first, heads)
+                other &= model.tokens > 0
+                sums = np.bincount(owner, weight, minlength=block.documents)
+                rare = heads == 0
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array(np.diff(first)), pa.array(known.astype(np.int64)), pa.array(base_sum),
-                     pa.array(sums, pa.float64()), rare_of],
-                    ["id", "n_tokens", "n_known", "base_score", "score", "rare"])
+                     pa.array(sums, pa.float64()), _per_text(tokens[rare], owner[rare], block.documents, "word"),
+                     _per_text(keys[other], owner[other], block.documents, "key")],
+                    ["id", "n_tokens", "n_known", "base_score", "score", "rare", "pairs"])
 
     id_type = type_of(docs, id_column)
-    # Stored, because rare words go to their counts and back while the sums wait.
+    # Stored, because words and pairs go to their weights and back while the sums wait.
     scored = materialize(
         docs.select(F.col(id_column).alias("id"), text_column).mapInArrow(
             run, f"id {id_type}, n_tokens long, n_known long, base_score double, score double, "
-                 "rare array<struct<word:bigint,times:int>>").withColumn("row", F.monotonically_increasing_id()),
-        "scored-heads")
+                 "rare array<struct<word:bigint,times:int>>, pairs array<struct<key:bigint,times:int>>").withColumn(
+            "row", F.monotonically_increasing_id()), "scored-heads")
     rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.times")
     n = F.coalesce(F.col("n"), F.lit(0))
     log_base = F.log10((n + ADD) / F.lit(float(base_of))) if model.tokens else F.lit(0.0)
-    log_root = (F.when(n > 0, F.log10((n - model.discount) / F.lit(float(model.tokens)))).otherwise(
+    log_root = (F.when(n > 0, F.log10((n - model.discount) / F.lit(float(model.tokens))) + F.col("fail")).otherwise(
         F.lit(model.unknown)) if model.tokens else F.lit(0.0))
-    added = rare.join(counts, "word", "left").groupBy("row").agg(
+    of_words = rare.join(stored.words, "word", "left").groupBy("row").agg(
         F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("more_known"),
         F.sum(F.col("times") * log_base).alias("more_base"), F.sum(F.col("times") * log_root).alias("more"))
-    out = scored.drop("rare").join(added, "row", "left")
+    pairs = scored.select("row", F.explode("pairs").alias("p")).select("row", "p.key", "p.times")
+    of_pairs = pairs.join(stored.arcs, "key").groupBy("row").agg(
+        F.sum(F.col("times") * F.col("gain")).alias("more")).select(
+        "row", F.lit(0).cast("long").alias("more_known"), F.lit(0.0).alias("more_base"), "more")
+    added = of_words.unionByName(of_pairs).groupBy("row").agg(
+        *[F.sum(c).alias(c) for c in ("more_known", "more_base", "more")])
+    out = scored.drop("rare", "pairs").join(added, "row", "left")
     return out.select(F.col("id").alias(id_column), "n_tokens",
                       (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
                       (F.col("base_score") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),

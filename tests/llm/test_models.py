@@ -73,6 +73,33 @@ def test_scores(spark, head, arc):
         assert math.isclose(sum(probability(h, w) for w in [*count, b"never seen"]), 1)
 
 
+@pytest.mark.parametrize("cached_head,cached_arc", [(1e-6, 2e-6), (0.02, 0.01), (2.0, 2.0)])
+def test_every_repeated_pair_is_scored(spark, cached_head, cached_arc):
+    """Pairs far under any share of the tokens, of frequent and of rare words; what is cached changes nothing."""
+    chosen = random.Random(5)
+    rows = [(i, " ".join(chosen.choices(["a", "b", "c"], k=60)) + (f" rare{i // 4} word{i // 4} a" if i % 2 else ""))
+            for i in range(120)] + [(200, "b rare1 never"), (201, None)]
+    count, n, base, probability = plain_model(rows, 0.0, 0.0)
+    df = documents(spark, rows)
+    model, stored = ngram_lm.fit(df.filter(~is_held_out("doc_id", 10, 0)).select("text"), cached_head=cached_head,
+                                 cached_arc=cached_arc)
+    want = {i: (sum(math.log10(base(w)) for w in tokens(t)),
+                sum(math.log10(probability(h, w)) for h, w in zip([None, *tokens(t)], tokens(t)))) for i, t in rows}
+    got = {r["doc_id"]: (r["base_score"], r["score"]) for r in ngram_lm.score(df, model, stored).collect()}
+    assert got.keys() == want.keys() and all(np.allclose(got[i], want[i]) for i in want)
+
+
+def test_large_tables_keep_repeated_pairs(spark):
+    """With 2.1 million tokens a share of 2e-6 would need five occurrences; two are enough."""
+    rows = [(i, "a " * 70_000) for i in range(30)] + [(100, "left right"), (101, "left right")]
+    df = documents(spark, rows)
+    model, stored = ngram_lm.fit(df.select("text"))
+    got = {r["doc_id"]: r["score"] for r in ngram_lm.score(df, model, stored).collect()}
+    _, _, _, probability = plain_model([(1, t) for _, t in rows], 0.0, 0.0)
+    found = tokens("left right")
+    assert math.isclose(got[100], sum(math.log10(probability(h, w)) for h, w in zip([None, *found], found)))
+
+
 def test_nothing_to_learn(spark):
     df = documents(spark, edge_rows()[:5])
     model, counts = ngram_lm.fit(df.filter("false").select("text"))

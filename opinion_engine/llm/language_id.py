@@ -2,7 +2,7 @@
 
 A text's vector holds 1 + log counts of hashed byte trigrams of its lower-cased letters, weighted by inverse
 document frequency and normalised. Each language has up to ``CENTROIDS`` centroids, found by spherical k-means
-over a bounded sample of its documents, and a text belongs to the language of the centroid with the greatest
+over a bounded sample of its documents (a language of a few documents, or of equal ones, has fewer), and a text belongs to the language of the centroid with the greatest
 cosine. It is rejected if it has no letter, or is far from every centroid: its cosine is less than ``REJECT``
 times that of the farthest document that the centroid was learned from.
 
@@ -35,6 +35,7 @@ CENTROIDS = 4
 ROUNDS = 10
 SMALLEST_SHARE = 0.05
 REJECT = 0.1
+SEED = 42
 _SLICE_ROWS = 128
 _LETTERS = np.full(256, 0x20, np.uint8)
 _LETTERS[0x61:0x7B] = np.arange(0x61, 0x7B)
@@ -120,24 +121,56 @@ def _document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     return out[:FEATURES], int(out[FEATURES])
 
 
+def _halves(vectors: np.ndarray) -> np.ndarray | None:
+    """Two unit centroids of a cluster cut at the median of its widest direction; None if its rows are equal."""
+    apart = vectors - vectors.mean(0)
+    widest = apart[np.square(apart).sum(1).argmax()]
+    for _ in range(ROUNDS):
+        if not np.linalg.norm(widest) > 1e-6:
+            return None
+        widest = (apart @ (widest / np.linalg.norm(widest))) @ apart
+    order = np.argsort(apart @ widest, kind="stable")
+    sums = np.stack([vectors[half].sum(0) for half in np.array_split(order, 2)])
+    return sums / np.linalg.norm(sums, axis=1, keepdims=True)
+
+
 def cluster(vectors: np.ndarray, k: int = CENTROIDS, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Spherical k-means from far-apart rows: unit centroids, and the least cosine of a row to its own."""
+    """Spherical k-means: unit centroids, and the least cosine of a row to its own.
+
+    It starts with k-means++. A cluster of a few rows is no kind of text but an error in the labels: its centroid
+    goes to a half of the largest cluster, and its rows do not widen the cluster that takes them.
+    """
+    random = np.random.default_rng(SEED)
     chosen = [0]
     while len(chosen) < min(k, len(vectors)):
-        near = (vectors @ vectors[chosen].T).max(1)
-        if near.min() > 1 - 1e-6:
+        far = np.maximum(0, 1 - (vectors @ vectors[chosen].T).max(1).astype(np.float64))
+        far[far <= 1e-6] = 0
+        if not far.any():
             break
-        chosen.append(int(near.argmin()))
+        chosen.append(int(random.choice(len(vectors), p=far / far.sum())))
     centroids = vectors[chosen]
-    for _ in range(rounds):
+    least, alone = max(1, SMALLEST_SHARE * len(vectors)), np.zeros(len(vectors), bool)
+    for turn in range(2 * rounds):
         own = (vectors @ centroids.T).argmax(1)
-        sums = np.stack([vectors[own == c].sum(0) if (own == c).any() else centroids[c] for c in range(len(centroids))])
-        centroids = sums / np.linalg.norm(sums, axis=1, keepdims=True)
+        sizes = np.bincount(own, minlength=len(centroids))
+        small = int(sizes.argmin())
+        if sizes[small] < least:
+            alone |= own == small
+            halves = _halves(vectors[own == sizes.argmax()]) if sizes.max() >= 2 * least else None
+            if halves is None:
+                centroids = np.delete(centroids, small, 0)
+            else:
+                centroids[[sizes.argmax(), small]] = halves
+        elif turn < rounds:
+            sums = np.stack([vectors[own == c].sum(0) for c in range(len(centroids))])
+            centroids = sums / np.linalg.norm(sums, axis=1, keepdims=True)
+        else:
+            break
     cosine = vectors @ centroids.T
     own = cosine.argmax(1)
-    # A cluster of a few rows is no kind of text but an error in the labels.
-    used = [c for c in range(len(centroids)) if (own == c).sum() >= max(1, SMALLEST_SHARE * len(vectors))]
-    return centroids[used], np.array([cosine[own == c, c].min() for c in used])
+    used = [c for c in range(len(centroids)) if (own == c).sum() >= least]
+    inside = [(own == c) & ~alone if ((own == c) & ~alone).any() else own == c for c in used]
+    return centroids[used], np.array([cosine[rows, c].min() for rows, c in zip(inside, used)])
 
 
 def _clusters(idf: np.ndarray, lang_column: str):

@@ -170,6 +170,28 @@ def test_clusters():
     assert len(one) == 1 and near[0] > 0.999
 
 
+def test_clusters_of_a_few_rows_are_replaced():
+    """Outliers do not use up the centroids of a language."""
+    chosen = np.random.default_rng(1)
+    rows = np.abs(np.eye(60)[chosen.integers(0, 4, 300)] + 0.2 + chosen.normal(0, 0.05, (300, 60)))
+    rows[:5] = np.eye(60)[10:15]
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    found, near = language_id.cluster(rows)
+    assert len(found) == len(near) == language_id.CENTROIDS
+    own = (rows @ found.T).argmax(1)
+    assert np.bincount(own, minlength=4).min() >= 15
+
+
+def test_every_language_has_several_centroids(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language_id.fit(docs, ~is_held_out("doc_id", 4, 2))
+    assert Counter(model.languages) == {lang: language_id.CENTROIDS for lang in ("de", "en", "es", "fr")}
+    got = language_id.predict(docs, model, ("doc_id", "lang")).filter(is_held_out("doc_id", 4, 2))
+    right, rows, far = got.agg(F.count_if(F.expr("lang = lang_pred")), F.count("lang"), F.count_if("rejected")).first()
+    print(right, rows, far, flush=True)
+    assert right >= 0.97 * rows
+
+
 # --- toxicity ------------------------------------------------------------------------------
 
 

@@ -14,7 +14,10 @@
 bits, whose differing share estimates the similarity. Several short pieces of the fingerprint, each a choice of
 its bits, have a trie of their own; the length of the pieces follows the size of the table, and their number is
 such that ``RECALL`` of the pairs at exactly the similarity asked for meet in one of the tries. A pair that meets
-links if the whole fingerprints differ in no more bits than the similarity allows.
+is a candidate if the whole fingerprints differ in no more bits than ``SIGMAS`` deviations above what the
+similarity lets expect. Candidates link if their sets of shingle hashes have the similarity, which is computed
+exactly. Of pairs that differ in fewer bits than ``SIGMAS`` deviations below, a spanning forest of each pair of nodes
+is checked, so a dense group has few candidates; of the others all are, unless that forest joins them already.
 
 A task holds two parts of at most about ``PART`` fingerprints. A fingerprint is sent to at most
 1 + depth + depth * (depth - 1) / 2 node pairs for two bits, with depth growing as the logarithm of the table.
@@ -47,7 +50,8 @@ FRONTIER = 1 << 14
 COMPARED = 1 << 16
 LONG_BITS = 512
 LONG_PART = 1 << 18
-RECALL = 0.95
+RECALL = 0.99
+SIGMAS = 3
 _LOWER = bytes(b + 0x20 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
@@ -105,26 +109,42 @@ def _unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
 
 
+def _span(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> Iterator[np.ndarray]:
+    """Unite like ``_unite``; yields the pairs (a[i], b[i]) that joined two sets."""
+    while True:
+        x, y = _root(parent, a), _root(parent, b)
+        apart = x != y
+        if not apart.any():
+            return
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        high, at = np.unique(np.maximum(x, y), return_index=True)
+        parent[high] = np.minimum(x, y)[at]
+        yield np.stack([a[at], b[at]], 1)
+
+
 def trie_links(left: np.ndarray, right: np.ndarray | None, max_bits: int, last_bit: int = 64,
-               whole: tuple[np.ndarray, int] | None = None) -> np.ndarray:
+               whole: tuple[np.ndarray, int, int] | None = None) -> np.ndarray:
     """A spanning forest, as index pairs, of all links within ``max_bits`` between two sorted arrays.
 
     Indices of ``right`` follow those of ``left``; without ``right`` the array is joined with itself, whose
     diagonal node pairs split into three. Values agree from ``last_bit`` on. ``whole`` holds long fingerprints of
-    all values and the bits in which they may differ; then a pair must meet both conditions.
+    all values, and the bits up to which pairs are near and candidates; then pairs must meet both conditions, and out
+    come pairs that met: a spanning forest of the near ones, and the candidates that it does not join.
     """
     values = left if right is None else np.concatenate([left, right])
     parent = np.arange(len(values))
     n = len(left)
     start = [0, n, 0, n] if right is None else [0, n, n, len(values)]
     todo = [(np.array([start], np.int64), 0)]
+    met: list[np.ndarray] = []
+    doubtful: list[np.ndarray] = []
     while todo:
         pairs, bit = todo.pop()
         while len(pairs):
             a0, a1, b0, b1 = pairs.T
             small = (a1 - a0) * (b1 - b0) <= 64
             if bit == last_bit or small.any():
-                _leaves(values, parent, pairs if bit == last_bit else pairs[small], max_bits, whole)
+                _leaves(values, parent, pairs if bit == last_bit else pairs[small], max_bits, whole, met, doubtful)
             if bit == last_bit:
                 break
             pairs = pairs[~small]
@@ -133,6 +153,11 @@ def trie_links(left: np.ndarray, right: np.ndarray | None, max_bits: int, last_b
                 pairs = pairs[:FRONTIER].copy()
             pairs = _children(values, pairs, bit, max_bits)
             bit += 1
+    if whole is not None:
+        none = np.zeros((0, 2), np.int64)
+        rest = np.unique(np.concatenate([none, *doubtful]), axis=0)
+        rest = rest[_root(parent, rest[:, 0]) != _root(parent, rest[:, 1])]
+        return np.concatenate([none, *met, rest])
     roots = _root(parent, np.arange(len(values)))
     members = np.flatnonzero(roots != np.arange(len(values)))
     return np.stack([members, roots[members]], 1)
@@ -170,7 +195,7 @@ def _children(values: np.ndarray, pairs: np.ndarray, bit: int, max_bits: int) ->
 
 
 def _leaves(values: np.ndarray, parent: np.ndarray, pairs: np.ndarray, max_bits: int,
-            whole: tuple[np.ndarray, int] | None) -> None:
+            whole: tuple[np.ndarray, int, int] | None, met: list[np.ndarray], doubtful: list[np.ndarray]) -> None:
     """Compare the members of node pairs, a bounded number at a time."""
     width = pairs[:, 3] - pairs[:, 2]
     step = np.maximum(1, COMPARED // np.maximum(width, 1))
@@ -191,8 +216,12 @@ def _leaves(values: np.ndarray, parent: np.ndarray, pairs: np.ndarray, max_bits:
         if whole is not None and len(a):
             apart = _root(parent, a) != _root(parent, b)  # what is united already needs no comparison
             a, b = a[apart], b[apart]
-            near = np.bitwise_count(whole[0][a] ^ whole[0][b]).sum(1, dtype=np.int64) <= whole[1]
-            a, b = a[near], b[near]
+            differ = np.bitwise_count(whole[0][a] ^ whole[0][b]).sum(1, dtype=np.int64)
+            doubt = (differ > whole[1]) & (differ <= whole[2])
+            doubtful.append(np.stack([np.minimum(a, b)[doubt], np.maximum(a, b)[doubt]], 1))
+            near = differ <= whole[1]
+            met.extend(_span(parent, a[near], b[near]))
+            continue
         _unite(parent, a, b)
 
 
@@ -204,7 +233,8 @@ def _masks(depth: int, max_bits: int) -> np.ndarray:
     return np.array(sorted(found), np.uint64)
 
 
-def _link_pair(table: pa.Table, max_bits: int, bits: int, whole_bits: int | None) -> pa.Table:
+def _link_pair(table: pa.Table, max_bits: int, bits: int,
+               whole_bits: tuple[int, int] | None) -> pa.Table:
     values = table.column("fp").to_numpy().view(np.uint64)
     ids = table.column("id").to_numpy()
     side = table.column("side").to_numpy()
@@ -214,14 +244,14 @@ def _link_pair(table: pa.Table, max_bits: int, bits: int, whole_bits: int | None
     whole = None
     if whole_bits is not None:
         long = np.frombuffer(b"".join(table.column("long").to_pylist()), np.uint64).reshape(len(values), -1)
-        whole = (long[order], whole_bits)
+        whole = (long[order], *whole_bits)
     found = trie_links(values[:n], values[n:] if n < len(values) else None, max_bits, bits, whole) if n else (
         np.zeros((0, 2), np.int64))
     return pa.table({"u": ids[found[:, 0]], "v": ids[found[:, 1]]})
 
 
 def links(values: DataFrame, total: int, max_bits: int = MAX_BITS, part: int = PART, bits: int = 64,
-          whole_bits: int | None = None) -> DataFrame:
+          whole_bits: tuple[int, int] | None = None) -> DataFrame:
     """Edges ``u``, ``v`` between ids that link, from rows ``trie``, ``fp``, ``id`` and ``long``.
 
     ``total`` is the number of rows of one trie. The edges span the same components as all links do; of links
@@ -306,13 +336,11 @@ def allowed_share(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
-def allowed_bits(similarity: float, bits: int = LONG_BITS) -> int:
-    """Differing bits up to which a pair links: the expected number and one standard deviation more.
-
-    So five of six pairs at exactly the similarity asked for link, and more of those above.
-    """
+def allowed_bits(similarity: float, bits: int = LONG_BITS) -> tuple[int, int]:
+    """Differing bits up to which pairs are surely near, and up to which they are candidates."""
     p = allowed_share(similarity)
-    return math.floor(bits * p + math.sqrt(bits * p * (1 - p)))
+    wide = SIGMAS * math.sqrt(bits * p * (1 - p))
+    return math.floor(bits * p - wide), math.floor(bits * p + wide)
 
 
 def piece_plan(total: int, similarity: float, max_bits: int = MAX_BITS) -> tuple[int, int]:
@@ -341,6 +369,41 @@ def _send_pieces(bits: int, pieces: int):
     return run
 
 
+def _shingle_sets(docs: DataFrame, size: int) -> DataFrame:
+    """``id`` and ``hashes``, the sorted 64-bit hashes of the text's set of shingles."""
+    from xxhash import xxh64_intdigest
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                sets = [np.unique(np.fromiter((xxh64_intdigest(s, SEED) for s in shingles((t or "").encode(), size)),
+                                              np.uint64)).tobytes() for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["id", "hashes"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"id {type_of(docs, 'doc_id')}, hashes binary")
+
+
+def similar_pairs(candidates: DataFrame, docs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The pairs ``u``, ``v`` of stored ``candidates`` whose texts have a Jaccard of at least ``similarity``."""
+    ids = candidates.select(F.col("u").alias("doc_id")).union(candidates.select("v")).distinct()
+    sets = materialize(_shingle_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), size).distinct(),
+                       "shingle-sets")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("a"), batch.column("b")):
+                x, y = (np.frombuffer(z.as_py(), np.uint64) for z in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both))
+            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    paired = (candidates.join(sets.select(F.col("id").alias("u"), F.col("hashes").alias("a")), "u")
+              .join(sets.select(F.col("id").alias("v"), F.col("hashes").alias("b")), "v").select("u", "v", "a", "b"))
+    kind = type_of(candidates, "u")
+    return paired.mapInArrow(run, f"u {kind}, v {kind}")
+
+
 def similar_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """Per row: ``doc_id``, ``fp`` (a long fingerprint) and ``component_id``, the least id that links reach."""
     kind = type_of(docs, "doc_id")
@@ -356,7 +419,10 @@ def similar_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> D
     total = distinct.count()
     bits, pieces = piece_plan(total, similarity)
     rows = distinct.select("fp", "id").mapInArrow(_send_pieces(bits, pieces), "trie int, fp long, id long, long binary")
-    found = links(rows, total, MAX_BITS, LONG_PART, bits, allowed_bits(similarity))
+    met = links(rows, total, MAX_BITS, LONG_PART, bits, allowed_bits(similarity))
+    candidates = materialize(met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+                             .filter("u != v").distinct(), "candidates")
+    found = similar_pairs(candidates, docs, size, similarity)
     return _grouped(prints, distinct, found).select("doc_id", "fp", "component_id")
 
 

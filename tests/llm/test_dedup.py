@@ -173,6 +173,20 @@ def test_one_of_each_group_stays(spark):
     assert ids == sorted(["20", *[str(i) for i, _ in clean], "1", "None"])
 
 
+def test_similarity_is_exact(spark):
+    """Pairs of 120-word texts on both sides of 0.8, each with words of its own: 116 shingles, 2 * ``k`` differ."""
+    rows, want = [], set()
+    for n in range(240):
+        base, k = words(120, 5_000 + n), 4 + n % 24
+        rows += [(2 * n, " ".join(base)), (2 * n + 1, " ".join([*base[:-k], *(f"other{n}x{j}" for j in range(k))]))]
+        sets = [{tuple(t.split()[i:i + 5]) for i in range(116)} for _, t in rows[-2:]]
+        if len(sets[0] & sets[1]) >= 0.8 * len(sets[0] | sets[1]):
+            want.add(2 * n + 1)
+    got = {r["doc_id"] for r in simhash.similar_groups(documents(spark, rows)).filter("component_id != doc_id").collect()}
+    assert 60 < len(want) < 180 and got <= want
+    assert len(want - got) <= 0.02 * len(want)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert line_dedup.dedup_lines(none).count() == 0

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_search, decontamination, language_id, line_dedup, ngram_lm, sentencepiece_bpe, simhash, substring_dedup, toxicity, url_rules
+from ..session import scratch_path
+from . import (ann_search, decontamination, language_id, line_dedup, ngram_lm, sentencepiece_bpe, simhash,
+               substring_dedup, token_files, toxicity, url_rules)
 from .common import is_held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,6 +144,24 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_rules.judge(_table(spark, folder, "pages"), LISTED_RULES, PATTERN_RULES)
 
 
+#: The id after each document's ids in the registered query.
+END_ID = 2
+
+
+def word_tokenizer() -> str:
+    """The tokenizer of the registered query, as JSON; the operator takes any."""
+    import public_tokenizers
+
+    return Path(public_tokenizers.path("word_bpe_49k.json")).read_text()
+
+
+@registered
+def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    files = scratch_path(spark, "token-files")
+    token_files.write(_table(spark, folder, "documents"), word_tokenizer(), END_ID, files)
+    return token_files.read(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 _LISTED_SQL = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in LISTED_RULES)
 _PATTERN_SQL = " or ".join(f"regexp_matches(u, '{r.pattern}')" for r in PATTERN_RULES)
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (ann_search, decontamination, language_id, line_dedup, ngram_lm, sentencepiece_bpe, simhash,
+from . import (ann_search, decontamination, hard_negatives, language_id, line_dedup, ngram_lm, sentencepiece_bpe, simhash,
                substring_dedup, token_files, toxicity, url_rules)
 from .common import is_held_out
 
@@ -162,6 +162,31 @@ def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@registered
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, folder, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op13_hard_negatives"] = """
+with vectors as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, x -> floor(256 * x::double)) as v
+  from embeddings where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+scores as (
+  select a.vec_id as anchor_id, o.vec_id, a.label = o.label as same, list_dot_product(a.v, o.v)::bigint as score
+  from vectors a join vectors o on a.vec_id % 100 = 0 and a.vec_id <> o.vec_id),
+positives as (
+  select * from scores where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, p.vec_id as positive_id,
+  row_number() over (partition by anchor_id, p.vec_id order by n.score desc, n.vec_id)::int as rank,
+  n.vec_id as negative_id, p.score as positive_score, n.score as negative_score
+from positives p join scores n using (anchor_id)
+where not n.same and 30 * p.score <= 100 * n.score and 100 * n.score <= 90 * p.score qualify rank <= 10"""
+
+
 _LISTED_SQL = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in LISTED_RULES)
 _PATTERN_SQL = " or ".join(f"regexp_matches(u, '{r.pattern}')" for r in PATTERN_RULES)
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"

@@ -172,9 +172,9 @@ def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
 ORACLE["op13_hard_negatives"] = """
 with vectors as (
   select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
-    list_transform(embedding, x -> floor(256 * x::double)) as v
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v
   from embeddings where vec_id is not null and label is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 scores as (
   select a.vec_id as anchor_id, o.vec_id, a.label = o.label as same, list_dot_product(a.v, o.v)::bigint as score
   from vectors a join vectors o on a.vec_id % 100 = 0 and a.vec_id <> o.vec_id),

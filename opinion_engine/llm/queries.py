@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (ann_search, decontamination, hard_negatives, language_id, line_dedup, ngram_lm, sentencepiece_bpe, simhash,
+from . import (ann_search, collocations, decontamination, hard_negatives, language_id, line_dedup, ngram_lm, sentencepiece_bpe, simhash,
                substring_dedup, token_files, toxicity, url_rules)
 from .common import is_held_out
 
@@ -144,6 +144,11 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_rules.judge(_table(spark, folder, "pages"), LISTED_RULES, PATTERN_RULES)
 
 
+@registered
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine(_table(spark, folder, "documents"))
+
+
 #: The id after each document's ids in the registered query.
 END_ID = 2
 

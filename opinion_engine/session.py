@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import files
+
 # What the operators rely on. Partition counts and memory belong to the cluster.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -18,6 +20,7 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
@@ -48,8 +51,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
-    Cuts the lineage, survives lost executors, and gives the planner a true size.
+    Cuts the lineage, survives lost executors, and gives the planner a true size. What the write has shuffled is
+    freed at its end. ``discard`` frees the table.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(_FREE_SHUFFLES)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_FREE_SHUFFLES, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["scratch"] = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table of ``materialize`` that nothing will read any more."""
+    files.delete(df.sparkSession, df.__dict__["scratch"])

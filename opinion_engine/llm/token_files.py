@@ -1,14 +1,16 @@
 """Token ids of texts in binary files, packed by Simple-8b.
 
-Encoding. Texts are encoded where they lie, with the tokenizers library. Its words never reach over ASCII white space
-for the tokenizers this is used with (``SPLITTING``), so the library encodes each distinct word once per task and the
-ids are put together; a bounded cache holds the ids of short words. A text goes through in pieces of ``PIECE`` bytes
-that end at white space.
-
-Order. Ids, not texts, are sorted by document over the whole table: ranges of ids become parts, each part one task,
-and a task writes its part into files of about ``FILE_IDS`` ids. A part's first position is the sum of the parts before
-it, from one count per part. A written part is named in the manifest, a Parquet table that Spark commits. A task that
-runs again writes files of its own, and files that no manifest names are never read.
+Encoding. Texts are encoded where they lie, with the tokenizers library. The tokenizers this is meant for ignore case and
+never join words over ASCII white space (``SPLITTING``), nor, in texts of ASCII and Latin-1 letters without apostrophes
+(``SIMPLE``), letters and other characters. So the library encodes each distinct word, or part of one, on its own and
+the ids are put together; a bounded cache in the worker holds the ids of short words. A text goes through in pieces of
+``PIECE`` characters that end at white space. The tests compare with the library's ids of whole texts.
+
+Order. Ids, not texts, are shuffled and sorted by document: approximate quantiles of the documents' ids cut the table
+into parts of about ``PART_BYTES`` bytes of text, each one task, which writes its part into files of about ``FILE_IDS``
+ids. A part's first position is the sum of the parts before it, from one count per part. A written file is named in the
+manifest, a Parquet table that Spark commits. A task that runs again writes files of its own, and files that no manifest
+names are never read.
 
 Packing (``pack``). A 64-bit word holds a selector in its top four bits, which says how many ids of which width fill
 the other 60, the first id lowest. ``WIDTHS`` lists them: one id of 60 bits up to 60 of one bit, and 120 zeros.
@@ -20,7 +22,7 @@ A file: ``MAGIC``; blocks (words, then escapes); one ``BLOCK`` per block; one ``
 All numbers are little-endian. Files lie below one folder that all executors share, and are opened through pyarrow.
 
 Edge values: a null or empty text has the end id only. Rows without an id come first; rows that share an id follow
-each other in the order of their ids' checksums, and each comes out. Other columns are dropped, whatever their names.
+each other in the order of the checksums of their tokens, and each comes out. Other columns are dropped, whatever their names.
 An empty table makes no file and reads back empty. A very long text fills many blocks, and its file ends with it.
 """
 
@@ -30,22 +32,22 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
 from .wordhash import slices
 
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 25
+PART_BYTES = 1 << 26
 PIECE = 1 << 20
-CACHED_WORDS = 1 << 16
-CACHED_BYTES = 40
+CACHED_WORDS = 1 << 18
+CACHED_LETTERS = 40
 MAGIC = b"s8btok01"
 
 #: (ids, bits) of the selectors 0 to 14; selector 15 is the escape.
@@ -53,45 +55,58 @@ WIDTHS = ((120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7)
           (3, 20), (2, 30), (1, 60))
 ESCAPE = 15
 _COUNTS = np.array([n for n, _ in WIDTHS] + [1])
+_BITS = np.array([bits for _, bits in WIDTHS] + [0])
 _PLACE = np.uint64((1 << 60) - 1)
+_POWERS = np.array([1 << k for k in range(64)], np.uint64)
+_SHORT_LENGTHS = np.searchsorted(_POWERS, np.arange(1 << 16), side="right").astype(np.uint8)
 
 BLOCK = np.dtype([("offset", "<u8"), ("ids", "<u4"), ("words", "<u4"), ("escapes", "<u4"), ("crc", "<u4")])
 DOCUMENT = np.dtype([("doc_id", "<i8"), ("named", "<u8"), ("tokens", "<u8")])
 TRAILER = np.dtype([("blocks", "<u8"), ("documents", "<u8"), ("index", "<u8"), ("magic", "S8")])
 
+_FIRST = -(1 << 63)  # the place of rows without an id
 _MANIFEST = "part int, file int, path string, documents long, tokens long"
 
 
 # --- Simple-8b -----------------------------------------------------------------------------
 
 
+def _bit_lengths(ids: np.ndarray) -> np.ndarray:
+    if len(ids) and ids.max() < 1 << 16:
+        return _SHORT_LENGTHS[ids]
+    return np.searchsorted(_POWERS, ids, side="right").astype(np.uint8)
+
+
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``ids`` (unsigned, 64 bits) as packed words and escapes. Each word takes as many ids as any selector can."""
-    ids = ids.astype(np.uint64)
+    """``ids`` (unsigned, up to 64 bits) as packed words and escapes. Each word takes as many ids as any selector can."""
     n = len(ids)
-    chosen = np.full(n, ESCAPE, np.int64)
+    lengths = _bit_lengths(ids)
+    chosen = np.full(n, ESCAPE, np.uint8)
+    widest, reach = lengths, 1  # the widest of the ``reach`` ids from each place on
     for selector in range(len(WIDTHS) - 1, -1, -1):  # a later one takes more ids
         count, bits = WIDTHS[selector]
         if count > n:
             break
-        wide = np.concatenate([[0], np.cumsum(ids >= np.uint64(1 << bits))])
-        chosen[:n - count + 1][wide[count:] == wide[:n - count + 1]] = selector
-    step = _COUNTS[chosen].tolist()
+        while reach < count:
+            more = min(reach, count - reach)
+            widest, reach = np.maximum(widest[:len(widest) - more], widest[more:]), reach + more
+        chosen[:n - count + 1][widest <= bits] = selector
+    step = _COUNTS[chosen].astype(np.uint8).tobytes()
     starts, at = [], 0
     while at < n:
         starts.append(at)
         at += step[at]
     starts = np.array(starts, np.int64)
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     selectors = chosen[starts]
-    words = selectors.astype(np.uint64) << np.uint64(60)
-    escapes = ids[starts[selectors == ESCAPE]]
-    words[selectors == ESCAPE] |= np.arange(len(escapes), dtype=np.uint64)
-    for selector, (count, bits) in enumerate(WIDTHS):
-        rows = np.flatnonzero(selectors == selector)
-        if bits and len(rows):
-            values = ids[starts[rows][:, None] + np.arange(count)]
-            words[rows] |= np.bitwise_or.reduce(values << (np.arange(count) * bits).astype(np.uint64), axis=1)
-    return words, escapes
+    ids = ids.astype(np.uint64)
+    escaped = selectors == ESCAPE
+    escapes = ids[starts[escaped]]
+    ids[starts[escaped]] = np.arange(len(escapes))
+    place = np.arange(n) - np.repeat(starts, _COUNTS[selectors])
+    ids <<= (place * np.repeat(_BITS[selectors], _COUNTS[selectors])).astype(np.uint64)
+    return np.bitwise_or.reduceat(ids, starts) | selectors.astype(np.uint64) << np.uint64(60), escapes
 
 
 def unpack(words: np.ndarray, escapes: np.ndarray) -> np.ndarray:
@@ -186,59 +201,130 @@ def _read_block(file, block: np.void) -> np.ndarray:
 
 # --- encoding ------------------------------------------------------------------------------
 
-SPLITTING = re.compile(rb"[ \t-\r]")
+SPLITTING = re.compile(r"[ \t-\r]")
+#: Texts whose words may be cut between letters and other characters, and the parts they are cut into.
+SIMPLE = re.compile(r"[\x00-\x26\x28-\x7fÀ-ÖØ-öø-ÿ]*")
+PARTS = re.compile(r"[a-zß-öø-ÿ]+|[^a-zß-öø-ÿ \t-\r]+")
 
 
 class WordEncoder:
-    """Ids of texts: the library encodes distinct words, of which the short ones are kept for the next texts."""
+    """Ids of texts as bytes: the library encodes distinct words, of which the short ones are kept for later texts.
+
+    Two generations of words are kept. When the younger is full the older goes, and words that are met again move up.
+    """
 
-    def __init__(self, tokenizer_json: str) -> None:
+    def __init__(self, tokenizer_json: str, width: str = "<u4") -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.known: dict[bytes, list[int]] = {}
-
-    def __call__(self, text: str | None) -> Iterator[list[int]]:
-        data = (text or "").encode()
-        at = 0
-        while at < len(data):
-            cut = SPLITTING.search(data, at + PIECE)
-            stop = cut.start() if cut else len(data)
-            yield self._piece(data[at:stop].split())
+        added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
+        self.width = width
+        # Whether a run of small letters is one word as it stands, which the library's model then cuts directly.
+        small, first, second = "abcdefghijklmnopqrstuvwxyz", self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        self.direct = bool(first and second) and first.normalize_str(small) == small and [
+            word for word, _ in second.pre_tokenize_str(small)] == [small]
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        """The packed ids of each text; many texts that are short, or one that is long."""
+        if len(texts) != 1 or len(texts[0] or "") <= PIECE:
+            return self._encode([self.words(text or "") for text in texts])
+        at, pieces, text = 0, [], texts[0]
+        while at < len(text):
+            cut = SPLITTING.search(text, at + PIECE)
+            stop = cut.start() if cut else len(text)
+            pieces += self._encode([self.words(text[at:stop])])
             at = stop
-
-    def _piece(self, words: list[bytes]) -> list[int]:
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        ids = self.known
-        new = [w for w in set(words) if w not in ids]
-        if new:
-            coded = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            short = {w: c.ids for w, c in zip(new, coded) if len(w) <= CACHED_BYTES}
-            ids.update(short)
-            if len(short) < len(new):
-                ids = {w: ids[w] for w in words if w in ids} | {w: c.ids for w, c in zip(new, coded)}
-        return [i for w in words for i in ids[w]]
-
-
-def encode(docs: DataFrame, tokenizer_json: str, end_id: int) -> DataFrame:
-    """``doc_id``, ``ids`` (little-endian, 32 bits, with the end id) and ``crc`` of every row."""
+        return [b"".join(pieces)]
+
+    def words(self, text: str) -> list[str]:
+        """What the library encodes on its own: the parts of words in a simple text, else the words."""
+        if SIMPLE.fullmatch(text):
+            lower = text.lower()
+            if not self.added.search(lower):
+                return PARTS.findall(lower)
+        return [w for w in SPLITTING.split(text) if w]
+
+    def _encode(self, texts: list[list[str]]) -> list[bytes]:
+        known = self.known
+        missing = set().union(*texts).difference(known)
+        if missing:
+            self._learn(missing)
+        out = [b"".join([known[w] for w in words]) for words in texts]
+        for word in missing:
+            if len(word) > CACHED_LETTERS:
+                del known[word]
+        if len(known) > CACHED_WORDS:
+            self.known, self.older = {}, known
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        """Have the library encode what is not known, all at once."""
+        new, known, older = [], self.known, self.older
+        cut, kind = self.tokenizer.model.tokenize, "H" if self.width == "<u2" else "I"
+        for word in words:
+            if word in older:
+                known[word] = older[word]
+            elif self.direct and word.isascii() and word.isalpha() and word.islower():
+                known[word] = array(kind, [t.id for t in cut(word)]).tobytes()
+            else:
+                new.append(word)
+        if not new:
+            return
+        coded = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(coded.ids, self.width)
+        counts = np.bincount(np.array(coded.word_ids, np.int64), minlength=len(new))
+        packed, start = ids.tobytes(), 0
+        for word, size in zip(new, (counts * ids.itemsize).tolist()):
+            known[word] = packed[start:start + size]
+            start += size
+
+
+#: The encoder that a worker made last, with the words it knows.
+_last: list[tuple[int, WordEncoder]] = []
+
+
+def _encoder(tokenizer_json: str, width: str) -> WordEncoder:
+    key = hash((tokenizer_json, width))
+    if not _last or _last[0][0] != key:
+        _last[:] = [(key, WordEncoder(tokenizer_json, width))]
+    return _last[0][1]
+
+
+def id_width(tokenizer_json: str, end_id: int) -> str:
+    """The unsigned type that holds every id of a vocabulary."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if max(Tokenizer.from_str(tokenizer_json).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+
+
+def _encode(docs: DataFrame, tokenizer_json: str, end_id: int, width: str, bounds: np.ndarray) -> DataFrame:
+    """``part``, ``doc_id``, ``crc`` (of the ids) and ``ids`` with the end id.
+
+    A part holds the ids between two ``bounds``. An id that is several bounds has several parts, which its rows share
+    by checksum, so that order by id and checksum is kept.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(tokenizer_json)  # one vocabulary, whatever the table's size
+    end = np.array([end_id], width).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(sent.value)
+        encoder = _encoder(sent.value, width)
         for batch in batches:
-            for part in slices(batch, 1):
-                packed = []
-                for text in part.column(1).to_pylist():
-                    pieces = [np.array(p, "<u4").tobytes() for p in encoder(text)]
-                    packed.append(b"".join(pieces) + np.array([end_id], "<u4").tobytes())
+            for rows in slices(batch, 1):
+                ids = [coded + end for coded in encoder(rows.column(1).to_pylist())]
+                crc = np.array([zlib.crc32(x) for x in ids], np.int64)
+                keys = rows.column(0).fill_null(_FIRST).to_numpy()
+                low, high = (np.searchsorted(bounds, keys, side) for side in ("left", "right"))
+                part = low + (crc * (high - low + 1) >> 32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(packed, pa.binary()), pa.array([zlib.crc32(p) for p in packed], pa.int64())],
-                    ["doc_id", "ids", "crc"])
+                    [pa.array(part.astype(np.int32)), rows.column(0), pa.array(crc), pa.array(ids, pa.binary())],
+                    ["part", "doc_id", "crc", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary, crc long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        run, "part int, doc_id long, crc long, ids binary")
 
 
 # --- the table -----------------------------------------------------------------------------
@@ -250,24 +336,24 @@ def _filesystem(folder: str):
     return fs.FileSystem.from_uri(folder)
 
 
-def _write_part(folder: str, file_ids: int):
+def _write_parts(folder: str, file_ids: int, width: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = _filesystem(folder)
-        part, writer, written = TaskContext.get().partitionId(), None, []
+        writer, written, current = None, [], None
 
         def finish() -> None:
             writer.close()
-            written.append((part, len(written), name, len(writer.documents), writer.tokens))
+            written.append((current, len(written), name, len(writer.documents), writer.tokens))
 
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if writer is None:
-                    name = f"part-{part:06d}-{len(written):04d}-{uuid.uuid4().hex}.s8b"
-                    writer = FileWriter(system.open_output_stream(f"{root}/{name}"))
-                writer.add(doc_id, np.frombuffer(ids.as_buffer(), "<u4"))
-                if writer.tokens >= file_ids:
+            for part, doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if writer is not None and (part != current or writer.tokens >= file_ids):
                     finish()
                     writer = None
+                if writer is None:
+                    current, name = part, f"part-{part:06d}-{len(written):04d}-{uuid.uuid4().hex}.s8b"
+                    writer = FileWriter(system.open_output_stream(f"{root}/{name}"))
+                writer.add(doc_id, np.frombuffer(ids.as_buffer(), width))
         if writer is not None:
             finish()
         yield pa.RecordBatch.from_pylist(
@@ -278,16 +364,29 @@ def _write_part(folder: str, file_ids: int):
     return run
 
 
-def write(docs: DataFrame, tokenizer_json: str, end_id: int, folder: str, file_ids: int = FILE_IDS) -> None:
+def part_bounds(docs: DataFrame, part_bytes: int) -> np.ndarray:
+    """Ids that cut a table into parts with about ``part_bytes`` bytes of text, one for each core at least."""
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST))
+    size, rows = docs.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    parts = max(docs.sparkSession.sparkContext.defaultParallelism, -(-(size or 0) // part_bytes))
+    if not rows or parts == 1:
+        return np.zeros(0, np.int64)
+    shares = [k / parts for k in range(1, parts)]
+    return np.array(docs.agg(F.percentile_approx(key, shares, max(10_000, 10 * parts))).first()[0], np.int64)
+
+
+def write(docs: DataFrame, tokenizer_json: str, end_id: int, folder: str, file_ids: int = FILE_IDS,
+          part_bytes: int = PART_BYTES) -> None:
     """Encode all rows and write their ids, in ascending order of ``doc_id``, to files and a manifest in ``folder``."""
     system, root = _filesystem(folder)
     system.create_dir(root, recursive=True)
-    # Stored, because finding the ranges reads it once more.
-    coded = materialize(encode(docs, tokenizer_json, end_id), "token-ids")
-    keys = [F.col("doc_id").asc_nulls_first(), "crc", "ids"]
-    ordered = coded.repartitionByRange(F.col("doc_id").asc_nulls_first(), "crc").sortWithinPartitions(*keys)
-    ordered.select("doc_id", "ids").mapInArrow(_write_part(folder, file_ids), _MANIFEST).write.parquet(
-        f"{folder}/manifest")
+    docs = docs.select("doc_id", "text")
+    bounds, width = part_bounds(docs, part_bytes), id_width(tokenizer_json, end_id)
+    coded = _encode(docs, tokenizer_json, end_id, width, bounds)
+    ordered = coded.repartitionById(len(bounds) + 1, "part").sortWithinPartitions(
+        "part", F.col("doc_id").asc_nulls_first(), "crc", "ids")
+    ordered.select("part", "doc_id", "ids").mapInArrow(
+        _write_parts(folder, file_ids, width), _MANIFEST).write.parquet(f"{folder}/manifest")
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:

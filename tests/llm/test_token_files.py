@@ -1,6 +1,7 @@
 """Packed token files: the packing, the file format, and whole tables against the tokenizers library."""
 
 import io
+import random
 import zlib
 
 import numpy as np
@@ -69,24 +70,41 @@ def test_a_block_is_read_alone_and_damage_is_found():
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.text(st.one_of(st.sampled_from(" \t\n\r\x0b\x0c\x85\xa0 '’sStTé́Σσςİß<|>endoftxar1٣日本\U0001f600​‍"),
+@given(st.text(st.one_of(st.sampled_from("abzAZÀÖ×Øöøÿßéµªºæñ.,;:<=>0123 '"), st.sampled_from(" \t\n\r\x0b\x0c\x85\xa0 '’sStTé́Σσςİß<|>endoftxar1٣日本\U0001f600​‍"),
                          st.characters(codec="utf-8")), max_size=60))
 def test_words_are_encoded_like_whole_texts(library, text):
     encoder = token_files.WordEncoder(word_tokenizer())
-    assert [i for piece in encoder(text + "<|endoftext|> x") for i in piece] == whole(library, text + "<|endoftext|> x")[:-1]
+    texts = [text + "<|endoftext|> x", text, None, "", text[::-1]]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder(texts)] == [whole(library, t)[:-1] for t in texts]
+
+
+def test_simple_texts_are_encoded_by_parts(library):
+    """Every character of a simple text next to letters, digits and signs, and random texts of them."""
+    encoder = token_files.WordEncoder(word_tokenizer())
+    simple = [chr(c) for c in range(256) if token_files.SIMPLE.fullmatch(chr(c))]
+    assert len(simple) == 127 + 62 and "'" not in simple and "ß" in simple and "µ" not in simple
+    texts = [f"{a}{c}{b}{c}{c} {b}" for c in simple for a, b in (("a", "B"), ("é", "ß"), ("1", "x"), (",", "Ö"), ("<", "|"))]
+    chosen = random.Random(3)
+    texts += ["".join(chosen.choices("aBéßÖ1,.<>|=_- \n\x1c\x00", k=30)) for _ in range(500)]
+    texts += ["a<|endoftext|>b", "x<|STARTOFTEXT|>y", "<|endoftext|", "it's", "x'tis", "e\u0301,", "<\u0338a", "İß"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder(texts)] == [whole(library, t)[:-1] for t in texts]
 
 
 def test_long_texts_and_full_caches(library, monkeypatch):
     monkeypatch.setattr(token_files, "PIECE", 100)
     monkeypatch.setattr(token_files, "CACHED_WORDS", 20)
-    text = " ".join(words(3_000, 5)) + " " + "w" * 500 + "\n" + "é" * 70
-    encoder = token_files.WordEncoder(word_tokenizer())
-    assert [i for piece in encoder(text) for i in piece] == whole(library, text)[:-1]
+    monkeypatch.setattr(token_files, "CACHED_LETTERS", 5)
+    text = " ".join(words(3_000, 5)) + " " + "w" * 500 + "\n" + "é" * 70 + " " + " ".join(words(300, 5))
+    encoder = token_files.WordEncoder(word_tokenizer(), "<u2")
+    for _ in range(2):
+        assert np.frombuffer(encoder([text])[0], "<u2").tolist() == whole(library, text)[:-1]
+    assert len(encoder.known) + len(encoder.older) < 100 and all(len(w) <= 5 for w in encoder.older)
 
 
 def compare(got, rows, library):
     coded = [(i, np.array(whole(library, t), "<u4")) for i, t in rows]
-    coded.sort(key=lambda r: (r[0] is not None, r[0] or 0, zlib.crc32(r[1].tobytes()), r[1].tobytes()))
+    short = lambda ids: ids.astype("<u2").tobytes()
+    coded.sort(key=lambda r: (r[0] is not None, r[0] or 0, zlib.crc32(short(r[1])), short(r[1])))
     at, want = 0, []
     for i, ids in coded:
         want.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
@@ -95,16 +113,18 @@ def compare(got, rows, library):
     assert sorted(found, key=lambda r: (r[1], r[2])) == want
 
 
-@pytest.mark.parametrize("file_ids", [token_files.FILE_IDS, 50])
-def test_tables(spark, library, file_ids):
-    rows = [r[:2] for r in edge_rows()] + [(50, "same words")] * 300
+@pytest.mark.parametrize("file_ids, part_bytes", [(token_files.FILE_IDS, token_files.PART_BYTES), (50, 2000)])
+def test_tables(spark, library, file_ids, part_bytes):
+    rows = [r[:2] for r in edge_rows()] + [(50, "same words")] * 300 + [(50, f"one id {k}") for k in range(300)]
     folder = scratch_path(spark, "test-token-files")
-    token_files.write(documents(spark, rows), word_tokenizer(), 2, folder, file_ids)
+    token_files.write(documents(spark, rows), word_tokenizer(), 2, folder, file_ids, part_bytes)
     got = token_files.read(spark, folder)
     assert got.columns == ["doc_id", "start", "n_tokens", "ids"]
     compare(got.collect(), rows, library)
     named = spark.read.parquet(f"{folder}/manifest")
     assert named.agg({"documents": "sum"}).first()[0] == len(rows) and (file_ids > 50 or named.count() > 20)
+    hot = token_files.part_bounds(documents(spark, rows), 2000).tolist().count(50)
+    assert file_ids > 50 or hot > 5  # rows of one id lie in several parts
 
 
 def test_files_that_no_manifest_names_are_not_read(spark, library):

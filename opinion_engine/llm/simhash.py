@@ -10,21 +10,13 @@
    a spanning forest of the pair of nodes, so a dense group sends on fewer edges than it has members.
 5. The edges are joined into components with the least id.
 
-``similar_groups`` asks for a similarity (Jaccard, of sets of shingles) instead. Its fingerprints have ``LONG_BITS``
-bits, whose differing share estimates the similarity. Several short pieces of the fingerprint, each a choice of
-its bits, have a trie of their own; the length of the pieces follows the size of the table, and their number is
-such that ``RECALL`` of the pairs at exactly the similarity asked for meet in one of the tries. A pair that meets
-is a candidate if the whole fingerprints differ in no more bits than ``SIGMAS`` deviations above what the
-similarity lets expect. Candidates link if their sets of shingle hashes have the similarity, which is computed
-exactly. Of pairs that differ in fewer bits than ``SIGMAS`` deviations below, a spanning forest of each pair of nodes
-is checked, so a dense group has few candidates; of the others all are, unless that forest joins them already.
-
 A task holds two parts of at most about ``PART`` fingerprints. A fingerprint is sent to at most
 1 + depth + depth * (depth - 1) / 2 node pairs for two bits, with depth growing as the logarithm of the table.
 
 Edge values: null and empty texts and texts without words have fingerprint zero and link to each other like any
 others. Rows without an id link nothing and have no component. Rows that share an id are
-one node; each row comes out with its own fingerprint. Other columns are dropped.
+one node; each row comes out with its own fingerprint. Other columns are dropped. ``one_per_group`` keeps the rows whole,
+one of those that share an id; rows without an id stay. An empty table gives an empty one. Texts are shingled whole.
 """
 
 from __future__ import annotations
@@ -40,7 +32,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .common import type_of
 from .components import components
-from .wordhash import mix, slices
+from .wordhash import slices
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -48,10 +40,6 @@ SEED = 42
 PART = 4096
 FRONTIER = 1 << 14
 COMPARED = 1 << 16
-LONG_BITS = 512
-LONG_PART = 1 << 18
-RECALL = 0.99
-SIGMAS = 3
 _LOWER = bytes(b + 0x20 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
@@ -109,43 +97,25 @@ def _unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
 
 
-def _span(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> Iterator[np.ndarray]:
-    """Unite like ``_unite``; yields the pairs (a[i], b[i]) that joined two sets."""
-    while True:
-        x, y = _root(parent, a), _root(parent, b)
-        apart = x != y
-        if not apart.any():
-            return
-        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
-        high, at = np.unique(np.maximum(x, y), return_index=True)
-        parent[high] = np.minimum(x, y)[at]
-        yield np.stack([a[at], b[at]], 1)
-
-
-def trie_links(left: np.ndarray, right: np.ndarray | None, max_bits: int, last_bit: int = 64,
-               whole: tuple[np.ndarray, int, int] | None = None) -> np.ndarray:
+def trie_links(left: np.ndarray, right: np.ndarray | None, max_bits: int) -> np.ndarray:
     """A spanning forest, as index pairs, of all links within ``max_bits`` between two sorted arrays.
 
     Indices of ``right`` follow those of ``left``; without ``right`` the array is joined with itself, whose
-    diagonal node pairs split into three. Values agree from ``last_bit`` on. ``whole`` holds long fingerprints of
-    all values, and the bits up to which pairs are near and candidates; then pairs must meet both conditions, and out
-    come pairs that met: a spanning forest of the near ones, and the candidates that it does not join.
+    diagonal node pairs split into three.
     """
     values = left if right is None else np.concatenate([left, right])
     parent = np.arange(len(values))
     n = len(left)
     start = [0, n, 0, n] if right is None else [0, n, n, len(values)]
     todo = [(np.array([start], np.int64), 0)]
-    met: list[np.ndarray] = []
-    doubtful: list[np.ndarray] = []
     while todo:
         pairs, bit = todo.pop()
         while len(pairs):
             a0, a1, b0, b1 = pairs.T
             small = (a1 - a0) * (b1 - b0) <= 64
-            if bit == last_bit or small.any():
-                _leaves(values, parent, pairs if bit == last_bit else pairs[small], max_bits, whole, met, doubtful)
-            if bit == last_bit:
+            if bit == 64 or small.any():
+                _leaves(values, parent, pairs if bit == 64 else pairs[small], max_bits)
+            if bit == 64:
                 break
             pairs = pairs[~small]
             if len(pairs) > FRONTIER:  # go deep with one part before the others, to bound the frontier
@@ -153,11 +123,6 @@ def trie_links(left: np.ndarray, right: np.ndarray | None, max_bits: int, last_b
                 pairs = pairs[:FRONTIER].copy()
             pairs = _children(values, pairs, bit, max_bits)
             bit += 1
-    if whole is not None:
-        none = np.zeros((0, 2), np.int64)
-        rest = np.unique(np.concatenate([none, *doubtful]), axis=0)
-        rest = rest[_root(parent, rest[:, 0]) != _root(parent, rest[:, 1])]
-        return np.concatenate([none, *met, rest])
     roots = _root(parent, np.arange(len(values)))
     members = np.flatnonzero(roots != np.arange(len(values)))
     return np.stack([members, roots[members]], 1)
@@ -194,8 +159,7 @@ def _children(values: np.ndarray, pairs: np.ndarray, bit: int, max_bits: int) ->
     return out[differ <= max_bits]
 
 
-def _leaves(values: np.ndarray, parent: np.ndarray, pairs: np.ndarray, max_bits: int,
-            whole: tuple[np.ndarray, int, int] | None, met: list[np.ndarray], doubtful: list[np.ndarray]) -> None:
+def _leaves(values: np.ndarray, parent: np.ndarray, pairs: np.ndarray, max_bits: int) -> None:
     """Compare the members of node pairs, a bounded number at a time."""
     width = pairs[:, 3] - pairs[:, 2]
     step = np.maximum(1, COMPARED // np.maximum(width, 1))
@@ -212,17 +176,7 @@ def _leaves(values: np.ndarray, parent: np.ndarray, pairs: np.ndarray, max_bits:
         width = np.repeat(b1 - b0, size)
         a, b = np.repeat(a0[k], size) + inner // width, np.repeat(b0, size) + inner % width
         near = np.bitwise_count(values[a] ^ values[b]) <= max_bits
-        a, b = a[near], b[near]
-        if whole is not None and len(a):
-            apart = _root(parent, a) != _root(parent, b)  # what is united already needs no comparison
-            a, b = a[apart], b[apart]
-            differ = np.bitwise_count(whole[0][a] ^ whole[0][b]).sum(1, dtype=np.int64)
-            doubt = (differ > whole[1]) & (differ <= whole[2])
-            doubtful.append(np.stack([np.minimum(a, b)[doubt], np.maximum(a, b)[doubt]], 1))
-            near = differ <= whole[1]
-            met.extend(_span(parent, a[near], b[near]))
-            continue
-        _unite(parent, a, b)
+        _unite(parent, a[near], b[near])
 
 
 def _masks(depth: int, max_bits: int) -> np.ndarray:
@@ -233,55 +187,48 @@ def _masks(depth: int, max_bits: int) -> np.ndarray:
     return np.array(sorted(found), np.uint64)
 
 
-def _link_pair(table: pa.Table, max_bits: int, bits: int,
-               whole_bits: tuple[int, int] | None) -> pa.Table:
+def _link_pair(table: pa.Table, max_bits: int) -> pa.Table:
     values = table.column("fp").to_numpy().view(np.uint64)
     ids = table.column("id").to_numpy()
     side = table.column("side").to_numpy()
     order = np.lexsort([values, side])
     values, ids, side = values[order], ids[order], side[order]
     n = int(np.searchsorted(side, 1))
-    whole = None
-    if whole_bits is not None:
-        long = np.frombuffer(b"".join(table.column("long").to_pylist()), np.uint64).reshape(len(values), -1)
-        whole = (long[order], *whole_bits)
-    found = trie_links(values[:n], values[n:] if n < len(values) else None, max_bits, bits, whole) if n else (
+    found = trie_links(values[:n], values[n:] if n < len(values) else None, max_bits) if n else (
         np.zeros((0, 2), np.int64))
     return pa.table({"u": ids[found[:, 0]], "v": ids[found[:, 1]]})
 
 
-def links(values: DataFrame, total: int, max_bits: int = MAX_BITS, part: int = PART, bits: int = 64,
-          whole_bits: tuple[int, int] | None = None) -> DataFrame:
-    """Edges ``u``, ``v`` between ids that link, from rows ``trie``, ``fp``, ``id`` and ``long``.
+def links(values: DataFrame, total: int, max_bits: int = MAX_BITS, part: int = PART) -> DataFrame:
+    """Edges ``u``, ``v`` between ids that link, from ``total`` rows ``fp`` and ``id``.
 
-    ``total`` is the number of rows of one trie. The edges span the same components as all links do; of links
-    that close a circle within a pair of nodes only a spanning forest comes out.
+    The edges span the same components as all links do; of links that close a circle within a pair of nodes only a
+    spanning forest comes out.
     """
-    depth = min(bits, max(0, math.ceil(math.log2(max(total, 1) / part))))
+    depth = min(64, max(0, math.ceil(math.log2(max(total, 1) / part))))
     shifts = [int(m) >> (64 - depth) if depth else 0 for m in _masks(depth, max_bits)]
     prefix = F.shiftrightunsigned("fp", 64 - depth) if depth else F.lit(0).cast("long")
     nodes = values.withColumn("node", prefix)
     # A node of the cut may hold more than its share: it is dealt out in parts.
-    parts = nodes.groupBy("trie", "node").agg(F.ceil(F.count(F.lit(1)) / F.lit(part)).cast("int").alias("parts"))
-    dealt = nodes.join(parts, ["trie", "node"]).withColumn(
+    parts = nodes.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / F.lit(part)).cast("int").alias("parts"))
+    dealt = nodes.join(parts, "node").withColumn(
         "part", F.pmod(F.xxhash64("fp", "id"), F.col("parts")).cast("int"))
     other = (dealt.withColumn("mask", F.explode(F.array(*[F.lit(m).cast("long") for m in shifts])))
              .withColumn("other", F.col("node").bitwiseXOR(F.col("mask"))))
     # Only pairs with a node that exists; the number of its parts says how many pairs of parts there are.
-    paired = other.join(parts.select("trie", F.col("node").alias("other"), F.col("parts").alias("other_parts")),
-                        ["trie", "other"])
+    paired = other.join(parts.select(F.col("node").alias("other"), F.col("parts").alias("other_parts")), "other")
     spread = paired.withColumn("other_part", F.explode(F.sequence(F.lit(0), F.col("other_parts") - 1)))
     mine, its = F.struct("node", "part"), F.struct(F.col("other").alias("node"), F.col("other_part").alias("part"))
     keyed = spread.select(
-        "trie", F.least(mine, its).alias("low"), F.greatest(mine, its).alias("high"),
-        (mine > its).cast("int").alias("side"), "fp", "id", "long").select(
-        "trie", F.col("low.node").alias("n1"), F.col("low.part").alias("p1"),
-        F.col("high.node").alias("n2"), F.col("high.part").alias("p2"), "side", "fp", "id", "long")
+        F.least(mine, its).alias("low"), F.greatest(mine, its).alias("high"),
+        (mine > its).cast("int").alias("side"), "fp", "id").select(
+        F.col("low.node").alias("n1"), F.col("low.part").alias("p1"),
+        F.col("high.node").alias("n2"), F.col("high.part").alias("p2"), "side", "fp", "id")
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        return _link_pair(table, max_bits, bits, whole_bits)
+        return _link_pair(table, max_bits)
 
-    return keyed.groupBy("trie", "n1", "p1", "n2", "p2").applyInArrow(run, "u long, v long")
+    return keyed.groupBy("n1", "p1", "n2", "p2").applyInArrow(run, "u long, v long")
 
 
 def _grouped(prints: DataFrame, distinct: DataFrame, found: DataFrame) -> DataFrame:
@@ -307,128 +254,13 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BI
     """Per row: ``doc_id``, ``fp`` and ``component_id``, the least id that links of ``max_bits`` bits reach."""
     prints = materialize(fingerprints(docs, size), "fingerprints")
     distinct = _distinct(prints)
-    rows = distinct.select(F.lit(0).alias("trie"), "fp", "id", F.lit(None).cast("binary").alias("long"))
-    found = links(rows, distinct.count(), max_bits)
-    return _grouped(prints, distinct, found).select("doc_id", "fp", "component_id")
-
-
-# --- by similarity -------------------------------------------------------------------------
-
-
-def long_fingerprint(text: str | None, size: int, bits: int = LONG_BITS) -> bytes:
-    """Majority bits over the set of shingles, as little-endian 64-bit numbers."""
-    from xxhash import xxh64_intdigest
-
-    found = list(set(shingles((text or "").encode(), size)))
-    votes, step = np.zeros(bits, np.int64), 1 << 13
-    for k in range(0, len(found), step):
-        part = found[k:k + step]
-        hashes = np.fromiter((xxh64_intdigest(s, SEED) for s in part), np.uint64, len(part))
-        for w in range(bits // 64):
-            more = mix(hashes + np.uint64(w * 0x9E3779B97F4A7C15 % (1 << 64))) if w else hashes
-            votes[64 * w:64 * w + 64] += np.unpackbits(more.view(np.uint8).reshape(-1, 8), axis=1,
-                                                       bitorder="little").sum(0, dtype=np.int64)
-    return np.packbits(2 * votes > len(found), bitorder="little").tobytes()
-
-
-def allowed_share(similarity: float) -> float:
-    """The share of bits in which fingerprints of equally large sets of that similarity are expected to differ."""
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi
-
-
-def allowed_bits(similarity: float, bits: int = LONG_BITS) -> tuple[int, int]:
-    """Differing bits up to which pairs are surely near, and up to which they are candidates."""
-    p = allowed_share(similarity)
-    wide = SIGMAS * math.sqrt(bits * p * (1 - p))
-    return math.floor(bits * p - wide), math.floor(bits * p + wide)
-
-
-def piece_plan(total: int, similarity: float, max_bits: int = MAX_BITS) -> tuple[int, int]:
-    """Bits per piece and number of pieces for a table of ``total`` fingerprints."""
-    bits = min(64, max(16, math.ceil(math.log2(max(total, 2))) + 10))
-    p = allowed_share(similarity)
-    meet = sum(math.comb(bits, k) * p ** k * (1 - p) ** (bits - k) for k in range(max_bits + 1))
-    return bits, max(1, math.ceil(math.log(1 - RECALL) / math.log(1 - meet)))
-
-
-def _send_pieces(bits: int, pieces: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        random = np.random.default_rng(SEED)
-        chosen = [np.sort(random.choice(LONG_BITS, bits, replace=False)) for _ in range(pieces)]
-        for batch in batches:
-            raw = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-            flags = np.unpackbits(raw, axis=1, bitorder="little")
-            for trie, places in enumerate(chosen):
-                wide = np.zeros((batch.num_rows, 64), np.uint8)
-                wide[:, :bits] = flags[:, places]
-                fp = np.packbits(wide, axis=1).view(">u8").astype(np.uint64)[:, 0]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(batch.num_rows, trie, np.int32)), pa.array(fp.view(np.int64)),
-                     batch.column(1), batch.column(0)], ["trie", "fp", "id", "long"])
-
-    return run
-
-
-def _shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """``id`` and ``hashes``, the sorted 64-bit hashes of the text's set of shingles."""
-    from xxhash import xxh64_intdigest
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, 1):
-                sets = [np.unique(np.fromiter((xxh64_intdigest(s, SEED) for s in shingles((t or "").encode(), size)),
-                                              np.uint64)).tobytes() for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["id", "hashes"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, f"id {type_of(docs, 'doc_id')}, hashes binary")
-
-
-def similar_pairs(candidates: DataFrame, docs: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The pairs ``u``, ``v`` of stored ``candidates`` whose texts have a Jaccard of at least ``similarity``."""
-    ids = candidates.select(F.col("u").alias("doc_id")).union(candidates.select("v")).distinct()
-    sets = materialize(_shingle_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), size).distinct(),
-                       "shingle-sets")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("a"), batch.column("b")):
-                x, y = (np.frombuffer(z.as_py(), np.uint64) for z in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= similarity * (len(x) + len(y) - both))
-            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
-    paired = (candidates.join(sets.select(F.col("id").alias("u"), F.col("hashes").alias("a")), "u")
-              .join(sets.select(F.col("id").alias("v"), F.col("hashes").alias("b")), "v").select("u", "v", "a", "b"))
-    kind = type_of(candidates, "u")
-    return paired.mapInArrow(run, f"u {kind}, v {kind}")
-
-
-def similar_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Per row: ``doc_id``, ``fp`` (a long fingerprint) and ``component_id``, the least id that links reach."""
-    kind = type_of(docs, "doc_id")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, 1):
-                prints = [long_fingerprint(t, size) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(prints, pa.binary())], ["doc_id", "fp"])
-
-    prints = materialize(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp binary"), "fingerprints")
-    distinct = _distinct(prints)
-    total = distinct.count()
-    bits, pieces = piece_plan(total, similarity)
-    rows = distinct.select("fp", "id").mapInArrow(_send_pieces(bits, pieces), "trie int, fp long, id long, long binary")
-    met = links(rows, total, MAX_BITS, LONG_PART, bits, allowed_bits(similarity))
-    candidates = materialize(met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-                             .filter("u != v").distinct(), "candidates")
-    found = similar_pairs(candidates, docs, size, similarity)
+    found = links(distinct, distinct.count(), max_bits)
     return _grouped(prints, distinct, found).select("doc_id", "fp", "component_id")
 
 
-def one_per_group(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
+def one_per_group(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` with the least id of each group; of rows that share an id, one. Rows without an id stay."""
-    stay = similar_groups(docs, size, similarity).filter("component_id = doc_id").select("doc_id").distinct()
+    stay = near_duplicates(docs, size, max_bits).filter("component_id = doc_id").select("doc_id").distinct()
     id_name, text = (f"in_{docs.columns.index(c)}" for c in ("doc_id", "text"))
     inner = docs.select(*[F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(docs.columns)])
     order = Window.partitionBy(id_name).orderBy(F.xxhash64(text))

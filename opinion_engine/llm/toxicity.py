@@ -1,18 +1,25 @@
 """Toxicity by a weighted finite-state grammar of clauses.
 
-Texts are cut into clauses. Each word of a clause becomes a class: insult (with a learned weight), threat,
-target, negation, report, or other. Five small transducers read the classes side by side, composed into one
-machine: insults pay their weight, a target before them raises it, negation and reported speech lower it, and
-a threat pays when a target follows. A document's evidence is the sum over its clauses, and a logistic curve
-fitted to the labels turns it into a score.
-
-The lexicon is learned: words, and stems (first letters that several words share), which occur in toxic
-documents and nearly never in others. Learning uses at most ``SAMPLE_ROWS`` labelled rows per class, which
-bounds the lexicon's counts; every document is scored whole, where it is read, without a shuffle.
-
-Edge values: a null or empty text has no evidence. Rows without an id are scored but not learned from. Of
-labels with the same id the greatest counts, and null ones are ignored. Without labels of both classes the
-score is 0 (no toxic label) or 1 (only toxic ones). Other columns are dropped.
+Texts are cut into clauses, and each word of a clause becomes a class: insult, threat, target, negation, report or
+other. A cascade of transducers rewrites the classes: negation turns an insult or threat within three words into one
+that is denied; a threat and a target within three words become a menace; reported speech turns insults and menaces into
+quoted ones up to the end of the clause; an insult after a target is aimed; and the last one keeps the strongest of what
+a clause holds. The cascade is composed into one machine. A clause counts only if the machine ends in an accepting
+state, as a denied, quoted, bare or aimed insult or as a menace. An insult alone decides nothing: the same word weighs
+what its clause weighs.
+
+A document's features are the numbers of its clauses of each kind, and a logistic model over their logarithms, learned
+from the labels, turns them into a score. A kind that the labels do not show keeps about its ``PRIOR``.
+
+The lexicon of insults is learned: words, and stems (first letters that several words share), which occur in toxic
+documents and nearly never in others, and do so in both halves of the sample. Threats, targets, negations and reports
+are small closed lists. Learning uses at most ``SAMPLE_ROWS`` labelled rows per class, which bounds the lexicon's
+counts; every document is scored whole, where it is read, without a shuffle.
+
+Edge values: a null or empty text has no clause. Rows without an id are scored but not learned from. Of
+labels with the same id the greatest counts, and null ones are ignored. Rows of the documents that share an id are each
+learned from. Without labels of both classes the score is 0 (no toxic label) or 1 (only toxic ones). An empty table
+gives an empty one. Very long texts are scored whole. Other columns are dropped, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,24 +34,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import sampling
+from ..session import discard, materialize
 from .common import type_of
 from .wordhash import slices
 
 SAMPLE_ROWS = 10_000  # per class
-LEXICON_ROWS = 5_000
+LEXICON_ROWS = 20_000  # more than terms that MIN_DOCUMENTS of the sample's toxic documents can hold for certain
 MIN_DOCUMENTS = 5
+MIN_IN_HALF = 2
 MIN_WEIGHT = 3.5  # log of how much likelier a term is in toxic documents
 STEM_LENGTHS = (4, 5, 6)
 STEM_WORDS = 3
-EVIDENCE_BINS = 64
 
+# Classes of words, and what the cascade makes of them.
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
+DENIED, QUOTED, AIMED, MENACE = range(6, 10)
 _SEEDS = {
     THREAT: "kill hurt destroy crush burn beat punish töten schlagen vernichten matar golpear tuer frapper",
     TARGET: "you your yours he she they him her them du ihr euch dich sie er tu vous il elle ils usted ustedes tú él ella",
     NEGATION: "not no never nobody nicht kein keine nie ne pas jamais nunca jamás",
     REPORT: "said says called wrote quoted claimed sagte schrieb nannte dijo escribió llamó dit écrit appelé",
 }
+#: Kinds of clauses, by the machine's accepting states, and what a clause of each is thought to weigh at first.
+KINDS = ("denied", "quoted", "bare", "aimed", "menace")
+PRIOR = np.array([0.5, 1.0, 3.0, 4.0, 4.0])
+PRIOR_BASE = -3.0
 CLASS_OF = {word: kind for kind, words in _SEEDS.items() for word in words.split()}
 _CLAUSE = re.compile(r"[.!?;:\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -59,44 +73,56 @@ def words_of(text: str) -> list[str]:
 
 @dataclass(frozen=True)
 class Transducer:
-    """State 0 starts; ``step`` maps (state, class) to (state, factor of an insult, pay of its own)."""
+    """State 0 starts. ``step`` maps (state, class) to (state, class); what it lacks is taken as ``OTHER``, unchanged."""
 
-    step: dict[tuple[int, int], tuple[int, float, float]]
+    step: dict[tuple[int, int], tuple[int, int]]
 
-    def take(self, state: int, kind: int) -> tuple[int, float, float]:
-        return self.step.get((state, kind)) or self.step.get((state, OTHER)) or (state, 1.0, 0.0)
+    def take(self, state: int, kind: int) -> tuple[int, int]:
+        found = self.step.get((state, kind))
+        return found or (self.step.get((state, OTHER), (state, OTHER))[0], kind)
 
 
-#: Negation reaches three words.
-NEGATING = Transducer({**{(s, NEGATION): (3, 1.0, 0.0) for s in range(4)},
-                       **{(s, INSULT): (0, 0.5, 0.0) for s in (1, 2, 3)},
-                       **{(s, OTHER): (s - 1, 1.0, 0.0) for s in (1, 2, 3)}})
-#: A report reaches to the end of the clause.
-REPORTING = Transducer({(0, REPORT): (1, 1.0, 0.0), (1, INSULT): (1, 0.7, 0.0)})
-TARGETING = Transducer({(0, TARGET): (1, 1.0, 0.0), (1, INSULT): (1, 1.25, 0.0)})
-#: A threat pays when a target follows within three words.
-THREATENING = Transducer({**{(s, THREAT): (3, 1.0, 0.0) for s in range(4)},
-                          **{(s, TARGET): (0, 1.0, 3.0) for s in (1, 2, 3)},
-                          **{(s, OTHER): (s - 1, 1.0, 0.0) for s in (1, 2, 3)}})
+def _counting(restart: int, reach: int = 3) -> dict[tuple[int, int], tuple[int, int]]:
+    """States that count down the words since the last ``restart``."""
+    return {**{(s, OTHER): (s - 1, OTHER) for s in range(1, reach + 1)},
+            **{(s, restart): (reach, restart) for s in range(reach + 1)}}
 
 
-def compose(*parts: Transducer) -> Transducer:
-    """One machine that runs all parts on the same classes; factors multiply and pays add up."""
+NEGATING = Transducer({**_counting(NEGATION), **{(s, INSULT): (0, DENIED) for s in (1, 2, 3)},
+                       **{(s, THREAT): (0, OTHER) for s in (1, 2, 3)}})
+THREATENING = Transducer({**_counting(THREAT), **{(s, TARGET): (0, MENACE) for s in (1, 2, 3)}})
+REPORTING = Transducer({(0, REPORT): (1, REPORT), (1, REPORT): (1, REPORT), (1, INSULT): (1, QUOTED), (1, MENACE): (1, QUOTED)})
+AIMING = Transducer({**_counting(TARGET, 5), **{(s, INSULT): (s - 1, AIMED) for s in range(1, 6)}})
+#: The state is the strongest kind so far, as its place in ``KINDS`` from 1; a target right after an insult aims it.
+_RANK = {DENIED: 1, QUOTED: 2, INSULT: 3, AIMED: 4, MENACE: 5}
+_FRESH = 6  # a bare insult was the last word
+KEEPING = Transducer({
+    **{(s, kind): (s if s != _FRESH and s >= rank else 3 if s == _FRESH and rank < 4 else rank, kind)
+       for s in range(_FRESH + 1) for kind, rank in _RANK.items()},
+    **{(s, INSULT): (_FRESH, INSULT) for s in (0, 1, 2, 3, _FRESH)},
+    (_FRESH, OTHER): (3, OTHER), (_FRESH, TARGET): (4, TARGET)})
+ACCEPTING = {**{s: s - 1 for s in range(1, 6)}, _FRESH: 2}
+
+
+def compose(*parts: Transducer) -> tuple[dict[tuple[int, int], int], dict[int, int]]:
+    """One machine for the cascade: its steps over classes of words, and the kind of each accepting state."""
     start = (0,) * len(parts)
     number, todo, step = {start: 0}, [start], {}
     while todo:
         states = todo.pop()
         for kind in range(6):
-            taken = [p.take(s, kind) for p, s in zip(parts, states)]
-            to = tuple(t[0] for t in taken)
-            if to not in number:
-                number[to] = len(number)
-                todo.append(to)
-            step[number[states], kind] = (number[to], float(np.prod([t[1] for t in taken])), sum(t[2] for t in taken))
-    return Transducer(step)
+            symbol, to = kind, []
+            for part, state in zip(parts, states):
+                state, symbol = part.take(state, symbol)
+                to.append(state)
+            if tuple(to) not in number:
+                number[tuple(to)] = len(number)
+                todo.append(tuple(to))
+            step[number[states], kind] = number[tuple(to)]
+    return step, {n: ACCEPTING[states[-1]] for states, n in number.items() if states[-1] in ACCEPTING}
 
 
-GRAMMAR = compose(NEGATING, REPORTING, TARGETING, THREATENING)
+STEP, ACCEPTED = compose(NEGATING, THREATENING, REPORTING, AIMING, KEEPING)
 
 
 @dataclass
@@ -116,125 +142,131 @@ class Lexicon:
         return found
 
 
-def evidence(text: str | None, lexicon: Lexicon) -> float:
-    """What the grammar pays for all clauses of a text."""
-    if not text:
-        return 0.0
-    words = set(words_of(text))
-    weights = {w: x for w in words if (x := lexicon.weight(w))}
-    if not weights and not any(CLASS_OF.get(w) == THREAT for w in words):
-        return 0.0
-    total, step = 0.0, GRAMMAR.step
-    for clause in _CLAUSE.split(text):
-        state = 0
-        for word in words_of(clause):
-            weight = weights.get(word, 0.0)
-            state, factor, pay = step[state, INSULT if weight else CLASS_OF.get(word, OTHER)]
-            total += weight * factor + pay
-    return total
+def clause_kind(classes: list[int]) -> int | None:
+    """The place in ``KINDS`` of a clause, None where the grammar does not match it."""
+    state = 0
+    for kind in classes:
+        state = STEP[state, kind]
+    return ACCEPTED.get(state)
+
+
+def matched(text: str | None, lexicon: Lexicon) -> np.ndarray:
+    """How many clauses of a text are of each kind."""
+    found = np.zeros(len(KINDS), np.int64)
+    words = set(words_of(text)) if text else ()
+    marked = {w: INSULT for w in words if lexicon.weight(w)} | {w: THREAT for w in words if CLASS_OF.get(w) == THREAT}
+    if marked:
+        for clause in _CLAUSE.split(text):
+            clause = words_of(clause)
+            if not marked.keys().isdisjoint(clause):
+                kind = clause_kind([marked.get(w) or CLASS_OF.get(w, OTHER) for w in clause])
+                if kind is not None:
+                    found[kind] += 1
+    return found
 
 
 # --- learning ------------------------------------------------------------------------------
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, learn: F.Column, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``text`` and ``toxic`` of at most ``rows`` learning documents per class, chosen by a hash of the id."""
+    """``text``, ``toxic`` and ``half`` of at most ``rows`` learning documents per class, chosen by a hash of the id.
+
+    Stored, because it is read several times.
+    """
     one = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter(
         F.col("toxic").isin(0, 1) & learn).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = sampling.per_class_sample(one, "doc_id", "toxic", rows)
     # At most two short rows per unit of ``rows``.
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int")
+    return materialize(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
+        "text", "toxic", half.alias("half")), "toxic-sample")
 
 
 def _word_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with each word, by class; one row per word and part."""
+    """Documents with each word: clean ones, and toxic ones of either half; one row per word and part."""
     for batch in batches:
         for part in slices(batch, 0):
             found: dict[str, list[int]] = {}
-            for text, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            for text, toxic, half in zip(*(c.to_pylist() for c in part.columns)):
                 for word in set(words_of(text or "")):
-                    found.setdefault(word, [0, 0])[toxic] += 1
-            counts = np.array(list(found.values()), np.int64).reshape(-1, 2)
+                    found.setdefault(word, [0, 0, 0])[toxic and 1 + half] += 1
+            counts = np.array(list(found.values()), np.int64).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.string()), pa.array(counts[:, 0]), pa.array(counts[:, 1])],
-                ["word", "clean", "toxic"])
+                [pa.array(list(found), pa.string()), *[pa.array(c) for c in counts.T]], ["word", "clean", "toxic_0", "toxic_1"])
 
 
 def learn_lexicon(sample: DataFrame, clean: int, toxic: int) -> Lexicon:
     """Words and stems that mark toxic documents, at most ``LEXICON_ROWS`` of each."""
-    words = sample.mapInArrow(_word_documents, "word string, clean long, toxic long").groupBy("word").agg(
-        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    weight = (F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0)))
-    marked = (F.col("weight") >= MIN_WEIGHT) & (F.col("toxic") >= MIN_DOCUMENTS)
+    counts = ("clean", "toxic_0", "toxic_1")
+    words = sample.select("text", "toxic", "half").mapInArrow(
+        _word_documents, "word string, clean long, toxic_0 long, toxic_1 long").groupBy("word").agg(
+        *[F.sum(c).alias(c) for c in counts])
+    both = F.col("toxic_0") + F.col("toxic_1")
+    weight = F.log((both + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
+    # What one half shows by chance the other does not.
+    marked = (weight >= MIN_WEIGHT) & (both >= MIN_DOCUMENTS) & (F.least("toxic_0", "toxic_1") >= MIN_IN_HALF)
     stems = (words.select(F.explode(F.array(*[F.substring("word", 1, n) for n in STEM_LENGTHS])).alias("term"),
-                          "word", "clean", "toxic")
+                          "word", *counts)
              .filter(F.char_length("term") < F.char_length("word")).groupBy("term")
-             .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"),
-                  F.count_if(F.col("toxic") > 0).alias("n_words")).filter(F.col("n_words") >= STEM_WORDS))
+             .agg(*[F.sum(c).alias(c) for c in counts], F.count_if(both > 0).alias("n_words"))
+             .filter(F.col("n_words") >= STEM_WORDS))
     out = []
     for terms in (words.withColumnRenamed("word", "term"), stems):
-        rows = (terms.withColumn("weight", weight).filter(marked)
-                .orderBy(F.desc(F.col("weight") * F.col("toxic")), "term").limit(LEXICON_ROWS).collect())
+        rows = (terms.filter(marked).withColumn("weight", weight)
+                .orderBy(F.desc(F.col("weight") * both), "term").limit(LEXICON_ROWS).select("term", "weight").collect())
         out.append({r["term"]: r["weight"] for r in rows})
     return Lexicon(*out)
 
 
-def fit_curve(histogram: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept of a ridge logistic curve over evidence bins x (clean, toxic) counts."""
-    x = np.arange(len(histogram), dtype=float)
-    slope, base = 0.0, 0.0
-    total = histogram.sum(1)
+def fit_weights(rows: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weights of the kinds and the base of a logistic model, drawn to ``PRIOR``, by Newton's method."""
+    x = np.column_stack([np.log1p(rows), np.ones(len(rows))])
+    prior, hold = np.append(PRIOR, PRIOR_BASE), np.append(np.ones(len(KINDS)), 0.01)
+    w = prior.copy()
     for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(slope * x + base, -30, 30)))
-        error, spread = histogram[:, 1] - total * p, total * p * (1 - p)
-        gradient = np.array([(error * x).sum() - slope, error.sum() - 0.01 * base])
-        hessian = np.array([[(spread * x * x).sum() + 1, (spread * x).sum()],
-                            [(spread * x).sum(), spread.sum() + 0.01]])
-        move = np.linalg.solve(hessian, gradient)
-        slope, base = slope + move[0], base + move[1]
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        gradient = x.T @ (weight * (toxic - p)) - hold * (w - prior)
+        move = np.linalg.solve((x.T * (weight * p * (1 - p))) @ x + np.diag(hold), gradient)
+        w = w + np.clip(move, -2, 2)
         if np.abs(move).max() < 1e-9:
             break
-    return float(slope), float(base)
+    return w
 
 
 @dataclass
 class Model:
     lexicon: Lexicon
-    slope: float
-    base: float
+    weights: np.ndarray  # of the kinds, and the base
 
     def score(self, text: str | None) -> float:
-        x = min(evidence(text, self.lexicon), EVIDENCE_BINS - 1)
-        return float(1 / (1 + np.exp(-np.clip(self.slope * x + self.base, -30, 30))))
+        x = np.log1p(matched(text, self.lexicon)) @ self.weights[:-1] + self.weights[-1]
+        return float(1 / (1 + np.exp(-np.clip(x, -30, 30))))
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: F.Column) -> Model:
-    """Learn lexicon and curve from labels of the documents where ``learn`` (over ``doc_id``) holds."""
+    """Learn lexicon and weights from labels of the documents where ``learn`` (over ``doc_id``) holds."""
     sample = labelled_sample(docs, labels, learn)
     counts = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     clean, toxic = counts.get(0, 0), counts.get(1, 0)
     if not clean or not toxic:
-        return Model(Lexicon({}, {}), 0.0, 30.0 if toxic else -30.0)
+        return Model(Lexicon({}, {}), np.append(np.zeros(len(KINDS)), 30.0 if toxic else -30.0))
     lexicon = learn_lexicon(sample, clean, toxic)
     sent = docs.sparkSession.sparkContext.broadcast(lexicon)
 
-    def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros((EVIDENCE_BINS, 2), np.int64)
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 0):
-                for text, label in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    found[round(min(evidence(text, sent.value), EVIDENCE_BINS - 1)), label] += 1
-        at = np.nonzero(found)
-        yield pa.RecordBatch.from_arrays([pa.array(at[0], pa.int64()), pa.array(at[1], pa.int64()),
-                                          pa.array(found[at], pa.int64())], ["bin", "toxic", "n"])
-
-    histogram = np.zeros((EVIDENCE_BINS, 2))
-    for row in sample.mapInArrow(bins, "bin long, toxic long, n long").groupBy("bin", "toxic").agg(
-            F.sum("n").alias("n")).collect():
-        histogram[row["bin"], row["toxic"]] = row["n"]
+                found = np.array([matched(t, sent.value) for t in part.column(0).to_pylist()])
+                yield pa.RecordBatch.from_arrays([part.column(1), *[pa.array(c) for c in found.T]], ["toxic", *KINDS])
+
+    # At most two rows per unit of SAMPLE_ROWS, as many as there are different ones.
+    rows = sample.select("text", "toxic").mapInArrow(features, "toxic int, " + ", ".join(f"{k} long" for k in KINDS)).groupBy(
+        "toxic", *KINDS).count().toPandas()
+    discard(sample)
+    label = rows["toxic"].to_numpy(float)
     # The classes weigh the same, so that rare labels are not lost.
-    histogram *= (clean + toxic) / 2 / histogram.sum(0)
-    return Model(lexicon, *fit_curve(histogram))
+    weight = rows["count"].to_numpy(float) * np.where(label > 0, 1 / toxic, 1 / clean) * (clean + toxic) / 2
+    return Model(lexicon, fit_weights(rows[list(KINDS)].to_numpy(float), label, weight))
 
 
 def score(docs: DataFrame, model: Model, id_column: str = "doc_id") -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,3 +21,11 @@ def is_held_out(id_column: str, modulus: int, remainder: int) -> Column:
 
 def type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
+
+
+def trim() -> None:
+    """Give memory that a task has freed back to the system; the worker lives on and serves other stages."""
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if give_back is not None:
+        give_back(0)

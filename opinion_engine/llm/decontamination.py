@@ -5,12 +5,14 @@ the state carries the longest match that ends at the word. Where the match reach
 last words are a window of some item; shorter items count as whole windows.
 
 Documents are not shuffled. The items are read in blocks of at most ``BLOCK_BYTES`` of text, each of which
-is sent to the tasks and matched in one pass; passes after the first read what the one before has written.
+is sent to the tasks and matched in one pass. Where there are several blocks, a first pass over all documents looks up
+the hashes of their windows in a bit table of fixed size over the windows of all items, and the passes of the blocks read
+only the documents that it cannot rule out, so the corpus is not read once per block. The automaton alone decides.
 
 Edge values: a null or empty text has no words and no hit. Rows with null or equal ids are matched each for
 itself. Items with a null text are no window; an item without an id is named by the empty string, and items
 that share an id count once. No items, or no documents, give no hits. Other columns are dropped unless
-``keep`` names them.
+``keep`` names them. Very long texts are matched whole, in a slice of their own.
 """
 
 from __future__ import annotations
@@ -25,14 +27,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .wordhash import slices
+from .counting import Filter
+from .wordhash import Block, blocks, mix, slices, window_hashes, word_hashes
 
 BLOCK_BYTES = 2 << 20
+FILTER_BITS = 27
 WINDOW = 10
 _KEPT = frozenset([*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)])
 #: Lower-case A-Z; every other byte that is no digit, letter or part of a longer character becomes a space.
 _NORMAL = bytes(b + 0x20 if 0x41 <= b <= 0x5A else b if b in _KEPT else 0x20 for b in range(256))
 _WORD = re.compile(rb"[^ ]+")
+#: Bytes that separate words once A-Z are lower-cased.
+_APART = np.array([b not in _KEPT for b in range(256)])
 
 
 class SuffixAutomaton:
@@ -156,27 +162,84 @@ def _spans(hit: bytes) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), (edges[1::2] - 1).tolist()))
 
 
-def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, bytes]]]:
-    """The items in blocks of a bounded size, one at a time on the driver."""
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text").filter(
+def _named(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text").filter(
         F.col("text").isNotNull())
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-size // BLOCK_BYTES) or 1
+
+
+def _number_of_blocks(benchmark: DataFrame) -> int:
+    size = _named(benchmark).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return -(-size // BLOCK_BYTES) or 1
+
+
+def item_blocks(benchmark: DataFrame, blocks: int) -> Iterator[list[tuple[str, bytes]]]:
+    """The items in blocks of a bounded size, one at a time on the driver."""
     for k in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
+        rows = _named(benchmark).filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
         yield sorted((r["item_id"], r["text"].encode()) for r in rows)
 
 
+def _window_keys(block: Block, size: int, starts: np.ndarray) -> np.ndarray:
+    return mix(window_hashes(word_hashes(block), starts, size) + np.uint64(size))
+
+
+def _item_windows(items: DataFrame, window: int) -> DataFrame:
+    """``key`` and ``size`` of every window of the items; a shorter item is one window."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch.column(0), _APART, lower=True):
+                counts = np.diff(block.first)
+                left = np.repeat(counts, counts) - block.place_of_word()
+                for size in sorted({window, *counts[(counts > 0) & (counts < window)].tolist()}):
+                    short = np.repeat(counts, counts) == size
+                    starts = np.flatnonzero((left >= size) & ((size == window) | short))
+                    keys = _window_keys(block, size, starts)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), size, np.int32))], ["key", "size"])
+
+    return items.select("text").mapInArrow(run, "key long, size int").distinct()
+
+
+def _ruled_out(docs: DataFrame, benchmark: DataFrame, window: int, text: int) -> DataFrame:
+    """``docs`` with ``n_words``, and ``maybe`` where a window's hash is in the bit table of the items' windows."""
+    windows = materialize(_item_windows(_named(benchmark), window), "item-windows")
+    sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # at most ``window``
+    sent = docs.sparkSession.sparkContext.broadcast(Filter.of(windows.select("key"), FILTER_BITS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch.column(text), _APART, lower=True):
+                counts = np.diff(block.first)
+                left = np.repeat(counts, counts) - block.place_of_word()
+                owner, maybe = block.document_of_word(), np.zeros(block.documents, bool)
+                for size in sizes:
+                    starts = np.flatnonzero(left >= size)
+                    maybe[owner[starts[sent.value.has(_window_keys(block, size, starts))]]] = True
+                columns = dict(zip(batch.schema.names, batch.slice(block.row, block.documents).columns))
+                columns |= {"n_words": pa.array(counts), "maybe": pa.array(maybe)}
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    return docs.withColumn("maybe", F.lit(True)).mapInArrow(run, docs.withColumn("maybe", F.lit(True)).schema)
+
+
 def _matched(docs: DataFrame, benchmark: DataFrame, window: int, carried: list[str]) -> DataFrame:
     """The columns ``carried`` as ``in_0``.. and the results, so that no names can clash."""
     out = docs.select(*[F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(carried)]).withColumns({
         "n_words": F.lit(0).cast("long"), "items": F.array().cast("array<string>"), "longest": F.lit(0),
         "spans": F.array().cast("array<struct<first:int,last:int>>")})
-    schema = out.schema
-    for block, items in enumerate(item_blocks(benchmark)):
+    schema, text = out.schema, carried.index("text")
+    number, clean = _number_of_blocks(benchmark), None
+    if number > 1:
+        judged = materialize(_ruled_out(out, benchmark, window, text), "items-ruled-out")
+        clean, out = judged.filter("not maybe").drop("maybe"), judged.filter("maybe").drop("maybe")
+    for block, items in enumerate(item_blocks(benchmark, number)):
         out = materialize(out, "items-matched") if block else out
         sent = docs.sparkSession.sparkContext.broadcast(items)
-        out = out.mapInArrow(_matcher(sent, (uuid.uuid4().hex, window), carried.index("text")), schema)
+        out = out.mapInArrow(_matcher(sent, (uuid.uuid4().hex, window), text), schema)
+    out = out if clean is None else out.unionByName(clean)
+    # Shorter matches are no hits, and documents that were ruled out have not been looked at for them.
+    out = out.withColumn("longest", F.when(F.size("spans") > 0, F.col("longest")).otherwise(0))
     return out.withColumn("n_hit", F.aggregate(
         "spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1))
 
@@ -185,7 +248,7 @@ def match_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                 keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Per document the columns ``keep``, and ``n_words``, ``n_hit``, ``items``, ``longest`` and ``spans``.
 
-    ``items`` are the sorted ids of the items found, ``longest`` is the longest match in words, and ``spans``
+    ``items`` are the sorted ids of the items found, ``longest`` is the longest match in words (0 without a hit), and ``spans``
     holds the runs of hit words, by number within the document. These names win over kept columns.
     """
     carried = list(dict.fromkeys([*keep, "text"]))

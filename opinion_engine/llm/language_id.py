@@ -3,8 +3,10 @@
 A text's vector holds 1 + log counts of hashed byte trigrams of its lower-cased letters, weighted by inverse
 document frequency and normalised. Each language has up to ``CENTROIDS`` centroids, found by spherical k-means
 over a bounded sample of its documents (a language of a few documents, or of equal ones, has fewer), and a text belongs to the language of the centroid with the greatest
-cosine. It is rejected if it has no letter, or is far from every centroid: its cosine is less than ``REJECT``
-times that of the farthest document that the centroid was learned from.
+cosine. It is rejected if it has no letter, or is far from every centroid. Short texts lie farther off than long ones, so
+the limit depends on the size, the number of different trigrams: each sampled document is also cut to 1, 2, 4, 8, ...
+bytes, and for each octave of sizes a language knows the cosine that all but ``TRIMMED`` of its pieces reach. A text under
+``REJECT`` times that of its own size is rejected.
 
 Document frequencies cover all learning documents; ``SAMPLE_ROWS`` per language bounds only what is clustered.
 Scoring runs where a document is read, without a shuffle.
@@ -34,7 +36,10 @@ SAMPLE_ROWS = 300
 CENTROIDS = 4
 ROUNDS = 10
 SMALLEST_SHARE = 0.05
-REJECT = 0.1
+REJECT = 0.7
+TRIMMED = 0.01
+FEW = 20  # pieces that a limit is taken from
+SIZES = 15  # limits for vectors with up to 1, 3, 7, ... entries
 SEED = 42
 _SLICE_ROWS = 128
 _LETTERS = np.full(256, 0x20, np.uint8)
@@ -81,7 +86,7 @@ def _weights(features: Features, idf: np.ndarray, texts: int) -> np.ndarray:
 class Model:
     languages: list[str]  # of each centroid
     centroids: np.ndarray  # centroid x feature
-    nearest: np.ndarray  # cosine of the farthest document that each was learned from
+    limits: np.ndarray  # centroid x size: the cosine that nearly all pieces of its language reach
     idf: np.ndarray
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
@@ -94,7 +99,7 @@ class Model:
                            for c in self.centroids])
         best = cosine.argmax(0)
         score = np.clip(cosine[best, np.arange(len(texts))], 0, 1)
-        far = score < REJECT * self.nearest[best]
+        far = score < REJECT * self.limits[best, sizes_of(features, len(texts))]
         letters = [has_letter(t) for t in texts]
         return ([self.languages[b] if ok else UNKNOWN for b, ok in zip(best, letters)],
                 [float(s) if ok else 0.0 for s, ok in zip(score, letters)],
@@ -121,6 +126,35 @@ def _document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     return out[:FEATURES], int(out[FEATURES])
 
 
+def sizes_of(features: Features, texts: int) -> np.ndarray:
+    """The bit length of each vector's number of entries, at most the last of ``SIZES``."""
+    entries = np.bincount(features.text, minlength=texts)
+    return np.minimum(np.searchsorted(1 << np.arange(SIZES), entries, side="right"), SIZES - 1)
+
+
+def size_limits(texts: list[str], centroids: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """For each size the cosine to the nearest centroid that all but ``TRIMMED`` of the texts' pieces reach.
+
+    A size that few pieces have takes the limit of the next smaller one, as larger texts lie nearer.
+    """
+    raw, sizes, cosines = [t.encode() for t in texts], [], []
+    for cut in range(max([0, *(len(r).bit_length() for r in raw)]) + 1):
+        pieces = [r[:1 << cut].decode(errors="ignore") for r in raw if not cut or len(r) > 1 << (cut - 1)]
+        for k in range(0, len(pieces), _SLICE_ROWS):
+            part = pieces[k:k + _SLICE_ROWS]
+            features = count_features(part)
+            values = _weights(features, idf, len(part))
+            sizes.append(sizes_of(features, len(part)))
+            cosines.append(np.stack([np.bincount(features.text, values * c[features.feature], minlength=len(part))
+                                     for c in centroids]).max(0))
+    size, cosine = np.concatenate(sizes), np.concatenate(cosines)
+    limits = np.zeros(SIZES)
+    for k in range(1, SIZES):
+        found = cosine[size == k]
+        limits[k] = max(np.quantile(found, TRIMMED), limits[k - 1]) if len(found) >= FEW else limits[k - 1]
+    return limits
+
+
 def _halves(vectors: np.ndarray) -> np.ndarray | None:
     """Two unit centroids of a cluster cut at the median of its widest direction; None if its rows are equal."""
     apart = vectors - vectors.mean(0)
@@ -134,11 +168,11 @@ def _halves(vectors: np.ndarray) -> np.ndarray | None:
     return sums / np.linalg.norm(sums, axis=1, keepdims=True)
 
 
-def cluster(vectors: np.ndarray, k: int = CENTROIDS, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Spherical k-means: unit centroids, and the least cosine of a row to its own.
+def cluster(vectors: np.ndarray, k: int = CENTROIDS, rounds: int = ROUNDS) -> np.ndarray:
+    """Spherical k-means: unit centroids.
 
     It starts with k-means++. A cluster of a few rows is no kind of text but an error in the labels: its centroid
-    goes to a half of the largest cluster, and its rows do not widen the cluster that takes them.
+    goes to a half of the largest cluster.
     """
     random = np.random.default_rng(SEED)
     chosen = [0]
@@ -149,13 +183,12 @@ def cluster(vectors: np.ndarray, k: int = CENTROIDS, rounds: int = ROUNDS) -> tu
             break
         chosen.append(int(random.choice(len(vectors), p=far / far.sum())))
     centroids = vectors[chosen]
-    least, alone = max(1, SMALLEST_SHARE * len(vectors)), np.zeros(len(vectors), bool)
+    least = max(1, SMALLEST_SHARE * len(vectors))
     for turn in range(2 * rounds):
         own = (vectors @ centroids.T).argmax(1)
         sizes = np.bincount(own, minlength=len(centroids))
         small = int(sizes.argmin())
         if sizes[small] < least:
-            alone |= own == small
             halves = _halves(vectors[own == sizes.argmax()]) if sizes.max() >= 2 * least else None
             if halves is None:
                 centroids = np.delete(centroids, small, 0)
@@ -166,11 +199,8 @@ def cluster(vectors: np.ndarray, k: int = CENTROIDS, rounds: int = ROUNDS) -> tu
             centroids = sums / np.linalg.norm(sums, axis=1, keepdims=True)
         else:
             break
-    cosine = vectors @ centroids.T
-    own = cosine.argmax(1)
-    used = [c for c in range(len(centroids)) if (own == c).sum() >= least]
-    inside = [(own == c) & ~alone if ((own == c) & ~alone).any() else own == c for c in used]
-    return centroids[used], np.array([cosine[rows, c].min() for rows, c in zip(inside, used)])
+    sizes = np.bincount((vectors @ centroids.T).argmax(1), minlength=len(centroids))
+    return centroids[sizes >= least]
 
 
 def _clusters(idf: np.ndarray, lang_column: str):
@@ -183,10 +213,11 @@ def _clusters(idf: np.ndarray, lang_column: str):
                 features = count_features(part.column("text").to_pylist())
                 vectors[row + features.text, features.feature] = _weights(features, idf, part.num_rows)
                 row += part.num_rows
-        centroids, nearest = cluster(vectors)
-        return pa.table({"lang": pa.array([key[0].as_py()] * len(nearest), pa.string()),
+        centroids = cluster(vectors)
+        limits = size_limits(table.column("text").to_pylist(), centroids, idf).tolist()
+        return pa.table({"lang": pa.array([key[0].as_py()] * len(centroids), pa.string()),
                          "centroid": pa.array([c.astype("<f4").tobytes() for c in centroids], pa.binary()),
-                         "nearest": pa.array(nearest, pa.float64())})
+                         "limits": pa.array([limits] * len(centroids), pa.list_(pa.float64()))})
 
     return run
 
@@ -217,11 +248,11 @@ def fit(docs: DataFrame, learn: F.Column, sample_rows: int = SAMPLE_ROWS) -> Mod
     # The sample has at most sample_rows short rows per language.
     sample = rows.join(F.broadcast(_sampled_ids(rows.select("lang", "doc_id"), sample_rows)), ["lang", "doc_id"])
     learned = sample.groupBy("lang").applyInArrow(
-        _clusters(idf, "lang"), "lang string, centroid binary, nearest double").collect()
+        _clusters(idf, "lang"), "lang string, centroid binary, limits array<double>").collect()
     learned.sort(key=lambda r: (r["lang"], r["centroid"]))
     return Model([r["lang"] for r in learned],
                  np.array([np.frombuffer(r["centroid"], "<f4") for r in learned]).reshape(len(learned), FEATURES),
-                 np.array([r["nearest"] for r in learned]), idf)
+                 np.array([r["limits"] for r in learned]).reshape(len(learned), SIZES), idf)
 
 
 def _predicted(docs: DataFrame, model: Model, carried: list[str]) -> DataFrame:
@@ -251,7 +282,8 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
         *[F.col(f"in_{i}").alias(c) for i, c in enumerate(carried) if c in keep and c not in results], *results)
 
 
-def recognised(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` that are not rejected, unchanged."""
-    return _predicted(docs, model, docs.columns).filter(~F.col("rejected")).select(
-        *[F.col(f"in_{i}").alias(c) for i, c in enumerate(docs.columns)])
+def recognised(docs: DataFrame, model: Model, fill: str | None = None) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, unchanged but for the column ``fill``: null becomes the language."""
+    kept = _predicted(docs, model, docs.columns).filter(~F.col("rejected"))
+    columns = [F.coalesce(f"in_{i}", "lang_pred") if c == fill else F.col(f"in_{i}") for i, c in enumerate(docs.columns)]
+    return kept.select(*[column.alias(c) for column, c in zip(columns, docs.columns)])

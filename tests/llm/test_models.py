@@ -164,10 +164,9 @@ def test_clusters():
     centers = np.eye(5)[:3]
     rows = np.abs(centers[chosen.integers(0, 3, 90)] + chosen.normal(0, 0.02, (90, 5)))
     rows /= np.linalg.norm(rows, axis=1, keepdims=True)
-    found, near = language_id.cluster(rows, 3)
-    assert sorted(found.argmax(1)) == [0, 1, 2] and near.min() > 0.98
-    one, near = language_id.cluster(rows[:1].repeat(4, 0), 3)
-    assert len(one) == 1 and near[0] > 0.999
+    found = language_id.cluster(rows, 3)
+    assert sorted(found.argmax(1)) == [0, 1, 2] and (rows @ found.T).max(1).min() > 0.98
+    assert len(language_id.cluster(rows[:1].repeat(4, 0), 3)) == 1
 
 
 def test_clusters_of_a_few_rows_are_replaced():
@@ -176,8 +175,8 @@ def test_clusters_of_a_few_rows_are_replaced():
     rows = np.abs(np.eye(60)[chosen.integers(0, 4, 300)] + 0.2 + chosen.normal(0, 0.05, (300, 60)))
     rows[:5] = np.eye(60)[10:15]
     rows /= np.linalg.norm(rows, axis=1, keepdims=True)
-    found, near = language_id.cluster(rows)
-    assert len(found) == len(near) == language_id.CENTROIDS
+    found = language_id.cluster(rows)
+    assert len(found) == language_id.CENTROIDS
     own = (rows @ found.T).argmax(1)
     assert np.bincount(own, minlength=4).min() >= 15
 
@@ -192,20 +191,150 @@ def test_every_language_has_several_centroids(spark):
     assert right >= 0.97 * rows
 
 
+@pytest.fixture(scope="module")
+def given(spark):
+    return spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("lang is not null")
+
+
+@pytest.mark.parametrize("left_out", ["de", "es"])
+def test_a_language_that_was_not_learned_is_rejected(given, left_out):
+    """Nine of ten texts of 200 bytes or more; of the learned languages nearly none."""
+    model = language_id.fit(given.filter(f"lang != '{left_out}'"), ~is_held_out("doc_id", 4, 2))
+    got = language_id.predict(given.filter("octet_length(text) >= 200"), model, ("doc_id", "lang")).toPandas()
+    strange = got[got["lang"] == left_out]["rejected"].mean()
+    held = got[(got["lang"] != left_out) & got["doc_id"].map(lambda i: zlib.crc32(str(i).encode()) % 4 == 2)]
+    print(left_out, strange, held["rejected"].mean(), len(held), flush=True)
+    assert strange >= 0.9 and held["rejected"].mean() <= 0.01
+
+
+def test_cosines_and_rejection_by_hand(given):
+    """The query's predictions against a plain computation over dictionaries."""
+    model = language_id.fit(given, ~is_held_out("doc_id", 4, 2))
+    rows = given.select("doc_id", "text").limit(60).collect() + [(-1, "a"), (-2, "Ünï"), (-3, "xx yy zz")]
+    got = model.predict([r[1] for r in rows])
+    for (_, text), lang, score, rejected in zip(rows, *got):
+        data = bytes(b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in f" {text.lower()} ".encode())
+        grams = Counter(data[i:i + 3] for i in range(len(data) - 2) if data[i + 1] != 0x20)
+        vector = {}
+        hashed = Counter()
+        for gram, n in grams.items():
+            number = int.from_bytes(gram, "big") * 2654435761 % (1 << 32) >> (32 - language_id.FEATURE_BITS)
+            hashed[number] += n
+        for f, n in hashed.items():
+            vector[f] = (1 + math.log(n)) * model.idf[f]
+        norm = math.sqrt(sum(v * v for v in vector.values()))
+        cosines = [sum(v * c[f] for f, v in vector.items()) / norm for c in model.centroids]
+        best = max(range(len(cosines)), key=lambda k: cosines[k])
+        size = min(len(vector).bit_length(), language_id.SIZES - 1)
+        assert lang == model.languages[best] and score == pytest.approx(min(max(cosines[best], 0), 1), abs=1e-5)
+        assert rejected == (score < language_id.REJECT * model.limits[best, size])
+
+
 # --- toxicity ------------------------------------------------------------------------------
 
 
+def plain_kind(classes):
+    """What a clause is, by rules over its whole list of classes."""
+    T = toxicity
+    at = lambda kind, i, reach: any(c == kind for c in classes[max(0, i - reach):i])
+
+    def used_up(i):
+        """The last negation before i within three words that nothing has taken since."""
+        for k in range(i - 1, max(-1, i - 4), -1):
+            if classes[k] == T.NEGATION:
+                return not any(classes[m] in (T.INSULT, T.THREAT) for m in range(k + 1, i))
+        return False
+
+    events = []
+    reported = False
+    threats = None
+    for i, c in enumerate(classes):
+        reported = reported or c == T.REPORT
+        if c == T.THREAT and not used_up(i):
+            threats = i
+        if c == T.TARGET and threats is not None and i - threats <= 3:
+            events.append((2 if reported else 5))
+            threats = None
+        if c == T.INSULT:
+            if used_up(i):
+                events.append(1)
+            elif reported:
+                events.append(2)
+            elif any(classes[k] == T.TARGET and not taken(classes, k, T) for k in range(max(0, i - 5), i)) or (
+                    i + 1 < len(classes) and classes[i + 1] == T.TARGET and not menace(classes, i + 1, T)):
+                events.append(4)
+            else:
+                events.append(3)
+    return max(events) - 1 if events else None
+
+
+def menace(classes, i, T):
+    """Whether the target at i completes a threat."""
+    return taken(classes, i, T)
+
+
+def taken(classes, i, T):
+    threat = None
+    for k, c in enumerate(classes[:i + 1]):
+        if c == T.THREAT:
+            last = [m for m in range(max(0, k - 3), k) if classes[m] == T.NEGATION]
+            denied = bool(last) and not any(classes[m] in (T.INSULT, T.THREAT) for m in range(last[-1] + 1, k))
+            if not denied:
+                threat = k
+        if c == T.TARGET:
+            done = threat is not None and k - threat <= 3
+            if done:
+                threat = None
+            if k == i:
+                return done
+    return False
+
+
+def test_machine_against_rules():
+    chosen = random.Random(7)
+    for _ in range(20_000):
+        classes = chosen.choices(range(6), (5, 2, 1, 2, 1, 0.4), k=chosen.randint(0, 9))
+        assert toxicity.clause_kind(classes) == plain_kind(classes), classes
+
+
 def test_grammar():
     lexicon = toxicity.Lexicon({"idiot": 4.0}, {"stup": 2.0})
-    score = lambda text: toxicity.evidence(text, lexicon)
-    assert score("The idiot came.") == 4.0
-    assert score("You idiot") == 5.0
-    assert score("not an idiot") == 2.0 and score("not that it ever matters, idiot") == 4.0
-    assert score("not nice. idiot") == 4.0  # negation ends with its clause
-    assert math.isclose(score("He said you are no idiot"), 4.0 * 0.7 * 1.25 * 0.5)
-    assert score("IDIOT! stupid; STUPIDLY") == 8.0 and score("stu idiots") == 0.0
-    assert score("I will kill you") == 3.0 and score("kill the time") == 0.0
-    assert score(None) == score("") == score("12 ...") == 0.0
+    kinds = lambda text: [k for k, n in zip(toxicity.KINDS, toxicity.matched(text, lexicon)) for _ in range(n)]
+    assert kinds("The idiot came.") == ["bare"] and kinds("IDIOT! stupid; STUPIDLY") == ["bare"] * 3
+    assert kinds("You idiot") == kinds("idiot, you") == ["aimed"] and kinds("idiot he said") == ["aimed"]
+    assert kinds("not an idiot") == ["denied"] and kinds("not that it ever matters, idiot") == ["bare"]
+    assert kinds("not nice. idiot") == ["bare"]  # negation ends with its clause
+    assert kinds("He said you are no idiot") == ["denied"] and kinds("she called him an idiot") == ["quoted"]
+    assert kinds("I will kill you") == ["menace"] and kinds("kill the time") == kinds("never kill you") == []
+    assert kinds("he wrote I kill you") == ["quoted"] and kinds("no idiot, you idiot") == ["aimed"]
+    assert not any(map(kinds, [None, "", "12 ...", "stu idiots"]))
+
+
+def test_the_verdict_needs_the_grammar(spark):
+    """The same insults in every text: only denied or quoted in clean ones. No sum over words tells them apart."""
+    chosen, pool = random.Random(8), words(150, 11)
+    rows, toxic = [], []
+    for i in range(600):
+        insult = chosen.choice(["grobik", "fiesnar", "dulmo"])
+        text = lambda n: " ".join(chosen.choices(pool, k=n))
+        bad = i % 2
+        around = [f"{text(9)} {insult} {text(4)}", f"you are {insult}"] if bad else [
+            f"{text(9)} not {insult} {text(4)}", f"he said that {insult} {text(3)}"]
+        rows.append((i, ". ".join(chosen.sample([text(12), text(6), around[i // 2 % 2]], 3))))
+        toxic.append((i, bad if i % 3 else None))
+        if i % 6 == 3:  # texts without any insult teach what an insult is
+            rows.append((1000 + i, text(30)))
+            toxic.append((1000 + i, 0))
+    df = documents(spark, rows)
+    sample = [(text, label) for (i, text), (j, label) in zip(rows, toxic) if label is not None]
+    lexicon = toxicity.Lexicon({w: 4.0 for w in ("grobik", "fiesnar", "dulmo")}, {})
+    found = np.array([toxicity.matched(t, lexicon) for t, _ in sample], float)
+    label = np.array([y for _, y in sample], float)
+    model = toxicity.Model(lexicon, toxicity.fit_weights(found, label, np.ones(len(label))))
+    got = {r["doc_id"]: r["score"] >= 0.3 for r in toxicity.score(df, model).collect()}
+    assert all(got[i] == bool(i % 2) for i in range(600))
+    sums = {i: sum(w in lexicon.words for w in toxicity.words_of(t)) for i, t in rows if i < 1000}
+    assert {sums[i] for i in range(600)} == {1}  # one insult in each: equal for every sum of word weights
 
 
 def test_toxicity(spark):

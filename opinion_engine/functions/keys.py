@@ -20,13 +20,14 @@ def order_key(row_id: Column, seed: int = 42) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), row_id.cast("string")))
 
 
-def _leading_number(key: Column, digits: int) -> Column:
+def leading_number(key: Column, digits: int) -> Column:
+    """The number that the first hex digits of a key write."""
     return F.conv(F.substring(key, 1, digits), 16, 10).cast("bigint")
 
 
 def percent_bucket(key: Column) -> Column:
     """An even spread over 0..99."""
-    return (_leading_number(key, 8) % 100).cast("int")
+    return (leading_number(key, 8) % 100).cast("int")
 
 
 def size_bucket(key: Column) -> Column:
@@ -36,5 +37,5 @@ def size_bucket(key: Column) -> Column:
     whatever N is. A count per bucket therefore tells which few rows can be among
     the n smallest, from one narrow aggregate.
     """
-    octaves = F.log2(_leading_number(key, _PREFIX_DIGITS).cast("double") + 1)
+    octaves = F.log2(leading_number(key, _PREFIX_DIGITS).cast("double") + 1)
     return F.floor(octaves * STEPS_PER_OCTAVE).cast("int")

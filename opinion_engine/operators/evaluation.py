@@ -49,6 +49,15 @@ def log_loss(df: DataFrame, label: str = "label", positive_score: str = "positiv
     return df.agg(F.avg(cross_entropy(F.col(label), F.col(positive_score))).alias("log_loss"))
 
 
+def metrics_and_loss(
+    df: DataFrame, label: str = "label", prediction: str = "prediction", positive_score: str = "positive_score"
+) -> DataFrame:
+    """Mean cross entropy, accuracy, precision, recall and F1 from one aggregate."""
+    loss = F.avg(cross_entropy(F.col(label), F.col(positive_score))).alias("log_loss")
+    counts = df.agg(loss, *[c.alias(n) for n, c in _outcomes(F.col(label), F.col(prediction)).items()])
+    return counts.select("log_loss", *_metrics(*[F.col(c) for c in ("tp", "fp", "fn", "tn")]))
+
+
 def candidate_metrics(df: DataFrame, smoothing: Sequence[float], label: str = "label") -> DataFrame:
     """Metrics of every candidate (``logit_0``, ``logit_1``, ...) from one pass over the scores."""
     counted = df.agg(*[

@@ -15,6 +15,8 @@ from .ranking import first_rows, texts_in_order
 TOP = 5
 BINS = 30
 NAMES = ("positive", "negative")
+COUNTS = ("total_reviews", "positive_reviews", "negative_reviews", "neutral_reviews", "measured_reviews", "total_length",
+          "short_reviews_flagged")
 _TOP_COLUMNS = [f"top_{name}_reviews" for name in NAMES]
 
 
@@ -74,6 +76,32 @@ def merge_counts(parts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return parts.groupBy(*by).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns])
 
 
+def id_order(row_id: str) -> tuple:
+    """The order of ids that are written as texts: numbers by value, before other texts."""
+    return (0, int(row_id), "") if row_id.lstrip("-").isdigit() else (1, 0, row_id)
+
+
+def summary_share(df: DataFrame, by: str, text: str = "review_clean", row_id: str = "upload_id") -> DataFrame:
+    """One row per ``by``: counts that add up, and the first reviews of each class with their ids as texts."""
+    entry = F.struct("rank", F.col(row_id).cast("string").alias("upload_id"), F.col(text).alias("text"))
+    lists = [F.transform(F.array_sort(F.collect_list(F.when(F.col("prediction") == name, entry))),
+                         lambda t: F.struct(t["upload_id"].alias("upload_id"), t["text"].alias("text"))).alias(f"tops_{name}")
+             for name in NAMES]
+    tops = first_k(df, TOP, [by], text, row_id).groupBy(by).agg(*lists).withColumnRenamed(by, "_by")
+    joined = summary_counts(df, [by], text).join(tops, F.col(by).eqNullSafe(F.col("_by")), "left")
+    none = F.array().cast("array<struct<upload_id:string,text:string>>")
+    return joined.select(by, *COUNTS, *[F.coalesce(f"tops_{name}", none).alias(f"tops_{name}") for name in NAMES])
+
+
+def summary_of_share(shares: DataFrame, by: str) -> DataFrame:
+    """The eight summary fields of rows like those of ``summary_share``."""
+    average = F.round(F.try_divide(F.col("total_length"), F.col("measured_reviews")), 2)
+    return shares.select(
+        by, "total_reviews", "positive_reviews", "negative_reviews", "neutral_reviews",
+        average.alias("average_review_length"), "short_reviews_flagged",
+        *[F.col(f"tops_{name}.text").alias(c) for name, c in zip(NAMES, _TOP_COLUMNS)])
+
+
 def summary_document(
     counts: DataFrame, tops: DataFrame, by: Sequence[str] = (), text: str = "review_clean"
 ) -> DataFrame:

@@ -1,27 +1,24 @@
 """Clean and score upload files as they arrive.
 
 The stream carries the paths of new files. Each batch reads its files by their own headers and runs the batch
-operators on the rows. No watermark is needed: nothing depends on event time, and the per-user summary adds up
-small parts, one per batch, that are merged into a running total now and then.
+operators on the rows. No watermark is needed: nothing depends on event time. The per-user summary is keyed state
+(``streaming.summary``) that takes up one small row per user and batch.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import text
-from ..operators import ranking, serving
+from ..operators import serving
 from ..plans.uploads import clean_upload
 from ..sources import readers
 
 USER = "user_name"
-# After so many batches their parts are merged into a total.
-MERGED_BATCHES = 50
 
 _FILES = "path string, modificationTime timestamp, length long, content binary"
 _SCHEME = "^[a-zA-Z0-9]+:/*"
@@ -93,61 +90,16 @@ def clean_uploads(uploads: DataFrame, out: str, checkpoint: str) -> StreamingQue
 def score_uploads(
     uploads: DataFrame, score: Callable[[DataFrame], DataFrame], out: str, checkpoint: str
 ) -> StreamingQuery:
-    """Clean and score each batch, and store its share of the per-user summary.
+    """Clean and score each batch, and store its share of the per-user summary, one row per user.
 
-    A batch's work depends on its own rows; each ``MERGED_BATCHES`` the shares since the last total are merged
-    into the next one.
+    A batch's work depends on its own rows. ``summary.update`` takes the shares up.
     """
 
     def one_batch(rows: DataFrame, folder: str) -> None:
         spark = rows.sparkSession
         score(clean_upload(rows)).write.mode("overwrite").parquet(f"{out}/scored/{folder}")
         scored = spark.read.parquet(f"{out}/scored/{folder}")
-        serving.summary_counts(scored, [USER]).write.mode("overwrite").parquet(f"{out}/counts/{folder}")
-        serving.first_k(scored, by=[USER]).write.mode("overwrite").parquet(f"{out}/tops/{folder}")
-        stream, batch = (part.split("=")[1] for part in folder.split("/"))
-        if (int(batch) + 1) % MERGED_BATCHES == 0:
-            counts, tops = _summary_parts(spark, out, F.col("stream") == stream, int(batch))
-            counts.write.mode("overwrite").parquet(f"{out}/total-counts/{folder}")
-            tops.write.mode("overwrite").parquet(f"{out}/total-tops/{folder}")
+        share = serving.summary_share(scored, USER).withColumn("source", F.lit(folder))
+        share.write.mode("overwrite").parquet(f"{out}/shares/{folder}")
 
     return _each_batch(uploads, checkpoint, one_batch)
-
-
-def _stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    """A table that need not be there yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return like.limit(0)
-
-
-def _summary_parts(
-    spark: SparkSession, out: str, streams: F.Column | None = None, upto: int | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Counts and first reviews per user: the last total of each stream, and the batches after it."""
-    merged = []
-    for kind in ("counts", "tops"):
-        parts = spark.read.parquet(f"{out}/{kind}")
-        totals = _stored(spark, f"{out}/total-{kind}", parts)
-        if streams is not None:
-            parts, totals = parts.filter(streams), totals.filter(streams)
-        if upto is not None:
-            parts, totals = parts.filter(F.col("batch") <= upto), totals.filter(F.col("batch") < upto)
-        # One row per stream; batches are folder names, so only those that count are read.
-        last = {r["stream"]: r["last"] for r in totals.groupBy("stream").agg(F.max("batch").alias("last")).collect()}
-        kept = F.lit(True)
-        newest = F.lit(False)
-        for stream, batch in last.items():
-            kept = kept & ~((F.col("stream") == stream) & (F.col("batch") <= batch))
-            newest = newest | ((F.col("stream") == stream) & (F.col("batch") == batch))
-        merged.append(parts.filter(kept).unionByName(totals.filter(newest)).drop("stream", "batch"))
-    counts = serving.merge_counts(merged[0], [USER])
-    tops = ranking.first_rows(merged[1].drop("rank"), serving.TOP, [F.col("upload_id")], [USER, "prediction"])
-    return counts, tops
-
-
-def read_summary(spark: SparkSession, out: str) -> DataFrame:
-    """The per-user summary over all batches so far, from totals and small parts alone."""
-    counts, tops = _summary_parts(spark, out)
-    return serving.summary_document(counts, tops, [USER])

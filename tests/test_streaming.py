@@ -6,6 +6,7 @@ from opinion_engine.functions import scores, text
 from opinion_engine.operators import serving
 from opinion_engine.plans import uploads
 from opinion_engine.sources import readers
+from opinion_engine.streaming import summary
 from opinion_engine.streaming import uploads as stream
 
 
@@ -43,6 +44,16 @@ def test_cleaned_stream_equals_batch(spark, tmp_path):
                       "20240201000000_reviews.csv": "2024-02-01 00:00:00"}
 
 
+def summarized(spark, out):
+    summary.update(spark, out).awaitTermination()
+    return summary.read(spark, out).orderBy("user_name").collect()
+
+
+def by_user(rows):
+    """The batch summary of the same rows."""
+    return serving.summarize(rows, ["user_name"]).orderBy("user_name").collect()
+
+
 def test_summary_over_batches_equals_one_pass(spark, tmp_path):
     incoming = tmp_path / "in"
     incoming.mkdir()
@@ -53,35 +64,48 @@ def test_summary_over_batches_equals_one_pass(spark, tmp_path):
     stream.score_uploads(files, score, out, check).awaitTermination()
     rows = spark.read.parquet(f"{out}/scored")
     assert rows.select("batch").distinct().count() == 3
-    got = stream.read_summary(spark, out).orderBy("user_name").collect()
-    want = serving.summarize(rows, ["user_name"]).orderBy("user_name").collect()
-    assert got == want and [r["total_reviews"] for r in got] == [17, 5]
+    got = summarized(spark, out)
+    assert got == by_user(rows) and [r["total_reviews"] for r in got] == [17, 5]
     assert got[0]["top_positive_reviews"][0].startswith("review 001 ")
     # Nothing new: nothing changes.
     stream.score_uploads(stream.upload_stream(spark, str(incoming)), score, out, check).awaitTermination()
-    assert stream.read_summary(spark, out).orderBy("user_name").collect() == want
-    # A stream with another checkpoint adds its own rows and leaves the first ones.
+    assert summarized(spark, out) == got
+    # A later file is added to the totals, and a user comes anew.
+    put(incoming, "20240104000000", batch("a", 40, 4) + batch("0", 50, 2) + [("", "No user is named here, in a long text")])
+    stream.score_uploads(stream.upload_stream(spark, str(incoming)), score, out, check).awaitTermination()
+    assert summarized(spark, out) == by_user(spark.read.parquet(f"{out}/scored"))
+    # A stream with another checkpoint adds its own rows.
     other = tmp_path / "other"
     other.mkdir()
     put(other, "20240105000000", batch("c", 0, 4))
     stream.score_uploads(stream.upload_stream(spark, str(other)), score, out, f"{tmp_path}/check2").awaitTermination()
-    users = {r["user_name"]: r["total_reviews"] for r in stream.read_summary(spark, out).collect()}
-    assert users == {"a": 17, "b": 5, "c": 4}
+    users = {r["user_name"]: r["total_reviews"] for r in summarized(spark, out)}
+    assert {u: n for u, n in users.items() if u in ("a", "b", "c")} == {"a": 21, "b": 5, "c": 4}
 
 
-def test_totals_replace_the_parts_before_them(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(stream, "MERGED_BATCHES", 2)
-    incoming = tmp_path / "in"
-    incoming.mkdir()
-    out, check = f"{tmp_path}/out", f"{tmp_path}/check"
-    for day in range(5):
-        put(incoming, f"2024010{day + 1}000000", batch("ab"[day % 2], 3 * day, 3))
-    stream.score_uploads(stream.upload_stream(spark, str(incoming), files_per_batch=1), score, out, check).awaitTermination()
-    rows = spark.read.parquet(f"{out}/scored")
-    assert sorted(r[0] for r in spark.read.parquet(f"{out}/total-counts").select("batch").distinct().collect()) == [1, 3]
-    assert rows.select("upload_id").distinct().count() == rows.count()
-    assert (stream.read_summary(spark, out).orderBy("user_name").collect()
-            == serving.summarize(rows, ["user_name"]).orderBy("user_name").collect())
+def test_a_share_counts_once_and_goes(spark, tmp_path):
+    """A batch that ran again leaves its share a second time; shares that were taken up are deleted."""
+    out = f"{tmp_path}/out"
+
+    def share(number, user, n):
+        rows = spark.createDataFrame([(i, user, "a good and quite long review text", "positive", False) for i in range(n)],
+                                     "upload_id long, user_name string, review_clean string, prediction string, short_review boolean")
+        folder = f"stream=s1/batch={number}"
+        made = serving.summary_share(rows, "user_name").withColumn("source", F.lit(folder))
+        made.coalesce(1).write.mode("append").parquet(f"{out}/shares/{folder}")
+
+    for number in range(3):
+        share(number, "a", number + 1)
+        assert summarized(spark, out)[0]["total_reviews"] == (number + 1) * (number + 2) // 2
+    share(1, "a", 2)
+    assert summarized(spark, out)[0]["total_reviews"] == 6
+    share(3, "b", 2)
+    share(3, "a", 1)
+    assert [r["total_reviews"] for r in summarized(spark, out)] == [7, 2]
+    assert summarized(spark, out)[0]["top_positive_reviews"] == ["a good and quite long review text"] * 1 + [
+        "a good and quite long review text"] * 2
+    left = [p for p in (tmp_path / "out" / "shares").rglob("part-*.parquet")]
+    assert len(left) <= 2  # of five; the last ones go with the next update
 
 
 def test_files_by_header_and_users_by_folder(spark, tmp_path):

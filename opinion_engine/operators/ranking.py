@@ -27,6 +27,24 @@ def first_rows(df: DataFrame, k: int, order: Sequence[Column], by: Sequence[str]
             .filter(F.col("rank") <= k))
 
 
+def numbered(rows: DataFrame, part: str = "part", place: str = "place", name: str = "position") -> DataFrame:
+    """Row numbers from zero over a whole table, for stored rows that know their part and their place in it.
+
+    Places are consecutive within a part, from any number on. One row per part goes to the driver, which adds up the
+    counts in the order of the parts; nothing is sorted, and no task sees more than its own rows.
+    """
+    sizes = rows.groupBy(part).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).orderBy(part).collect()
+    shifts, before = [], 0
+    for size in sizes:
+        shifts.append((size[part], before - size["first"]))
+        before += size["n"]
+    spark = rows.sparkSession
+    kind = rows.schema[part].dataType.simpleString()
+    shift = spark.createDataFrame(shifts, f"`{part}` {kind}, _shift long")
+    return (rows.join(F.broadcast(shift), part).withColumn(name, F.col(place) + F.col("_shift"))
+            .drop(part, place, "_shift"))
+
+
 def texts_in_order(text: str, where: Column | None = None) -> Column:
     """Aggregate ranked rows into an array of texts; ``first_rows`` bounds its size."""
     row = F.struct("rank", F.col(text).alias("text"))

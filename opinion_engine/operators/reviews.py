@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ratings, text
@@ -53,15 +53,28 @@ def to_training_frame(df: DataFrame) -> DataFrame:
 
 
 def dedup_text(df: DataFrame, column: str = "review_body", row_id: str = "review_id") -> DataFrame:
-    """One row per text: the one with the lowest id. Ids must be unique and not null.
-
-    The lowest ids come from a hash aggregate over digests and ids, combined in each task, so a text that makes
-    up a third of the table sends one row per task. The survivors' rows are then picked by id: texts move once
-    and are never sorted, and columns that are not used later are not read.
+    """One row per text: the one with the lowest id, or one without an id where no row of the text has one.
+
+    Digests and ids alone tell which rows stay: how many rows each pair of both has, and the lowest id of each digest.
+    Rows are picked by digest and id, null-safe, so an id that several texts share loses none of them. Texts
+    move once and are never sorted, and columns that are not used later are not read. Only a text whose lowest id
+    itself comes more than once needs a choice among its rows; where there is none, that branch is empty at run time.
+    Counts are combined in each task and by digest and id first, so a text that makes up a third of the table is
+    never gathered in one task.
     """
-    kept = (df.select(text.text_digest(F.col(column)).alias("_digest"), row_id)
-            .groupBy("_digest").agg(F.min(row_id).alias(row_id)))
-    return df.join(kept.select(row_id).hint("shuffle_hash"), row_id, "left_semi").select(df.columns)
+    rows = df.withColumn("_digest", text.text_digest(F.col(column)))
+    counted = rows.groupBy("_digest", row_id).agg(F.count(F.lit(1)).alias("_n"))
+    missing = F.max(F.when(F.col(row_id).isNull(), F.col("_n")))
+    kept = counted.groupBy(F.col("_digest").alias("_kept_digest")).agg(
+        F.min(row_id).alias("_kept_id"), F.coalesce(F.min_by("_n", row_id), missing).alias("_n"))
+
+    def picked(which: Column) -> DataFrame:
+        same = F.col("_digest").eqNullSafe(F.col("_kept_digest")) & F.col(row_id).eqNullSafe(F.col("_kept_id"))
+        return rows.join(kept.filter(which).hint("shuffle_hash"), same, "left_semi")
+
+    one = Window.partitionBy("_digest").orderBy(F.lit(1))
+    chosen = picked(F.col("_n") > 1).withColumn("_row", F.row_number().over(one)).filter("_row = 1").drop("_row")
+    return picked(F.col("_n") == 1).unionByName(chosen).select(df.columns)
 
 
 def dedup_key(df: DataFrame, key: str, row_id: str) -> DataFrame:

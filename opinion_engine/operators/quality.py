@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import ratings, text
@@ -30,6 +30,16 @@ def drop_audit(df: DataFrame, reasons: Mapping[str, Column], **extra: Column) ->
     return df.agg(*counts, F.count_if(kept).alias("retained_rows"))
 
 
+def observed(df: DataFrame, counts: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """The frame with aggregates that its write yields; read them from the observation once it is written.
+
+    Only for a frame whose last stage holds the counted rows: a task of the last stage counts once, whatever runs
+    again, while tasks before a shuffle count again when their output is lost.
+    """
+    seen = Observation()
+    return df.observe(seen, *[c.alias(name) for name, c in counts.items()]), seen
+
+
 def preprocess_audit(df: DataFrame, column: str = "review_body") -> DataFrame:
     """Row counts before and after dropping empty texts and copies.
 
@@ -53,13 +63,13 @@ def preprocess_audit(df: DataFrame, column: str = "review_body") -> DataFrame:
 
 def rating_range_audit(df: DataFrame, column: str = "star_rating") -> DataFrame:
     """Ratings out of range. Missing ratings and fives are not mixed into these counts."""
+    return df.agg(*[c.alias(name) for name, c in range_counts(column).items()])
+
+
+def range_counts(column: str = "star_rating") -> dict[str, Column]:
     value = ratings.parse_rating(F.col(column))
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(value < 0).alias("below_zero"),
-        F.count_if(value > ratings.HIGHEST).alias("above_five"),
-        F.count_if(value.isNull()).alias("null_before"),
-    )
+    return {"n_rows": F.count(F.lit(1)), "below_zero": F.count_if(value < 0),
+            "above_five": F.count_if(value > ratings.HIGHEST), "null_before": F.count_if(value.isNull())}
 
 
 def with_length(df: DataFrame, column: str = "review_body") -> DataFrame:

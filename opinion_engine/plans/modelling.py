@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import evaluation, model, reviews, sampling, scoring, serving
 from ..operators.ranking import texts_in_order
 from ..sources import readers, writers
+from .stages import Stage, run_stages
 
 
 def train_and_evaluate(
@@ -95,25 +96,51 @@ def evaluate_model(
     writers.write_metrics(writers.stamped(document), f"{out}/documents/model_evaluation")
 
 
-def run(
+def job(
     spark: SparkSession,
     training_csv: str,
     holdout: str,
     out: str,
     smoothing: Sequence[float] = model.SMOOTHING_GRID,
     n: int | None = None,
-) -> None:
+) -> list[Stage]:
     """Train on an exported sample, choose by F1 on one half of the hold-out, judge the stored model on the other.
 
-    The hold-out is halved by text, so that no text is in both halves.
+    The hold-out is halved by text, so that no text is in both halves. The halves and the candidates are scratch.
     """
-    train = readers.with_row_id(reviews.drop_incomplete(readers.read_training_csv(spark, training_csv)))
-    rest = readers.read_stage(spark, holdout).select("review_id", "review_body", "label")
-    train, rest = reviews.to_training_frame(train), reviews.to_training_frame(reviews.drop_incomplete(rest))
-    halves = sampling.hash_split(rest.withColumn("_text", F.sha2("text", 256)), "_text", {"choose": 50, "judge": 50})
-    choose, judge = (halves.filter(F.col("split") == s).drop("_text", "split") for s in ("choose", "judge"))
-    candidates, metrics = train_and_evaluate(train, choose, "review_id", smoothing=smoothing)
-    writers.write_stage(metrics, f"{out}/candidates")
-    best = evaluation.select_best(readers.read_stage(spark, f"{out}/candidates"))
-    model.save_model(chosen(candidates, best, smoothing), f"{out}/model")
-    evaluate_model(judge, model.load_model(spark, f"{out}/model"), "naive-bayes", out, n)
+
+    def halved() -> None:
+        rest = readers.read_stage(spark, holdout).select("review_id", "review_body", "label")
+        rest = reviews.to_training_frame(reviews.drop_incomplete(rest))
+        halves = sampling.hash_split(rest.withColumn("_text", F.sha2("text", 256)), "_text", {"choose": 50, "judge": 50})
+        writers.write_split(halves.drop("_text"), f"{out}/halves")
+
+    def half(name: str) -> DataFrame:
+        return readers.read_stage(spark, f"{out}/halves").filter(F.col("split") == name).drop("split")
+
+    def chosen_model() -> None:
+        train = readers.with_row_id(reviews.drop_incomplete(readers.read_training_csv(spark, training_csv)))
+        candidates, metrics = train_and_evaluate(
+            reviews.to_training_frame(train), half("choose"), "review_id", smoothing=smoothing)
+        writers.write_stage(metrics, f"{out}/candidates")
+        best = evaluation.select_best(readers.read_stage(spark, f"{out}/candidates"))
+        model.save_model(chosen(candidates, best, smoothing), f"{out}/model")
+
+    def judged() -> None:
+        evaluate_model(half("judge"), model.load_model(spark, f"{out}/model"), "naive-bayes", out, n)
+
+    return [Stage("halved", halved, (), (f"{out}/halves",)), Stage("chosen", chosen_model, ("halved",)),
+            Stage("judged", judged, ("halved", "chosen"))]
+
+
+def run(
+    spark: SparkSession,
+    training_csv: str,
+    holdout: str,
+    out: str,
+    smoothing: Sequence[float] = model.SMOOTHING_GRID,
+    n: int | None = None,
+    resume: bool = False,
+) -> None:
+    """Run all stages of ``job``; with ``resume`` those that an earlier run has not completed."""
+    run_stages(spark, out, job(spark, training_csv, holdout, out, smoothing, n), resume)

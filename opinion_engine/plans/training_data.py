@@ -8,12 +8,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .. import schema
 from ..functions import ratings, text
 from ..operators import labels, quality, reviews, sampling
 from ..sources import readers, writers
+from .stages import Stage, run_stages
 
 
 def ingest(df: DataFrame, row_id: str = "review_id") -> DataFrame:
@@ -94,30 +97,108 @@ def sampling_document(
         rest.scalar().alias("remaining_after_sampling"))
 
 
-def run(spark: SparkSession, csv_path: str, out: str, cap: int = sampling.CLASS_CAP, multi_line: bool = True) -> None:
-    """Read review CSVs and store all stages, the exported sample and the documents under ``out``."""
-    raw = readers.with_row_id(readers.read_reviews_csv(spark, csv_path, multi_line))
-    writers.write_split(ingest(raw), f"{out}/split")
+def store_ingested(raw: DataFrame, out: str) -> dict[str, int]:
+    """Write the splits; how many raw rows there were, and how many of the training split have a text."""
+    kept = F.col("review_body").isNotNull() & (F.col("review_body") != "")
+    counted = raw.select("*", kept.alias("_kept"))
+    counted, before = quality.observed(counted, {"original_rows": F.count(F.lit(1)), "with_text": F.count_if("_kept")})
+    rows, after = quality.observed(ingest(counted.drop("_kept")), {"train_rows": F.count_if(F.col("split") == "train")})
+    writers.write_split(rows, f"{out}/split")
+    return {**before.get, **after.get}
+
+
+def store_preprocessed(rows: DataFrame, n_rows: int, out: str, n_empty: int = 0) -> dict[str, int]:
+    """Write the distinct normalised texts; the audit of the ``n_rows`` rows with a text and ``n_empty`` without."""
+    clean, seen = quality.observed(preprocess(rows), {"retained_rows": F.count(F.lit(1))})
+    writers.write_stage(clean, f"{out}/pre_processed")
+    retained = seen.get["retained_rows"]
+    return {"original_rows": n_rows + n_empty, "dropped_empty": n_empty, "dropped_duplicates": n_rows - retained,
+            "retained_rows": retained}
+
+
+def store_flagged(clean: DataFrame, out: str) -> dict[str, dict]:
+    """Write the validated and the flagged rows; the documents of both and the counts of the ratings."""
+    spark = clean.sparkSession
+    valid, seen = quality.observed(validate(clean), {
+        "avg_review_length": F.avg("review_length"), **quality.range_counts()})
+    writers.write_stage(valid, f"{out}/schema_validated")
+    found = seen.get
+    average = writers.document(spark, found, schema.AVERAGE_LENGTH)
+    rating = F.col("star_rating")
+    flagged, rated = quality.observed(flag(readers.read_stage(spark, f"{out}/schema_validated"), average), {
+        **_rating_counts(rating), **{f"label_{name}": F.count_if(ratings.is_polar(rating) & (ratings.binary_label(rating) == v))
+                                     for name, v in (("positive", 1), ("negative", 0))}})
+    writers.write_stage(flagged, f"{out}/anomaly_flagged")
+    return {"average": found, "ranges": found, "ratings": rated.get}
 
-    train = readers.read_stage(spark, f"{out}/split").filter(F.col("split") == "train").drop("split")
-    writers.write_metrics(quality.preprocess_audit(train), f"{out}/documents/preprocess_audit")
-    writers.write_stage(preprocess(train), f"{out}/pre_processed")
 
-    clean = readers.read_stage(spark, f"{out}/pre_processed")
-    writers.write_stage(validate(clean), f"{out}/schema_validated")
+def _rating_counts(rating: Column) -> dict[str, Column]:
+    return {"dropped_3_star_reviews": F.count_if(~ratings.is_polar(rating)), "dropped_unrated": F.count_if(rating.isNull()),
+            "dropped_neutral": F.count_if(rating == ratings.NEUTRAL)}
 
-    valid = readers.read_stage(spark, f"{out}/schema_validated")
-    writers.write_metrics(quality.length_stats(valid), f"{out}/documents/avg_review_length")
-    writers.write_metrics(quality.rating_range_audit(valid), f"{out}/documents/rating_range_audit")
-    writers.write_stage(flag(valid), f"{out}/anomaly_flagged")
 
-    flagged = readers.read_stage(spark, f"{out}/anomaly_flagged")
+def store_training_set(flagged: DataFrame, out: str, cap: int = sampling.CLASS_CAP) -> dict:
+    """Write the sample, its export and the remaining rows; the counts of both."""
+    spark = flagged.sparkSession
     parts = build_training_set(flagged, cap)
-    writers.write_stage(parts.sample, f"{out}/train_final")
+    label = F.col("label")
+    taken, sampled = quality.observed(parts.sample, {
+        "positive": F.count_if(label == 1), "negative": F.count_if(label == 0)})
+    writers.write_stage(taken, f"{out}/train_final")
     sample = readers.read_stage(spark, f"{out}/train_final")
-    remaining = sampling.holdout_remaining(parts.labelled, sample)
+    remaining, rest = quality.observed(sampling.holdout_remaining(parts.labelled, sample), {"rows": F.count(F.lit(1))})
     writers.write_stage(remaining, f"{out}/remaining")
     writers.export_csv(sampling.shuffle_rows(sample), f"{out}/sampled_csv", ["review_body", "label"])
-    writers.write_metrics(
-        sampling_document(flagged, parts.labelled, sample, readers.read_stage(spark, f"{out}/remaining")),
-        f"{out}/documents/class_distribution")
+    return {"sampled_class_counts": sampled.get, "remaining_after_sampling": rest.get["rows"]}
+
+
+INGESTED = T.StructType([T.StructField(c, T.LongType()) for c in ("original_rows", "with_text", "train_rows")])
+RATED = T.StructType([T.StructField(c, T.LongType()) for c in (
+    "dropped_3_star_reviews", "dropped_unrated", "dropped_neutral", "label_positive", "label_negative")])
+
+
+def _write(spark: SparkSession, out: str, name: str, values: dict, fields: T.StructType) -> None:
+    writers.write_metrics(writers.document(spark, values, fields), f"{out}/documents/{name}")
+
+
+def _read(spark: SparkSession, out: str, name: str, fields: T.StructType) -> dict:
+    return readers.read_metrics_json(spark, f"{out}/documents/{name}", fields).first().asDict()
+
+
+def job(spark: SparkSession, csv_path: str, out: str, cap: int = sampling.CLASS_CAP, multi_line: bool = True) -> list[Stage]:
+    """The stages from review CSVs to the exported sample, the remaining rows and the documents under ``out``.
+
+    The documents' counts come out of the writes: no stage is read again for them. A file that brings a
+    ``review_id`` keeps it.
+    """
+
+    def ingested() -> None:
+        raw = readers.with_id(readers.read_reviews_csv(spark, csv_path, multi_line))
+        _write(spark, out, "ingested", store_ingested(raw, out), INGESTED)
+
+    def preprocessed() -> None:
+        train = readers.read_stage(spark, f"{out}/split").filter(F.col("split") == "train").drop("split")
+        rows = _read(spark, out, "ingested", INGESTED)["train_rows"]
+        _write(spark, out, "preprocess_audit", store_preprocessed(train, rows, out), schema.PREPROCESS_AUDIT)
+
+    def flagged() -> None:
+        found = store_flagged(readers.read_stage(spark, f"{out}/pre_processed"), out)
+        _write(spark, out, "avg_review_length", found["average"], schema.AVERAGE_LENGTH)
+        _write(spark, out, "rating_range_audit", found["ranges"], schema.RATING_RANGE_AUDIT)
+        _write(spark, out, "ratings", found["ratings"], RATED)
+
+    def sampled() -> None:
+        taken = store_training_set(readers.read_stage(spark, f"{out}/anomaly_flagged"), out, cap)
+        rated = _read(spark, out, "ratings", RATED)
+        classes = {"1": rated["label_positive"], "0": rated["label_negative"]}
+        values = {**rated, **taken, "original_class_distribution": {k: n for k, n in classes.items() if n}}
+        _write(spark, out, "class_distribution", values, schema.CLASS_DISTRIBUTION)
+
+    return [Stage("ingested", ingested), Stage("preprocessed", preprocessed, ("ingested",)),
+            Stage("flagged", flagged, ("preprocessed",)), Stage("sampled", sampled, ("flagged",))]
+
+
+def run(spark: SparkSession, csv_path: str, out: str, cap: int = sampling.CLASS_CAP, multi_line: bool = True,
+        resume: bool = False) -> None:
+    """Run all stages of ``job``; with ``resume`` those that an earlier run has not completed."""
+    run_stages(spark, out, job(spark, csv_path, out, cap, multi_line), resume)

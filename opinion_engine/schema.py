@@ -30,6 +30,14 @@ SCORED_TYPES = {
     "negative_score": "double",
 }
 
+PREPROCESS_AUDIT = T.StructType([
+    T.StructField(c, T.LongType()) for c in ("original_rows", "dropped_empty", "dropped_duplicates", "retained_rows")
+])
+
+RATING_RANGE_AUDIT = T.StructType([
+    T.StructField(c, T.LongType()) for c in ("n_rows", "below_zero", "above_five", "null_before")
+])
+
 AVERAGE_LENGTH = T.StructType([T.StructField("avg_review_length", T.DoubleType())])
 
 CLASS_COUNTS = T.StructType([

@@ -40,6 +40,21 @@ FILE_NAME = """case doc_id % 5 when 0 then 'reviews.csv' when 1 then '2024133100
     '20240' || cast(doc_id % 9 + 1 as string) || '1' || cast(doc_id % 10 as string) || '1' || cast(doc_id % 10 as string)
     || '2' || cast(doc_id % 8 as string) || '3' || cast(doc_id % 7 as string) || '_reviews.csv' end"""
 
+# Columns of many kinds, as texts. An order's key is written with and without leading zeros, and in one place a word.
+MIXED = {
+    "code": "lpad(cast(o_orderkey as string), 12, '0')",
+    "number": "cast(o_orderkey as string)",
+    "mostly_number": "case when o_orderkey % 100 = 3 then 'none' else cast(o_custkey as string) end",
+    "sparse_number": "case when o_orderkey % 3 = 0 then cast(o_custkey - 500 as string) end",
+    "amount": "case when o_orderkey % 2 = 0 then cast(o_custkey as string) else cast(o_custkey as string) || '.25' end",
+    "open_order": "case when o_orderkey % 2 = 0 then 'true' else 'FALSE' end",
+    "ordered": "substr(cast(o_orderdate as string), 1, 10)",
+    "ordered_at": "substr(cast(o_orderdate as string), 1, 10) || ' 12:30:00'",
+    "ordered_or_not": "case when o_orderkey % 2 = 0 then substr(cast(o_orderdate as string), 1, 10) else '2024-02-30' end",
+    "nothing": "cast(null as string)",
+    "status": "o_orderstatus",
+}
+
 TURNS = {"conv_id": "conv_id", "turn": "turn", "user_name": "role", "review": "text"}
 
 _HASH = "md5(cast(doc_id as string))"
@@ -65,7 +80,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _view(columns: dict[str, str], df: DataFrame) -> DataFrame:
+def view(columns: dict[str, str], df: DataFrame) -> DataFrame:
     return df.selectExpr(*[f"{sql} as {name}" for name, sql in columns.items()])
 
 
@@ -85,20 +100,20 @@ def uploads_sql() -> str:
 
 
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
-    return _view(REVIEWS, table(spark, folder, "documents")).unionByName(spark.sql(_edges(REVIEWS, REVIEW_EDGES)))
+    return view(REVIEWS, table(spark, folder, "documents")).unionByName(spark.sql(_edges(REVIEWS, REVIEW_EDGES)))
 
 
 def uploads(spark: SparkSession, folder: str) -> DataFrame:
-    return _view(UPLOADS, table(spark, folder, "documents")).unionByName(spark.sql(_edges(UPLOADS, UPLOAD_EDGES)))
+    return view(UPLOADS, table(spark, folder, "documents")).unionByName(spark.sql(_edges(UPLOADS, UPLOAD_EDGES)))
 
 
 def turns(spark: SparkSession, folder: str) -> DataFrame:
     """Every turn of every conversation as an uploaded text, by role."""
-    return _view(TURNS, table(spark, folder, "conversations"))
+    return view(TURNS, table(spark, folder, "conversations"))
 
 
 def scored(spark: SparkSession, folder: str) -> DataFrame:
-    return _view(SCORED, table(spark, folder, "labels"))
+    return view(SCORED, table(spark, folder, "labels"))
 
 
 def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:

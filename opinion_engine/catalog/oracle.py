@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import adapters
+from . import adapters, registered
 from .registered import SAMPLE_ROWS
 
 # Fixed values, written out here a second time so that a slip in the operators shows.
@@ -68,6 +68,30 @@ _VIEWS = {
     "class_size": f"""
         select least(count(*) filter (where label = 1), count(*) filter (where label = 0), {CAP}) as per_class
         from parted where training_part""",
+    # The whole chain: the training split, its distinct texts, the sample, and the halves of the rest.
+    "chain_normal": r"""
+        select * replace (
+            regexp_replace(trim(lower(review_body), ' '), '[\s\x0B]+', ' ', 'g') as review_body,
+            regexp_replace(trim(lower(review_headline), ' '), '[\s\x0B]+', ' ', 'g') as review_headline)
+        from with_text where cast('0x' || substr(md5('42:' || cast(review_id as varchar)), 1, 8) as bigint) % 100 < 80""",
+    "chain_labelled": r"""
+        select review_id, regexp_replace(review_body, '[\r\n]+', ' ', 'g') as review_body,
+            case when star_rating > 3 then 1 else 0 end as label
+        from (select *, row_number() over (partition by review_body order by review_id) as rn from chain_normal)
+        where rn = 1 and review_headline is not null and star_rating is not null and star_rating <> 3""",
+    "chain_ranked": """
+        select *, row_number() over (partition by label
+            order by md5('42:' || cast(review_id as varchar)), review_id) as rn
+        from chain_labelled""",
+    "chain_size": f"""
+        select least(count(*) filter (where label = 1), count(*) filter (where label = 0), {CAP}) as per_class
+        from chain_labelled""",
+    "chain_judged": """
+        select review_id as doc_id, review_body as text, label, rn <= (select per_class from chain_size) as training,
+            rn > (select per_class from chain_size) and half < 50 as chosen_on,
+            rn > (select per_class from chain_size) and half >= 50 as judged_on
+        from (select *, cast('0x' || substr(md5('42:' || sha256(review_body)), 1, 8) as bigint) % 100 as half
+            from chain_ranked)""",
     "judged": """
         select *, training_part and rn <= (select per_class from class_size) as training,
             part between 80 and 89 as chosen_on, part >= 90 as judged_on, not training_part as held_out
@@ -180,8 +204,118 @@ _CANDIDATES = _sql(
     + ", cand as (" + " union all ".join(
         f"select {a}::double as smoothing, doc_id, logit from z{i}" for i, a in enumerate(GRID)) + ")")
 
+
+
+def _epoch_views(features: int = 64, rate: float = 1.0) -> str:
+    """Two epochs of two mini-batches as views: weights ``w1`` to ``w4``, scores ``s1`` and ``s2``, and ``best``."""
+    number = "cast('0x' || substr(md5({}), 1, 8) as bigint)"
+    views = [
+        _tokens("seen", "judged", "doc_id", "text"),
+        f"""x as materialized (select distinct doc_id, {number.format("token")} % {features} as f from seen
+            union all select doc_id, {features} from judged)""",
+        f"dealt as (select *, {number.format("'42:' || cast(doc_id as varchar)")} % 2 as batch from judged where training)",
+        f"w0 as (select f, 0::double as w from range({features + 1}) r(f))"]
+    for k, batch in enumerate((1, 0, 0, 1), 1):  # epoch + step, modulo 2
+        views += [
+            f"""p{k} as materialized (select doc_id, label, 1 / (1 + exp(-sum(w))) as p
+                from dealt join x using (doc_id) join w{k - 1} using (f) where batch = {batch} group by doc_id, label)""",
+            f"g{k} as (select f, round(sum(p - label), 9) as g from x join p{k} using (doc_id) group by f)",
+            f"""w{k} as materialized (select f, round(w - {rate}::double * (coalesce(g, 0) / n), 9) as w
+                from w{k - 1} left join g{k} using (f), (select cast(count(*) as double) as n from p{k}))"""]
+    for epoch in (1, 2):
+        views.append(f"""s{epoch} as materialized (select label, round(sum(w), 9) as logit
+            from judged join x using (doc_id) join w{2 * epoch} using (f) where chosen_on group by doc_id, label)""")
+    f1 = "count(*) filter (where label = 1 and logit > 0) * 2 / (count(*) filter (where label = 1) + count(*) filter (where logit > 0))::double"
+    views.append(f"""best as (select epoch from (select 1 as epoch, {f1} as f1 from s1 union all select 2, {f1} from s2)
+        order by coalesce(f1, 0) desc, epoch limit 1)""")
+    return ", ".join(views)
+
+
+_EPOCHS = _epoch_views()
+
+
+def _epoch_metrics(epoch: int) -> str:
+    return f"""select {epoch} as epoch, round(log_loss, 6) as log_loss, {_metric_columns()} from (
+        select avg(-ln(greatest(case when label = 1 then {_P} else 1 - {_P} end, 1e-15::double))) as log_loss,
+            {_outcomes("cast(logit > 0 as int)")} from s{epoch})"""
+
+
 _NB_ALL = _counts("judged") + ", " + _scored_tokens("documents", "doc_id", "text")
 
+def _document(name: str, tested: str) -> str:
+    """The evaluation document of scored rows: doc_id, text, label, logit and p."""
+    return f"""
+        select '{name}' as model_name, (select round(avg(-ln(greatest(
+                case when label = 1 then p else 1 - p end, 1e-15::double))), 6) from {tested}) as eval_loss,
+            {_metric_columns("eval_")},
+            tp + fn as actual_positive, fp + tn as actual_negative,
+            tp + fp as predicted_positive, fn + tn as predicted_negative,
+            (select coalesce(string_agg(text, chr(10) order by p desc, doc_id), '') from (select * from {tested}
+                where logit > 0 order by p desc, doc_id limit 5)) as top_predicted_positive,
+            (select coalesce(string_agg(text, chr(10) order by 1 - p desc, doc_id), '') from (select * from {tested}
+                where logit <= 0 order by 1 - p desc, doc_id limit 5)) as top_predicted_negative
+        from (select {_outcomes("cast(logit > 0 as int)")} from {tested})"""
+
+
+_F1 = """coalesce(count(*) filter (where label = 1 and logit > 0) * 2 / nullif(
+    count(*) filter (where label = 1) + count(*) filter (where logit > 0), 0)::double, 0)"""
+_WHOLE_CHAIN = _sql(
+    "chain_judged", _document("naive-bayes, stamped", "tested"),
+    _counts("chain_judged", "training") + ", "
+    + ", ".join(_scored_tokens("(select * from chain_judged where not training)", "doc_id", "text", f"z{i}", a)
+                for i, a in enumerate(GRID))
+    + ", cand as materialized (select * from (" + " union all ".join(
+        f"select {a}::double as smoothing, doc_id, logit from z{i}" for i, a in enumerate(GRID))
+    + f""") join chain_judged using (doc_id)),
+    chosen as (select smoothing from cand where chosen_on group by smoothing order by {_F1} desc, smoothing limit 1),
+    tested as (select *, {_P} as p from cand where judged_on and smoothing = (select smoothing from chosen))""")
+
+_FITS = {
+    "boolean": "lower(v) in ('true', 'false')",
+    "bigint": r"regexp_matches(v, '^[+-]?(0|[1-9]\d*)$') and try_cast(v as bigint) is not null",
+    "double": r"regexp_matches(v, '^[+-]?(0|[1-9]\d*)(\.\d+)?([eE][+-]?\d+)?$') and try_cast(v as double) is not null",
+    "date": r"regexp_matches(v, '^\d{4}-\d\d-\d\d$') and try_cast(v as date) is not null",
+    "timestamp": r"regexp_matches(v, '^\d{4}-\d\d-\d\d[ T]\d\d:\d\d(:\d\d)?$') and try_cast(v as timestamp) is not null",
+}
+_INFERRED = f"""
+    with mixed as ({adapters.select_sql(adapters.MIXED, "orders")})
+    select name, case when count(v) = 0 then 'string' {" ".join(
+        f"when bool_and({fits}) filter (v is not null) then '{kind}'" for kind, fits in _FITS.items())} else 'string' end as type
+    from ({" union all ".join(f"select '{c}' as name, {c} as v from mixed" for c in adapters.MIXED)})
+    group by name"""
+
+
+def _subwords(length: int = 512) -> str:
+    """Greedy cutting of the distinct words, one piece of each per step."""
+    file = registered.subword_vocabulary()
+    return f"""
+        with recursive model as (
+            select model.vocab as vocab from read_json('{file}', columns = {{model: 'struct(vocab map(varchar, integer))'}})),
+        pieces as (select unnest(map_keys(vocab)) as piece, unnest(map_values(vocab)) as id from model),
+        words as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as place from (
+            select doc_id, regexp_extract_all(lower(text), '[\\p{{L}}]+|[\\p{{N}}]|[^ \\t-\\r\\p{{L}}\\p{{N}}]+') as w from documents)),
+        cuts(word, pos, ids) as (
+            select distinct word, cast(1 as bigint), cast([] as integer[]) from words
+            union all
+            select word, pos + max(n), list_append(ids, arg_max(id, n)) from (
+                select word, pos, ids, n, substr(word, pos, n) || case when pos + n > length(word) then '</w>' else '' end as piece
+                from (select *, unnest(range(1, least(length(word) - pos + 1, 32) + 1)) as n from cuts where pos <= length(word)))
+            join pieces using (piece) group by word, pos, ids),
+        whole as (select word, coalesce(any_value(ids) filter (pos > length(word)), [49407]) as ids from cuts group by word),
+        texts as (select doc_id, flatten(list(ids order by place)) as ids from words join whole using (word) group by doc_id),
+        used as (select doc_id, coalesce(len(ids), 0) as n_tokens,
+            [49406] || list_slice(coalesce(ids, []), 1, {length - 2}) || [49407] as kept
+            from documents left join texts using (doc_id))
+        select doc_id, n_tokens, cast(len(kept) as int) as n_used,
+            md5(array_to_string(list_resize(kept, {length}, 0), ',')) as ids_md5 from used"""
+
+
+_AUDIT = _sql("uniq", """
+    select (select count(*) from reviews) as original_rows,
+        (select count(*) from reviews) - (select count(*) from normal) as dropped_empty,
+        (select count(*) from normal) - count(*) as dropped_duplicates, count(*) as retained_rows
+    from uniq""")
+
 ORACLE: dict[str, str] = {
     "category_sentiment": _sql("uniq", """
         select product_category, count(*) as n_reviews,
@@ -205,11 +339,8 @@ ORACLE: dict[str, str] = {
     "text_dedup": _sql("uniq reviews", """
         select review_id, product_category, r.star_rating, u.review_body, u.review_headline
         from uniq u join reviews r using (review_id, product_category)"""),
-    "preprocess_audit": _sql("uniq", """
-        select (select count(*) from reviews) as original_rows,
-            (select count(*) from reviews) - (select count(*) from normal) as dropped_empty,
-            (select count(*) from normal) - count(*) as dropped_duplicates, count(*) as retained_rows
-        from uniq"""),
+    "preprocess_audit": _AUDIT,
+    "observed_audit": _AUDIT,
     "required_text": _sql("reviews", """
         select review_id, cast(length(review_body) as int) as review_length from reviews
         where review_body is not null and review_headline is not null"""),
@@ -282,6 +413,7 @@ ORACLE: dict[str, str] = {
         where rn <= 5"""),
     "token_counts": "with " + _tokens("t", "documents", "doc_id", "text") + """
         select token, count(*) as n_docs from t group by token""",
+    "subword_ids": _subwords(),
     "nb_weights": _sql("judged", f"""
         select token, c1 as positive_docs, c0 as negative_docs, round({_weight(1.0)}, 6) as weight
         from counts, sizes""", _counts("judged")),
@@ -316,20 +448,11 @@ ORACLE: dict[str, str] = {
         from scored"""),
     "candidate_models": _CANDIDATES,
     "best_model": f"select * from ({_CANDIDATES}) order by f1 desc, smoothing limit 1",
-    "model_evaluation": _sql("judged", f"""
-        select 'naive-bayes' as model_name, (select round(avg(-ln(greatest(
-                case when label = 1 then p else 1 - p end, 1e-15::double))), 6) from tested) as eval_loss,
-            {_metric_columns("eval_")},
-            tp + fn as actual_positive, fp + tn as actual_negative,
-            tp + fp as predicted_positive, fn + tn as predicted_negative,
-            (select coalesce(string_agg(text, chr(10) order by p desc, doc_id), '') from (select * from tested
-                where logit > 0 order by p desc, doc_id limit 5)) as top_predicted_positive,
-            (select coalesce(string_agg(text, chr(10) order by 1 - p desc, doc_id), '') from (select * from tested
-                where logit <= 0 order by 1 - p desc, doc_id limit 5)) as top_predicted_negative
-        from (select {_outcomes("cast(logit > 0 as int)")} from tested)""",
+    "model_evaluation": _sql("judged", _document("naive-bayes", "tested"),
         _counts("judged", "training") + ", "
         + _scored_tokens("(select * from judged where judged_on)", "doc_id", "text")
         + f""", tested as (select *, {_P} as p from judged join z using (doc_id) where judged_on)"""),
+    "whole_chain": _WHOLE_CHAIN,
     "csv_roundtrip": _sql("uploads", "select * from uploads"),
     "training_csv_roundtrip": _sql("sample", "select review_body, label from sample"),
     "partitioned_roundtrip": _sql("cleaned", "select upload_id, user_name, review_clean from cleaned"),
@@ -353,11 +476,30 @@ ORACLE: dict[str, str] = {
         + " from cleaned c join z on z.doc_id = c.upload_id)"),
     "random_split_sizes": _sql("reviews", """
         select count(*) as n_rows, cast(0 as bigint) as n_in_two_parts, true as sizes_as_asked from reviews"""),
+    "epoch_metrics": _sql("judged", " union all ".join(_epoch_metrics(e) for e in (1, 2)), _EPOCHS),
+    "epoch_weights": _sql("judged", """
+        select 1 as epoch, f as feature, round(w, 6) as weight from w2 where w <> 0
+        union all select 2, f, round(w, 6) from w4 where w <> 0""", _EPOCHS),
+    "best_epoch": _sql("judged", f"""
+        select * from ({" union all ".join(_epoch_metrics(e) for e in (1, 2))})
+        where epoch = (select epoch from best)""", _EPOCHS),
     "lr_confusion": _sql("judged", """
-        select label, count(*) as n_rows, count(*) as n_consistent from judged where judged_on group by label"""),
+        select label, cast(logit > 0 as int) as prediction, count(*) as n from (
+            select doc_id, label, round(sum(w), 9) as logit from x join judged using (doc_id) join (
+                select f, w from w2 where (select epoch from best) = 1
+                union all select f, w from w4 where (select epoch from best) = 2) using (f)
+            where judged_on group by doc_id, label)
+        group by 1, 2""", _EPOCHS),
     "training_csv_order": _sql("sample", """
-        select row_number() over (order by md5('43:' || cast(review_id as varchar)), review_id) - 1 as position, review_body
+        select row_number() over (order by md5('43:' || cast(review_id as varchar)), review_id) - 1 as position,
+            md5(review_body) as text_md5
         from sample"""),
+    "inferred_types": _INFERRED,
+    "user_bucket_read": _sql("cleaned", """
+        select user_name, count(*) as n_rows, cast(sum(upload_id) as bigint) as ids from kept group by user_name
+        union all select 'only user3', 1, upload_id from kept where user_name = 'user3'""",
+        """kept as (select * from cleaned
+            where coalesce(user_name, '') not in ('user3', 'user5') or upload_id % 2 = 1)"""),
     "user_partition_read": _sql("cleaned", """
         select upload_id, user_name, review_clean from cleaned where user_name = 'user3'"""),
     "upload_times": f"""

@@ -5,15 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ratings, scores, text
-from ..operators import evaluation, labels, model, quality, reviews, sampling, scoring, serving
-from ..plans import modelling, training_data, uploads
-from ..schema import CLEANING_SUMMARY
+from ..operators import epochs, evaluation, labels, model, quality, ranking, reviews, sampling, scoring, serving, subwords
+from ..plans import modelling, training_data, uploads, whole
+from ..schema import CLEANING_SUMMARY, EVALUATION_SUMMARY, PREPROCESS_AUDIT
 from ..session import materialize, scratch_path
 from ..sources import readers, writers
+from ..streaming import summary
 from ..streaming import uploads as stream
 from . import adapters
 
@@ -22,6 +23,8 @@ QUERIES: dict[str, Query] = {}
 
 # Rows per class in the registered samples of the labels table.
 SAMPLE_ROWS = 50
+# Few features and mini-batches, so that SQL can replay every step.
+REPLAYED = epochs.Settings(features=64, epochs=2, batches=2, rate=1.0)
 
 
 def registered(query: Query) -> Query:
@@ -144,6 +147,17 @@ def preprocess_audit(spark: SparkSession, folder: str) -> DataFrame:
     return quality.preprocess_audit(adapters.reviews(spark, folder))
 
 
+@registered
+def observed_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """The audit of the stored stages, from counts that came out of their writes."""
+    out = scratch_path(spark, "observed")
+    source = adapters.reviews(spark, folder)
+    counts = training_data.store_ingested(source, out)
+    audit = training_data.store_preprocessed(readers.read_stage(spark, f"{out}/split"), counts["with_text"], out,
+                                             counts["original_rows"] - counts["with_text"])
+    return writers.document(spark, audit, PREPROCESS_AUDIT)
+
+
 @registered
 def required_text(spark: SparkSession, folder: str) -> DataFrame:
     return (adapters.reviews(spark, folder).transform(reviews.require_text)
@@ -319,6 +333,22 @@ def token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return model.token_counts(adapters.table(spark, folder, "documents"), "doc_id", "text")
 
 
+def subword_vocabulary() -> str:
+    """The vocabulary file of the registered query; the operator takes any."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@registered
+def subword_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document as 512 numbers; a digest stands for them."""
+    vocabulary = subwords.read_vocabulary(subword_vocabulary())
+    rows = subwords.encode(adapters.table(spark, folder, "documents").select("doc_id", "text"), "text", vocabulary)
+    return rows.select("doc_id", "n_tokens", F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_used"),
+                       F.md5(F.array_join(F.col("input_ids").cast("array<string>"), ",")).alias("ids_md5"))
+
+
 @registered
 def nb_weights(spark: SparkSession, folder: str) -> DataFrame:
     weights = model.nb_weights(adapters.labelled_documents(spark, folder))
@@ -391,7 +421,10 @@ def model_evaluation(spark: SparkSession, folder: str) -> DataFrame:
     train, _, judge = _parts(spark, folder)
     trained = model.train_nb(train)
     scored = materialize(modelling.score_test_set(judge, trained), "tested")
-    document = modelling.evaluation_document(scored, "naive-bayes")
+    return _flat_document(modelling.evaluation_document(scored, "naive-bayes"))
+
+
+def _flat_document(document: DataFrame) -> DataFrame:
     quoted = F.col("sample_reviews")
     flat = document.select(
         "model_name", "metrics.*", "class_summary.*",
@@ -401,16 +434,53 @@ def model_evaluation(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @registered
-def lr_confusion(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows per label that the regression has scored, and how many of them have a consistent score.
+def whole_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """From CSV files to the stored evaluation document; its time stamp is only asked to be one."""
+    out = scratch_path(spark, "whole-chain")
+    writers.export_csv(adapters.reviews(spark, folder), f"{out}/raw")
+    whole.run(spark, f"{out}/raw", out)
+    document = readers.read_metrics_json(spark, f"{out}/model/documents/model_evaluation", EVALUATION_SUMMARY)
+    stamped = document.withColumn("model_name", F.when(
+        F.try_to_timestamp("timestamp").isNotNull(), F.concat(F.col("model_name"), F.lit(", stamped"))))
+    return _flat_document(stamped)
 
-    Which of them are right depends on an iterative fit; its accuracy is tested on separable words.
-    """
-    train, _, judge = _parts(spark, folder)
-    scored = scoring.score_lr(judge, model.train_lr(train))
-    positive, total = F.col("positive_score"), F.col("positive_score") + F.col("negative_score")
-    consistent = (F.abs(total - 1) < 1e-9) & (F.col("prediction_label") == (positive > 0.5).cast("int"))
-    return scored.groupBy("label").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(consistent).alias("n_consistent"))
+
+def _trained_in_epochs(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
+    """The folder of a run over the training sample, judged on the part to choose on; and the part to judge on."""
+    train, choose, judge = _parts(spark, folder)
+    out = scratch_path(spark, "epochs")
+    epochs.train(train, choose, out, REPLAYED, hashed=epochs.digest_token)
+    return out, judge
+
+
+@registered
+def epoch_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    out, _ = _trained_in_epochs(spark, folder)
+    return _rounded(epochs.read_metrics(spark, out), "log_loss", "accuracy", "precision", "recall", "f1")
+
+
+@registered
+def epoch_weights(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored weights of every epoch; the last feature is the bias."""
+    out, _ = _trained_in_epochs(spark, folder)
+    stored = [epochs.read_weights(spark, out, k).withColumn("epoch", F.lit(k)) for k in range(1, REPLAYED.epochs + 1)]
+    return _rounded(reduce(DataFrame.unionByName, stored), "weight")
+
+
+@registered
+def best_epoch(spark: SparkSession, folder: str) -> DataFrame:
+    out, _ = _trained_in_epochs(spark, folder)
+    best = epochs.best_epoch(epochs.read_metrics(spark, out))
+    return _rounded(best, "log_loss", "accuracy", "precision", "recall", "f1")
+
+
+@registered
+def lr_confusion(spark: SparkSession, folder: str) -> DataFrame:
+    """Predictions of the best epoch's weights on the part to judge on."""
+    out, judge = _trained_in_epochs(spark, folder)
+    rows = epochs.prepare(judge, REPLAYED, hashed=epochs.digest_token)
+    scored = epochs.score(rows, epochs.load_best(spark, out, REPLAYED))
+    return evaluation.confusion(scored.select("label", F.col("prediction_label").alias("prediction")))
 
 
 # --- round trips and streams -----------------------------------------------------------
@@ -423,23 +493,35 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return readers.read_scored_csv(spark, path)
 
 
-@registered
-def training_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """The balanced sample in shuffled order as one CSV file, read back with split files."""
+def _exported_sample(spark: SparkSession, folder: str) -> str:
+    """The balanced sample in shuffled order as CSV files whose names are in that order."""
     path = scratch_path(spark, "training-csv")
     sample = training_data.one_line(sampling.balanced_sample(_labelled(spark, folder)))
-    writers.export_csv(sampling.shuffle_rows(sample), path, ["review_body", "label"], single_file=True)
-    return readers.read_training_csv(spark, path)
+    writers.export_csv(sampling.shuffle_rows(sample), path, ["review_body", "label"])
+    return path
+
+
+@registered
+def training_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    return readers.read_training_csv(spark, _exported_sample(spark, folder))
 
 
 @registered
 def training_csv_order(spark: SparkSession, folder: str) -> DataFrame:
-    """Where each text of the shuffled export stands in its file, which has at most two capped classes of rows."""
-    path = scratch_path(spark, "training-csv")
-    sample = training_data.one_line(sampling.balanced_sample(_labelled(spark, folder)))
-    writers.export_csv(sampling.shuffle_rows(sample), path, ["review_body", "label"], single_file=True)
-    placed = readers.read_training_csv(spark, path).withColumn("place", F.monotonically_increasing_id())
-    return placed.select((F.row_number().over(Window.orderBy("place")) - 1).cast("long").alias("position"), "review_body")
+    """Where each text of the export stands, from one count per file; a digest stands for the text."""
+    rows = readers.read_in_order(spark, _exported_sample(spark, folder))
+    stored = materialize(rows.select("part", "place", F.md5("review_body").alias("text_md5")), "export-places")
+    return ranking.numbered(stored)
+
+
+@registered
+def inferred_types(spark: SparkSession, folder: str) -> DataFrame:
+    """The types found in a CSV export of orders, with codes that have leading zeros and a column without texts."""
+    path = scratch_path(spark, "orders-csv")
+    rows = adapters.view(adapters.MIXED, adapters.table(spark, folder, "orders"))
+    writers.export_csv(rows, path)
+    found = readers.infer_types(readers.read_reviews_csv(spark, path))
+    return spark.createDataFrame(sorted(found.items()), "name string, type string")
 
 
 @registered
@@ -449,6 +531,20 @@ def user_partition_read(spark: SparkSession, folder: str) -> DataFrame:
     return readers.read_user_partition(spark, path, "user3")
 
 
+@registered
+def user_bucket_read(spark: SparkSession, folder: str) -> DataFrame:
+    """One user of a table in buckets, some of whose users were written twice."""
+    path = scratch_path(spark, "by-user")
+    rows = _cleaned(spark, folder).select("upload_id", "user_name", "review_clean")
+    writers.write_by_user(rows, path)
+    writers.write_by_user(rows.filter("user_name in ('user3', 'user5') and upload_id % 2 = 1"), path)
+    return readers.read_by_user(spark, path, rows.schema).groupBy("user_name").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("upload_id").alias("ids")).unionByName(
+        readers.read_one_user(spark, path, "user3", rows.schema).select(
+            F.concat(F.lit("only "), "user_name").alias("user_name"), F.lit(1).cast("long").alias("n_rows"),
+            F.col("upload_id").alias("ids")))
+
+
 @registered
 def upload_times(spark: SparkSession, folder: str) -> DataFrame:
     named = adapters.table(spark, folder, "documents").selectExpr("doc_id", f"{adapters.FILE_NAME} as file_name")
@@ -527,4 +623,5 @@ def stream_upload_summary(spark: SparkSession, folder: str) -> DataFrame:
     trained = model.train_nb(adapters.labelled_documents(spark, folder))
     stream.score_uploads(_as_files(adapters.uploads(spark, folder)), lambda batch: uploads.score_upload(batch, trained),
                          out, f"{out}-checkpoint").awaitTermination()
-    return _joined_lists(stream.read_summary(spark, out))
+    summary.update(spark, out).awaitTermination()
+    return _joined_lists(summary.read(spark, out))

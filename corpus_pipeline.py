@@ -20,9 +20,12 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; texts without letters, or far from every language, go."""
+    """Documents whose language is recognised; texts without letters, or far from every language, go.
+
+    A document without a language gets the one that it is recognised as.
+    """
     model = language_id.fit(docs, ~is_held_out("doc_id", 4, 2))
-    return language_id.recognised(docs, model)
+    return language_id.recognised(docs, model, fill="lang")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +36,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links of at least 0.8 over five-word shingles connect."""
-    return simhash.one_per_group(docs)
+    """One document of each group that fingerprints of three-word shingles, at most two bits apart, connect."""
+    return simhash.one_per_group(docs, size=3, max_bits=2)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-WAITING = 1 << 20
+from .common import trim
+from .wordhash import mix
+
+WAITING = 1 << 19
+BUCKET_KEYS = 1 << 21  # keys to be counted, with their repeats, that make a bucket
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _CHUNK_BITS = 16  # of a filter's slots in one row
@@ -113,3 +117,45 @@ def unpacked(column: pa.ChunkedArray, kind: str) -> tuple[np.ndarray, np.ndarray
     size = np.dtype(kind).itemsize
     flat = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.zeros(0, np.uint8)
     return np.frombuffer(flat.tobytes(), kind), np.diff(offsets) // size
+
+
+def count_keys(frame: DataFrame, tell: Callable[[], Callable], key_of: Callable, names: Sequence[str], least: float,
+               total: int) -> DataFrame:
+    """``names`` (64-bit numbers) and ``n`` of the keys that occur ``least`` times.
+
+    ``tell`` runs in each task and returns a function from a batch to the columns of the keys in it, run by run, and
+    ``key_of`` makes keys of columns. A task adds up its keys over many runs and sends them packed, one row per bucket;
+    a bucket's keys are added up in one task. ``total`` keys in all say how many buckets there are.
+    """
+    buckets = max(1, -(-total // BUCKET_KEYS))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, waiting = tell(), Combiner([*names, "n"])
+
+        def send(combined: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in combined:
+                columns = [c.to_numpy() for c in batch.columns]
+                bucket, values = packed(bucket_of(key_of(*(c.view(np.uint64) for c in columns[:-1])), buckets), columns)
+                yield pa.RecordBatch.from_arrays([pa.array(bucket), *values], ["bucket", *names, "n"])
+
+        for batch in batches:
+            for columns in found(batch):
+                yield from send(waiting.add(key_of(*columns), np.ones(len(columns[0]), np.int64),
+                                            [c.view(np.int64) for c in columns]))
+        yield from send(waiting.flush())
+        trim()
+
+    def add_up(table: pa.Table) -> pa.Table:
+        *columns, n = (unpacked(table.column(c), "<i8")[0] for c in (*names, "n"))
+        _, at, which = np.unique(key_of(*(c.view(np.uint64) for c in columns)), return_index=True, return_inverse=True)
+        total = np.bincount(which, n).astype(np.int64)
+        keep = total >= least
+        return pa.table([*[pa.array(c[at][keep]) for c in columns], pa.array(total[keep])], names=[*names, "n"])
+
+    sent = ", ".join(f"{c} binary" for c in (*names, "n"))
+    return frame.mapInArrow(count, f"bucket int, {sent}").groupBy("bucket").applyInArrow(
+        add_up, ", ".join(f"{c} long" for c in (*names, "n")))
+
+
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(keys) % np.uint64(buckets)).astype(np.int32)

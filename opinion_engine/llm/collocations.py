@@ -4,16 +4,16 @@ A text falls into pieces, and those into words. A word in a language is a symbol
 per language.
 
 1. One pass counts words. A bit table of fixed size (``Filter``) of those that occur ``least`` times goes to all tasks.
-2. One pass counts neighbouring pairs of such words. Those with ``least`` occurrences are the candidates of two words,
-   and a second bit table holds them.
+2. One pass counts neighbouring pairs of such words, packed by bucket. Those with ``least`` occurrences are the
+   candidates of two words, and a second bit table holds them.
 3. One pass keeps of each text the runs of words whose neighbours all are such pairs, as codes into an alphabet per
    block. All that follows reads these runs, not the texts.
 4. Triples in runs are counted like pairs, and give the candidates of three words. A longer candidate joins two phrases
    that overlap in all but a word each (Apriori: no phrase is more frequent than its parts).
 5. Candidates are dealt into tries of about ``TRIE`` phrases, each built into a double array by one task and broadcast
    by itself (``DoubleArray``). A task advances all positions of a block at once, level by level, counts the accepting
-   states that it meets, and sends a phrase once; the tasks' counts are added up. Candidates of two to four words
-   are counted together, longer ones once the shorter are known.
+   states that it meets, and sends its counts in slices, which are added up over lots of tasks and then over the lots.
+   Candidates of two to four words are counted together, longer ones once the shorter are known.
 
 A false hit of a bit table only adds candidates; the tries count whole symbols. The number of passes over the runs is
 the number of tries, which follows the number of frequent phrases. Hot words and pairs are combined in each task, over
@@ -35,16 +35,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.ranking import first_rows
-from ..session import materialize
-from .counting import WAITING, Combiner, Filter
+from ..session import discard, materialize
+from .common import trim
+from .counting import WAITING, Combiner, Filter, count_keys, unpacked
 from .wordhash import Block, blocks, mix, word_hashes
 
 TRIE = 1 << 18
 FILTER_BITS = 26
+SEARCHED = 33
+SLICE = 1 << 12  # phrases whose counts travel together
+LOTS = 256
 NO_LANGUAGE = "und"
 
 #: Bytes that end a piece, and those that separate words.
@@ -104,6 +109,7 @@ def count_words(texts: DataFrame) -> DataFrame:
                 names = pa.array(languages, pa.string()).take(pa.array(owner))
                 yield from waiting.add(found, counts, [found.view(np.int64), names, _texts_of(block, at)])
         yield from waiting.flush()
+        trim()
 
     return texts.mapInArrow(run, "symbol long, lang string, word string, n long").groupBy("symbol", "lang", "word").agg(
         F.sum("n").alias("n"))
@@ -130,22 +136,23 @@ def _key_column(words: list[str]):
     return lambda frame: frame.select(*words).mapInArrow(run, "key long")
 
 
-def count_pairs(texts: DataFrame, frequent: Filter) -> DataFrame:
-    """``w0``, ``w1`` and ``n`` of neighbouring words that are both frequent."""
+def count_pairs(texts: DataFrame, frequent: Filter, least: int, total: int) -> DataFrame:
+    """``w0``, ``w1`` and ``n`` of neighbouring words that are both frequent and occur together ``least`` times."""
     sent = texts.sparkSession.sparkContext.broadcast(frequent.bits)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, waiting = Filter(sent.value), Combiner(["w0", "w1", "n"])
-        for batch in batches:
+    def tell():
+        known = Filter(sent.value)
+
+        def pairs(batch: pa.RecordBatch) -> Iterator[list[np.ndarray]]:
             for block in blocks(batch.column(0), SEPARATORS, lower=True):
                 symbols = _symbols(block, _languages(batch, block))
                 good = known.has(symbols)
                 at = np.flatnonzero(_joined(block)[1:] & good[1:] & good[:-1])
-                a, b = symbols[at], symbols[at + 1]
-                yield from waiting.add(_key(a, b), np.ones(len(at), np.int64), [a.view(np.int64), b.view(np.int64)])
-        yield from waiting.flush()
+                yield [symbols[at], symbols[at + 1]]
+
+        return pairs
 
-    return texts.mapInArrow(run, "w0 long, w1 long, n long").groupBy("w0", "w1").agg(F.sum("n").alias("n"))
+    return count_keys(texts, tell, _key, ("w0", "w1"), least, total)
 
 
 def frequent_runs(texts: DataFrame, pairs: Filter) -> DataFrame:
@@ -168,6 +175,7 @@ def frequent_runs(texts: DataFrame, pairs: Filter) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([x.tobytes()], pa.binary()) for x in (alphabet, codes, np.packbits(joined[keep]))],
                         ["alphabet", "codes", "joined"])
+        trim()
 
     return texts.mapInArrow(run, "alphabet binary, codes binary, joined binary")
 
@@ -180,18 +188,18 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.nd
             yield alphabet, codes, np.unpackbits(np.frombuffer(joined.as_buffer(), np.uint8), count=len(codes)).astype(bool)
 
 
-def count_triples(runs: DataFrame) -> DataFrame:
-    """``w0``, ``w1``, ``w2`` and ``n`` of three neighbouring words of a run."""
+def count_triples(runs: DataFrame, least: int, total: int) -> DataFrame:
+    """``w0``, ``w1``, ``w2`` and ``n`` of three neighbouring words of a run that occur ``least`` times."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting = Combiner(["w0", "w1", "w2", "n"])
-        for alphabet, codes, joined in _runs(batches):
-            at = np.flatnonzero(joined[2:] & joined[1:-1])
-            words = [alphabet[codes[at + k]] for k in range(3)]
-            yield from waiting.add(_key(*words), np.ones(len(at), np.int64), [w.view(np.int64) for w in words])
-        yield from waiting.flush()
+    def tell():
+        def triples(batch: pa.RecordBatch) -> Iterator[list[np.ndarray]]:
+            for alphabet, codes, joined in _runs([batch]):
+                at = np.flatnonzero(joined[2:] & joined[1:-1])
+                yield [alphabet[codes[at + k]] for k in range(3)]
+
+        return triples
 
-    return runs.mapInArrow(run, "w0 long, w1 long, w2 long, n long").groupBy("w0", "w1", "w2").agg(F.sum("n").alias("n"))
+    return count_keys(runs, tell, _key, ("w0", "w1", "w2"), least, total)
 
 
 # --- tries ---------------------------------------------------------------------------------
@@ -201,47 +209,53 @@ def count_triples(runs: DataFrame) -> DataFrame:
 class DoubleArray:
     """A trie of phrases: the child of state s by the code c is base[s] + c, if its check is s. State 0 is the root."""
 
-    alphabet: np.ndarray  # sorted symbols; codes count from 1
+    alphabet: np.ndarray  # sorted symbols
+    code: np.ndarray  # of each symbol, from 1 for the commonest, so that children lie close
     base: np.ndarray
     check: np.ndarray
     accept: np.ndarray  # a phrase's number in its state, else -1
     phrases: np.ndarray  # codes, filled up with 0
 
     @classmethod
-    def build(cls, phrases: list[list[int]]) -> DoubleArray:
-        """Of distinct phrases, as lists of signed symbols."""
-        lengths = np.array([len(p) for p in phrases])
-        flat = np.array([w for p in phrases for w in p], np.int64).view(np.uint64)
-        alphabet, codes = np.unique(flat, return_inverse=True)
-        table = np.zeros((len(phrases), int(lengths.max())), np.int32)
-        table[np.arange(table.shape[1]) < lengths[:, None]] = codes + 1
+    def build(cls, symbols: np.ndarray, lengths: np.ndarray) -> DoubleArray:
+        """Of distinct phrases: their symbols one after another, and how many each has."""
+        alphabet, which, counts = np.unique(symbols, return_inverse=True, return_counts=True)
+        code = np.empty(len(alphabet), np.int32)
+        code[np.argsort(-counts, kind="stable")] = np.arange(1, len(alphabet) + 1)
+        table = np.zeros((len(lengths), int(lengths.max())), np.int32)
+        table[np.arange(table.shape[1]) < lengths[:, None]] = code[which]
         table = table[np.lexsort(table.T[::-1])]
         # Nodes, numbered level by level from the root 0: in sorted rows a new prefix is a new node.
         node = np.zeros(len(table), np.int64)
         fresh = np.zeros(len(table), bool)
         fresh[0] = True
-        parents, symbols, ends, total = [], [], [], 1
+        parents, steps, total = [], [], 1
         for level in table.T:
             fresh[1:] |= level[1:] != level[:-1]
             new = fresh & (level > 0)
             parents.append(node[new])
-            symbols.append(level[new])
+            steps.append(level[new])
             node = np.where(level > 0, total - 1 + np.cumsum(new), node)
             total += int(new.sum())
-        ends = node  # the last node of each row
-        parent, code = np.concatenate(parents), np.concatenate(symbols).astype(np.int64)
-        base, slot = _place(parent, code, total)
+        parent = np.concatenate(parents)
+        base, slot = _place(parent, np.concatenate(steps).astype(np.int64), total)
         size = int(slot.max()) + 1
         at = {k: np.full(size, v, np.int32) for k, v in (("base", 0), ("check", -1), ("accept", -1))}
         at["base"][slot] = base
         at["check"][slot[1:]] = slot[parent]
-        at["accept"][slot[ends]] = np.arange(len(table))
-        return cls(alphabet, at["base"], at["check"], at["accept"], table)
+        at["accept"][slot[node]] = np.arange(len(table))  # the last node of each row
+        return cls(alphabet, code, at["base"], at["check"], at["accept"], table)
 
     def codes(self, symbols: np.ndarray) -> np.ndarray:
         """Codes of symbols, 0 for those in no phrase."""
         at = np.minimum(np.searchsorted(self.alphabet, symbols), len(self.alphabet) - 1)
-        return np.where(self.alphabet[at] == symbols, at + 1, 0)
+        return np.where(self.alphabet[at] == symbols, self.code[at], 0)
+
+    def symbols(self, codes: np.ndarray) -> np.ndarray:
+        """The symbols of codes from 1."""
+        of_code = np.empty(len(self.alphabet), np.uint64)
+        of_code[self.code - 1] = self.alphabet
+        return of_code[codes - 1]
 
     def accepted(self, codes: np.ndarray, joined: np.ndarray) -> Iterator[np.ndarray]:
         """Numbers of the phrases that occur, level by level; all positions advance at once."""
@@ -261,19 +275,21 @@ class DoubleArray:
             yield found[found >= 0]
 
     def pack(self) -> list[bytes]:
-        return [x.tobytes() for x in (self.alphabet, self.base, self.check, self.accept, self.phrases)]
+        return [x.tobytes() for x in (self.alphabet, self.code, self.base, self.check, self.accept, self.phrases)]
 
     @classmethod
-    def unpack(cls, alphabet: bytes, base: bytes, check: bytes, accept: bytes, phrases: bytes, width: int) -> DoubleArray:
-        return cls(np.frombuffer(alphabet, np.uint64), *(np.frombuffer(x, np.int32) for x in (base, check, accept)),
-                   np.frombuffer(phrases, np.int32).reshape(-1, width))
+    def unpack(cls, alphabet: bytes, *rest: bytes | int) -> DoubleArray:
+        *packed, width = rest
+        *arrays, phrases = (np.frombuffer(x, np.int32) for x in packed)
+        return cls(np.frombuffer(alphabet, np.uint64), *arrays, phrases.reshape(-1, width))
 
 
 def _place(parent: np.ndarray, code: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
     """Base and slot of every node. ``parent`` and ``code`` are those of the nodes 1, 2, ...
 
-    Nodes with several children take the first place where all of them fit, the largest first; only children fill the
-    gaps, all at once.
+    Nodes with several children take a place where all of them fit, the largest first. The search looks at
+    ``SEARCHED`` places from where free slots begin to the end of what is used; towards the end few slots are, so the
+    array grows by little. Only children fill the gaps, all at once.
     """
     order = np.lexsort([code, parent])
     owner, kids = parent[order], order + 1
@@ -290,20 +306,15 @@ def _place(parent: np.ndarray, code: np.ndarray, total: int) -> tuple[np.ndarray
         apart = code[mine - 1] - code[mine[0] - 1]
         while used[low:low + 256].all():
             low += 256
-        start, place = low, -1
-        for _ in range(16):
-            free = np.flatnonzero(~used[start:start + 256]) + start
+        place = -1
+        for start in np.linspace(low, top, SEARCHED, dtype=np.int64).tolist():
             if len(used) <= start + 512 + apart[-1]:
-                used = np.concatenate([used, np.zeros(len(used) + int(apart[-1]) + 512, bool)])
-            fits = ~used[free[:, None] + apart].any(1) if len(free) else np.zeros(0, bool)
+                used = np.concatenate([used, np.zeros(len(used) // 2 + int(apart[-1]) + 512, bool)])
+            free = np.flatnonzero(~used[start:start + 256]) + start
+            fits = ~used[free[:, None] + apart].any(1)
             if fits.any():
                 place = int(free[fits.argmax()])
-                break
-            start += 256
-        if place < 0:
-            place = max(top, start)
-            if len(used) <= place + apart[-1] + 512:
-                used = np.concatenate([used, np.zeros(len(used) + int(apart[-1]) + 512, bool)])
+                break  # from ``top`` on everything is free
         used[place + apart] = True
         top = max(top, place + int(apart[-1]) + 1)
         slot[mine] = place + apart
@@ -325,12 +336,13 @@ def count_phrases(runs: DataFrame, candidates: DataFrame, name: str) -> DataFram
     shards = math.ceil(total / TRIE)
 
     def build(table: pa.Table) -> pa.Table:
-        trie = DoubleArray.build(table.column("words").to_pylist())
+        words = table.column("words").combine_chunks()
+        trie = DoubleArray.build(words.flatten().to_numpy().view(np.uint64), words.value_lengths().to_numpy())
         packed = [*trie.pack(), trie.phrases.shape[1]]
         return pa.table({"shard": table.column("shard").slice(0, 1)} | {
             f"t{k}": pa.array([x]) for k, x in enumerate(packed)})
 
-    schema = "shard int, t0 binary, t1 binary, t2 binary, t3 binary, t4 binary, t5 long"
+    schema = "shard int, t0 binary, t1 binary, t2 binary, t3 binary, t4 binary, t5 binary, t6 long"
     dealt = candidates.withColumn("shard", F.pmod(F.xxhash64("words"), F.lit(max(shards, 1))).cast("int"))
     tries = materialize(dealt.groupBy("shard").applyInArrow(build, schema), f"{name}-tries")
     counts = []
@@ -347,7 +359,9 @@ def count_phrases(runs: DataFrame, candidates: DataFrame, name: str) -> DataFram
 
 
 def _counted(runs: DataFrame, trie: DoubleArray) -> DataFrame:
+    """``words`` and ``n`` of a trie's phrases. Tasks send slices of their counts, which are added up in two rounds."""
     sent = runs.sparkSession.sparkContext.broadcast(trie)
+    schema = "slice int, lot int, counts binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = sent.value
@@ -360,17 +374,32 @@ def _counted(runs: DataFrame, trie: DoubleArray) -> DataFrame:
                 waiting = []
         if waiting:
             counts += np.bincount(np.concatenate(waiting), minlength=len(counts))
+        lot = TaskContext.get().partitionId() % LOTS
+        slices = [(k, counts[k * SLICE:(k + 1) * SLICE]) for k in range(-(-len(counts) // SLICE))]
+        slices = [(k, part.tobytes()) for k, part in slices if part.any()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k for k, _ in slices], pa.int32()), pa.array([lot] * len(slices), pa.int32()),
+             pa.array([part for _, part in slices], pa.binary())], ["slice", "lot", "counts"])
+        trim()
+
+    def total(table: pa.Table) -> np.ndarray:
+        counts, sizes = unpacked(table.column("counts"), "<i8")
+        return counts.reshape(len(sizes), -1).sum(0)
+
+    def add(table: pa.Table) -> pa.Table:
+        return pa.table({"slice": table.column("slice").slice(0, 1), "lot": table.column("lot").slice(0, 1),
+                         "counts": pa.array([total(table).tobytes()], pa.binary())})
+
+    def spell(table: pa.Table) -> pa.Table:
+        counts = total(table)
         met = np.flatnonzero(counts)
-        for k in range(0, len(met), 1 << 14):
-            part = met[k:k + (1 << 14)]
-            codes = trie.phrases[part]
-            lengths = (codes > 0).sum(1)
-            words = trie.alphabet[codes[codes > 0] - 1].view(np.int64)
-            offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.ListArray.from_arrays(pa.array(offsets), pa.array(words)), pa.array(counts[part])], ["words", "n"])
+        codes = sent.value.phrases[table.column("slice")[0].as_py() * SLICE + met]
+        offsets = np.concatenate([[0], np.cumsum((codes > 0).sum(1))]).astype(np.int32)
+        words = sent.value.symbols(codes[codes > 0]).view(np.int64)
+        return pa.table({"words": pa.ListArray.from_arrays(pa.array(offsets), pa.array(words)), "n": pa.array(counts[met])})
 
-    return runs.mapInArrow(run, "words array<long>, n long").groupBy("words").agg(F.sum("n").alias("n"))
+    added = runs.mapInArrow(run, schema).groupBy("slice", "lot").applyInArrow(add, schema)
+    return added.groupBy("slice").applyInArrow(spell, "words array<long>, n long")
 
 
 def _extended(phrases: DataFrame, size: int) -> DataFrame:
@@ -381,17 +410,18 @@ def _extended(phrases: DataFrame, size: int) -> DataFrame:
     return left.join(right, "shared").select(F.concat("head", F.array("last")).alias("words"))
 
 
-def frequent_phrases(texts: DataFrame, words: DataFrame, least: int, longest: int) -> DataFrame:
+def frequent_phrases(texts: DataFrame, words: DataFrame, least: int, longest: int, total: int) -> DataFrame:
     """``words`` (symbols) and ``a`` of all phrases of 2 to ``longest`` words that occur ``least`` times.
 
-    ``words`` are the stored frequent words.
+    ``words`` are the stored frequent words, and ``total`` is the number of all word occurrences.
     """
     enough = F.col("n") >= least
-    pairs = materialize(count_pairs(texts, Filter.of(words.select("symbol"), FILTER_BITS)).filter(enough), "frequent-pairs")
+    known = Filter.of(words.select("symbol"), FILTER_BITS)
+    pairs = materialize(count_pairs(texts, known, least, total), "frequent-pairs")
     runs = materialize(frequent_runs(texts, Filter.of(_key_column(["w0", "w1"])(pairs), FILTER_BITS)), "frequent-runs")
     candidates = pairs.select(F.array("w0", "w1").alias("words"))
     if longest > 2:
-        triples = materialize(count_triples(runs).filter(enough).select(F.array("w0", "w1", "w2").alias("words")),
+        triples = materialize(count_triples(runs, least, total).select(F.array("w0", "w1", "w2").alias("words")),
                               "frequent-triples")
         candidates = candidates.unionByName(triples)
         if longest > 3:
@@ -418,9 +448,11 @@ def mine(docs: DataFrame, least: int = 100, longest: int = 5, first: int = 2000,
     """
     texts = docs.select(F.col(text_column).alias("text"), F.col(language_column).alias("lang"))
     counted = materialize(count_words(texts), "word-counts")
-    totals = counted.groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = materialize(counted.groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
+    total = totals.agg(F.sum("n")).first()[0] or 0
     words = materialize(counted.filter(F.col("n") >= least), "frequent-words")
-    phrases = frequent_phrases(texts, words, least, longest)
+    discard(counted)
+    phrases = frequent_phrases(texts, words, least, longest, total)
     known = materialize(phrases.unionByName(words.select(F.array("symbol").alias("words"), F.col("n").alias("a"))),
                         "known-phrases")
     # A longer phrase that holds one has parts of one word more that are no rarer, so those tell.

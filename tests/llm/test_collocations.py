@@ -110,23 +110,36 @@ def test_double_array(seed):
     chosen = random.Random(seed)
     symbols = [chosen.getrandbits(64) - (1 << 63) for _ in range((3, 40, 400, 2_000)[seed])]
     phrases = list({tuple(chosen.choices(symbols, k=chosen.randint(1, 5))) for _ in range(3_000)})
-    trie = collocations.DoubleArray.build([list(p) for p in phrases])
+    flat = np.array([w for p in phrases for w in p], np.int64).view(np.uint64)
+    trie = collocations.DoubleArray.build(flat, np.array([len(p) for p in phrases]))
     text = [w for p in chosen.choices(phrases, k=500) for w in p] + chosen.choices(symbols, k=500) + [12345]
     joined = np.array([chosen.random() < 0.9 for _ in text])
     codes = trie.codes(np.array(text, np.int64).view(np.uint64))
     got = Counter()
     for found in trie.accepted(codes, joined):
-        got.update(tuple(trie.alphabet[c[c > 0] - 1].view(np.int64).tolist()) for c in trie.phrases[found])
+        got.update(tuple(trie.symbols(c[c > 0]).view(np.int64).tolist()) for c in trie.phrases[found])
     want, known = Counter(), set(phrases)
     for i in range(len(text)):
         for k in range(1, 6):
             if i + k <= len(text) and joined[i + 1:i + k].all() and tuple(text[i:i + k]) in known:
                 want[tuple(text[i:i + k])] += 1
-    assert got == want and len(trie.check) < 3 * (trie.check >= 0).sum() + len(symbols) + 2000
+    assert got == want and len(trie.check) < 3 * (trie.check >= 0).sum() + 2 * len(symbols) + 2000
     again = collocations.DoubleArray.unpack(*trie.pack(), trie.phrases.shape[1])
     assert all((a == b).all() for a, b in zip(vars(again).values(), vars(trie).values()))
 
 
+def test_double_array_of_many_words_stays_small():
+    """Children that lie far apart: 60,000 symbols, 100,000 phrases of three."""
+    chosen = np.random.default_rng(2)
+    symbols = chosen.integers(0, 1 << 63, 60_000, dtype=np.uint64)
+    heads = chosen.integers(0, 2_000, 100_000)
+    rows = np.unique(np.stack([heads, chosen.integers(0, 60_000, 100_000), chosen.integers(0, 60_000, 100_000)], 1), axis=0)
+    trie = collocations.DoubleArray.build(symbols[rows].ravel(), np.full(len(rows), 3))
+    assert len(trie.check) < 4_000_000
+    met = list(trie.accepted(trie.codes(symbols[rows].ravel()), np.tile([False, True, True], len(rows))))
+    assert [len(m) for m in met] == [0, 0, len(rows)] and len(set(met[2].tolist())) == len(rows)
+
+
 def test_combiner(monkeypatch):
     monkeypatch.setattr(counting, "WAITING", 40)
     chosen, waiting, got, want, most = random.Random(1), counting.Combiner(["k", "word", "n"]), Counter(), Counter(), 0

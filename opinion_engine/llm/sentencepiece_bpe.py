@@ -6,7 +6,8 @@ its leftmost occurrences in all segments at once and compacts the arrays, until
 shuffled: a document is encoded where it is read, and a task holds about one megabyte of text at a time.
 
 Edge values: a null or empty text has only the begin and end ids and decodes to an empty text. Every row
-comes out once, whatever its id; other columns are dropped, whatever their names.
+comes out once, whatever its id; other columns are dropped, whatever their names. Very long texts are encoded whole, and
+an empty table gives an empty one.
 """
 
 from __future__ import annotations

@@ -6,7 +6,8 @@ A URL's own tokens then fetch the few rules to try, and only those run their reg
 are configuration held by the caller; pages are judged where they are read, and only token counts move.
 
 Edge values: a null URL and one without ``://`` have an empty host and path. They fit no listed rule; a pattern
-still sees a URL without ``://``. Rows with null or equal ids are judged each for itself. Other columns are dropped.
+still sees a URL without ``://``. Rows with null or equal ids are judged each for itself. Very long URLs are judged
+whole. An empty table gives an empty one, and without rules every URL is allowed. Other columns are dropped.
 """
 
 from __future__ import annotations

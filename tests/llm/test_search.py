@@ -121,4 +121,4 @@ def test_urls(spark):
 
 def test_rules_are_filed_under_their_rarest_token():
     index = url_rules.PatternIndex(PATTERN_RULES, {"spam": 9, "farm": 3, "cheap": 1, "pills": 2, "utm": 5, "source": 5})
-    assert set(index.by_token) == {"farm", "cheap", "casino", "sessionid", "source"} or "spam" not in index.by_token
+    assert set(index.by_token) == {"farm", "cheap", "casino", "sessionid", "source"}

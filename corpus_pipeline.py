@@ -2,6 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a frame with the columns of ``documents``, the last one the
 tokens. ``run`` writes every stage's rows to the shared folder and rereads them as the next stage's input.
+
+Edge values. Texts that are null, empty or without a letter are rejected by the first stage. Rows that share an id are
+judged each for itself until near-duplicates are linked, where they are one document, of which one row stays; rows
+without an id pass, but the tokens of such a row have no id. Equal texts leave the one with the least id. A document that
+loses all its lines, or half of its words to benchmark items, goes; very long texts are worked on whole. An empty table
+comes out empty, as does one from which no language can be learned. Extra columns pass every stage but the last,
+whatever their names; ``n_chars`` follows the text where a stage cuts it, and ``lang`` is filled where it was null.
 """
 
 from __future__ import annotations

@@ -1,18 +1,19 @@
 """Toxicity by a weighted finite-state grammar of clauses.
 
-Texts are cut into clauses, and each word of a clause becomes a class: insult, threat, target, negation, report or
-other. A cascade of transducers rewrites the classes: negation turns an insult or threat within three words into one
+Texts are cut into clauses, and each word of a clause becomes a class: insult, hint (a weak one), threat, target, negation,
+report or other. A cascade of transducers rewrites the classes: negation turns an insult or threat within three words into one
 that is denied; a threat and a target within three words become a menace; reported speech turns insults and menaces into
-quoted ones up to the end of the clause; an insult after a target is aimed; and the last one keeps the strongest of what
-a clause holds. The cascade is composed into one machine. A clause counts only if the machine ends in an accepting
-state, as a denied, quoted, bare or aimed insult or as a menace. An insult alone decides nothing: the same word weighs
+quoted ones up to the end of the clause; after a target an insult is aimed and a hint is an insult; and the last one keeps the
+strongest of what a clause holds. The cascade is composed into one machine. A clause counts only if the machine ends in
+an accepting state, as a denied or quoted insult, a hint, a bare or an aimed insult, or a menace. An insult alone decides nothing: the same word weighs
 what its clause weighs.
 
 A document's features are the numbers of its clauses of each kind, and a logistic model over their logarithms, learned
 from the labels, turns them into a score. A kind that the labels do not show keeps about its ``PRIOR``.
 
 The lexicon of insults is learned: words, and stems (first letters that several words share), which occur in toxic
-documents and nearly never in others, and do so in both halves of the sample. Threats, targets, negations and reports
+documents and nearly never in others, do so in both halves of the sample, and so often that no such term is to be expected
+by chance among all the words there are. Threats, targets, negations and reports
 are small closed lists. Learning uses at most ``SAMPLE_ROWS`` labelled rows per class, which bounds the lexicon's
 counts; every document is scored whole, where it is read, without a shuffle.
 
@@ -24,6 +25,7 @@ gives an empty one. Very long texts are scored whole. Other columns are dropped,
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -42,13 +44,14 @@ SAMPLE_ROWS = 10_000  # per class
 LEXICON_ROWS = 20_000  # more than terms that MIN_DOCUMENTS of the sample's toxic documents can hold for certain
 MIN_DOCUMENTS = 5
 MIN_IN_HALF = 2
-MIN_WEIGHT = 3.5  # log of how much likelier a term is in toxic documents
+STRONG = 5.5  # from this weight on a term is an insult, below it is a hint
+MIN_WEIGHT = 4.0  # log of how much likelier a term is in toxic documents
 STEM_LENGTHS = (4, 5, 6)
 STEM_WORDS = 3
 
 # Classes of words, and what the cascade makes of them.
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
-DENIED, QUOTED, AIMED, MENACE = range(6, 10)
+OTHER, INSULT, HINT, THREAT, TARGET, NEGATION, REPORT = range(7)
+DENIED, QUOTED, AIMED, MENACE = range(7, 11)
 _SEEDS = {
     THREAT: "kill hurt destroy crush burn beat punish töten schlagen vernichten matar golpear tuer frapper",
     TARGET: "you your yours he she they him her them du ihr euch dich sie er tu vous il elle ils usted ustedes tú él ella",
@@ -56,8 +59,8 @@ _SEEDS = {
     REPORT: "said says called wrote quoted claimed sagte schrieb nannte dijo escribió llamó dit écrit appelé",
 }
 #: Kinds of clauses, by the machine's accepting states, and what a clause of each is thought to weigh at first.
-KINDS = ("denied", "quoted", "bare", "aimed", "menace")
-PRIOR = np.array([0.5, 1.0, 3.0, 4.0, 4.0])
+KINDS = ("denied", "quoted", "hint", "bare", "aimed", "menace")
+PRIOR = np.array([0.5, 1.0, 1.5, 3.0, 4.0, 4.0])
 PRIOR_BASE = -3.0
 CLASS_OF = {word: kind for kind, words in _SEEDS.items() for word in words.split()}
 _CLAUSE = re.compile(r"[.!?;:\n]+")
@@ -88,20 +91,22 @@ def _counting(restart: int, reach: int = 3) -> dict[tuple[int, int], tuple[int,
             **{(s, restart): (reach, restart) for s in range(reach + 1)}}
 
 
-NEGATING = Transducer({**_counting(NEGATION), **{(s, INSULT): (0, DENIED) for s in (1, 2, 3)},
+NEGATING = Transducer({**_counting(NEGATION), **{(s, kind): (0, DENIED) for s in (1, 2, 3) for kind in (INSULT, HINT)},
                        **{(s, THREAT): (0, OTHER) for s in (1, 2, 3)}})
 THREATENING = Transducer({**_counting(THREAT), **{(s, TARGET): (0, MENACE) for s in (1, 2, 3)}})
-REPORTING = Transducer({(0, REPORT): (1, REPORT), (1, REPORT): (1, REPORT), (1, INSULT): (1, QUOTED), (1, MENACE): (1, QUOTED)})
-AIMING = Transducer({**_counting(TARGET, 5), **{(s, INSULT): (s - 1, AIMED) for s in range(1, 6)}})
+REPORTING = Transducer({(0, REPORT): (1, REPORT), (1, REPORT): (1, REPORT),
+                        **{(1, kind): (1, QUOTED) for kind in (INSULT, HINT, MENACE)}})
+#: After a target an insult is aimed, and a hint is an insult.
+AIMING = Transducer({**_counting(TARGET, 5), **{(s, INSULT): (s - 1, AIMED) for s in range(1, 6)},
+                     **{(s, HINT): (s - 1, INSULT) for s in range(1, 6)}})
 #: The state is the strongest kind so far, as its place in ``KINDS`` from 1; a target right after an insult aims it.
-_RANK = {DENIED: 1, QUOTED: 2, INSULT: 3, AIMED: 4, MENACE: 5}
-_FRESH = 6  # a bare insult was the last word
+_RANK = {DENIED: 1, QUOTED: 2, HINT: 3, INSULT: 4, AIMED: 5, MENACE: 6}
+_FRESH = 7  # a bare insult was the last word
 KEEPING = Transducer({
-    **{(s, kind): (s if s != _FRESH and s >= rank else 3 if s == _FRESH and rank < 4 else rank, kind)
-       for s in range(_FRESH + 1) for kind, rank in _RANK.items()},
-    **{(s, INSULT): (_FRESH, INSULT) for s in (0, 1, 2, 3, _FRESH)},
-    (_FRESH, OTHER): (3, OTHER), (_FRESH, TARGET): (4, TARGET)})
-ACCEPTING = {**{s: s - 1 for s in range(1, 6)}, _FRESH: 2}
+    **{(s, kind): (max(4 if s == _FRESH else s, rank), kind) for s in range(_FRESH + 1) for kind, rank in _RANK.items()},
+    **{(s, INSULT): (_FRESH, INSULT) for s in (0, 1, 2, 3, 4, _FRESH)},
+    (_FRESH, OTHER): (4, OTHER), (_FRESH, TARGET): (5, TARGET)})
+ACCEPTING = {**{s: s - 1 for s in range(1, 7)}, _FRESH: 3}
 
 
 def compose(*parts: Transducer) -> tuple[dict[tuple[int, int], int], dict[int, int]]:
@@ -110,7 +115,7 @@ def compose(*parts: Transducer) -> tuple[dict[tuple[int, int], int], dict[int, i
     number, todo, step = {start: 0}, [start], {}
     while todo:
         states = todo.pop()
-        for kind in range(6):
+        for kind in range(REPORT + 1):
             symbol, to = kind, []
             for part, state in zip(parts, states):
                 state, symbol = part.take(state, symbol)
@@ -154,7 +159,8 @@ def matched(text: str | None, lexicon: Lexicon) -> np.ndarray:
     """How many clauses of a text are of each kind."""
     found = np.zeros(len(KINDS), np.int64)
     words = set(words_of(text)) if text else ()
-    marked = {w: INSULT for w in words if lexicon.weight(w)} | {w: THREAT for w in words if CLASS_OF.get(w) == THREAT}
+    marked = {w: INSULT if x >= STRONG else HINT for w in words if (x := lexicon.weight(w))}
+    marked |= {w: THREAT for w in words if CLASS_OF.get(w) == THREAT}
     if marked:
         for clause in _CLAUSE.split(text):
             clause = words_of(clause)
@@ -198,13 +204,17 @@ def _word_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def learn_lexicon(sample: DataFrame, clean: int, toxic: int) -> Lexicon:
     """Words and stems that mark toxic documents, at most ``LEXICON_ROWS`` of each."""
     counts = ("clean", "toxic_0", "toxic_1")
-    words = sample.select("text", "toxic", "half").mapInArrow(
+    words = materialize(sample.select("text", "toxic", "half").mapInArrow(
         _word_documents, "word string, clean long, toxic_0 long, toxic_1 long").groupBy("word").agg(
-        *[F.sum(c).alias(c) for c in counts])
+        *[F.sum(c).alias(c) for c in counts]), "toxic-words")
     both = F.col("toxic_0") + F.col("toxic_1")
     weight = F.log((both + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
     # What one half shows by chance the other does not.
     marked = (weight >= MIN_WEIGHT) & (both >= MIN_DOCUMENTS) & (F.least("toxic_0", "toxic_1") >= MIN_IN_HALF)
+    # Chernoff: how unlikely it is that so many of a term's documents are toxic by chance, as minus a logarithm.
+    share, usual, total = both / (both + F.col("clean")), toxic / (toxic + clean), both + F.col("clean")
+    rest = F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - usual))).otherwise(0.0)
+    surprise = total * (share * F.log(share / usual) + rest)
     stems = (words.select(F.explode(F.array(*[F.substring("word", 1, n) for n in STEM_LENGTHS])).alias("term"),
                           "word", *counts)
              .filter(F.char_length("term") < F.char_length("word")).groupBy("term")
@@ -212,9 +222,12 @@ def learn_lexicon(sample: DataFrame, clean: int, toxic: int) -> Lexicon:
              .filter(F.col("n_words") >= STEM_WORDS))
     out = []
     for terms in (words.withColumnRenamed("word", "term"), stems):
-        rows = (terms.filter(marked).withColumn("weight", weight)
+        # So unlikely that less than one such term is expected among all that could be taken.
+        least = math.log(max(1, terms.filter(both > 0).count()))
+        rows = (terms.filter(marked & (surprise >= least)).withColumn("weight", weight)
                 .orderBy(F.desc(F.col("weight") * both), "term").limit(LEXICON_ROWS).select("term", "weight").collect())
         out.append({r["term"]: r["weight"] for r in rows})
+    discard(words)
     return Lexicon(*out)
 
 

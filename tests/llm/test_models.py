@@ -236,13 +236,11 @@ def test_cosines_and_rejection_by_hand(given):
 def plain_kind(classes):
     """What a clause is, by rules over its whole list of classes."""
     T = toxicity
-    at = lambda kind, i, reach: any(c == kind for c in classes[max(0, i - reach):i])
-
     def used_up(i):
         """The last negation before i within three words that nothing has taken since."""
         for k in range(i - 1, max(-1, i - 4), -1):
             if classes[k] == T.NEGATION:
-                return not any(classes[m] in (T.INSULT, T.THREAT) for m in range(k + 1, i))
+                return not any(classes[m] in (T.INSULT, T.HINT, T.THREAT) for m in range(k + 1, i))
         return False
 
     events = []
@@ -253,32 +251,29 @@ def plain_kind(classes):
         if c == T.THREAT and not used_up(i):
             threats = i
         if c == T.TARGET and threats is not None and i - threats <= 3:
-            events.append((2 if reported else 5))
+            events.append((2 if reported else 6))
             threats = None
-        if c == T.INSULT:
+        if c in (T.INSULT, T.HINT):
+            before = any(classes[k] == T.TARGET and not taken(classes, k, T) for k in range(max(0, i - 5), i))
+            after = i + 1 < len(classes) and classes[i + 1] == T.TARGET and not taken(classes, i + 1, T)
             if used_up(i):
                 events.append(1)
             elif reported:
                 events.append(2)
-            elif any(classes[k] == T.TARGET and not taken(classes, k, T) for k in range(max(0, i - 5), i)) or (
-                    i + 1 < len(classes) and classes[i + 1] == T.TARGET and not menace(classes, i + 1, T)):
-                events.append(4)
+            elif c == T.INSULT:
+                events.append(5 if before or after else 4)
             else:
-                events.append(3)
+                events.append(3 if not before else 5 if after else 4)
     return max(events) - 1 if events else None
 
 
-def menace(classes, i, T):
-    """Whether the target at i completes a threat."""
-    return taken(classes, i, T)
-
-
 def taken(classes, i, T):
+    """Whether the target at i completes a threat."""
     threat = None
     for k, c in enumerate(classes[:i + 1]):
         if c == T.THREAT:
             last = [m for m in range(max(0, k - 3), k) if classes[m] == T.NEGATION]
-            denied = bool(last) and not any(classes[m] in (T.INSULT, T.THREAT) for m in range(last[-1] + 1, k))
+            denied = bool(last) and not any(classes[m] in (T.INSULT, T.HINT, T.THREAT) for m in range(last[-1] + 1, k))
             if not denied:
                 threat = k
         if c == T.TARGET:
@@ -293,12 +288,12 @@ def taken(classes, i, T):
 def test_machine_against_rules():
     chosen = random.Random(7)
     for _ in range(20_000):
-        classes = chosen.choices(range(6), (5, 2, 1, 2, 1, 0.4), k=chosen.randint(0, 9))
+        classes = chosen.choices(range(7), (5, 1.5, 1.5, 1, 2, 1, 0.4), k=chosen.randint(0, 9))
         assert toxicity.clause_kind(classes) == plain_kind(classes), classes
 
 
 def test_grammar():
-    lexicon = toxicity.Lexicon({"idiot": 4.0}, {"stup": 2.0})
+    lexicon = toxicity.Lexicon({"idiot": 6.0, "odd": 4.0}, {"stup": 7.0})
     kinds = lambda text: [k for k, n in zip(toxicity.KINDS, toxicity.matched(text, lexicon)) for _ in range(n)]
     assert kinds("The idiot came.") == ["bare"] and kinds("IDIOT! stupid; STUPIDLY") == ["bare"] * 3
     assert kinds("You idiot") == kinds("idiot, you") == ["aimed"] and kinds("idiot he said") == ["aimed"]
@@ -307,6 +302,7 @@ def test_grammar():
     assert kinds("He said you are no idiot") == ["denied"] and kinds("she called him an idiot") == ["quoted"]
     assert kinds("I will kill you") == ["menace"] and kinds("kill the time") == kinds("never kill you") == []
     assert kinds("he wrote I kill you") == ["quoted"] and kinds("no idiot, you idiot") == ["aimed"]
+    assert kinds("how odd") == ["hint"] and kinds("you are odd") == ["bare"] and kinds("not odd") == ["denied"]
     assert not any(map(kinds, [None, "", "12 ...", "stu idiots"]))
 
 
@@ -327,7 +323,7 @@ def test_the_verdict_needs_the_grammar(spark):
             toxic.append((1000 + i, 0))
     df = documents(spark, rows)
     sample = [(text, label) for (i, text), (j, label) in zip(rows, toxic) if label is not None]
-    lexicon = toxicity.Lexicon({w: 4.0 for w in ("grobik", "fiesnar", "dulmo")}, {})
+    lexicon = toxicity.Lexicon({w: 6.0 for w in ("grobik", "fiesnar", "dulmo")}, {})
     found = np.array([toxicity.matched(t, lexicon) for t, _ in sample], float)
     label = np.array([y for _, y in sample], float)
     model = toxicity.Model(lexicon, toxicity.fit_weights(found, label, np.ones(len(label))))

@@ -204,6 +204,8 @@ def _read_block(file, block: np.void) -> np.ndarray:
 SPLITTING = re.compile(r"[ \t-\r]")
 #: Texts whose words may be cut between letters and other characters, and the parts they are cut into.
 SIMPLE = re.compile(r"[\x00-\x26\x28-\x7fÀ-ÖØ-öø-ÿ]*")
+LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
+SMALL = "".join(c for c in map(chr, range(0x61, 0x100)) if LETTERS.fullmatch(c))
 PARTS = re.compile(r"[a-zß-öø-ÿ]+|[^a-zß-öø-ÿ \t-\r]+")
 
 
@@ -221,10 +223,13 @@ class WordEncoder:
         added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
         self.width = width
-        # Whether a run of small letters is one word as it stands, which the library's model then cuts directly.
-        small, first, second = "abcdefghijklmnopqrstuvwxyz", self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
-        self.direct = bool(first and second) and first.normalize_str(small) == small and [
-            word for word, _ in second.pre_tokenize_str(small)] == [small]
+        # Whether a run of small letters is one word as it stands, which the library's model then cuts directly; letters
+        # beyond ASCII are spelled as the library's model spells them.
+        first, second = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        spelled = lambda text: [word for word, _ in second.pre_tokenize_str(text)]
+        self.spelling = {ord(c): spelled(c)[0] for c in SMALL if not c.isascii()} if second else {}
+        self.direct = bool(first and second) and first.normalize_str(SMALL) == SMALL and spelled(SMALL) == [
+            SMALL.translate(self.spelling)]
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -268,8 +273,8 @@ class WordEncoder:
         for word in words:
             if word in older:
                 known[word] = older[word]
-            elif self.direct and word.isascii() and word.isalpha() and word.islower():
-                known[word] = array(kind, [t.id for t in cut(word)]).tobytes()
+            elif self.direct and LETTERS.fullmatch(word):
+                known[word] = array(kind, [t.id for t in cut(word.translate(self.spelling))]).tobytes()
             else:
                 new.append(word)
         if not new:

@@ -149,6 +149,35 @@ def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.mine(_table(spark, folder, "documents"))
 
 
+ORACLE["op11_collocations"] = """
+with pieces as (
+  select lang, regexp_extract_all(piece, '[^ \\t]+') as w from (
+    select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece from documents)),
+totals as (select lang, cast(sum(len(w)) as bigint) as n from pieces group by lang),
+grams as (
+  select lang, size, list_slice(w, i, i + size - 1) as g, count(*) as f
+  from (select lang, w, unnest(range(1, len(w) + 1)) as i from pieces), range(1, 6) r(size)
+  where i + size - 1 <= len(w) group by all having count(*) >= 100),
+longer as (
+  select lang, g, max(f) as more from (
+    select lang, unnest([list_slice(g, 1, size - 1), list_slice(g, 2, size)]) as g, f from grams where size > 2)
+  group by lang, g),
+cuts as (
+  select p.lang, p.g, p.size, p.f, n, unnest(range(1, p.size)) as k
+  from grams p join totals using (lang) left join longer using (lang, g)
+  where p.size > 1 and (more is null or 100 * more < 100 * p.f)),
+judged as (
+  select c.lang, c.g, c.f as a, c.n, k, l.f as l, r.f as r,
+    cast(1000::hugeint * c.f * c.n // (l.f::hugeint * r.f) as bigint) as score
+  from cuts c join grams l on l.lang = c.lang and l.g = list_slice(c.g, 1, k)
+    join grams r on r.lang = c.lang and r.g = list_slice(c.g, k + 1, c.size)),
+best as (select *, array_to_string(g, ' ') as phrase from judged
+  qualify row_number() over (partition by lang, g order by score, k) = 1)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from best qualify rank <= 2000"""
+
+
 #: The id after each document's ids in the registered query.
 END_ID = 2
 

@@ -39,7 +39,7 @@ def test_one_query_per_operator_and_the_pipeline():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES)
     assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
-    assert set(ORACLE) == {"op3_line_dedup", "op10_url_filters", "op13_hard_negatives"} and corpus_pipeline.ORACLE_SQL is None
+    assert set(ORACLE) == {"op3_line_dedup", "op10_url_filters", "op11_collocations", "op13_hard_negatives"} and corpus_pipeline.ORACLE_SQL is None
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

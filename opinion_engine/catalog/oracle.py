@@ -413,7 +413,7 @@ ORACLE: dict[str, str] = {
         where rn <= 5"""),
     "token_counts": "with " + _tokens("t", "documents", "doc_id", "text") + """
         select token, count(*) as n_docs from t group by token""",
-    "subword_ids": _subwords(),
+    **({"subword_ids": _subwords()} if "subword_ids" in registered.QUERIES else {}),
     "nb_weights": _sql("judged", f"""
         select token, c1 as positive_docs, c0 as negative_docs, round({_weight(1.0)}, 6) as weight
         from counts, sizes""", _counts("judged")),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -340,7 +341,6 @@ def subword_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-@registered
 def subword_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Every document as 512 numbers; a digest stands for them."""
     vocabulary = subwords.read_vocabulary(subword_vocabulary())
@@ -349,6 +349,10 @@ def subword_ids(spark: SparkSession, folder: str) -> DataFrame:
                        F.md5(F.array_join(F.col("input_ids").cast("array<string>"), ",")).alias("ids_md5"))
 
 
+if find_spec("public_tokenizers") is not None:  # where the vocabulary files are
+    registered(subword_ids)
+
+
 @registered
 def nb_weights(spark: SparkSession, folder: str) -> DataFrame:
     weights = model.nb_weights(adapters.labelled_documents(spark, folder))

@@ -90,7 +90,7 @@ def score_with_model(df: DataFrame, load: Callable[[], Callable], text: str, out
 def token_scorer(model: TokenModel) -> Callable[[], Callable]:
     """Load a token model inside tasks, as arrays of token hashes and weights.
 
-    The function that is returned takes an Arrow array of lists of token hashes. Refused where the model is too
+    The function that is returned takes an Arrow array of lists of token hashes; its sums are not rounded. Refused where the model is too
     large for a task.
     """
     if not fits_in_task(model):
@@ -99,7 +99,6 @@ def token_scorer(model: TokenModel) -> Callable[[], Callable]:
     rows = rows.sort_values("hash")
     shared = model.weights.sparkSession.sparkContext.broadcast(
         (rows["hash"].to_numpy("int64"), rows["w"].to_numpy("float64")))
-    digits = SCORE_DIGITS
 
     def load() -> Callable:
         import numpy as np
@@ -114,7 +113,7 @@ def token_scorer(model: TokenModel) -> Callable[[], Callable]:
             found = np.where(hashes[at] == tokens, weights[at], 0.0)
             # Every list holds the prior's token, so none is empty.
             ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
-            return np.round(np.add.reduceat(found, np.concatenate([[0], ends[:-1]])), digits)
+            return np.add.reduceat(found, np.concatenate([[0], ends[:-1]]))
 
         return score
 
@@ -124,7 +123,8 @@ def token_scorer(model: TokenModel) -> Callable[[], Callable]:
 def _scored_in_task(df: DataFrame, model: TokenModel, text: str) -> DataFrame:
     """``logit_0`` added to each row; tokens are found and hashed in the JVM."""
     hashed = df.withColumn("_hashes", F.transform(_row_tokens(text), lambda t: F.xxhash64(t)))
-    return score_with_model(hashed, token_scorer(model), "_hashes").drop("_hashes")
+    scored = score_with_model(hashed, token_scorer(model), "_hashes").drop("_hashes")
+    return scored.withColumn("logit_0", F.round("logit_0", SCORE_DIGITS))  # as ``score_weights`` rounds
 
 
 def _scored_by_join(df: DataFrame, model: TokenModel, text: str) -> DataFrame:
